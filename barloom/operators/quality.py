@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from barloom import schemas as S
@@ -207,12 +207,11 @@ def failure_message(checks: DataFrame) -> DataFrame:
     )
 
 
-def require_passed(checks: DataFrame) -> int:
-    """Raise when a check failed; otherwise the number of checks. Reads one row per check."""
-    rows = sorted(checks.collect(), key=lambda r: r["seq"])
-    failed = [r for r in rows if not r["passed"]]
+def require_passed(checks: Sequence[Row]) -> int:
+    """Raise when a check of a report failed; otherwise the number of checks."""
+    failed = [r for r in sorted(checks, key=lambda r: r["seq"]) if not r["passed"]]
     if failed:
         raise QualityGateError(
             "; ".join(f"{r['check_name']} on {r['table_name']}: {r['details']}" for r in failed)
         )
-    return len(rows)
+    return len(checks)

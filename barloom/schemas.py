@@ -112,6 +112,16 @@ STEP_RUNS = T.StructType(
     ]
 )
 
+CHECKS = T.StructType(
+    [
+        T.StructField("seq", T.IntegerType()),
+        T.StructField("check_name", T.StringType()),
+        T.StructField("table_name", T.StringType()),
+        T.StructField("passed", T.BooleanType()),
+        T.StructField("failed_rows", T.LongType()),
+        T.StructField("details", T.StringType()),
+    ]
+)
 CHECK_COLUMNS = ("check_name", "table_name", "passed", "failed_rows", "details")
 
 # ---------------------------------------------------------------------------

@@ -51,6 +51,7 @@ PROGRESS = Table("backfill_progress", S.PROGRESS, append=True)
 DAILY_SUMMARY = Table("mart_daily_symbol_summary", S.DAILY_SUMMARY, by_day=True, order=("symbol",))
 LATEST_PRICE = Table("mart_symbol_latest_price", S.LATEST_PRICE)
 VOLUME_RANK = Table("mart_symbol_volume_rank", S.VOLUME_RANK, by_day=True, order=("symbol",))
+GATE_PASSES = Table("quality_gate_passes", S.CHECKS, append=True)
 STEP_RUNS = Table("step_runs", S.STEP_RUNS, append=True)
 
 
@@ -74,6 +75,11 @@ def last_commit(spark: SparkSession, root: str, table: Table | None = None) -> i
     return log.agg(F.max("commit_id")).first()[0] or 0
 
 
+def last_day(spark: SparkSession, root: str, table: Table) -> dt.date | None:
+    log = commits(spark, root).where(F.col("table_name") == table.name)
+    return log.agg(F.max(DAY)).first()[0]
+
+
 def changed_days(spark: SparkSession, root: str, table: Table, after: int) -> list[dt.date]:
     """Days of a table that commits later than ``after`` have rewritten."""
     log = commits(spark, root).where((F.col("table_name") == table.name) & (F.col("commit_id") > after))
