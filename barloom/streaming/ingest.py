@@ -20,9 +20,8 @@ def landing_stream(spark: SparkSession, landing: str, max_files: int = 100_000)
     """Landed payloads as they arrive, with their run date and file."""
     return (
         spark.readStream.schema(LANDING)
-        .option("wholetext", True)
         .option("maxFilesPerTrigger", max_files)
-        .text(landing)
+        .text(landing, wholetext=True)
         .select("value", "run_date", F.col("_metadata.file_path").alias("file"))
     )
 

@@ -13,9 +13,9 @@ def spark():
         "tests",
         "local[*]",
         {
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "3",
             "spark.ui.enabled": "false",
-            "spark.default.parallelism": "4",
+            "spark.default.parallelism": "2",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
