@@ -44,10 +44,10 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "marts":
         print(f"days rebuilt: {len(refresh_marts(spark, args.root))}")
     elif args.command == "export":
-        bars = tables.read_table(spark, args.root, tables.BARS)
+        bars = tables.read_current(spark, args.root, tables.BARS)
         print(export.export_snapshot(bars, args.out, args.symbol))
     elif args.command == "changes":
-        bars = tables.read_table(spark, args.root, tables.BARS)
+        bars = tables.read_current(spark, args.root, tables.BARS)
         reports.recent_price_changes(bars, args.symbol.upper(), args.limit).show(args.limit, truncate=False)
     else:
         payloads = read_payload_files(spark, args.payloads)

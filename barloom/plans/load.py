@@ -17,7 +17,7 @@ from barloom import schemas as S
 from barloom.functions.times import check_range
 from barloom.operators import backfill as bf
 from barloom.operators import incremental, staging
-from barloom.operators.upsert import last_per_key, upsert
+from barloom.operators.upsert import absent, insert_if_absent, last_per_key, upsert
 from barloom.session import use_utc
 from barloom.sources import tables as tb
 
@@ -34,10 +34,6 @@ class LoadResult:
     rejected: int = 0
 
 
-def _utc_today() -> dt.date:
-    return dt.datetime.now(dt.timezone.utc).date()
-
-
 def _stage(spark: SparkSession, root: str, payloads: DataFrame, commit_id: int) -> DataFrame:
     """Type the payloads once and read them back. ``load_order`` says which duplicate comes last."""
     parsed = staging.parse_payloads(payloads)
@@ -49,13 +45,13 @@ def _stage(spark: SparkSession, root: str, payloads: DataFrame, commit_id: int)
     return spark.read.parquet(path)
 
 
-def _batch(spark: SparkSession, root: str, rows: DataFrame, commit_id: int) -> DataFrame:
-    """Reduce to one row per key and write the rows to load, by day."""
+def _batch(spark: SparkSession, root: str, rows: DataFrame, commit_id: int) -> tuple[DataFrame, dict[dt.date, int]]:
+    """Reduce to one row per key and write the rows to load; also their number per day."""
     order = ["load_order", *[c for c in rows.columns if c not in (*S.BAR_KEY, "load_order")]]
-    unique = last_per_key(rows, S.BAR_KEY, order).select(*staging.BAR_COLUMNS)
     path = f"{root}/_batch/commit_id={commit_id}"
-    unique.withColumn(tb.DAY, F.to_date("ts")).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    last_per_key(rows, S.BAR_KEY, order).select(*staging.BAR_COLUMNS).write.mode("overwrite").parquet(path)
+    batch = spark.read.schema(S.BARS).parquet(path)
+    return batch, tb.count_days(batch, tb.BARS)
 
 
 def _rejects(staged: DataFrame, strict: bool) -> int:
@@ -66,23 +62,20 @@ def _rejects(staged: DataFrame, strict: bool) -> int:
 
 
 def _apply(
-    spark: SparkSession,
-    root: str,
-    commit_id: int,
-    batch: DataFrame,
-    days: list[dt.date],
-    now: dt.datetime,
+    spark: SparkSession, held: tb.Snapshot, commit_id: int, batch: DataFrame, days: list[dt.date], now: dt.datetime
 ) -> dict[tb.Table, list[dt.date] | None]:
     """Write the next content of the changed days, the load state and the audit rows."""
-    stored = tb.read_table(spark, root, tb.BARS, days)
-    rows = batch.select(*staging.BAR_COLUMNS)
-    tb.write_table(upsert(stored, rows, S.BAR_KEY), root, tb.BARS, commit_id)
-    state = tb.read_table(spark, root, tb.LOAD_STATE)
+    root = held.root
+    stored = tb.read_table(spark, held, tb.BARS, days)
+    tb.write_table(upsert(stored, batch, S.BAR_KEY), root, tb.BARS, commit_id)
+    state = tb.read_table(spark, held, tb.LOAD_STATE)
     stamp = F.lit(now).cast("timestamp")
-    tb.write_table(incremental.advance_marks(state, rows, stamp), root, tb.LOAD_STATE, commit_id)
-    audit = incremental.audit_rows(rows, f"commit-{commit_id}", now.date())
-    tb.write_table(audit, root, tb.LOAD_AUDIT, commit_id)
-    return {tb.BARS: days, tb.LOAD_STATE: None, tb.LOAD_AUDIT: None}
+    tb.write_table(incremental.advance_marks(state, batch, stamp), root, tb.LOAD_STATE, commit_id)
+    today = now.date()
+    audit = incremental.audit_rows(batch, f"commit-{commit_id}", today)
+    earlier = tb.read_table(spark, held, tb.LOAD_AUDIT, [today])
+    tb.write_table(earlier.unionByName(audit), root, tb.LOAD_AUDIT, commit_id)
+    return {tb.BARS: days, tb.LOAD_STATE: None, tb.LOAD_AUDIT: [today]}
 
 
 def load_incremental(
@@ -99,18 +92,18 @@ def load_incremental(
     """
     use_utc(spark)
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    commit_id = tb.last_commit(spark, root) + 1
+    held = tb.open_snapshot(spark, root)
+    commit_id = held.commit_id + 1
     staged = _stage(spark, root, payloads, commit_id)
     rejected = _rejects(staged, strict)
     rows = staging.accepted(staged).drop("zone")
-    fresh = incremental.filter_new(rows, tb.read_table(spark, root, tb.LOAD_STATE))
-    batch = _batch(spark, root, fresh, commit_id)
-    days = tb.distinct_days(batch)
+    fresh = incremental.filter_new(rows, tb.read_table(spark, held, tb.LOAD_STATE))
+    batch, per_day = _batch(spark, root, fresh, commit_id)
+    days = sorted(per_day)
     if not days:
         return LoadResult(None, 0, [], rejected)
-    changed = _apply(spark, root, commit_id, batch, days, now)
-    tb.commit(spark, root, commit_id, changed)
-    return LoadResult(commit_id, batch.count(), days, rejected)
+    tb.commit(spark, root, commit_id, _apply(spark, held, commit_id, batch, days, now))
+    return LoadResult(commit_id, sum(per_day.values()), days, rejected)
 
 
 def backfill(
@@ -131,55 +124,48 @@ def backfill(
     use_utc(spark)
     check_range(start, end)
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    commit_id = tb.last_commit(spark, root) + 1
+    held = tb.open_snapshot(spark, root)
+    commit_id = held.commit_id + 1
     staged = _stage(spark, root, payloads, commit_id)
     rejected = _rejects(staged, strict)
     rows = staging.accepted(staged)
     if symbols is not None:
-        wanted = [s.strip().upper() for s in symbols]
-        rows = rows.where(F.col("symbol").isin(wanted))
+        rows = rows.where(F.col("symbol").isin([s.strip().upper() for s in symbols]))
 
     calendar = [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
-    facts = tb.read_table(spark, root, tb.BARS, calendar)
-    progress = tb.read_table(spark, root, tb.PROGRESS)
-    done = bf.completed_dates(progress, facts, start, end)
+    recorded = tb.read_table(spark, held, tb.PROGRESS, calendar)
+    done = bf.completed_dates(recorded, tb.read_table(spark, held, tb.BARS, calendar), start, end)
     spine = bf.date_spine(rows.select(*S.LOAD_STATE_KEY).distinct(), start, end)
     pending = bf.pending_dates(spine, done)
     selected = bf.rows_for_dates(rows, pending, F.col("zone")).drop("zone")
-    batch = _batch(spark, root, selected, commit_id)
-    days = tb.distinct_days(batch)
+    batch, per_day = _batch(spark, root, selected, commit_id)
+    days = sorted(per_day)
 
-    if not days:
-        # Nothing to load, but days found in the fact table are recorded as done.
-        newly_done = done.join(progress, list(S.PROGRESS_KEY), "left_anti")
-        if newly_done.isEmpty():
-            return LoadResult(None, 0, [], rejected)
-        tb.write_table(newly_done, root, tb.PROGRESS, commit_id)
-        tb.commit(spark, root, commit_id, {tb.PROGRESS: None})
-        return LoadResult(commit_id, 0, [], rejected)
-
-    changed = _apply(spark, root, commit_id, batch, days, now)
-    finished = bf.finished_dates(pending, batch)
-    newly_done = done.unionByName(finished).join(progress, list(S.PROGRESS_KEY), "left_anti").distinct()
-    tb.write_table(newly_done, root, tb.PROGRESS, commit_id)
-    tb.commit(spark, root, commit_id, {**changed, tb.PROGRESS: None})
-    return LoadResult(commit_id, batch.count(), days, rejected)
+    changed = _apply(spark, held, commit_id, batch, days, now) if days else {}
+    progress = done.unionByName(bf.finished_dates(pending, batch)).distinct()
+    tb.write_table(progress, root, tb.PROGRESS, commit_id)
+    finished_days = tb.count_days(tb.written(spark, root, tb.PROGRESS, commit_id), tb.PROGRESS)
+    if not days and sum(finished_days.values()) == recorded.count():
+        return LoadResult(None, 0, [], rejected)  # nothing loaded, nothing newly known to be done
+    tb.commit(spark, root, commit_id, {**changed, tb.PROGRESS: sorted(finished_days)})
+    return LoadResult(commit_id, sum(per_day.values()), days, rejected)
 
 
 def seed_bars(spark: SparkSession, root: str, rows: DataFrame) -> LoadResult:
     """Add bars whose key is not there yet; known keys are left alone."""
     use_utc(spark)
-    commit_id = tb.last_commit(spark, root) + 1
+    held = tb.open_snapshot(spark, root)
+    commit_id = held.commit_id + 1
     rows = staging.with_source(rows, S.DEFAULT_SOURCE)
     rows = last_per_key(rows, S.BAR_KEY, [c for c in rows.columns if c not in S.BAR_KEY])
-    days = tb.distinct_days(rows.withColumn(tb.DAY, F.to_date("ts")))
-    if not days:
-        return LoadResult(None, 0)
-    stored = tb.read_table(spark, root, tb.BARS, days)
-    new = rows.join(stored.select(*S.BAR_KEY), list(S.BAR_KEY), "left_anti")
-    n = new.count()
-    if n == 0:
+    days = sorted(tb.count_days(rows, tb.BARS))
+    stored = tb.read_table(spark, held, tb.BARS, days)
+    per_day = tb.count_days(absent(stored, rows, S.BAR_KEY), tb.BARS)
+    if not per_day:
         return LoadResult(None, 0)
-    tb.write_table(stored.unionByName(new), root, tb.BARS, commit_id)
+    days = sorted(per_day)
+    stored = tb.read_table(spark, held, tb.BARS, days)
+    new = rows.where(F.to_date("ts").isin(days))
+    tb.write_table(insert_if_absent(stored, new, S.BAR_KEY), root, tb.BARS, commit_id)
     tb.commit(spark, root, commit_id, {tb.BARS: days})
-    return LoadResult(commit_id, n, days)
+    return LoadResult(commit_id, sum(per_day.values()), days)

@@ -27,30 +27,32 @@ def refresh_marts(spark: SparkSession, root: str, full: bool = False, now: dt.da
     """
     use_utc(spark)
     stamp = F.lit(now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
-    since = 0 if full else tb.last_commit(spark, root, tb.LATEST_PRICE)
-    days = tb.changed_days(spark, root, tb.BARS, since)
+    held = tb.open_snapshot(spark, root)
+    days = held.days(tb.BARS, changed_after=0 if full else held.last_change(tb.LATEST_PRICE))
     if not days:
         return []
-    commit_id = tb.last_commit(spark, root) + 1
-    bars = tb.read_table(spark, root, tb.BARS, days)
+    commit_id = held.commit_id + 1
+    bars = tb.read_table(spark, held, tb.BARS, days)
 
     fresh = marts.fit_symbol(marts.daily_summary(bars))
-    stored = tb.read_table(spark, root, tb.DAILY_SUMMARY, days)
+    stored = tb.read_table(spark, held, tb.DAILY_SUMMARY, days)
     tb.write_table(marts.merge_summary(stored, fresh, stamp), root, tb.DAILY_SUMMARY, commit_id)
 
-    latest = marts.advance_latest(tb.read_table(spark, root, tb.LATEST_PRICE), marts.latest_price(bars), stamp)
+    latest = marts.advance_latest(tb.read_table(spark, held, tb.LATEST_PRICE), marts.latest_price(bars), stamp)
     tb.write_table(latest, root, tb.LATEST_PRICE, commit_id)
 
-    # Ranks read the merged summary as it was just written, before it is committed.
-    merged = spark.read.schema(tb.DAILY_SUMMARY.schema).parquet(f"{root}/{tb.DAILY_SUMMARY.name}/commit_id={commit_id}")
-    ranks = marts.merge_ranks(tb.read_table(spark, root, tb.VOLUME_RANK, days), marts.volume_rank(merged))
+    # Ranks need the merged summary, which has just been written.
+    merged = tb.written(spark, root, tb.DAILY_SUMMARY, commit_id)
+    ranks = marts.merge_ranks(tb.read_table(spark, held, tb.VOLUME_RANK, days), marts.volume_rank(merged))
     tb.write_table(ranks, root, tb.VOLUME_RANK, commit_id)
 
     tb.commit(spark, root, commit_id, {tb.DAILY_SUMMARY: days, tb.LATEST_PRICE: None, tb.VOLUME_RANK: days})
     return days
 
 
-def check_bars(spark: SparkSession, root: str, as_of: dt.date | None = None, full: bool = False) -> DataFrame:
+def check_bars(
+    spark: SparkSession, held: tb.Snapshot, as_of: dt.date | None = None, full: bool = False
+) -> DataFrame:
     """The gate's report on the bar table.
 
     Days that have not changed since a gate last passed hold no failing rows and share no
@@ -58,19 +60,17 @@ def check_bars(spark: SparkSession, root: str, as_of: dt.date | None = None, ful
     ``full`` reads them all.
     """
     use_utc(spark)
-    passed_at = 0 if full else tb.last_commit(spark, root, tb.GATE_PASSES)
-    days = set(tb.changed_days(spark, root, tb.BARS, passed_at))
-    newest = tb.last_day(spark, root, tb.BARS)
-    if newest is not None:
-        days.add(newest)
-    return quality.bar_gate(tb.read_table(spark, root, tb.BARS, sorted(days)), as_of=as_of)
+    changed = held.days(tb.BARS, changed_after=0 if full else held.last_change(tb.GATE_PASSES))
+    days = sorted({*changed, *held.days(tb.BARS)[-1:]})
+    return quality.bar_gate(tb.read_table(spark, held, tb.BARS, days), as_of=as_of)
 
 
 def pass_gate(spark: SparkSession, root: str, as_of: dt.date | None = None, full: bool = False) -> int:
     """Raise if the bars fail the gate; otherwise record the pass and return the number of checks."""
-    report = check_bars(spark, root, as_of, full).collect()
+    held = tb.open_snapshot(spark, root)
+    report = check_bars(spark, held, as_of, full).collect()
     passed = quality.require_passed(report)
-    commit_id = tb.last_commit(spark, root) + 1
+    commit_id = held.commit_id + 1
     tb.write_table(spark.createDataFrame(report, tb.GATE_PASSES.schema), root, tb.GATE_PASSES, commit_id)
     tb.commit(spark, root, commit_id, {tb.GATE_PASSES: None})
     return passed
@@ -115,7 +115,15 @@ def run_gated(
             break
     else:
         run.status = "success"
-    commit_id = tb.last_commit(spark, root) + 1
-    tb.write_table(spark.createDataFrame(run.steps, tb.STEP_RUNS.schema), root, tb.STEP_RUNS, commit_id)
-    tb.commit(spark, root, commit_id, {tb.STEP_RUNS: None})
+    record_steps(spark, root, run)
     return run
+
+
+def record_steps(spark: SparkSession, root: str, run: GatedRun) -> None:
+    held = tb.open_snapshot(spark, root)
+    commit_id = held.commit_id + 1
+    steps = spark.createDataFrame(run.steps, tb.STEP_RUNS.schema)
+    days = sorted(tb.count_days(steps, tb.STEP_RUNS))
+    earlier = tb.read_table(spark, held, tb.STEP_RUNS, days)
+    tb.write_table(earlier.unionByName(steps), root, tb.STEP_RUNS, commit_id)
+    tb.commit(spark, root, commit_id, {tb.STEP_RUNS: days})

@@ -1,12 +1,12 @@
 """The lakehouse tables as plain Parquet folders.
 
-A load writes the days it changed to a new ``commit_id=<n>`` folder of each table and
+A job writes the days it changed to a new ``commit_id=<n>`` folder of each table and
 then adds one small file to ``_commits`` that names them. That file is the commit:
 readers only look at folders it names, so facts, load state and audit rows appear
 together or not at all, and a run that dies leaves the tables as they were. Days that
-a load does not touch are neither read nor rewritten. One writer at a time.
+a job does not touch are neither read nor rewritten. One writer at a time.
 
-The driver only ever holds the list of days, which grows with the calendar.
+The driver only ever holds one number per table and day, which grows with the calendar.
 """
 
 from __future__ import annotations
@@ -35,121 +35,119 @@ COMMITS = T.StructType(
 
 @dataclass(frozen=True)
 class Table:
-    """``by_day`` tables are replaced day by day; the others as a whole, or appended to."""
+    """A table, replaced day by day where ``day`` names the column its days come from, else as a whole."""
 
     name: str
-    schema: T.StructType
-    by_day: bool = False
-    append: bool = False
-    order: tuple[str, ...] = field(default=())
+    schema: T.StructType = field(compare=False)
+    day: str | None = None
+    order: tuple[str, ...] = ()
 
 
-BARS = Table("market_bars", S.BARS, by_day=True, order=("symbol", "ts"))
+BARS = Table("market_bars", S.BARS, day="ts", order=("symbol", "ts"))
 LOAD_STATE = Table("pipeline_metadata", S.LOAD_STATE)
-LOAD_AUDIT = Table("load_metadata", S.LOAD_AUDIT, append=True)
-PROGRESS = Table("backfill_progress", S.PROGRESS, append=True)
-DAILY_SUMMARY = Table("mart_daily_symbol_summary", S.DAILY_SUMMARY, by_day=True, order=("symbol",))
+LOAD_AUDIT = Table("load_metadata", S.LOAD_AUDIT, day="load_date")
+PROGRESS = Table("backfill_progress", S.PROGRESS, day=DAY, order=("symbol",))
+DAILY_SUMMARY = Table("mart_daily_symbol_summary", S.DAILY_SUMMARY, day=DAY, order=("symbol",))
 LATEST_PRICE = Table("mart_symbol_latest_price", S.LATEST_PRICE)
-VOLUME_RANK = Table("mart_symbol_volume_rank", S.VOLUME_RANK, by_day=True, order=("symbol",))
-GATE_PASSES = Table("quality_gate_passes", S.CHECKS, append=True)
-STEP_RUNS = Table("step_runs", S.STEP_RUNS, append=True)
+VOLUME_RANK = Table("mart_symbol_volume_rank", S.VOLUME_RANK, day=DAY, order=("symbol",))
+GATE_PASSES = Table("quality_gate_passes", S.CHECKS)
+STEP_RUNS = Table("step_runs", S.STEP_RUNS, day="started_at")
 
 
-def read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
-def commits(spark: SparkSession, root: str) -> DataFrame:
-    return read_if_exists(spark, f"{root}/_commits", COMMITS)
-
+@dataclass(frozen=True)
+class Snapshot:
+    """The tables after one commit. ``live``: table -> day (None for whole tables) -> commit that holds it."""
 
-def last_commit(spark: SparkSession, root: str, table: Table | None = None) -> int:
-    log = commits(spark, root)
-    if table is not None:
-        log = log.where(F.col("table_name") == table.name)
-    return log.agg(F.max("commit_id")).first()[0] or 0
+    root: str
+    commit_id: int
+    live: dict[str, dict[dt.date | None, int]]
 
+    def last_change(self, table: Table) -> int:
+        return max(self.live.get(table.name, {}).values(), default=0)
 
-def last_day(spark: SparkSession, root: str, table: Table) -> dt.date | None:
-    log = commits(spark, root).where(F.col("table_name") == table.name)
-    return log.agg(F.max(DAY)).first()[0]
+    def days(self, table: Table, changed_after: int = 0) -> list[dt.date]:
+        """Days a table holds, or those rewritten by commits later than ``changed_after``."""
+        return sorted(day for day, n in self.live.get(table.name, {}).items() if n > changed_after)
 
 
-def changed_days(spark: SparkSession, root: str, table: Table, after: int) -> list[dt.date]:
-    """Days of a table that commits later than ``after`` have rewritten."""
-    log = commits(spark, root).where((F.col("table_name") == table.name) & (F.col("commit_id") > after))
-    return sorted(row[0] for row in log.select(DAY).distinct().collect())
+def open_snapshot(spark: SparkSession, root: str, as_of: int | None = None) -> Snapshot:
+    """The tables as they are now, or as they were after commit ``as_of``."""
+    try:
+        log = spark.read.schema(COMMITS).parquet(f"{root}/_commits")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return Snapshot(root, 0, {})
+    if as_of is not None:
+        log = log.where(F.col("commit_id") <= as_of)
+    live: dict[str, dict[dt.date | None, int]] = {}
+    for name, day, n in log.groupBy("table_name", DAY).agg(F.max("commit_id")).collect():
+        live.setdefault(name, {})[day] = n
+    newest = max((n for days in live.values() for n in days.values()), default=0)
+    return Snapshot(root, newest, live)
 
 
 def read_table(
-    spark: SparkSession,
-    root: str,
-    table: Table,
-    days: Iterable[dt.date] | None = None,
-    as_of: int | None = None,
+    spark: SparkSession, snapshot: Snapshot, table: Table, days: Iterable[dt.date] | None = None
 ) -> DataFrame:
-    """Committed content of a table; of the given days only, where ``days`` is given.
-
-    ``as_of`` reads the table as it was after an earlier commit. By-day tables come with
-    their ``trading_date`` folder column when it is part of the layout.
-    """
-    log = commits(spark, root).where(F.col("table_name") == table.name)
-    if as_of is not None:
-        log = log.where(F.col("commit_id") <= as_of)
-    base = f"{root}/{table.name}"
-    if table.append:
-        live = [row[0] for row in log.select("commit_id").distinct().collect()]
-        paths = [f"{base}/commit_id={n}" for n in live]
-    elif table.by_day:
-        if days is not None:
-            log = log.where(F.col(DAY).isin(list(days)))
-        live = log.groupBy(DAY).agg(F.max("commit_id").alias("n")).collect()
-        paths = [f"{base}/commit_id={row['n']}/{DAY}={row[DAY].isoformat()}" for row in live]
-    else:
-        newest = log.agg(F.max("commit_id")).first()[0]
-        paths = [] if newest is None else [f"{base}/commit_id={newest}"]
-    names = table.schema.fieldNames()
-    if not paths:
+    """Content of a table in a snapshot; of the given days only, where ``days`` is given."""
+    base = f"{snapshot.root}/{table.name}"
+    live = snapshot.live.get(table.name, {})
+    if days is not None:
+        live = {day: live[day] for day in days if day in live}
+    if not live:
         return spark.createDataFrame([], table.schema)
+    paths = [
+        f"{base}/commit_id={n}" + ("" if day is None else f"/{DAY}={day.isoformat()}") for day, n in live.items()
+    ]
+    names = table.schema.fieldNames()
     stored = table.schema
-    if table.by_day and DAY not in names:
-        stored = T.StructType([*table.schema.fields, T.StructField(DAY, T.DateType())])
-    reader = spark.read.schema(stored).option("basePath", base)
-    return reader.parquet(*sorted(paths)).select(*names)
+    if table.day is not None and DAY not in names:
+        stored = T.StructType([*stored.fields, T.StructField(DAY, T.DateType())])
+    return spark.read.schema(stored).option("basePath", base).parquet(*sorted(paths)).select(*names)
+
+
+def read_current(
+    spark: SparkSession, root: str, table: Table, days: Iterable[dt.date] | None = None
+) -> DataFrame:
+    return read_table(spark, open_snapshot(spark, root), table, days)
+
+
+def with_day(df: DataFrame, table: Table) -> DataFrame:
+    return df if table.day == DAY else df.withColumn(DAY, F.to_date(table.day))
 
 
-def distinct_days(df: DataFrame) -> list[dt.date]:
-    return sorted(row[0] for row in df.select(DAY).distinct().collect())
+def count_days(df: DataFrame, table: Table) -> dict[dt.date, int]:
+    """Rows per day: as many entries as days."""
+    return {row[0]: row[1] for row in with_day(df, table).groupBy(DAY).count().collect()}
 
 
 def write_table(df: DataFrame, root: str, table: Table, commit_id: int) -> None:
     """Write rows to the folder of a commit; nobody sees them before ``commit``.
 
-    By-day rows are gathered by day with a rebalance, which splits a day that is too big
-    for one task and joins small ones, and are sorted so that a symbol filter can skip
-    row groups.
+    Rows are gathered by day with a rebalance, which splits a day that is too big for one
+    task and joins small ones, and are sorted so that a symbol filter can skip row groups.
     """
     path = f"{root}/{table.name}/commit_id={commit_id}"
-    if table.by_day:
-        if DAY not in df.columns:
-            df = df.withColumn(DAY, F.to_date("ts"))
-        ordered = df.hint("rebalance", DAY).sortWithinPartitions(DAY, *table.order)
-        ordered.write.mode("overwrite").partitionBy(DAY).parquet(path)
-    else:
+    if table.day is None:
         df.write.mode("overwrite").parquet(path)
+        return
+    ordered = with_day(df, table).hint("rebalance", DAY).sortWithinPartitions(DAY, *table.order)
+    ordered.write.mode("overwrite").partitionBy(DAY).parquet(path)
+
+
+def written(spark: SparkSession, root: str, table: Table, commit_id: int) -> DataFrame:
+    """What a running job has written to a table and not committed yet."""
+    names = table.schema.fieldNames()
+    return spark.read.schema(table.schema).parquet(f"{root}/{table.name}/commit_id={commit_id}").select(*names)
 
 
-def commit(spark: SparkSession, root: str, commit_id: int, changed: dict[Table, list[dt.date] | None]) -> None:
+def commit(spark: SparkSession, root: str, commit_id: int, changed: dict[Table, Iterable[dt.date] | None]) -> None:
     """Publish the written folders of ``commit_id``: one file, added in one step."""
     now = dt.datetime.now(dt.timezone.utc)
     entries = [
         (commit_id, table.name, day, now)
         for table, days in changed.items()
-        for day in (days if days is not None else [None])
+        for day in ([None] if days is None else days)
     ]
     spark.createDataFrame(entries, COMMITS).coalesce(1).write.mode("append").parquet(f"{root}/_commits")

@@ -29,7 +29,11 @@ def root(tmp_path):
 
 
 def read(spark, root, table):
-    return tb.read_table(spark, root, table)
+    return tb.read_current(spark, root, table)
+
+
+def last_commit(spark, root):
+    return tb.open_snapshot(spark, root).commit_id
 
 
 def marks(spark, root):
@@ -62,7 +66,7 @@ def test_second_run_of_the_same_payload_changes_nothing(spark, root):
     assert first.row_count == 2 and again.commit_id is None and again.row_count == 0
     assert read(spark, root, tb.BARS).count() == 2
     assert read(spark, root, tb.LOAD_AUDIT).count() == 1
-    assert tb.last_commit(spark, root) == first.commit_id
+    assert last_commit(spark, root) == first.commit_id
 
 
 def test_batches_in_time_order_equal_one_batch(spark, tmp_path):
@@ -138,7 +142,7 @@ def test_gate_blocks_the_marts_and_a_fix_opens_it(spark, root):
 
     fixed = texts(spark, payload("A", {"2026-04-07": (1, 1, 1, 1, 5)}))
     stored = read(spark, root, tb.BARS)
-    n = tb.last_commit(spark, root) + 1
+    n = last_commit(spark, root) + 1
     good = stored.where("close >= 0").unionByName(
         spark.createDataFrame([bar("2026-04-07", "A", 1, 1, 1, 1, 5)], stored.schema)
     )
@@ -149,7 +153,7 @@ def test_gate_blocks_the_marts_and_a_fix_opens_it(spark, root):
 
 
 def test_gate_on_an_empty_table_fails_on_freshness_only(spark, root):
-    report = publish.check_bars(spark, root, AS_OF).collect()
+    report = publish.check_bars(spark, tb.open_snapshot(spark, root), AS_OF).collect()
     assert {r["check_name"] for r in report if not r["passed"]} == {"freshness"}
 
 
@@ -158,8 +162,8 @@ def test_gate_reads_only_changed_days_but_judges_the_newest(spark, root):
     assert publish.pass_gate(spark, root, AS_OF) == 6
     with pytest.raises(Exception, match="freshness on market_bars"):
         publish.pass_gate(spark, root, dt.date(2026, 6, 1))
-    full = publish.check_bars(spark, root, AS_OF, full=True)
-    assert sorted(map(tuple, full.collect())) == sorted(map(tuple, publish.check_bars(spark, root, AS_OF).collect()))
+    full = publish.check_bars(spark, tb.open_snapshot(spark, root), AS_OF, full=True)
+    assert sorted(map(tuple, full.collect())) == sorted(map(tuple, publish.check_bars(spark, tb.open_snapshot(spark, root), AS_OF).collect()))
 
 
 def test_incremental_refresh_equals_a_full_one(spark, root, tmp_path):
@@ -185,7 +189,7 @@ def test_incremental_refresh_equals_a_full_one(spark, root, tmp_path):
 def test_uncommitted_writes_stay_invisible(spark, root):
     jobs.load_incremental(spark, root, texts(spark, E2E))
     before = sorted(map(tuple, read(spark, root, tb.BARS).collect()))
-    n = tb.last_commit(spark, root) + 1
+    n = last_commit(spark, root) + 1
     junk = spark.createDataFrame([bar("2026-04-06", "JUNK", 1, 1, 1, 1, 1)], tb.BARS.schema)
     tb.write_table(junk, root, tb.BARS, n)  # and then the job dies
     assert sorted(map(tuple, read(spark, root, tb.BARS).collect())) == before
@@ -199,8 +203,8 @@ def test_uncommitted_writes_stay_invisible(spark, root):
 def test_earlier_commits_stay_readable(spark, root):
     a = jobs.load_incremental(spark, root, texts(spark, E2E))
     jobs.load_incremental(spark, root, texts(spark, payload("E2E_SMOKE", {"2026-04-08": (1, 1, 1, 1, 1)})))
-    assert tb.read_table(spark, root, tb.BARS, as_of=a.commit_id).count() == 2
-    assert tb.read_table(spark, root, tb.BARS, [dt.date(2026, 4, 8)]).count() == 1
+    assert tb.read_table(spark, tb.open_snapshot(spark, root, as_of=a.commit_id), tb.BARS).count() == 2
+    assert tb.read_current(spark, root, tb.BARS, [dt.date(2026, 4, 8)]).count() == 1
 
 
 def test_failed_write_moves_no_mark(spark, root, monkeypatch):
