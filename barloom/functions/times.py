@@ -8,12 +8,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def is_zone(zone: Column) -> Column:
+    """Whether text names a time zone."""
+    return F.try_to_timestamp(F.concat(F.lit("2000-01-01 "), zone), F.lit("yyyy-MM-dd VV")).isNotNull()
+
+
 def midnight_in_zone(day: Column, zone: Column) -> Column:
-    """Instant at which ``day`` (year-month-day text) begins in ``zone``; NULL if either is unreadable.
+    """Instant at which ``day`` begins in a known ``zone``; NULL if the day is unreadable.
 
-    Month and day may come without a leading zero.
+    The day is year-month-day text, where month and day may lack a leading zero.
     """
-    return F.try_to_timestamp(F.concat_ws(" ", F.trim(day), zone), F.lit("yyyy-M-d VV"))
+    date = F.when(day.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), day.try_cast("date"))
+    return F.to_utc_timestamp(date.cast("timestamp"), zone)
 
 
 def utc_date(ts: Column | str) -> Column:

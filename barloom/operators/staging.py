@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom import schemas as S
-from barloom.functions.times import midnight_in_zone
+from barloom.functions.times import is_zone, midnight_in_zone
 from barloom.functions.values import clean_symbol, missing_names, to_price, to_volume
 
 REASON = "reject_reason"
@@ -25,55 +25,49 @@ def parse_payloads(payloads: DataFrame, text: str = "value", normalize: bool = T
     ``normalize=False`` is the older form: the symbol stays as delivered and may be NULL.
     """
     carried = [c for c in payloads.columns if c != text]
-    doc = F.from_json(F.col(text), S.PAYLOAD)
-    opened = (
-        payloads.withColumn("_doc", doc)
-        .withColumn("_meta", F.col("_doc").getItem(S.META_FIELD))
-        .select(
-            *carried,
-            (F.col("_doc").isNull() | (F.col("_meta").isNull() & F.col("_doc").getItem(S.SERIES_FIELD).isNull()))
-            .alias("_unreadable"),
-            F.col("_meta").getItem(S.META_SYMBOL).alias("_raw_symbol"),
-            F.coalesce(F.col("_meta").getItem(S.META_ZONE), F.lit(S.DEFAULT_ZONE)).alias("zone"),
-            F.explode_outer(F.col("_doc").getItem(S.SERIES_FIELD)).alias("_day", "_fields"),
-        )
+    meta, series = F.col("_doc").getItem(S.META_FIELD), F.col("_doc").getItem(S.SERIES_FIELD)
+    raw_symbol = meta.getItem(S.META_SYMBOL)
+    zone = F.coalesce(meta.getItem(S.META_ZONE), F.lit(S.DEFAULT_ZONE))
+    symbol = clean_symbol(raw_symbol) if normalize else raw_symbol
+    fault = F.when(meta.isNull() & series.isNull(), "unreadable payload")
+    if normalize:
+        fault = fault.when(symbol.isNull(), "missing symbol")
+
+    # Once per payload, before its entries are spread out.
+    documents = payloads.withColumn("_doc", F.from_json(F.col(text), S.PAYLOAD)).select(
+        *carried, symbol.alias("symbol"), zone.alias("zone"), fault.alias("_fault"), series.alias("_series")
+    )
+    entries = (
+        documents.withColumn("_zone_ok", is_zone(F.col("zone")))
+        .select(*carried, "symbol", "zone", "_fault", "_zone_ok", F.explode_outer("_series").alias("raw_date", "_fields"))
+        .where(F.col("raw_date").isNotNull() | F.col("_fault").isNotNull())
     )
 
-    symbol = clean_symbol(F.col("_raw_symbol")) if normalize else F.col("_raw_symbol")
     fields = F.col("_fields")
-    typed = opened.select(
+    typed = entries.select(
         *carried,
-        "zone",
-        "_unreadable",
-        "_day",
-        midnight_in_zone(F.col("_day"), F.col("zone")).alias("ts"),
-        symbol.alias("symbol"),
+        F.when(F.col("_zone_ok"), midnight_in_zone(F.col("raw_date"), F.col("zone"))).alias("ts"),
+        "symbol",
         to_price(fields.getItem(S.SERIES_OPEN)).alias("open"),
         to_price(fields.getItem(S.SERIES_HIGH)).alias("high"),
         to_price(fields.getItem(S.SERIES_LOW)).alias("low"),
         to_price(fields.getItem(S.SERIES_CLOSE)).alias("close"),
         to_volume(fields.getItem(S.SERIES_VOLUME)).alias("volume"),
         F.lit(S.DEFAULT_SOURCE if normalize else None).cast("string").alias("source"),
+        "zone",
+        "raw_date",
+        "_fault",
     )
-
     bad_price = F.lit(False)
     for name in S.PRICE_COLUMNS:
         bad_price = bad_price | F.col(name).isNull()
-    no_symbol = F.col("symbol").isNull() if normalize else F.lit(False)
     reason = (
-        F.when(F.col("_unreadable"), "unreadable payload")
-        .when(no_symbol, "missing symbol")
-        .when(F.col("_day").isNull(), "no rows")
+        F.when(F.col("_fault").isNotNull(), F.col("_fault"))
         .when(F.col("ts").isNull(), "bad date or zone")
         .when(bad_price, "bad price")
         .when(F.col("volume").isNull(), "bad volume")
     )
-    return (
-        typed.withColumn(REASON, reason)
-        .where(F.col(REASON).isNull() | (F.col(REASON) != "no rows"))
-        .withColumn("raw_date", F.col("_day"))
-        .drop("_unreadable", "_day")
-    )
+    return typed.withColumn(REASON, reason).drop("_fault")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

@@ -118,8 +118,10 @@ def _payloads(bars: DataFrame) -> DataFrame:
     months = days.groupBy("symbol", "source", F.trunc("day", "month").alias("month")).agg(
         F.map_from_entries(F.collect_list(entry)).alias("series")
     )
-    doc = F.struct(meta.alias(S.META_FIELD), F.col("series").alias(S.SERIES_FIELD))
-    return months.select(F.to_json(doc).alias("value"))
+    text = F.concat(
+        F.lit('{"%s": ' % S.META_FIELD), F.to_json(meta), F.lit(', "%s": ' % S.SERIES_FIELD), F.to_json("series"), F.lit("}")
+    )
+    return months.select(text.alias("value"))
 
 
 def _step_runs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,12 +19,11 @@ DEFS = {
                CAST(l_quantity AS BIGINT) AS volume, 'shipments' AS source, l_orderkey, l_linenumber
         FROM lineitem""",
     "shipment_bars": """
-        SELECT ts, symbol,
-               arg_min(price, row(l_orderkey, l_linenumber, price, volume)) AS open,
-               max(price) AS high, min(price) AS low,
-               arg_max(price, row(l_orderkey, l_linenumber, price, volume)) AS close,
-               CAST(sum(volume) AS BIGINT) AS volume, 'shipments' AS source
-        FROM shipment_rows GROUP BY ts, symbol""",
+        SELECT ts, symbol, arg_min(lowest, l_orderkey) AS open, max(highest) AS high, min(lowest) AS low,
+               arg_max(highest, l_orderkey) AS close, CAST(sum(quantity) AS BIGINT) AS volume, 'shipments' AS source
+        FROM (SELECT ts, symbol, l_orderkey, min(price) AS lowest, max(price) AS highest, sum(volume) AS quantity
+              FROM shipment_rows GROUP BY ts, symbol, l_orderkey)
+        GROUP BY ts, symbol""",
     "bars": "SELECT * FROM event_bars UNION ALL SELECT * FROM shipment_bars",
     "existing": """
         SELECT * FROM bars

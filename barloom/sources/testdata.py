@@ -65,17 +65,21 @@ def shipment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shipment_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily bars: one symbol per supplier, priced by its order lines."""
-    rows = shipment_rows(spark, sf_dir)
-    order = F.struct("l_orderkey", "l_linenumber", "close", "volume")
+    """Daily bars, one symbol per supplier: opens at the first order's lowest line price, closes at the last
+    order's highest."""
+    orders = (
+        shipment_rows(spark, sf_dir)
+        .groupBy("ts", "symbol", "l_orderkey")
+        .agg(F.min("close").alias("lowest"), F.max("close").alias("highest"), F.sum("volume").alias("quantity"))
+    )
     return (
-        rows.groupBy("ts", "symbol")
+        orders.groupBy("ts", "symbol")
         .agg(
-            F.min_by("close", order).alias("open"),
-            F.max("close").alias("high"),
-            F.min("close").alias("low"),
-            F.max_by("close", order).alias("close"),
-            F.sum("volume").alias("volume"),
+            F.min_by("lowest", "l_orderkey").alias("open"),
+            F.max("highest").alias("high"),
+            F.min("lowest").alias("low"),
+            F.max_by("highest", "l_orderkey").alias("close"),
+            F.sum("quantity").alias("volume"),
         )
         .withColumn("source", F.lit(SHIPMENT_SOURCE))
     )
