@@ -104,9 +104,10 @@ def dense_rank_highest_first(df: DataFrame, group: str, value: str, out: str) ->
         .withColumn(IS_ROW, F.lit(1))
         .unionByName(seeds, allowMissingColumns=True)
         .withColumn(out, F.sum(CARRY).over(running).cast("int"))
-        .where((F.col(IS_ROW) == 1) & F.col(value).isNotNull())
-        .select(group, value, out)
+        .where(F.col(IS_ROW) == 1)
+        .select(F.col(group).alias("_group"), F.col(value).alias("_value"), out)
     )
-    joined = df.join(ranks, [group, value], "left")
-    rank = F.when(F.col(value).isNull(), F.lit(1)).otherwise(F.col(out))
-    return joined.select(*df.columns, rank.alias(out))
+    # Null-safe on both columns: NULLs are ranked too, and as no NOT NULL filter is
+    # inferred, the join's two sides share the shuffles below them.
+    same = F.col(group).eqNullSafe(F.col("_group")) & F.col(value).eqNullSafe(F.col("_value"))
+    return df.join(ranks, same, "left").select(*df.columns, out)

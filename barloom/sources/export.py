@@ -30,14 +30,11 @@ def snapshot_rows(
     )
 
 
-def export_snapshot(bars: DataFrame, path: str, symbol: str | None = None, single_file: bool = False) -> str:
+def export_snapshot(bars: DataFrame, path: str, symbol: str | None = None) -> str:
     """Write a snapshot folder of CSV files with headers; the folder's stem names the snapshot.
 
-    ``single_file`` is for small extracts: it sends the whole snapshot through one task.
+    File names follow the order of the rows, so the parts read in name order are sorted.
     """
     stem = path.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[0]
-    rows = snapshot_rows(bars, stem, symbol)
-    if single_file:
-        rows = rows.coalesce(1)
-    rows.write.mode("overwrite").option("header", True).csv(path)
+    snapshot_rows(bars, stem, symbol).write.mode("overwrite").option("header", True).csv(path)
     return path
