@@ -119,13 +119,7 @@ def load_state_listing(state: DataFrame) -> DataFrame:
 
 def serve_latest(latest: DataFrame) -> DataFrame:
     """The newest price as exactly one row; all NULL when there is none."""
-    newest = (
-        latest.select("symbol", "latest_ts", "close_price", "volume")
-        .orderBy(F.col("latest_ts").desc_nulls_first(), "symbol")
-        .limit(1)
-        .withColumn("_slot", F.lit(0).cast("bigint"))
-    )
-    slot = latest.sparkSession.range(1).withColumnRenamed("id", "_slot")
-    return slot.join(newest, "_slot", "left").select(
-        "symbol", "latest_ts", "close_price", "volume", F.lit("database").alias("source")
-    )
+    fields = ["symbol", "latest_ts", "close_price", "volume"]
+    newest = latest.select(*fields).orderBy(F.col("latest_ts").desc_nulls_first(), "symbol").limit(1)
+    # An aggregate without groups gives its one row for no input, too.
+    return newest.agg(*[F.first(c).alias(c) for c in fields]).withColumn("source", F.lit("database"))
