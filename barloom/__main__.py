@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
-from barloom.operators import reports
+from barloom.plans import serve
 from barloom.plans.load import backfill, load_incremental
 from barloom.plans.publish import refresh_marts, run_gated
 from barloom.session import build_session
@@ -47,8 +47,7 @@ def main(argv: list[str] | None = None) -> None:
         bars = tables.read_current(spark, args.root, tables.BARS)
         print(export.export_snapshot(bars, args.out, args.symbol))
     elif args.command == "changes":
-        bars = tables.read_current(spark, args.root, tables.BARS)
-        reports.recent_price_changes(bars, args.symbol.upper(), args.limit).show(args.limit, truncate=False)
+        serve.price_changes(spark, args.root, args.symbol, args.limit).show(args.limit, truncate=False)
     else:
         payloads = read_payload_files(spark, args.payloads)
         if args.command == "load":

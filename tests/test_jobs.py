@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom.operators import reports
+from barloom.__main__ import arguments, main
 from barloom.plans import load as jobs
-from barloom.plans import publish
+from barloom.plans import publish, serve
 from barloom.sources import tables as tb
 from barloom.streaming.ingest import start_ingest
 from tests.conftest import bar
@@ -259,3 +260,34 @@ def test_stream_gives_the_same_tables_as_batches(spark, root, tmp_path):
     assert closes == {("A", 6): 1.0, ("B", 6): 2.0, ("A", 7): 3.0}
     drain()
     assert read(spark, root, tb.LOAD_AUDIT).count() == 3
+
+
+def test_stored_reports(spark, root):
+    days = {f"2026-04-{d:02d}": (d, d, d, d, d) for d in range(1, 6)}
+    jobs.load_incremental(spark, root, texts(spark, payload("A", days), payload("B", days, **{"note": "x"})))
+    publish.refresh_marts(spark, root)
+    leaders = serve.volume_leaders(spark, root, 3).collect()
+    assert [(r["trading_date"].day, r["symbol"], r["volume_rank"]) for r in leaders] == [(5, "A", 1), (5, "B", 1), (4, "A", 1)]
+    ranges = serve.daily_close_range(spark, root, 3).collect()
+    assert [(r["trading_date"].day, r["symbol"]) for r in ranges] == [(5, "A"), (5, "B"), (4, "A")]
+    assert serve.latest_price(spark, root).first()["symbol"] == "A"
+    assert [r["symbol"] for r in serve.latest_price_listing(spark, root).collect()] == ["A", "B"]
+    assert [r["record_count"] for r in serve.recent_loads(spark, root).collect()] == [5, 5]
+    assert serve.load_state(spark, root).count() == 2
+    assert [r["row_count"] for r in serve.symbol_coverage(spark, root).collect()] == [5, 5]
+    assert [float(r["change_pct"]) for r in serve.price_changes(spark, root, " b ", 2).collect()] == [25.0, 33.33]
+
+
+def test_command_line(spark, tmp_path, root, capsys):
+    land(tmp_path / "raw", "2026-04-08", "E2E_SMOKE", E2E)
+    raw = str(tmp_path / "raw")
+    main(["load", "--root", root, "--payloads", raw])
+    main(["marts", "--root", root])
+    main(["changes", "--root", root, "--symbol", "e2e_smoke"])
+    main(["export", "--root", root, "--out", str(tmp_path / "snap")])
+    main(["backfill", "--root", root, "--payloads", raw, "--start", "2026-04-06", "--end", "2026-04-07"])
+    out = capsys.readouterr().out
+    assert "row_count=2" in out and "days rebuilt: 2" in out and "90.91" in out and "row_count=0" in out
+    for bad in (["load", "--root", root], ["backfill", "--root", root, "--payloads", raw, "--start", "2026-04-06"]):
+        with pytest.raises(SystemExit):
+            arguments(bad)
