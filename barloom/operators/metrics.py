@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,9 @@ from barloom.functions.outcomes import ServiceLevels, failure_class, failure_rat
 from barloom.functions.times import minutes_between, seconds_between
 
 STEP_FIELDS = ("duration_seconds", "error_message", "finished_at", "row_count", "started_at", "status", "step_name")
+RUN_FIELDS = ("duration_seconds", "finished_at", "pipeline_name", "started_at", "status", "steps")
+SLA_FIELDS = ("data_freshness_minutes", "failure_rate", "passed", "pipeline_latency_seconds", "violations")
+TIMES = ("started_at", "finished_at")
 
 
 def _iso(ts: Column) -> Column:
@@ -20,14 +25,32 @@ def step_metrics(steps: DataFrame) -> DataFrame:
     return steps.withColumn("duration_seconds", seconds_between(F.col("started_at"), F.col("finished_at")))
 
 
+def _sorted_json(fields: tuple[str, ...], get: Callable[[str], Column]) -> Column:
+    """JSON object with the fields in the given, sorted order; NULLs are written out."""
+    values = [(_iso(get(name)) if name in TIMES else get(name)).alias(name) for name in fields]
+    return F.to_json(F.struct(*values), {"ignoreNullFields": "false"})
+
+
 def step_json(steps: DataFrame) -> DataFrame:
-    """Each step run as a JSON object with its fields in sorted order, NULLs written out."""
-    timed = step_metrics(steps)
-    fields = [
-        _iso(F.col(name)).alias(name) if name in ("started_at", "finished_at") else F.col(name)
-        for name in STEP_FIELDS
-    ]
-    return timed.withColumn("json", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}))
+    """Step runs with a ``json`` object of each."""
+    return step_metrics(steps).withColumn("json", _sorted_json(STEP_FIELDS, F.col))
+
+
+def run_json(runs: DataFrame) -> DataFrame:
+    """Rows of ``run_metrics`` with a ``json`` object of each run and its steps."""
+
+    def step(s: Column) -> Column:
+        lasted = seconds_between(s.getField("started_at"), s.getField("finished_at"))
+        values = {name: lasted if name == "duration_seconds" else s.getField(name) for name in STEP_FIELDS}
+        return F.struct(*[(_iso(v) if name in TIMES else v).alias(name) for name, v in values.items()])
+
+    listed = F.transform("steps", step)
+    return runs.withColumn("json", _sorted_json(RUN_FIELDS, lambda name: listed if name == "steps" else F.col(name)))
+
+
+def sla_json(report: DataFrame) -> DataFrame:
+    """Rows of ``sla_report`` with a ``json`` object of each."""
+    return report.withColumn("json", _sorted_json(SLA_FIELDS, F.col))
 
 
 def run_metrics(steps: DataFrame, name: str) -> DataFrame:

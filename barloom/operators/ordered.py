@@ -1,38 +1,71 @@
 """Window results over groups of any size.
 
-A plain window sorts a whole group in one task; a symbol or a date with a large part of
-all rows would stall the job there. These functions cut each group into ordered
-pieces, sum up the pieces (a small aggregate, reduced before its shuffle), and give each
-piece what it needs from its neighbours as one extra *seed row*. The rows themselves are
-shuffled once, by (group, piece). Seeds travel by union, not by join, so NULL keys stay.
+A plain window sorts a whole group in one task; a symbol or a day that holds a large
+part of all rows would stall the job there. Groups are therefore counted first (one
+column, reduced before its shuffle), and those too large for a task are cut into
+ordered pieces. The pieces are summed up in a small aggregate, and each gets what it
+needs from its neighbours as one extra *seed row*. Other groups stay whole and need no
+seeds; without large groups all that is added to the plain window is the count.
+
+Seeds travel by union, and large groups are looked up null-safe, so NULL keys stay.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+ROWS_PER_TASK = 2_000_000
+MOST_LARGE_GROUPS = 50_000
+
 PIECE = "_piece"
 IS_ROW = "_is_row"
 CARRY = "_carry"
+IS_LARGE = "_is_large"
+LARGE = "_large_group"
+
+
+def large_groups(df: DataFrame, group: str, rows_per_task: int) -> DataFrame:
+    """The groups with more rows than one task should take; at most 50,000, so fit to broadcast.
+
+    A group that is not among the 50,000 largest holds less than 1/50,000 of all rows; it
+    stays whole, which is as exact. Sizes are exact and ties are broken by the group, so
+    every evaluation names the same groups.
+    """
+    sizes = df.groupBy(F.col(group).alias(LARGE)).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_task)
+    largest = sizes.orderBy(F.col("_n").desc(), LARGE).limit(MOST_LARGE_GROUPS)
+    return F.broadcast(largest.select(LARGE, F.lit(True).alias(IS_LARGE)))
+
+
+def _cut(df: DataFrame, group: str, piece: Column, rows_per_task: int) -> DataFrame:
+    """Rows with the piece of their group; NULL in groups that stay whole."""
+    large = large_groups(df, group, rows_per_task)
+    marked = df.join(large, F.col(group).eqNullSafe(F.col(LARGE)), "left")
+    return marked.select(*df.columns, IS_LARGE, F.when(F.col(IS_LARGE), piece).alias(PIECE))
 
 
 def row_numbers_latest_first(
-    df: DataFrame, group: str, ts: str, out: str = "row_num", piece: str = "day"
+    df: DataFrame,
+    group: str,
+    ts: str,
+    out: str = "row_num",
+    piece: str = "day",
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Number the rows of each group from the latest back; NULL times come first."""
-    cut = df.withColumn(PIECE, F.date_trunc(piece, ts))
+    cut = _cut(df, group, F.date_trunc(piece, ts), rows_per_task)
     later = (
         Window.partitionBy(group)
         .orderBy(F.col(PIECE).desc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     seeds = (
-        cut.groupBy(group, PIECE)
+        cut.where(IS_LARGE)
+        .groupBy(group, PIECE)
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(group, PIECE, F.coalesce(F.sum("_n").over(later), F.lit(0)).alias(CARRY), F.lit(0).alias(IS_ROW))
     )
-    rows = cut.withColumn(CARRY, F.lit(1).cast("bigint")).withColumn(IS_ROW, F.lit(1))
+    rows = cut.drop(IS_LARGE).withColumn(CARRY, F.lit(1).cast("bigint")).withColumn(IS_ROW, F.lit(1))
     running = (
         Window.partitionBy(group, PIECE)
         .orderBy(IS_ROW, F.col(ts).desc_nulls_first())
@@ -42,32 +75,40 @@ def row_numbers_latest_first(
         rows.unionByName(seeds, allowMissingColumns=True)
         .withColumn(out, F.sum(CARRY).over(running))
         .where(F.col(IS_ROW) == 1)
-        .drop(PIECE, CARRY, IS_ROW)
+        .select(*df.columns, out)
     )
 
 
 def previous_value(
-    df: DataFrame, group: str, ts: str, value: str, out: str, piece: str = "day"
+    df: DataFrame,
+    group: str,
+    ts: str,
+    value: str,
+    out: str,
+    piece: str = "day",
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """The value of the row before, in time order within the group."""
-    cut = df.withColumn(PIECE, F.date_trunc(piece, ts))
+    cut = _cut(df, group, F.date_trunc(piece, ts), rows_per_task)
     by_time = Window.partitionBy(group).orderBy(F.col(PIECE).asc_nulls_last())
     seeds = (
-        cut.groupBy(group, PIECE)
+        cut.where(IS_LARGE)
+        .groupBy(group, PIECE)
         .agg(F.max_by(value, ts).alias("_last"))
         .select(group, PIECE, F.lag("_last").over(by_time).alias(value), F.lit(0).alias(IS_ROW))
     )
-    within = Window.partitionBy(group, PIECE).orderBy(IS_ROW, F.col(ts).asc_nulls_last())
+    before = Window.partitionBy(group, PIECE).orderBy(IS_ROW, F.col(ts).asc_nulls_last())
     return (
-        cut.withColumn(IS_ROW, F.lit(1))
+        cut.drop(IS_LARGE)
+        .withColumn(IS_ROW, F.lit(1))
         .unionByName(seeds, allowMissingColumns=True)
-        .withColumn(out, F.lag(value).over(within))
+        .withColumn(out, F.lag(value).over(before))
         .where(F.col(IS_ROW) == 1)
-        .drop(PIECE, IS_ROW)
+        .select(*df.columns, out)
     )
 
 
-def _band(value: str):
+def _band(value: str) -> Column:
     """``value`` rounded down to its eleven leading binary digits.
 
     Order-preserving, and a function of the value alone, so every task agrees on it. A
@@ -77,13 +118,21 @@ def _band(value: str):
     return F.expr(f"shiftleft(shiftright({value}, {shift}), {shift})")
 
 
-def dense_rank_highest_first(df: DataFrame, group: str, value: str, out: str) -> DataFrame:
+def dense_rank_highest_first(
+    df: DataFrame, group: str, value: str, out: str, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """Dense rank of whole numbers within each group, highest first, NULL before all.
 
-    Ranks are computed on the distinct values of a group and joined back, so rows that
-    share a value never have to meet in one task.
+    In large groups the distinct values are ranked, band by band, and joined back, so
+    rows that share a value never have to meet in one task.
     """
-    distinct = df.select(group, value).distinct().withColumn(PIECE, _band(value))
+    large = large_groups(df, group, rows_per_task)
+    is_large = F.col(group).eqNullSafe(F.col(LARGE))
+    whole = Window.partitionBy(group).orderBy(F.col(value).desc_nulls_first())
+    small_ranked = df.join(large, is_large, "left_anti").withColumn(out, F.dense_rank().over(whole))
+
+    rows = df.join(large, is_large, "left_semi")
+    distinct = rows.select(group, value).distinct().withColumn(PIECE, _band(value))
     higher = (
         Window.partitionBy(group)
         .orderBy(F.col(PIECE).desc_nulls_first())
@@ -110,4 +159,5 @@ def dense_rank_highest_first(df: DataFrame, group: str, value: str, out: str) ->
     # Null-safe on both columns: NULLs are ranked too, and as no NOT NULL filter is
     # inferred, the join's two sides share the shuffles below them.
     same = F.col(group).eqNullSafe(F.col("_group")) & F.col(value).eqNullSafe(F.col("_value"))
-    return df.join(ranks, same, "left").select(*df.columns, out)
+    large_ranked = rows.join(ranks, same, "left").select(*df.columns, out)
+    return small_ranked.unionByName(large_ranked)

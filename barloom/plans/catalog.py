@@ -19,8 +19,10 @@ from barloom.functions.outcomes import failure_rate
 from barloom.functions.times import utc_date
 from barloom.functions.values import first_present, object_key
 from barloom.operators import backfill, incremental, marts, metrics, quality, reports, staging, upsert
-from barloom.session import use_utc
-from barloom.sources import export, testdata as td
+from barloom.plans import load, publish
+from barloom.session import use_utc, work_folder
+from barloom.sources import export, tables as tb, testdata as td
+from barloom.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,6 +35,7 @@ LOAD_DATE = dt.date(2024, 2, 1)
 BACKFILL_START = dt.date(1999, 6, 1)
 BACKFILL_END = dt.date(2000, 3, 31)
 INTERRUPTED_AT = dt.date(1999, 9, 1)
+FIRST_DELIVERY_UNTIL = dt.date(2024, 1, 20)
 
 
 def _comparable(df: DataFrame) -> DataFrame:
@@ -95,14 +98,9 @@ def _daily(bars: DataFrame) -> DataFrame:
     )
 
 
-def _payloads(bars: DataFrame) -> DataFrame:
-    """Raw payload text, one per symbol and calendar month (at most 31 entries each).
-
-    Symbols are padded and in lower case; one close price in 97 is unreadable.
-    """
-    days = _daily(bars)
+def _payload_text(days: DataFrame, close, zone) -> DataFrame:
+    """Raw payload text, one per symbol and calendar month (at most 31 entries each)."""
     text = {name: F.col(name).cast("string") for name in (*S.PRICE_COLUMNS, "volume")}
-    close = F.when(F.col("volume") % 97 == 0, F.lit("n/a")).otherwise(text["close"])
     fields = F.create_map(
         F.lit(S.SERIES_OPEN), text["open"],
         F.lit(S.SERIES_HIGH), text["high"],
@@ -110,18 +108,34 @@ def _payloads(bars: DataFrame) -> DataFrame:
         F.lit(S.SERIES_CLOSE), close,
         F.lit(S.SERIES_VOLUME), text["volume"],
     )
-    zone = F.when(F.col("source") == td.SHIPMENT_SOURCE, F.lit(S.DEFAULT_ZONE)).otherwise(F.lit("UTC"))
-    meta = F.create_map(
-        F.lit(S.META_SYMBOL), F.concat(F.lit(" "), F.lower("symbol"), F.lit(" ")), F.lit(S.META_ZONE), zone
-    )
     entry = F.struct(F.date_format("day", "yyyy-MM-dd").alias("d"), fields.alias("f"))
-    months = days.groupBy("symbol", "source", F.trunc("day", "month").alias("month")).agg(
+    months = days.groupBy("symbol", zone.alias("zone"), F.trunc("day", "month").alias("month")).agg(
         F.map_from_entries(F.collect_list(entry)).alias("series")
     )
-    text = F.concat(
+    padded = F.concat(F.lit(" "), F.lower("symbol"), F.lit(" "))
+    meta = F.create_map(F.lit(S.META_SYMBOL), padded, F.lit(S.META_ZONE), F.col("zone"))
+    document = F.concat(
         F.lit('{"%s": ' % S.META_FIELD), F.to_json(meta), F.lit(', "%s": ' % S.SERIES_FIELD), F.to_json("series"), F.lit("}")
     )
-    return months.select(text.alias("value"))
+    return months.select(document.alias("value"))
+
+
+def _payloads(bars: DataFrame) -> DataFrame:
+    """All bars as payloads; a close price whose day's volume is a multiple of 97 is unreadable."""
+    close = F.when(F.col("volume") % 97 == 0, F.lit("n/a")).otherwise(F.col("close").cast("string"))
+    zone = F.when(F.col("source") == td.SHIPMENT_SOURCE, F.lit(S.DEFAULT_ZONE)).otherwise(F.lit("UTC"))
+    return _payload_text(_daily(bars), close, zone)
+
+
+def _deliveries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two deliveries of the users' daily bars: the first part of the month, then all of it with closes corrected."""
+    days = td.user_bars(spark, sf_dir).withColumn("day", utc_date("ts"))
+    early = days.where(F.col("day") <= F.lit(FIRST_DELIVERY_UNTIL))
+    corrected = (F.col("close") + 1).cast(S.PRICE).cast("string")
+    return (
+        _payload_text(early, F.col("close").cast("string"), F.lit("UTC")),
+        _payload_text(days, corrected, F.lit("UTC")),
+    )
 
 
 def _step_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -465,6 +479,20 @@ def sla_report(spark, sf_dir):
     return report.withColumn("violations", F.array_join("violations", ","))
 
 
+@query
+def sla_json(spark, sf_dir):
+    steps = _step_runs(spark, sf_dir)
+    facts = steps.groupBy("user_id").agg(
+        F.max("started_at").alias("latest_data_at"),
+        F.min("started_at").alias("pipeline_started_at"),
+        F.max("finished_at").alias("pipeline_finished_at"),
+        F.count_if(F.col("status") == "failed").alias("failed_runs"),
+        F.count(F.lit(1)).alias("total_runs"),
+    )
+    report = metrics.sla_report(facts.withColumn("checked_at", F.lit(CHECKED_AT).cast("timestamp")))
+    return metrics.sla_json(report).select("user_id", "json")
+
+
 @query
 def failure_rates(spark, sf_dir):
     counts = metrics.run_counts(_step_runs(spark, sf_dir), "user_id")
@@ -481,3 +509,44 @@ def classify_failures(spark, sf_dir):
         "event_id", F.concat(F.lit(" "), F.upper(pick), F.lit(" ")).alias("error_type"), code.alias("status_code")
     )
     return metrics.classify_failures(log, "error_type", "status_code")
+
+
+# --- whole jobs: tables are written to the session's shared work folder ------
+
+
+@query
+def incremental_load_job(spark, sf_dir):
+    root = work_folder(spark, "incremental_load_job")
+    for delivery in _deliveries(spark, sf_dir):
+        load.load_incremental(spark, root, delivery, now=NOW)
+    return tb.read_current(spark, root, tb.BARS)
+
+
+@query
+def backfill_job(spark, sf_dir):
+    root = work_folder(spark, "backfill_job")
+    first, corrected = _deliveries(spark, sf_dir)
+    load.load_incremental(spark, root, first, now=NOW)
+    load.backfill(spark, root, corrected, dt.date(2024, 1, 15), dt.date(2024, 1, 25), now=NOW)
+    return tb.read_current(spark, root, tb.PROGRESS)
+
+
+@query
+def mart_refresh_job(spark, sf_dir):
+    root = work_folder(spark, "mart_refresh_job")
+    for delivery in _deliveries(spark, sf_dir):
+        load.load_incremental(spark, root, delivery, now=NOW)
+        publish.refresh_marts(spark, root, now=NOW)
+    summary = tb.read_current(spark, root, tb.DAILY_SUMMARY).drop("created_at")
+    ranks = tb.read_current(spark, root, tb.VOLUME_RANK).drop("total_volume")
+    return summary.join(ranks, list(S.SUMMARY_KEY))
+
+
+@query
+def stream_load_job(spark, sf_dir):
+    root = work_folder(spark, "stream_load_job")
+    for run_date, delivery in zip((FIRST_DELIVERY_UNTIL, LOAD_DATE), _deliveries(spark, sf_dir)):
+        delivery.write.text(f"{root}/landing/run_date={run_date}/symbol=many")
+        stream = ingest.start_ingest(spark, f"{root}/landing", f"{root}/tables", f"{root}/progress", by_line=True)
+        stream.awaitTermination()
+    return tb.read_current(spark, f"{root}/tables", tb.LOAD_STATE).drop("updated_at")

@@ -60,6 +60,20 @@ DEFS = {
         SELECT d.* FROM delivered d
         WHERE EXISTS (SELECT 1 FROM pending p WHERE p.source = d.source AND p.symbol = d.symbol
                                                 AND p.trading_date = CAST(d.ts AS DATE))""",
+    "user_bars": """
+        SELECT date_trunc('day', ts) AS ts, 'U' || user_id AS symbol,
+               CAST(arg_min(value, event_id) AS DECIMAL(18,6)) AS open, CAST(max(value) AS DECIMAL(18,6)) AS high,
+               CAST(min(value) AS DECIMAL(18,6)) AS low, CAST(arg_max(value, event_id) AS DECIMAL(18,6)) AS close,
+               CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS volume,
+               'alpha_vantage' AS source
+        FROM events GROUP BY 1, 2""",
+    "first_marks": """
+        SELECT symbol, max(ts) AS mark FROM user_bars WHERE ts <= TIMESTAMP '2024-01-20' GROUP BY symbol""",
+    "twice_loaded": """
+        SELECT u.ts, symbol, u.open, u.high, u.low,
+               CAST(CASE WHEN u.ts <= m.mark THEN u.close ELSE u.close + 1 END AS DECIMAL(18,6)) AS close,
+               u.volume, u.source, m.mark, u.ts > m.mark OR m.mark IS NULL AS is_second
+        FROM user_bars u LEFT JOIN first_marks m USING (symbol)""",
     "steps": """
         SELECT 'run-' || event_id AS run_id, event_type AS step_name,
                CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS status,
@@ -76,6 +90,7 @@ BARS = ["event_bars", "shipment_rows", "shipment_bars", "bars"]
 STORED = [*BARS, "existing", "delivered"]
 STATE = [*STORED, "state"]
 BACKFILL = [*STORED, "done", "pending"]
+JOB = ["user_bars", "first_marks", "twice_loaded"]
 
 BAR_OUT = """ts, symbol, CAST(open AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high, CAST(low AS DOUBLE) AS low,
              CAST(close AS DOUBLE) AS close, volume, source"""
@@ -436,6 +451,27 @@ ORACLE: dict[str, str] = {
                    round(failed / total, 6) AS failure_rate
             FROM facts""",
     ),
+    "sla_json": _q(
+        ["steps"],
+        """SELECT user_id,
+                  '{"data_freshness_minutes":' || CAST(freshness AS VARCHAR)
+                  || ',"failure_rate":' || CAST(rate AS VARCHAR)
+                  || ',"passed":' || CASE WHEN codes = '' THEN 'true' ELSE 'false' END
+                  || ',"pipeline_latency_seconds":' || coalesce(CAST(latency AS VARCHAR), 'null')
+                  || ',"violations":[' || codes || ']}' AS json
+           FROM (SELECT *, concat_ws(',', CASE WHEN freshness > 1440 THEN '"freshness_sla_breached"' END,
+                                     CASE WHEN latency IS NULL THEN '"latency_missing"'
+                                          WHEN latency > 300.0 THEN '"latency_sla_breached"' END,
+                                     CASE WHEN rate > 0.05 THEN '"failure_rate_sla_breached"' END) AS codes
+                 FROM measured)""",
+        measured="""
+            SELECT user_id,
+                   round((epoch_us(TIMESTAMP '2024-01-31 12:00:00') - epoch_us(max(started_at))) / 1e6 / 60.0, 6)
+                     AS freshness,
+                   round((epoch_us(max(finished_at)) - epoch_us(min(started_at))) / 1e6, 6) AS latency,
+                   round(count(*) FILTER (status = 'failed') / count(*), 6) AS rate
+            FROM steps GROUP BY user_id""",
+    ),
     "failure_rates": _q(
         ["steps"],
         """SELECT user_id, count(*) FILTER (status = 'failed') AS failed_runs, count(*) AS total_runs,
@@ -455,4 +491,23 @@ ORACLE: dict[str, str] = {
                       'auth', 'not_found', 'bad_request', 'unexpected'][event_id % 11 + 1] AS name,
                      CAST([200, 404, 429, 500, 502, 503, 504][user_id % 7 + 1] AS INTEGER) AS status_code
               FROM events)""",
+    "incremental_load_job": _q(JOB, f"SELECT {BAR_OUT} FROM twice_loaded"),
+    "backfill_job": _q(
+        ["user_bars"],
+        """SELECT source, symbol, CAST(ts AS DATE) AS trading_date FROM user_bars
+           WHERE ts BETWEEN TIMESTAMP '2024-01-15' AND TIMESTAMP '2024-01-25'""",
+    ),
+    "mart_refresh_job": _q(
+        JOB, "SELECT * FROM summary JOIN ranks USING (symbol, trading_date)",
+        summary=_summary("twice_loaded"),
+        ranks="SELECT symbol, trading_date, volume_rank FROM (" + RANKS + ")",
+    ),
+    "stream_load_job": _q(
+        JOB,
+        """SELECT source, symbol, max(ts) AS last_watermark,
+                  CAST(CASE WHEN count(*) FILTER (is_second) > 0 THEN count(*) FILTER (is_second)
+                            ELSE count(*) END AS INTEGER) AS last_row_count,
+                  'success' AS status
+           FROM twice_loaded GROUP BY source, symbol""",
+    ),
 }

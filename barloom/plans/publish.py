@@ -15,7 +15,10 @@ from barloom.plans.load import load_incremental
 from barloom.session import use_utc
 from barloom.sources import tables as tb
 
-RUN_NAME = "market_data_lakehouse_pipeline"  # fixed value
+# Step names as they appear in run records.
+LOAD_STEP = "run_stock_pipeline"
+GATE_STEP = "run_quality_checks"
+MARTS_STEP = "build_marts"
 
 
 def refresh_marts(spark: SparkSession, root: str, full: bool = False, now: dt.datetime | None = None) -> list[dt.date]:
@@ -105,9 +108,9 @@ def run_gated(
     use_utc(spark)
     run = GatedRun(run_id=uuid.uuid4().hex)
     work = [
-        ("run_stock_pipeline", lambda: load_incremental(spark, root, payloads, strict).row_count),
-        ("run_quality_checks", lambda: pass_gate(spark, root, as_of)),
-        ("build_marts", lambda: len(refresh_marts(spark, root))),
+        (LOAD_STEP, lambda: load_incremental(spark, root, payloads, strict).row_count),
+        (GATE_STEP, lambda: pass_gate(spark, root, as_of)),
+        (MARTS_STEP, lambda: len(refresh_marts(spark, root))),
     ]
     for name, step in work:
         if not run_step(run, name, step):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 # Settings that change results: day boundaries are UTC days, and bad arithmetic raises.
@@ -40,3 +43,14 @@ def build_session(
     for name, value in {**SPEED, **CORRECTNESS, **(conf or {})}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for a job's tables in the shared folder the cluster names.
+
+    Only where none is named, as in tests on one machine, is a temporary folder used.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        shared = tempfile.mkdtemp(prefix="run-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -46,6 +46,25 @@ def event_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def user_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily bars: one symbol per user, priced by the values of the user's events."""
+    events = instants(table(spark, sf_dir, "events"), "ts").select(
+        F.date_trunc("day", "ts").alias("ts"),
+        F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("symbol"),
+        "event_id",
+        F.col("value").cast(S.PRICE).alias("price"),
+        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+    )
+    return events.groupBy("ts", "symbol").agg(
+        F.min_by("price", "event_id").alias("open"),
+        F.max("price").alias("high"),
+        F.min("price").alias("low"),
+        F.max_by("price", "event_id").alias("close"),
+        F.sum("k").alias("volume"),
+        F.lit(S.DEFAULT_SOURCE).alias("source"),
+    )
+
+
 def shipment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bar-shaped rows whose key repeats: one per order line, with the columns that order them."""
     lines = instants(table(spark, sf_dir, "lineitem"), "l_shipdate")

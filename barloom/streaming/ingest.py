@@ -16,12 +16,14 @@ from barloom.session import use_utc
 from barloom.sources.payloads import LANDING
 
 
-def landing_stream(spark: SparkSession, landing: str, max_files: int = 100_000) -> DataFrame:
-    """Landed payloads as they arrive, with their run date and file."""
+def landing_stream(
+    spark: SparkSession, landing: str, max_files: int = 100_000, by_line: bool = False
+) -> DataFrame:
+    """Landed payloads as they arrive, with their run date and file: one per file, or one per line."""
     return (
         spark.readStream.schema(LANDING)
         .option("maxFilesPerTrigger", max_files)
-        .text(landing, wholetext=True)
+        .text(landing, wholetext=not by_line)
         .select("value", "run_date", F.col("_metadata.file_path").alias("file"))
     )
 
@@ -35,6 +37,7 @@ def start_ingest(
     available_now: bool = True,
     interval: str = "1 minute",
     max_files: int = 100_000,
+    by_line: bool = False,
 ) -> StreamingQuery:
     """Start loading the landing folder; by default stop when all present files are loaded."""
     use_utc(spark)
@@ -43,7 +46,7 @@ def start_ingest(
         load_incremental(batch.sparkSession, root, batch, strict)
 
     writer = (
-        landing_stream(spark, landing, max_files)
+        landing_stream(spark, landing, max_files, by_line)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
     )

@@ -34,6 +34,9 @@ def test_run_metrics(spark):
         ("r", "a", "success", T0, T0 + dt.timedelta(seconds=1), 4, None),
     )
     row = m.run_metrics(df, "name").first()
+    doc = json.loads(m.run_json(m.run_metrics(df, "name")).first()["json"])
+    assert list(doc) == sorted(doc) and list(doc["steps"][0]) == sorted(doc["steps"][0])
+    assert (doc["pipeline_name"], doc["duration_seconds"], doc["steps"][1]["duration_seconds"]) == ("name", 5.0, 3.0)
     assert (row["status"], row["duration_seconds"], [s["step_name"] for s in row["steps"]]) == ("failed", 5.0, ["a", "b"])
 
 

@@ -25,32 +25,35 @@ def skewed(spark, n=900, seed=3):
     return spark.createDataFrame(rows, "symbol string, ts timestamp, close int").repartition(5)
 
 
-@pytest.mark.parametrize("piece", ["hour", "day", "month"])
-def test_row_numbers(spark, piece):
+CASES = [("hour", 0), ("day", 0), ("month", 0), ("day", 100), ("day", 10**6)]
+
+
+@pytest.mark.parametrize("piece, rows_per_task", CASES)
+def test_row_numbers(spark, piece, rows_per_task):
     df = skewed(spark)
     one_null = spark.createDataFrame([("HOT", None, 1)], df.schema)
     df = df.unionByName(one_null)
     w = Window.partitionBy("symbol").orderBy(F.col("ts").desc_nulls_first())
     want = df.withColumn("n", F.row_number().over(w).cast("bigint"))
-    got = ordered.row_numbers_latest_first(df, "symbol", "ts", "n", piece)
+    got = ordered.row_numbers_latest_first(df, "symbol", "ts", "n", piece, rows_per_task)
     assert got.columns == want.columns
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
-@pytest.mark.parametrize("piece", ["hour", "day", "month"])
-def test_previous_value(spark, piece):
+@pytest.mark.parametrize("piece, rows_per_task", CASES)
+def test_previous_value(spark, piece, rows_per_task):
     df = skewed(spark)
     w = Window.partitionBy("symbol").orderBy("ts")
     want = df.withColumn("p", F.lag("close").over(w))
-    got = ordered.previous_value(df, "symbol", "ts", "close", "p", piece)
+    got = ordered.previous_value(df, "symbol", "ts", "close", "p", piece, rows_per_task)
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
-def ranks_agree(spark, rows):
+def ranks_agree(spark, rows, rows_per_task=0):
     df = spark.createDataFrame(rows, "d string, k int, v bigint")
     w = Window.partitionBy("d").orderBy(F.col("v").desc_nulls_first())
     want = df.withColumn("r", F.dense_rank().over(w))
-    got = ordered.dense_rank_highest_first(df, "d", "v", "r")
+    got = ordered.dense_rank_highest_first(df, "d", "v", "r", rows_per_task)
     return got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
@@ -61,7 +64,8 @@ def test_dense_rank_with_a_hot_day_and_hot_ties(spark):
         day = "hot" if k % 3 == 0 else f"d{k % 9}"
         volume = 0 if k % 4 == 0 else (None if k % 50 == 0 else rng.randint(0, 10 ** rng.randint(1, 17)))
         rows.append((day, k, volume))
-    assert ranks_agree(spark, rows)
+    for rows_per_task in (0, 150, 10**6):
+        assert ranks_agree(spark, rows, rows_per_task)
 
 
 @settings(max_examples=8, deadline=None)
@@ -80,9 +84,30 @@ def test_dense_rank_any_values(spark, rows):
     assert ranks_agree(spark, rows)
 
 
-def test_plans_never_window_a_whole_group_of_rows(spark):
+def run_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_row_windows_are_split_by_piece(spark):
     """Row-level windows are partitioned by piece as well as by group."""
+    plan = run_plan(ordered.row_numbers_latest_first(skewed(spark), "symbol", "ts", rows_per_task=100))
+    shuffles = [line for line in plan.splitlines() if "hashpartitioning(symbol" in line and "_piece" in line]
+    assert shuffles
+
+
+def test_nothing_is_cut_without_large_groups(spark):
     df = skewed(spark)
-    plan = ordered.row_numbers_latest_first(df, "symbol", "ts")._jdf.queryExecution().optimizedPlan().toString()
-    row_windows = [line for line in plan.splitlines() if "row_num" in line and "Window" in line]
-    assert row_windows and all("_piece" in line for line in row_windows)
+    for result in (
+        ordered.row_numbers_latest_first(df, "symbol", "ts"),
+        ordered.previous_value(df, "symbol", "ts", "close", "p"),
+    ):
+        plan = run_plan(result)
+        assert "Union" not in plan, "the seed side is dropped at run time"
+    ranked = run_plan(ordered.dense_rank_highest_first(df.withColumn("v", df.close.cast("bigint")), "symbol", "v", "r"))
+    assert "Union" not in ranked
+
+
+def test_the_broadcast_list_is_bounded(spark):
+    plan = ordered.large_groups(skewed(spark), "symbol", 10)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject(limit=50000" in plan

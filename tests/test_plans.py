@@ -91,9 +91,9 @@ def test_state_join_shuffles_when_the_state_is_too_big_to_broadcast(spark, bars)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
-def test_rank_reads_its_input_once(bars):
+def test_rank_is_one_plain_window_unless_a_day_is_large(bars):
     plan = executed(marts.volume_rank(marts.daily_summary(bars)))
-    assert plan.count("FileScan") == 1
+    assert plan.count("FileScan") == 1 and plan.count("Window [") == 1 and "Union" not in plan
 
 
 def test_written_days_are_sorted_and_balanced(spark, bars, tmp_path):
