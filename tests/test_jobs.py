@@ -10,6 +10,7 @@ from barloom.operators import reports
 from barloom.__main__ import arguments, main
 from barloom.plans import load as jobs
 from barloom.plans import publish, serve
+from barloom.session import work_folder
 from barloom.sources import tables as tb
 from barloom.streaming.ingest import start_ingest
 from tests.conftest import bar
@@ -24,6 +25,22 @@ def texts(spark, *values):
     return spark.createDataFrame(rows, "value string, run_date date, file string")
 
 
+@pytest.fixture(scope="module", autouse=True)
+def quick_plans(spark):
+    """The jobs run many tiny plans here: interpreting them is quicker than compiling them."""
+    quick = {
+        "spark.sql.codegen.wholeStage": "false",
+        "spark.sql.codegen.factoryMode": "NO_CODEGEN",
+        "spark.sql.shuffle.partitions": "1",
+    }
+    before = {name: spark.conf.get(name) for name in quick}
+    for name, value in quick.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
 @pytest.fixture
 def root(tmp_path):
     return str(tmp_path / "lake")
@@ -291,3 +308,15 @@ def test_command_line(spark, tmp_path, root, capsys):
     for bad in (["load", "--root", root], ["backfill", "--root", root, "--payloads", raw, "--start", "2026-04-06"]):
         with pytest.raises(SystemExit):
             arguments(bad)
+
+
+def test_work_folder_is_the_one_the_cluster_names():
+    class Conf:
+        def get(self, name, default=None):
+            return {"spark.checkpoint.dir": "s3a://shared/work/"}.get(name, default)
+
+    class Session:
+        conf = Conf()
+
+    first, second = work_folder(Session(), "job"), work_folder(Session(), "job")
+    assert first.startswith("s3a://shared/work/job-") and first != second
