@@ -26,9 +26,9 @@ def daily_summary(bars: DataFrame) -> DataFrame:
 
 def fit_symbol(summary: DataFrame) -> DataFrame:
     """Fail on a symbol wider than the summary table's symbol column."""
-    too_wide = F.length("symbol") > S.SUMMARY_SYMBOL_WIDTH
+    fits = F.coalesce(F.length("symbol") <= S.SUMMARY_SYMBOL_WIDTH, F.lit(True))
     message = F.concat(F.lit("symbol too long for the daily summary: "), "symbol")
-    return summary.withColumn("symbol", F.when(too_wide, F.raise_error(message)).otherwise(F.col("symbol")))
+    return summary.where(F.when(fits, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
 
 
 def latest_price(bars: DataFrame) -> DataFrame:

@@ -86,8 +86,9 @@ def stage_bars(payloads: DataFrame, text: str = "value", strict: bool = False) -
     parsed = parse_payloads(payloads, text)
     if strict:
         message = F.when(F.col(REASON) == "missing symbol", S.MISSING_SYMBOL_MESSAGE).otherwise(F.col(REASON))
-        checked = F.when(F.col(REASON).isNotNull(), F.raise_error(message)).otherwise(F.col("symbol"))
-        return parsed.withColumn("symbol", checked).select(*BAR_COLUMNS)
+        # In a filter, so that the check stays whichever columns are read.
+        fail = F.raise_error(message).cast("boolean")
+        parsed = parsed.where(F.when(F.col(REASON).isNull(), F.lit(True)).otherwise(fail))
     return accepted(parsed).select(*BAR_COLUMNS)
 
 

@@ -67,6 +67,8 @@ def test_strict_mode_raises(spark):
         staging.stage_bars(texts(spark, payload(None, {})), strict=True).collect()
     with pytest.raises(Exception, match="bad price"):
         staging.stage_bars(texts(spark, payload("A", {"2026-01-05": ("x", 1, 1, 1, 1)})), strict=True).collect()
+    with pytest.raises(Exception, match="bad price"):
+        staging.stage_bars(texts(spark, payload("A", {"2026-01-05": ("x", 1, 1, 1, 1)})), strict=True).select("ts").collect()
 
 
 def test_older_form_keeps_symbol_as_delivered(spark):
