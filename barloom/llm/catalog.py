@@ -7,7 +7,18 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import ngram_join, substring_dedup
+from barloom.llm import (
+    ann,
+    license_scan,
+    ngram_join,
+    packing,
+    quality_rules,
+    quotation_linking,
+    secret_scan,
+    sentencepiece_viterbi,
+    substring_dedup,
+    toxicity,
+)
 from barloom.llm.shared import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +37,14 @@ QUERIES: dict[str, Query] = {
     for q in (
         substring_dedup.op1_substring_dedup,
         ngram_join.op2_ngram_jaccard_join,
+        license_scan.op3_license_scan,
+        quality_rules.op4_quality_cascade,
+        ann.op5_random_projection_forest,
+        quotation_linking.op6_quotation_linking,
+        sentencepiece_viterbi.op7_sentencepiece_round_trip,
+        toxicity.op8_toxicity,
+        secret_scan.op9_secret_scan,
+        packing.op10_best_fit_packing,
     )
 }
 
@@ -59,11 +78,69 @@ g AS (
   FROM d),
 n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
 o AS (
-  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS both
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS shared
   FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
 l AS (
-  SELECT u, v FROM o JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * both >= 85 * (x.n + y.n - both)),
+  SELECT u, v FROM o JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
 reach(doc_id, other) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, l.v FROM reach r JOIN l ON l.u = r.other)
 SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id
 FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
+    "op4_quality_cascade": rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS body, coalesce(regexp_extract_all(text, '{_WORD}'), []::VARCHAR[]) AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents),
+t AS (
+  SELECT doc_id, unnest(range(1, len(w) - 1)) AS i,
+    unnest(list_transform(range(1, len(w) - 1), lambda k: array_to_string(w[k:k + 2], ' '))) AS g
+  FROM d),
+r AS (SELECT doc_id, g FROM t GROUP BY doc_id, g HAVING count(*) > 1),
+c AS (SELECT doc_id, count(DISTINCT p) AS n FROM (
+  SELECT doc_id, unnest(range(i, i + 3)) AS p FROM t JOIN r USING (doc_id, g)) GROUP BY doc_id),
+m AS (
+  SELECT doc_id, body, len(w)::BIGINT AS n_words,
+    length(regexp_replace(body, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+    (length(body) - length(translate(body, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+    len(l)::BIGINT AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+    coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM d LEFT JOIN c USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND word_chars BETWEEN 2 * n_words AND 20 * n_words AND 10 * n_symbols <= 3 * n_words
+    AND 10 * n_dup_lines <= 3 * n_lines
+    AND 10 * length(regexp_replace(body, '[^\p{{L}}]', '', 'g')) >= 6 * word_chars
+    AND 10 * len(regexp_extract_all(body, '(?:\.\.\.|\x{{2026}})[\x20\x09\r]*(?:\n|\z)')) <= 3 * n_lines
+    AND 10 * len(regexp_extract_all(body, '(?:\A|\n)[\x20\x09]*[-*\x{{2022}}]')) <= 9 * n_lines AS kept
+FROM b""",
+    "op6_quotation_linking": r"""
+WITH RECURSIVE m AS (
+  SELECT row_number() OVER () AS id, conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+l AS (
+  SELECT id, conv_id, turn, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM m),
+p AS (
+  SELECT id, conv_id, turn, i, length(marks) - length(replace(marks, '>', '')) AS level,
+    regexp_replace(line, '^[\x20\x09]*(>[\x20\x09>]*)', '') AS body
+  FROM (SELECT *, regexp_extract(line, '^[\x20\x09]*(>[\x20\x09>]*)', 1) AS marks FROM l)),
+n AS (SELECT *, lower(trim(regexp_replace(body, '[\x20\x09-\x0D]+', ' ', 'g'))) AS norm FROM p),
+u AS (
+  SELECT DISTINCT id, conv_id, turn, level, norm AS unit FROM n WHERE norm <> ''
+  UNION SELECT id, conv_id, turn, level, string_agg(norm, ' ' ORDER BY i) FROM n WHERE norm <> '' GROUP BY id, conv_id, turn, level),
+f AS (SELECT conv_id, unit, min(turn) AS source_turn FROM u WHERE level = 0 GROUP BY conv_id, unit),
+v AS (
+  SELECT conv_id, turn, source_turn, sum(length(unit)) AS chars
+  FROM (SELECT DISTINCT conv_id, turn, unit FROM u WHERE level = 1) JOIN f USING (conv_id, unit)
+  WHERE source_turn < turn GROUP BY ALL),
+a AS (SELECT conv_id, turn, arg_max(source_turn, (chars, source_turn)) AS parent_turn FROM v GROUP BY conv_id, turn),
+up(conv_id, turn, top) AS (
+  SELECT conv_id, turn, parent_turn FROM a
+  UNION SELECT up.conv_id, up.turn, a.parent_turn FROM up JOIN a ON a.conv_id = up.conv_id AND a.turn = up.top),
+r AS (SELECT conv_id, turn, min(top) AS thread_turn FROM up GROUP BY conv_id, turn),
+o AS (
+  SELECT id, count(*) FILTER (level > 0) AS n_quoted_lines,
+    trim(coalesce(string_agg(body, chr(10) ORDER BY i) FILTER (level = 0), ''), concat(' ', chr(9), chr(10), chr(13))) AS own
+  FROM p GROUP BY id)
+SELECT m.conv_id, coalesce(thread_turn, m.turn) AS thread_turn, m.turn, parent_turn, coalesce(role, 'unknown') AS role,
+  n_quoted_lines, own AS text, concat('<|', coalesce(role, 'unknown'), '|>', chr(10), own) AS formatted
+FROM m JOIN o USING (id) LEFT JOIN a ON a.conv_id = m.conv_id AND a.turn = m.turn
+LEFT JOIN r ON r.conv_id = m.conv_id AND r.turn = m.turn""",
 }

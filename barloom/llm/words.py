@@ -106,14 +106,14 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), offsets
 
 
-def blocks(column: pa.Array, word_byte: np.ndarray = WORD_BYTE) -> Iterator[Block]:
+def blocks(column: pa.Array, word_byte: np.ndarray = WORD_BYTE, size: int = BLOCK_BYTES) -> Iterator[Block]:
     """Blocks of whole texts, in order, that cover all rows of a text column."""
     if not len(column):
         return
     data, offsets = text_buffers(column)
     row, rows = 0, len(offsets) - 1
     while row < rows:
-        upto = max(row + 1, int(np.searchsorted(offsets, offsets[row] + BLOCK_BYTES, "right")) - 1)
+        upto = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1)
         upto = min(upto, rows)
         yield block(data[offsets[row] : offsets[upto]], offsets[row : upto + 1] - offsets[row], slice(row, upto), word_byte)
         row = upto
