@@ -1,11 +1,13 @@
-"""Toxicity: class-conditional Kneser-Ney models of words as strings of bytes.
+"""Toxicity: class-conditional Kneser-Ney models of texts as strings of bytes.
 
-Each class, toxic and ordinary, has an interpolated Kneser-Ney model of order 6 that spells
-a word byte by byte from its start. Counts of the three lower orders are shared by both
-classes, so a rare expression that neither has seen costs both nearly the same; the three
-higher orders are each class's own. A text's measure is the mean over its words of the
-difference of their log-likelihoods, which a logistic curve, fitted to labelled texts that
-the models have not seen, turns into a score.
+The model of ordinary texts is an interpolated Kneser-Ney model of order 4 over letters and
+digits in lower case, words parted by one space. The model of toxic texts has the counts of
+toxic texts after each context and, by absolute discounting with a concentration, falls
+back on the ordinary model's probability after the same context: both share its lower-order
+counts, so an expression that is rare among toxic texts costs the same in both, and only
+what labels show often enough moves them apart. A text's measure is the difference of its
+log-likelihoods over its number of words, which a logistic curve, fitted to labelled texts
+that the models have not seen, turns into a score.
 
 Counts come from all labelled texts whose crc32(id) mod 5 is 1, 2 or 3, and grow with them;
 the ``MOST_GRAMS`` most frequent of each class make up the model that is sent to the tasks.
@@ -24,85 +26,51 @@ from pyspark.sql import functions as F
 from barloom.llm import words as W
 from barloom.llm.shared import append_columns, column, small_batches, table, written
 
-ORDER = 6
-SHARED = 3
+ORDER = 4
 DISCOUNT = 0.75
-MOST_GRAMS = 600_000
+TOXIC_DISCOUNT, CONCENTRATION = 1.0, 200.0
+MOST_GRAMS = 500_000
 CURVE_ROWS = 50_000
-#: Different words whose measure a task keeps.
-KNOWN_WORDS = 1_000_000
 FOLDS = 5
-_LENGTH_BIT = 48
-_U = np.uint64
 
 
-def spelled(block: W.Block, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For some words of a block: the grams that end at each of their bytes and at their end, and the word of each.
+def spelled(block: W.Block) -> tuple[np.ndarray, np.ndarray]:
+    """The last ``ORDER`` bytes up to each byte of a block's words and the space after each, and the text of each.
 
-    A gram has the last six bytes at most, from the space before the word on; its length is in the bits above.
+    Bytes are packed into an integer, the last one lowest; before a text there are spaces.
     """
-    size = block.end[words] - block.start[words] + 2
-    first = np.cumsum(size) - size
-    owner = np.repeat(np.arange(len(words)), size)
-    place = np.arange(size.sum()) - first[owner]
-    flat = np.full(len(owner), 32, np.int64)
-    inner = (place > 0) & (place < size[owner] - 1)
-    flat[inner] = W.LOWER[block.data[block.start[words][owner[inner]] + place[inner] - 1]]
+    size = block.end - block.start + 1
+    last = np.cumsum(size) - 1
+    flat = np.full(int(size.sum()), 32, np.int64)
+    inside = np.ones(len(flat), bool)
+    inside[last] = False
+    source = np.arange(len(flat)) + np.repeat(block.start - (last + 1 - size), size)
+    flat[inside] = W.LOWER[block.data[source[inside]]]
+    sizes = np.concatenate(([0], np.cumsum(size)))[block.first]
+    text = np.repeat(np.arange(len(sizes) - 1), np.diff(sizes))
+    place = np.arange(len(flat)) - np.repeat(sizes[:-1], np.diff(sizes))
     gram = flat.copy()
     for back in range(1, ORDER):
-        gram[back:] |= np.where(place[back:] >= back, flat[:-back] << (8 * back), 0)
-    gram |= np.minimum(place + 1, ORDER) << _LENGTH_BIT
-    event = place > 0
-    return gram[event], owner[event]
-
-
-def _different_words(block: W.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of a block's different words in lower case, a place of each, and each word's entry."""
-    return np.unique(block.hashes(W.LOWER), return_index=True, return_inverse=True)
+        before = np.full(len(flat), 32, np.int64)
+        before[back:] = np.where(place[back:] >= back, flat[:-back], 32)
+        gram |= before << (8 * back)
+    return gram, text
 
 
 def _count_grams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of (toxic, text) to (toxic, gram, n), added up within a batch."""
-    for batch in small_batches(batches, 4 << 20):
+    """Rows of (toxic, text) to (toxic, gram, n), added up within a block."""
+    for batch in small_batches(batches):
         toxic = batch.column(0).to_numpy()
         for block in W.blocks(batch.column(1), W.ALNUM_BYTE, 4 * W.BLOCK_BYTES):
-            if not len(block.start):
-                continue
-            _, place, word = _different_words(block)
-            gram, owner = spelled(block, place)
-            label = np.repeat(toxic[block.rows], block.counts)
+            gram, text = spelled(block)
+            label = toxic[block.rows][text]
             for which in (0, 1):
-                n = np.bincount(word[label == which], minlength=len(place))[owner]
-                seen = n > 0
-                grams, at = np.unique(gram[seen], return_inverse=True)
-                total = np.bincount(at, weights=n[seen], minlength=len(grams)).astype(np.int64)
+                grams, n = np.unique(gram[label == which], return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(grams), which, np.int32)), pa.array(grams), pa.array(total)], names=["toxic", "gram", "n"]
+                    [pa.array(np.full(len(grams), which, np.int32)), pa.array(grams), pa.array(n)], names=["toxic", "gram", "n"]
                 )
 
 
-def _length(gram: np.ndarray) -> np.ndarray:
-    return gram >> _LENGTH_BIT
-
-
-def _body(gram: np.ndarray) -> np.ndarray:
-    return gram & ((1 << _LENGTH_BIT) - 1)
-
-
-def _shorter(gram: np.ndarray) -> np.ndarray:
-    """The gram without its first byte."""
-    length = _length(gram) - 1
-    return (_body(gram) & ((1 << (8 * length)) - 1)) | (length << _LENGTH_BIT)
-
-
-def _context(gram: np.ndarray) -> np.ndarray:
-    return (_body(gram) >> 8) | ((_length(gram) - 1) << _LENGTH_BIT)
-
-
-def _starts_word(gram: np.ndarray) -> np.ndarray:
-    return (_body(gram) >> (8 * (_length(gram) - 1))) == 32
-
-
 def _sums(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     out, at = np.unique(keys, return_inverse=True)
     return out, np.bincount(at, weights=weights, minlength=len(out))
@@ -116,64 +84,41 @@ def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarra
     return np.where(keys[at] == wanted, values[at], 0.0)
 
 
-class Orders:
-    """Counts of grams by length: as they occur at the start of a word and at full length, else by different byte before."""
-
-    def __init__(self, gram: np.ndarray, count: np.ndarray):
-        self.grams: list = [None] * (ORDER + 1)
-        keys, values = _sums(gram, count)
-        length = _length(keys)
-        longer = np.zeros(0, np.int64)
-        for k in range(ORDER, 0, -1):
-            own = (length == k) & ((k == ORDER) | _starts_word(keys))
-            before = _shorter(longer)
-            some = np.concatenate((keys[own], before))
-            weight = np.concatenate((values[own], np.ones(len(before))))
-            self.grams[k] = _sums(some, weight)
-            longer = self.grams[k][0]
-        self.contexts: list = [None] * (ORDER + 1)
-        for k in range(1, ORDER + 1):
-            g, n = self.grams[k]
-            total = _sums(_context(g), n)
-            kinds = _sums(_context(g), np.full(len(g), DISCOUNT))
-            self.contexts[k] = (total[0], total[1], kinds[1])
-
-
 class Models:
-    """Two classes' models over shared lower orders; ``measure`` of a gram is log P(toxic) - log P(ordinary)."""
+    """``measure`` of a gram: log P(its last byte after the others, toxic) - the same, ordinary."""
 
     def __init__(self, ordinary: tuple[np.ndarray, np.ndarray], toxic: tuple[np.ndarray, np.ndarray]):
-        own = [Orders(*ordinary), Orders(*toxic)]
-        shared = Orders(np.concatenate((ordinary[0], toxic[0])), np.concatenate((ordinary[1], toxic[1])))
-        self.orders = own
-        for orders in own:
-            for k in range(1, SHARED + 1):
-                orders.grams[k], orders.contexts[k] = shared.grams[k], shared.contexts[k]
-        self.known = np.union1d(ordinary[0], toxic[0])
-        self.value = np.zeros(0)
+        # Counts by order: at full length as they occur, shorter ones by the different bytes before them.
+        self.grams: list = [None] * ORDER + [_sums(*ordinary)]
+        for k in range(ORDER - 1, 0, -1):
+            shorter = self.grams[k + 1][0] & ((1 << 8 * k) - 1)
+            self.grams[k] = _sums(shorter, np.ones(len(shorter)))
+        self.contexts = [None] + [
+            (*_sums(g >> 8, n), _sums(g >> 8, np.full(len(g), DISCOUNT))[1]) for g, n in self.grams[1:]
+        ]
+        self.toxic = _sums(*toxic)
+        g, n = self.toxic
+        self.toxic_contexts = (*_sums(g >> 8, n), _sums(g >> 8, np.minimum(n, TOXIC_DISCOUNT))[1] + CONCENTRATION)
+        self.known = np.union1d(ordinary[0], toxic[0]).astype(np.int64)
         self.value = self._measure(self.known)
 
-    def probability(self, which: int, gram: np.ndarray) -> np.ndarray:
-        orders, length = self.orders[which], _length(gram)
-        suffixes = [None] * (ORDER + 1)
-        now = gram
-        for k in range(ORDER, 0, -1):
-            suffixes[k] = now
-            now = np.where(_length(now) == k, _shorter(now), now)
+    def ordinary(self, gram: np.ndarray) -> np.ndarray:
+        """Interpolated from the lowest order up."""
         p = np.full(len(gram), 1 / 256)
         for k in range(1, ORDER + 1):
-            g = suffixes[k]
-            keys, total, held = orders.contexts[k]
-            context = _context(g)
-            n = _find(keys, total, context)
-            back = _find(keys, held, context)
-            count = _find(*orders.grams[k], g)
-            new = np.where(n > 0, (np.maximum(count - DISCOUNT, 0) + back * p) / np.maximum(n, 1e-300), p)
-            p = np.where(length >= k, new, p)
+            suffix = gram & ((1 << 8 * k) - 1)
+            keys, total, held = self.contexts[k]
+            n, back = _find(keys, total, suffix >> 8), _find(keys, held, suffix >> 8)
+            count = np.maximum(_find(*self.grams[k], suffix) - DISCOUNT, 0)
+            p = np.where(n > 0, (count + back * p) / np.maximum(n, 1e-300), p)
         return p
 
     def _measure(self, gram: np.ndarray) -> np.ndarray:
-        return np.log(self.probability(1, gram)) - np.log(self.probability(0, gram))
+        p = self.ordinary(gram)
+        keys, total, back = self.toxic_contexts
+        n, share = _find(keys, total, gram >> 8), _find(keys, back, gram >> 8)
+        count = np.maximum(_find(*self.toxic, gram) - TOXIC_DISCOUNT, 0)
+        return np.where(n > 0, np.log((count + share * p) / (n + CONCENTRATION) / p + 1e-300), 0.0)
 
     def measure(self, gram: np.ndarray) -> np.ndarray:
         if not len(self.known):
@@ -186,35 +131,11 @@ class Models:
             out[new] = self._measure(grams)[back]
         return out
 
-
-class WordMeasure:
-    """Measures of words, each worked out once a task."""
-
-    def __init__(self, models: Models):
-        self.models = models
-        self.keys, self.values = np.zeros(0, np.uint64), np.zeros(0)
-
     def texts(self, block: W.Block) -> np.ndarray:
-        """Mean measure of the words of each text; 0 without words."""
-        texts = len(block.first) - 1
-        if not len(block.start):
-            return np.zeros(texts)
-        keys, place, word = _different_words(block)
-        if len(self.keys) > KNOWN_WORDS:
-            self.keys, self.values = np.zeros(0, np.uint64), np.zeros(0)
-        at = np.searchsorted(self.keys, keys)
-        known = np.zeros(len(keys), bool)
-        if len(self.keys):
-            known = self.keys[np.minimum(at, len(self.keys) - 1)] == keys
-        fresh = np.flatnonzero(~known)
-        if len(fresh):
-            gram, owner = spelled(block, place[fresh])
-            value = np.bincount(owner, weights=self.models.measure(gram), minlength=len(fresh))
-            merged = np.concatenate((self.keys, keys[fresh]))
-            order = np.argsort(merged, kind="stable")
-            self.keys, self.values = merged[order], np.concatenate((self.values, value))[order]
-        value = self.values[np.searchsorted(self.keys, keys)][word]
-        return np.bincount(block.text_of_word(), weights=value, minlength=texts) / np.maximum(1, block.counts)
+        """The difference of log-likelihoods of each text over its number of words; 0 without words."""
+        gram, text = spelled(block)
+        sums = np.bincount(text, weights=self.measure(gram), minlength=len(block.first) - 1)
+        return sums / np.maximum(1, block.counts)
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -274,8 +195,7 @@ def score(
     models = spark.sparkContext.broadcast(fit_models(docs, labels, id, text, label))
 
     def make(texts: pa.Array) -> list[pa.Array]:
-        measure = WordMeasure(models.value)
-        found = [measure.texts(b) for b in W.blocks(texts, W.ALNUM_BYTE, 4 * W.BLOCK_BYTES)]
+        found = [models.value.texts(b) for b in W.blocks(texts, W.ALNUM_BYTE, 4 * W.BLOCK_BYTES)]
         return [pa.array(np.concatenate(found) if found else np.zeros(0))]
 
     names = ["held_out", "score", "predicted"]
