@@ -73,7 +73,7 @@ def main(argv):
     from barloom.session import build_session
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
-    spark = build_session(master="local[8]", conf={"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
+    spark = build_session(master="local[8]", conf={"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     sql = oracle_sql()
