@@ -30,7 +30,7 @@ from barloom.llm.shared import column, small_batches, table, written
 CAPACITY = 2048
 END = 0
 #: Different words whose ids a task keeps.
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 600_000
 #: Pieces of a rank bucket, about.
 BUCKET_ROWS = 100_000
 _U = np.uint64
@@ -103,7 +103,7 @@ def _pieces(definition, capacity: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(definition.value)
         for batch in small_batches(batches):
-            for block in W.blocks(batch.column(1), size=4 * W.BLOCK_BYTES):
+            for block in W.blocks(batch.column(1), size=2 * W.BLOCK_BYTES):
                 ids, bounds = encoder.texts(block)
                 size = np.diff(bounds)
                 count = -(-size // capacity)

@@ -333,6 +333,24 @@ def field_spans(text: str, data: bytes, runs: list[tuple[int, int]], base: list[
     return out
 
 
+def _spans(texts: pa.Array, field: Field) -> Iterator[tuple[str, list, list]]:
+    """(text, the patterns' spans, all spans) of each row."""
+    for block in W.blocks(texts):
+        runs: dict[int, list[tuple[int, int]]] = {}
+        for a, b in field.runs(block):
+            row = int(np.searchsorted(block.first, a, "right")) - 1
+            at = int(block.offsets[row])
+            runs.setdefault(row, []).append((int(block.start[a]) - at, int(block.end[b - 1]) - at))
+        for row in range(len(block.first) - 1):
+            text = texts[block.rows.start + row].as_py() or ""
+            base = base_spans(text)
+            spans = base
+            if row in runs:
+                spans = base + field_spans(text, text.encode(), runs[row], base)
+                spans.sort(key=lambda s: (s[0], KINDS.index(s[1])))
+            yield text, base, spans
+
+
 def scan(docs: DataFrame, text: str = "text", field: Field | None = None) -> DataFrame:
     """All columns of ``docs`` and n_assign, n_access, n_hex, base_sha256, spans, secrets.
 
@@ -350,54 +368,41 @@ def scan(docs: DataFrame, text: str = "text", field: Field | None = None) -> Dat
 
     def make(texts: pa.Array) -> list[pa.Array]:
         counts, digests, joined, listed = [[], [], []], [], [], []
-        for block in W.blocks(texts):
-            runs: dict[int, list[tuple[int, int]]] = {}
-            for a, b in model.value.runs(block):
-                row = int(np.searchsorted(block.first, a, "right")) - 1
-                at = int(block.offsets[row])
-                runs.setdefault(row, []).append((int(block.start[a]) - at, int(block.end[b - 1]) - at))
-            for row in range(len(block.first) - 1):
-                text_ = texts[block.rows.start + row].as_py() or ""
-                base = base_spans(text_)
-                for c, k in zip(counts, KINDS):
-                    c.append(sum(kind_ == k for _, kind_, _ in base))
-                digests.append(hashlib.sha256(_join(base).encode()).hexdigest())
-                spans = base
-                if row in runs:
-                    spans = base + field_spans(text_, text_.encode(), runs[row], base)
-                    spans.sort(key=lambda s: (s[0], KINDS.index(s[1])))
-                joined.append(_join(spans))
-                listed.append([{"kind": k, "start": s, "end": e} for s, k, e in spans])
+        for _, base, spans in _spans(texts, model.value):
+            for c, k in zip(counts, KINDS):
+                c.append(sum(found == k for _, found, _ in base))
+            digests.append(hashlib.sha256(_join(base).encode()).hexdigest())
+            joined.append(_join(spans))
+            listed.append([{"kind": k, "start": s, "end": e} for s, k, e in spans])
         return [*(pa.array(c, pa.int64()) for c in counts), pa.array(digests, pa.string()), pa.array(joined, pa.string()), pa.array(listed, kind)]
 
     return append_columns(docs, text, added, make)
 
 
-def _join(spans: list[tuple[int, str, int]]) -> str:
-    return ",".join(f"{kind}:{start}:{end}" for start, kind, end in spans)
+def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", field: Field | None = None) -> DataFrame:
+    """All columns of ``docs``, redacted and n_secrets: the text with each secret replaced by ``mark``.
+
+    Secrets that overlap give one mark. Texts without secrets, null ones too, stay as they are. Otherwise as ``scan``.
+    """
+    model = docs.sparkSession.sparkContext.broadcast(field if field is not None else fit(docs, text))
+
+    def make(texts: pa.Array) -> list[pa.Array]:
+        out, counts = [], []
+        for row, (body, _, spans) in enumerate(_spans(texts, model.value)):
+            upto, parts = 0, []
+            for start, _, end in spans:
+                if start >= upto:
+                    parts += [body[upto:start], mark]
+                upto = max(upto, end)
+            out.append("".join([*parts, body[upto:]]) if texts[row].is_valid else None)
+            counts.append(len(spans))
+        return [pa.array(out, pa.string()), pa.array(counts, pa.int64())]
 
+    return append_columns(docs, text, "redacted string, n_secrets long", make)
 
-def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", field: Field | None = None) -> DataFrame:
-    """``docs`` with each secret of its texts replaced by ``mark``; texts without secrets stay as they are."""
-    names = docs.columns
-    found = scan(docs, text, field)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = names.index(text)
-            texts = batch.column(at).to_pylist()
-            for i, spans in enumerate(batch.column(len(names)).to_pylist()):
-                upto, parts = 0, []
-                for span in spans or ():
-                    if span["end"] > upto:
-                        parts += [texts[i][upto : max(upto, span["start"])], mark] if span["start"] >= upto else []
-                        upto = span["end"]
-                if parts:
-                    texts[i] = "".join([*parts, texts[i][upto:]])
-            columns = [pa.array(texts, pa.string()) if j == at else batch.column(j) for j in range(len(names))]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    return found.select(*[column(c) for c in names], "secrets").mapInArrow(run, docs.schema)
+
+def _join(spans: list[tuple[int, str, int]]) -> str:
+    return ",".join(f"{kind}:{start}:{end}" for start, kind, end in spans)
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

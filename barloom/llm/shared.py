@@ -59,6 +59,7 @@ def small_batches(batches: Iterable[pa.RecordBatch], size: int = 8 << 20) -> Ite
         rows = max(1, int(batch.num_rows * size / max(1, batch.nbytes)))
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        pa.default_memory_pool().release_unused()
 
 
 # Bitmaps over hash cells. Each task counts the cells it saw and sends them by slice of 65,536
@@ -138,7 +139,11 @@ def text_bytes(docs: DataFrame, text: str) -> int:
 
 
 def ship_package(spark: SparkSession) -> SparkSession:
-    """Give the executors this package's source, once per context: a cluster need not have it installed."""
+    """Give the executors this package's source, once per context: a cluster need not have it installed.
+
+    Batches of whole texts are kept short, so that a worker's memory follows a few texts.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     context = spark.sparkContext
     if getattr(context, "_barloom_shipped", False):
         return spark

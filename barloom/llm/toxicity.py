@@ -61,7 +61,7 @@ def _count_grams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of (toxic, text) to (toxic, gram, n), added up within a block."""
     for batch in small_batches(batches):
         toxic = batch.column(0).to_numpy()
-        for block in W.blocks(batch.column(1), W.ALNUM_BYTE, 4 * W.BLOCK_BYTES):
+        for block in W.blocks(batch.column(1), W.ALNUM_BYTE):
             gram, text = spelled(block)
             label = toxic[block.rows][text]
             for which in (0, 1):
@@ -195,7 +195,7 @@ def score(
     models = spark.sparkContext.broadcast(fit_models(docs, labels, id, text, label))
 
     def make(texts: pa.Array) -> list[pa.Array]:
-        found = [models.value.texts(b) for b in W.blocks(texts, W.ALNUM_BYTE, 4 * W.BLOCK_BYTES)]
+        found = [models.value.texts(b) for b in W.blocks(texts, W.ALNUM_BYTE)]
         return [pa.array(np.concatenate(found) if found else np.zeros(0))]
 
     names = ["held_out", "score", "predicted"]

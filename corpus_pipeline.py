@@ -39,9 +39,8 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, each secret of their texts replaced by a mark."""
     ship_package(spark)
-    found = secret_scan.redact(docs.withColumn("__before", F.xxhash64("text")))
-    changed = ~F.xxhash64("text").eqNullSafe(F.col("__before"))
-    return _with_text(found, docs.columns, F.col("text"), changed)
+    found = secret_scan.redact(docs)
+    return _with_text(found, docs.columns, F.col("redacted"), F.col("n_secrets") > 0)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
