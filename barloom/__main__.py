@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import sys
 
 from barloom.plans import serve
 from barloom.plans.load import backfill, load_incremental
-from barloom.plans.publish import refresh_marts, run_gated
+from barloom.plans.publish import refresh_marts, run_gated, run_summary
 from barloom.session import build_session
 from barloom.sources import export, tables
 from barloom.sources.payloads import read_payload_files
@@ -24,6 +25,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--out", help="snapshot folder of an export")
     parser.add_argument("--limit", type=int, default=30)
     parser.add_argument("--strict", action="store_true", help="fail on entries that cannot be typed")
+    parser.add_argument("--full", action="store_true", help="check or rebuild all days, not only changed ones")
     args = parser.parse_args(argv)
     needed = {
         "load": ["payloads"],
@@ -35,14 +37,26 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     for name in needed.get(args.command, []):
         if getattr(args, name) is None:
             parser.error(f"{args.command} requires --{name}")
+    used = {
+        "load": {"payloads", "symbol", "strict"},
+        "gated": {"payloads", "symbol", "strict", "full"},
+        "backfill": {"payloads", "start", "end", "symbol", "strict"},
+        "export": {"out", "symbol"},
+        "changes": {"symbol", "limit"},
+        "marts": {"full"},
+    }[args.command]
+    for name in ("payloads", "start", "end", "symbol", "out", "limit", "strict", "full"):
+        if getattr(args, name) != parser.get_default(name) and name not in used:
+            parser.error(f"{args.command} has no use for --{name}")
     return args
 
 
-def main(argv: list[str] | None = None) -> None:
+def main(argv: list[str] | None = None) -> int:
+    """Exit code: 1 for a gated run that failed."""
     args = arguments(argv)
     spark = build_session()
     if args.command == "marts":
-        print(f"days rebuilt: {len(refresh_marts(spark, args.root))}")
+        print(f"days rebuilt: {len(refresh_marts(spark, args.root, args.full))}")
     elif args.command == "export":
         bars = tables.read_current(spark, args.root, tables.BARS)
         print(export.export_snapshot(bars, args.out, args.symbol))
@@ -50,14 +64,17 @@ def main(argv: list[str] | None = None) -> None:
         serve.price_changes(spark, args.root, args.symbol, args.limit).show(args.limit, truncate=False)
     else:
         payloads = read_payload_files(spark, args.payloads)
+        symbols = [args.symbol] if args.symbol else None
         if args.command == "load":
-            print(load_incremental(spark, args.root, payloads, args.strict))
+            print(load_incremental(spark, args.root, payloads, args.strict, symbols=symbols))
         elif args.command == "backfill":
-            symbols = [args.symbol] if args.symbol else None
             print(backfill(spark, args.root, payloads, args.start, args.end, symbols, args.strict))
         else:
-            print(run_gated(spark, args.root, payloads, strict=args.strict))
+            run = run_gated(spark, args.root, payloads, strict=args.strict, symbols=symbols, full=args.full)
+            print(run_summary(spark, run))
+            return 0 if run.status == "success" else 1
+    return 0
 
 
 if __name__ == "__main__":
-    main()
+    sys.exit(main())

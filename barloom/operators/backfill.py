@@ -20,8 +20,22 @@ def date_spine(subjects: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     return subjects.select(*S.LOAD_STATE_KEY, F.explode(each_day(start, end)).alias("trading_date"))
 
 
+def symbol_zones(rows: DataFrame) -> DataFrame:
+    """One zone per source and symbol: the first by name of those its payloads give."""
+    return rows.groupBy(*S.LOAD_STATE_KEY).agg(F.min("zone").alias("zone"))
+
+
+def zoned_dates(rows: DataFrame, zones: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+    """Rows of the inclusive range with their ``trading_date`` in their symbol's zone; UTC where none is known."""
+    known = zones.select(*S.LOAD_STATE_KEY, F.col("zone").alias("_zone"))
+    dated = rows.join(known, list(S.LOAD_STATE_KEY), "left").withColumn(
+        "trading_date", date_in_zone("ts", F.coalesce("_zone", F.lit("UTC")))
+    )
+    return dated.where(F.col("trading_date").between(F.lit(start), F.lit(end))).drop("_zone")
+
+
 def loaded_dates(facts: DataFrame, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
-    """Distinct dates present in the fact table, per source and symbol."""
+    """Distinct UTC dates present in the fact table, per source and symbol."""
     day = utc_date(F.col("ts"))
     if start is not None:
         facts = facts.where(F.col("ts") >= F.lit(start).cast("timestamp"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom import schemas as S
@@ -29,6 +29,27 @@ def filter_new(rows: DataFrame, state: DataFrame) -> DataFrame:
     return fresh.select(*rows.columns)
 
 
+def _delivered(rows: DataFrame) -> DataFrame:
+    """Rows with their run date; those without one come before all others."""
+    return rows.withColumn("_run", F.coalesce("run_date", F.to_date(F.lit("0001-01-01"))))
+
+
+def filter_delivered(rows: DataFrame, state: DataFrame) -> DataFrame:
+    """Rows later than their mark and than their symbol's rows of earlier run dates.
+
+    A run date is one delivery, so the outcome is the same whether run dates come in one load or one after
+    the other. Only a row per symbol and run date is windowed.
+    """
+    key = list(S.LOAD_STATE_KEY)
+    each = _delivered(rows).groupBy(*key, "_run").agg(F.max("ts").alias("_max"))
+    before = Window.partitionBy(*key).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    marks = with_mark(each, state).select(
+        *key, "_run", F.greatest("last_watermark", F.max("_max").over(before)).alias("_mark")
+    )
+    joined = _delivered(rows).join(marks, [*key, "_run"], "left")
+    return joined.where(F.col("_mark").isNull() | (F.col("ts") > F.col("_mark"))).select(*rows.columns)
+
+
 def late_rows(rows: DataFrame, state: DataFrame, facts: DataFrame) -> DataFrame:
     """Rows a routine load passes over although the fact table does not hold them yet."""
     passed_over = with_mark(rows, state).where(F.col("ts") <= F.col("last_watermark"))
@@ -38,7 +59,7 @@ def late_rows(rows: DataFrame, state: DataFrame, facts: DataFrame) -> DataFrame:
 def batch_marks(rows: DataFrame) -> DataFrame:
     """Latest timestamp and row count of a batch, per source and symbol."""
     return rows.groupBy(*S.LOAD_STATE_KEY).agg(
-        F.max("ts").alias("max_ts"), F.count(F.lit(1)).cast("int").alias("row_count")
+        F.max("ts").alias("max_ts"), F.count(F.lit(1)).alias("row_count")
     )
 
 

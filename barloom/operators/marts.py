@@ -11,13 +11,21 @@ from barloom.operators.ordered import dense_rank_highest_first
 from barloom.operators.upsert import upsert, upsert_keeping
 
 
+def _mean(name: str) -> Column:
+    """Average at four places, rounded half up once: in whole units of the sum's six places."""
+    units = f"cast(abs(sum({name})) * 1000000 as decimal(38,0))"
+    places = F.expr(f"(2 * {units} + 100 * count({name})) div nullif(200 * count({name}), 0)").cast("decimal(20,0)")
+    size = (places * F.lit("0.0001").cast("decimal(4,4)")).cast(S.MART_PRICE)
+    return F.when(F.sum(name) < 0, -size).otherwise(size)
+
+
 def daily_summary(bars: DataFrame) -> DataFrame:
     """Close-price statistics and total volume per symbol and UTC day.
 
     One aggregate with a map-side part, so a busy symbol or day is reduced before the shuffle.
     """
     return bars.groupBy("symbol", utc_date("ts").alias("trading_date")).agg(
-        F.avg("close").cast(S.MART_PRICE).alias("avg_close"),
+        _mean("close").alias("avg_close"),
         F.min("close").cast(S.MART_PRICE).alias("min_close"),
         F.max("close").cast(S.MART_PRICE).alias("max_close"),
         F.sum("volume").alias("total_volume"),

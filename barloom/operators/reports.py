@@ -9,17 +9,6 @@ from barloom.functions.times import utc_date
 from barloom.functions.values import percent_change
 from barloom.operators.ordered import previous_value, row_numbers_latest_first
 
-CHANGE_COLUMNS = (
-    "symbol",
-    "trading_date",
-    "close_price",
-    "previous_close",
-    "price_change",
-    "change_pct",
-    "volume",
-)
-
-
 def bar_row_numbers(bars: DataFrame, piece: str = "day") -> DataFrame:
     """Every bar with its position from the latest bar of its symbol back."""
     return row_numbers_latest_first(bars.select("symbol", "ts", "close"), "symbol", "ts", "row_num", piece)

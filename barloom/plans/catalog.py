@@ -21,6 +21,7 @@ from barloom.functions.values import first_present, object_key
 from barloom.operators import backfill, incremental, marts, metrics, quality, reports, staging, upsert
 from barloom.plans import load, publish
 from barloom.session import use_utc, work_folder
+from barloom.sources.payloads import payload_symbol
 from barloom.sources import export, tables as tb, testdata as td
 from barloom.streaming import ingest
 
@@ -389,7 +390,7 @@ def serve_latest_price(spark, sf_dir):
 @query
 def recent_loads(spark, sf_dir):
     days = td.bars(spark, sf_dir).groupBy(*S.LOAD_STATE_KEY, utc_date("ts").alias("load_date")).agg(
-        F.count(F.lit(1)).cast("int").alias("record_count")
+        F.count(F.lit(1)).alias("record_count")
     )
     audit = days.select(
         F.md5(F.concat_ws("|", F.date_format("load_date", "yyyy-MM-dd"), "source", "symbol")).alias("id"),
@@ -544,9 +545,16 @@ def mart_refresh_job(spark, sf_dir):
 
 @query
 def stream_load_job(spark, sf_dir):
-    root = work_folder(spark, "stream_load_job")
-    for run_date, delivery in zip((FIRST_DELIVERY_UNTIL, LOAD_DATE), _deliveries(spark, sf_dir)):
-        delivery.write.text(f"{root}/landing/run_date={run_date}/symbol=many")
-        stream = ingest.start_ingest(spark, f"{root}/landing", f"{root}/tables", f"{root}/progress", by_line=True)
-        stream.awaitTermination()
-    return tb.read_current(spark, f"{root}/tables", tb.LOAD_STATE).drop("updated_at")
+    """The same two run dates, all files in one batch (0) and two files a batch."""
+    out = None
+    for files in (None, 2):
+        root = work_folder(spark, "stream_load_job")
+        for run_date, delivery in zip((FIRST_DELIVERY_UNTIL, LOAD_DATE), _deliveries(spark, sf_dir)):
+            delivery.repartition(4, payload_symbol()).write.text(f"{root}/landing/run_date={run_date}/symbol=many")
+            stream = ingest.start_ingest(
+                spark, f"{root}/landing", f"{root}/tables", f"{root}/progress", max_files=files, by_line=True
+            )
+            stream.awaitTermination()
+        bars = tb.read_current(spark, f"{root}/tables", tb.BARS).withColumn("files_per_batch", F.lit(files or 0))
+        out = bars if out is None else out.unionByName(bars)
+    return out

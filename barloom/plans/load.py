@@ -28,27 +28,30 @@ class StagingError(RuntimeError):
 
 @dataclass(frozen=True)
 class LoadResult:
+    """``late``: rows passed over by the mark although the bars do not hold them; a backfill can bring them."""
+
     commit_id: int | None
     row_count: int
     days: list[dt.date] = field(default_factory=list)
     rejected: int = 0
+    late: int = 0
 
 
-def _stage(spark: SparkSession, root: str, payloads: DataFrame, commit_id: int) -> DataFrame:
+def _stage(spark: SparkSession, root: str, payloads: DataFrame, to: tb.Commit) -> DataFrame:
     """Type the payloads once and read them back. ``load_order`` says which duplicate comes last."""
     parsed = staging.parse_payloads(payloads)
     order = [c for c in ("run_date", "file") if c in parsed.columns]
-    keep = [*staging.BAR_COLUMNS, "zone", "raw_date", staging.REASON]
-    path = f"{root}/_staging/commit_id={commit_id}"
+    keep = [*staging.BAR_COLUMNS, "zone", "raw_date", staging.REASON, *(["run_date"] if "run_date" in order else [])]
+    path = f"{root}/_staging/{to.folder}"
     load_order = F.concat_ws("|", *order) if order else F.lit("")
     parsed.select(*keep, load_order.alias("load_order")).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
-def _batch(spark: SparkSession, root: str, rows: DataFrame, commit_id: int) -> tuple[DataFrame, dict[dt.date, int]]:
+def _batch(spark: SparkSession, root: str, rows: DataFrame, to: tb.Commit) -> tuple[DataFrame, dict[dt.date, int]]:
     """Reduce to one row per key and write the rows to load; also their number per day."""
     order = ["load_order", *[c for c in rows.columns if c not in (*S.BAR_KEY, "load_order")]]
-    path = f"{root}/_batch/commit_id={commit_id}"
+    path = f"{root}/_batch/{to.folder}"
     last_per_key(rows, S.BAR_KEY, order).select(*staging.BAR_COLUMNS).write.mode("overwrite").parquet(path)
     batch = spark.read.schema(S.BARS).parquet(path)
     return batch, tb.count_days(batch, tb.BARS)
@@ -62,48 +65,82 @@ def _rejects(staged: DataFrame, strict: bool) -> int:
 
 
 def _apply(
-    spark: SparkSession, held: tb.Snapshot, commit_id: int, batch: DataFrame, days: list[dt.date], now: dt.datetime
+    spark: SparkSession, held: tb.Snapshot, to: tb.Commit, batch: DataFrame, days: list[dt.date], now: dt.datetime
 ) -> dict[tb.Table, list[dt.date] | None]:
     """Write the next content of the changed days, the load state and the audit rows."""
     root = held.root
     stored = tb.read_table(spark, held, tb.BARS, days)
-    tb.write_table(upsert(stored, batch, S.BAR_KEY), root, tb.BARS, commit_id)
+    tb.write_table(upsert(stored, batch, S.BAR_KEY), root, tb.BARS, to)
     state = tb.read_table(spark, held, tb.LOAD_STATE)
     stamp = F.lit(now).cast("timestamp")
-    tb.write_table(incremental.advance_marks(state, batch, stamp), root, tb.LOAD_STATE, commit_id)
+    tb.write_table(incremental.advance_marks(state, batch, stamp), root, tb.LOAD_STATE, to)
     today = now.date()
-    audit = incremental.audit_rows(batch, f"commit-{commit_id}", today)
+    audit = incremental.audit_rows(batch, f"commit-{to.number}", today)
     earlier = tb.read_table(spark, held, tb.LOAD_AUDIT, [today])
-    tb.write_table(earlier.unionByName(audit), root, tb.LOAD_AUDIT, commit_id)
+    tb.write_table(earlier.unionByName(audit), root, tb.LOAD_AUDIT, to)
     return {tb.BARS: days, tb.LOAD_STATE: None, tb.LOAD_AUDIT: [today]}
 
 
+def _keep_rejects(
+    spark: SparkSession, held: tb.Snapshot, to: tb.Commit, staged: DataFrame, today: dt.date
+) -> dict[tb.Table, list[dt.date] | None]:
+    """Add the entries that could not be typed to the rejects of the day, each once."""
+    columns = S.REJECTS.fieldNames()
+    rows = staging.rejected(staged).withColumn("load_date", F.lit(today)).select(*columns).distinct()
+    earlier = tb.read_table(spark, held, tb.REJECTS, [today])
+    if rows.exceptAll(earlier).isEmpty():
+        return {}
+    tb.write_table(earlier.unionByName(rows).distinct(), held.root, tb.REJECTS, to)
+    return {tb.REJECTS: [today]}
+
+
+def _of_symbols(rows: DataFrame, symbols: list[str] | None) -> DataFrame:
+    return rows if symbols is None else rows.where(F.col("symbol").isin([s.strip().upper() for s in symbols]))
+
+
+def _late(spark: SparkSession, held: tb.Snapshot, rows: DataFrame, state: DataFrame) -> int:
+    """How many rows the marks pass over that the bars do not hold."""
+    passed = incremental.with_mark(rows, state).where(F.col("ts") <= F.col("last_watermark"))
+    days = sorted(tb.count_days(passed.select(*staging.BAR_COLUMNS), tb.BARS))
+    facts = tb.read_table(spark, held, tb.BARS, days)
+    return incremental.late_rows(rows, state, facts).select(*S.BAR_KEY).distinct().count() if days else 0
+
+
 def load_incremental(
     spark: SparkSession,
     root: str,
     payloads: DataFrame,
     strict: bool = False,
     now: dt.datetime | None = None,
+    symbols: list[str] | None = None,
 ) -> LoadResult:
     """Load every bar later than its symbol's mark, then move the marks.
 
-    ``payloads`` has ``value`` and, if it can repeat a bar, ``run_date`` and ``file`` to
-    say which comes last. A delivery without new bars changes nothing.
+    ``payloads`` has ``value`` and may have ``run_date`` and ``file``. A run date is one
+    delivery: its bars count if they are later than the mark and than the symbol's bars of
+    earlier run dates; within a run date the last file wins. Without run dates a load is a
+    delivery. A delivery without new bars changes nothing but the rejects.
     """
     use_utc(spark)
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     held = tb.open_snapshot(spark, root)
-    commit_id = held.commit_id + 1
-    staged = _stage(spark, root, payloads, commit_id)
+    to = held.next_commit()
+    staged = _stage(spark, root, payloads, to)
     rejected = _rejects(staged, strict)
-    rows = staging.accepted(staged).drop("zone")
-    fresh = incremental.filter_new(rows, tb.read_table(spark, held, tb.LOAD_STATE))
-    batch, per_day = _batch(spark, root, fresh, commit_id)
+    changed = _keep_rejects(spark, held, to, staged, now.date()) if rejected else {}
+    rows = _of_symbols(staging.accepted(staged).drop("zone"), symbols)
+    state = tb.read_table(spark, held, tb.LOAD_STATE)
+    new = incremental.filter_delivered if "run_date" in rows.columns else incremental.filter_new
+    fresh = new(rows, state)
+    batch, per_day = _batch(spark, root, fresh.drop("run_date"), to)
     days = sorted(per_day)
-    if not days:
-        return LoadResult(None, 0, [], rejected)
-    tb.commit(spark, root, commit_id, _apply(spark, held, commit_id, batch, days, now))
-    return LoadResult(commit_id, sum(per_day.values()), days, rejected)
+    late = _late(spark, held, rows, state)
+    if days:
+        changed |= _apply(spark, held, to, batch, days, now)
+    if not changed:
+        return LoadResult(None, 0, [], rejected, late)
+    tb.commit(spark, root, to, changed)
+    return LoadResult(to.number if days else None, sum(per_day.values()), days, rejected, late)
 
 
 def backfill(
@@ -119,43 +156,48 @@ def backfill(
     """Load the bars of the days in the range that are not done yet, whatever the marks say.
 
     Days already in the fact table or in the recorded progress are skipped; a day that
-    brings no bar stays open. Marks keep the later of the stored and the loaded time.
+    brings no bar stays open. All dates are days in the symbol's zone, the one its payloads
+    give. Marks keep the later of the stored and the loaded time.
     """
     use_utc(spark)
     check_range(start, end)
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     held = tb.open_snapshot(spark, root)
-    commit_id = held.commit_id + 1
-    staged = _stage(spark, root, payloads, commit_id)
+    to = held.next_commit()
+    staged = _stage(spark, root, payloads, to)
     rejected = _rejects(staged, strict)
-    rows = staging.accepted(staged)
-    if symbols is not None:
-        rows = rows.where(F.col("symbol").isin([s.strip().upper() for s in symbols]))
+    changed = _keep_rejects(spark, held, to, staged, now.date()) if rejected else {}
+    rows = _of_symbols(staging.accepted(staged), symbols)
+    zones = bf.symbol_zones(rows)
 
     calendar = [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
     recorded = tb.read_table(spark, held, tb.PROGRESS, calendar)
-    done = bf.completed_dates(recorded, tb.read_table(spark, held, tb.BARS, calendar), start, end)
-    spine = bf.date_spine(rows.select(*S.LOAD_STATE_KEY).distinct(), start, end)
-    pending = bf.pending_dates(spine, done)
-    selected = bf.rows_for_dates(rows, pending, F.col("zone")).drop("zone")
-    batch, per_day = _batch(spark, root, selected, commit_id)
+    # A zone's day overlaps the UTC day before or after.
+    around = [start - dt.timedelta(days=1), *calendar, end + dt.timedelta(days=1)]
+    stored = bf.zoned_dates(tb.read_table(spark, held, tb.BARS, around), zones, start, end)
+    done = recorded.select(*S.PROGRESS_KEY).unionByName(stored.select(*S.PROGRESS_KEY)).distinct()
+    selected = bf.pending_dates(bf.zoned_dates(rows.drop("zone"), zones, start, end), done).drop("trading_date")
+    batch, per_day = _batch(spark, root, selected.drop("run_date"), to)
     days = sorted(per_day)
 
-    changed = _apply(spark, held, commit_id, batch, days, now) if days else {}
-    progress = done.unionByName(bf.finished_dates(pending, batch)).distinct()
-    tb.write_table(progress, root, tb.PROGRESS, commit_id)
-    finished_days = tb.count_days(tb.written(spark, root, tb.PROGRESS, commit_id), tb.PROGRESS)
-    if not days and sum(finished_days.values()) == recorded.count():
+    if days:
+        changed |= _apply(spark, held, to, batch, days, now)
+    finished = bf.zoned_dates(batch, zones, start, end).select(*S.PROGRESS_KEY)
+    tb.write_table(done.unionByName(finished).distinct(), root, tb.PROGRESS, to)
+    finished_days = tb.count_days(tb.written(spark, root, tb.PROGRESS, to), tb.PROGRESS)
+    if sum(finished_days.values()) > recorded.count():
+        changed[tb.PROGRESS] = sorted(finished_days)
+    if not changed:
         return LoadResult(None, 0, [], rejected)  # nothing loaded, nothing newly known to be done
-    tb.commit(spark, root, commit_id, {**changed, tb.PROGRESS: sorted(finished_days)})
-    return LoadResult(commit_id, sum(per_day.values()), days, rejected)
+    tb.commit(spark, root, to, changed)
+    return LoadResult(to.number if {*changed} - {tb.REJECTS} else None, sum(per_day.values()), days, rejected)
 
 
 def seed_bars(spark: SparkSession, root: str, rows: DataFrame) -> LoadResult:
     """Add bars whose key is not there yet; known keys are left alone."""
     use_utc(spark)
     held = tb.open_snapshot(spark, root)
-    commit_id = held.commit_id + 1
+    to = held.next_commit()
     rows = staging.with_source(rows, S.DEFAULT_SOURCE)
     rows = last_per_key(rows, S.BAR_KEY, [c for c in rows.columns if c not in S.BAR_KEY])
     days = sorted(tb.count_days(rows, tb.BARS))
@@ -166,6 +208,6 @@ def seed_bars(spark: SparkSession, root: str, rows: DataFrame) -> LoadResult:
     days = sorted(per_day)
     stored = tb.read_table(spark, held, tb.BARS, days)
     new = rows.where(F.to_date("ts").isin(days))
-    tb.write_table(insert_if_absent(stored, new, S.BAR_KEY), root, tb.BARS, commit_id)
-    tb.commit(spark, root, commit_id, {tb.BARS: days})
-    return LoadResult(commit_id, sum(per_day.values()), days)
+    tb.write_table(insert_if_absent(stored, new, S.BAR_KEY), root, tb.BARS, to)
+    tb.commit(spark, root, to, {tb.BARS: days})
+    return LoadResult(to.number, sum(per_day.values()), days)

@@ -34,7 +34,7 @@ DEFS = {
         WHERE ts >= CASE WHEN source = 'shipments' THEN TIMESTAMP '1999-07-01' ELSE TIMESTAMP '2024-01-10' END
           AND symbol <> 'ERROR'""",
     "state": """
-        SELECT source, symbol, max(ts) AS last_watermark, CAST(count(*) AS INTEGER) AS last_row_count,
+        SELECT source, symbol, max(ts) AS last_watermark, CAST(count(*) AS BIGINT) AS last_row_count,
                'seeded' AS status, TIMESTAMP '2020-01-01 00:00:00' AS updated_at
         FROM existing GROUP BY source, symbol""",
     "loaded": """
@@ -135,7 +135,7 @@ CHANGES = """
           FROM (SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY ts) AS prev FROM bars))"""
 
 MARKS = """
-    SELECT source, symbol, max(ts) AS max_ts, CAST(count(*) AS INTEGER) AS row_count FROM {} GROUP BY source, symbol"""
+    SELECT source, symbol, max(ts) AS max_ts, CAST(count(*) AS BIGINT) AS row_count FROM {} GROUP BY source, symbol"""
 
 ADVANCED = """
     SELECT source, symbol, greatest(s.last_watermark, m.max_ts) AS last_watermark,
@@ -353,7 +353,7 @@ ORACLE: dict[str, str] = {
                   strftime(load_date, '%Y-%m-%d') AS version, record_count,
                   CAST(load_date AS TIMESTAMP) AS recorded_at
            FROM loads ORDER BY recorded_at DESC, id LIMIT 10""",
-        loads="""SELECT source, symbol, CAST(ts AS DATE) AS load_date, CAST(count(*) AS INTEGER) AS record_count
+        loads="""SELECT source, symbol, CAST(ts AS DATE) AS load_date, CAST(count(*) AS BIGINT) AS record_count
                  FROM bars GROUP BY 1, 2, 3""",
     ),
     "quality_checks": _q(
@@ -502,12 +502,5 @@ ORACLE: dict[str, str] = {
         summary=_summary("twice_loaded"),
         ranks="SELECT symbol, trading_date, volume_rank FROM (" + RANKS + ")",
     ),
-    "stream_load_job": _q(
-        JOB,
-        """SELECT source, symbol, max(ts) AS last_watermark,
-                  CAST(CASE WHEN count(*) FILTER (is_second) > 0 THEN count(*) FILTER (is_second)
-                            ELSE count(*) END AS INTEGER) AS last_row_count,
-                  'success' AS status
-           FROM twice_loaded GROUP BY source, symbol""",
-    ),
+    "stream_load_job": _q(JOB, f"SELECT {BAR_OUT}, files_per_batch FROM twice_loaded, (VALUES (0), (2)) AS n(files_per_batch)"),
 }

@@ -10,12 +10,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.operators import marts, quality
+from barloom.operators import marts, metrics, quality
 from barloom.plans.load import load_incremental
 from barloom.session import use_utc
 from barloom.sources import tables as tb
 
 # Step names as they appear in run records.
+PIPELINE = "gated_run"
 LOAD_STEP = "run_stock_pipeline"
 GATE_STEP = "run_quality_checks"
 MARTS_STEP = "build_marts"
@@ -34,22 +35,22 @@ def refresh_marts(spark: SparkSession, root: str, full: bool = False, now: dt.da
     days = held.days(tb.BARS, changed_after=0 if full else held.last_change(tb.LATEST_PRICE))
     if not days:
         return []
-    commit_id = held.commit_id + 1
+    to = held.next_commit()
     bars = tb.read_table(spark, held, tb.BARS, days)
 
     fresh = marts.fit_symbol(marts.daily_summary(bars))
     stored = tb.read_table(spark, held, tb.DAILY_SUMMARY, days)
-    tb.write_table(marts.merge_summary(stored, fresh, stamp), root, tb.DAILY_SUMMARY, commit_id)
+    tb.write_table(marts.merge_summary(stored, fresh, stamp), root, tb.DAILY_SUMMARY, to)
 
     latest = marts.advance_latest(tb.read_table(spark, held, tb.LATEST_PRICE), marts.latest_price(bars), stamp)
-    tb.write_table(latest, root, tb.LATEST_PRICE, commit_id)
+    tb.write_table(latest, root, tb.LATEST_PRICE, to)
 
     # Ranks need the merged summary, which has just been written.
-    merged = tb.written(spark, root, tb.DAILY_SUMMARY, commit_id)
+    merged = tb.written(spark, root, tb.DAILY_SUMMARY, to)
     ranks = marts.merge_ranks(tb.read_table(spark, held, tb.VOLUME_RANK, days), marts.volume_rank(merged))
-    tb.write_table(ranks, root, tb.VOLUME_RANK, commit_id)
+    tb.write_table(ranks, root, tb.VOLUME_RANK, to)
 
-    tb.commit(spark, root, commit_id, {tb.DAILY_SUMMARY: days, tb.LATEST_PRICE: None, tb.VOLUME_RANK: days})
+    tb.commit(spark, root, to, {tb.DAILY_SUMMARY: days, tb.LATEST_PRICE: None, tb.VOLUME_RANK: days})
     return days
 
 
@@ -73,9 +74,9 @@ def pass_gate(spark: SparkSession, root: str, as_of: dt.date | None = None, full
     held = tb.open_snapshot(spark, root)
     report = check_bars(spark, held, as_of, full).collect()
     passed = quality.require_passed(report)
-    commit_id = held.commit_id + 1
-    tb.write_table(spark.createDataFrame(report, tb.GATE_PASSES.schema), root, tb.GATE_PASSES, commit_id)
-    tb.commit(spark, root, commit_id, {tb.GATE_PASSES: None})
+    to = held.next_commit()
+    tb.write_table(spark.createDataFrame(report, tb.GATE_PASSES.schema), root, tb.GATE_PASSES, to)
+    tb.commit(spark, root, to, {tb.GATE_PASSES: None})
     return passed
 
 
@@ -102,14 +103,20 @@ def run_step(run: GatedRun, name: str, work: Callable[[], int | None]) -> bool:
 
 
 def run_gated(
-    spark: SparkSession, root: str, payloads: DataFrame, as_of: dt.date | None = None, strict: bool = False
+    spark: SparkSession,
+    root: str,
+    payloads: DataFrame,
+    as_of: dt.date | None = None,
+    strict: bool = False,
+    symbols: list[str] | None = None,
+    full: bool = False,
 ) -> GatedRun:
     """Load, check, publish; stop at the first step that fails. Step records are stored."""
     use_utc(spark)
     run = GatedRun(run_id=uuid.uuid4().hex)
     work = [
-        (LOAD_STEP, lambda: load_incremental(spark, root, payloads, strict).row_count),
-        (GATE_STEP, lambda: pass_gate(spark, root, as_of)),
+        (LOAD_STEP, lambda: load_incremental(spark, root, payloads, strict, symbols=symbols).row_count),
+        (GATE_STEP, lambda: pass_gate(spark, root, as_of, full)),
         (MARTS_STEP, lambda: len(refresh_marts(spark, root))),
     ]
     for name, step in work:
@@ -122,11 +129,17 @@ def run_gated(
     return run
 
 
+def run_summary(spark: SparkSession, run: GatedRun) -> str:
+    """A run and its steps as one JSON object."""
+    steps = spark.createDataFrame(run.steps, tb.STEP_RUNS.schema)
+    return metrics.run_json(metrics.run_metrics(steps, PIPELINE)).first()["json"]
+
+
 def record_steps(spark: SparkSession, root: str, run: GatedRun) -> None:
     held = tb.open_snapshot(spark, root)
-    commit_id = held.commit_id + 1
+    to = held.next_commit()
     steps = spark.createDataFrame(run.steps, tb.STEP_RUNS.schema)
     days = sorted(tb.count_days(steps, tb.STEP_RUNS))
     earlier = tb.read_table(spark, held, tb.STEP_RUNS, days)
-    tb.write_table(earlier.unionByName(steps), root, tb.STEP_RUNS, commit_id)
-    tb.commit(spark, root, commit_id, {tb.STEP_RUNS: days})
+    tb.write_table(earlier.unionByName(steps), root, tb.STEP_RUNS, to)
+    tb.commit(spark, root, to, {tb.STEP_RUNS: days})

@@ -41,7 +41,7 @@ LOAD_STATE = T.StructType(
         T.StructField("source", T.StringType()),
         T.StructField("symbol", T.StringType()),
         T.StructField("last_watermark", T.TimestampType()),
-        T.StructField("last_row_count", T.IntegerType()),
+        T.StructField("last_row_count", T.LongType()),
         T.StructField("status", T.StringType()),
         T.StructField("updated_at", T.TimestampType()),
     ]
@@ -53,7 +53,7 @@ LOAD_AUDIT = T.StructType(
         T.StructField("source", T.StringType()),
         T.StructField("load_date", T.DateType()),
         T.StructField("version", T.StringType()),
-        T.StructField("record_count", T.IntegerType()),
+        T.StructField("record_count", T.LongType()),
         T.StructField("recorded_at", T.TimestampType()),
     ]
 )
@@ -67,6 +67,17 @@ PROGRESS = T.StructType(
     ]
 )
 
+REJECTS = T.StructType(
+    [
+        T.StructField("load_date", T.DateType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("symbol", T.StringType()),
+        T.StructField("raw_date", T.StringType()),
+        T.StructField("reject_reason", T.StringType()),
+        T.StructField("load_order", T.StringType()),
+    ]
+)
+
 SUMMARY_KEY = ("symbol", "trading_date")
 DAILY_SUMMARY = T.StructType(
     [

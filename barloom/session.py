@@ -48,9 +48,12 @@ def build_session(
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder for a job's tables in the shared folder the cluster names.
 
-    Only where none is named, as in tests on one machine, is a temporary folder used.
+    Only where none is named and all tasks run on this machine is a temporary folder used.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
         shared = tempfile.mkdtemp(prefix="run-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

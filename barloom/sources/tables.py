@@ -4,7 +4,9 @@ A job writes the days it changed to a new ``commit_id=<n>`` folder of each table
 then adds one small file to ``_commits`` that names them. That file is the commit:
 readers only look at folders it names, so facts, load state and audit rows appear
 together or not at all, and a run that dies leaves the tables as they were. Days that
-a job does not touch are neither read nor rewritten. One writer at a time.
+a job does not touch are neither read nor rewritten. Each job has a token of its own in
+its folder names and its commit: of two jobs that started from the same commit one is
+published and the other raises.
 
 The driver only ever holds one number per table and day, which grows with the calendar.
 """
@@ -12,6 +14,7 @@ The driver only ever holds one number per table and day, which grows with the ca
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -26,6 +29,7 @@ DAY = "trading_date"
 COMMITS = T.StructType(
     [
         T.StructField("commit_id", T.LongType()),
+        T.StructField("token", T.StringType()),
         T.StructField("table_name", T.StringType()),
         T.StructField(DAY, T.DateType()),
         T.StructField("committed_at", T.TimestampType()),
@@ -45,6 +49,7 @@ class Table:
 
 BARS = Table("market_bars", S.BARS, day="ts", order=("symbol", "ts"))
 LOAD_STATE = Table("pipeline_metadata", S.LOAD_STATE)
+REJECTS = Table("load_rejects", S.REJECTS, day="load_date")
 LOAD_AUDIT = Table("load_metadata", S.LOAD_AUDIT, day="load_date")
 PROGRESS = Table("backfill_progress", S.PROGRESS, day=DAY, order=("symbol",))
 DAILY_SUMMARY = Table("mart_daily_symbol_summary", S.DAILY_SUMMARY, day=DAY, order=("symbol",))
@@ -54,36 +59,56 @@ GATE_PASSES = Table("quality_gate_passes", S.CHECKS)
 STEP_RUNS = Table("step_runs", S.STEP_RUNS, day="started_at")
 
 
+class ConcurrentCommit(RuntimeError):
+    """Another job published a commit after this one had read the tables; nothing of this one is visible."""
+
+
+@dataclass(frozen=True, order=True)
+class Commit:
+    """A commit's number and the token of the job that makes it."""
+
+    number: int
+    token: str
+
+    @property
+    def folder(self) -> str:
+        return f"commit_id={self.number}-{self.token}"
+
+
 @dataclass(frozen=True)
 class Snapshot:
     """The tables after one commit. ``live``: table -> day (None for whole tables) -> commit that holds it."""
 
     root: str
     commit_id: int
-    live: dict[str, dict[dt.date | None, int]]
+    live: dict[str, dict[dt.date | None, Commit]]
+
+    def next_commit(self) -> Commit:
+        return Commit(self.commit_id + 1, uuid.uuid4().hex)
 
     def last_change(self, table: Table) -> int:
-        return max(self.live.get(table.name, {}).values(), default=0)
+        return max((c.number for c in self.live.get(table.name, {}).values()), default=0)
 
     def days(self, table: Table, changed_after: int = 0) -> list[dt.date]:
         """Days a table holds, or those rewritten by commits later than ``changed_after``."""
-        return sorted(day for day, n in self.live.get(table.name, {}).items() if n > changed_after)
+        return sorted(day for day, c in self.live.get(table.name, {}).items() if c.number > changed_after)
 
 
-def open_snapshot(spark: SparkSession, root: str, as_of: int | None = None) -> Snapshot:
-    """The tables as they are now, or as they were after commit ``as_of``."""
+def open_snapshot(spark: SparkSession, root: str) -> Snapshot:
+    """The tables as they are now. Of commits with one number the smallest token counts."""
     try:
         log = spark.read.schema(COMMITS).parquet(f"{root}/_commits")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return Snapshot(root, 0, {})
-    if as_of is not None:
-        log = log.where(F.col("commit_id") <= as_of)
-    live: dict[str, dict[dt.date | None, int]] = {}
-    for name, day, n in log.groupBy("table_name", DAY).agg(F.max("commit_id")).collect():
-        live.setdefault(name, {})[day] = n
-    newest = max((n for days in live.values() for n in days.values()), default=0)
+    published = log.groupBy("commit_id").agg(F.min("token").alias("token"))
+    log = log.join(published, ["commit_id", "token"], "left_semi")
+    live: dict[str, dict[dt.date | None, Commit]] = {}
+    newest_of = F.max(F.struct("commit_id", "token")).alias("newest")
+    for name, day, held in log.groupBy("table_name", DAY).agg(newest_of).collect():
+        live.setdefault(name, {})[day] = Commit(held["commit_id"], held["token"])
+    newest = max((c.number for days in live.values() for c in days.values()), default=0)
     return Snapshot(root, newest, live)
 
 
@@ -98,7 +123,7 @@ def read_table(
     if not live:
         return spark.createDataFrame([], table.schema)
     paths = [
-        f"{base}/commit_id={n}" + ("" if day is None else f"/{DAY}={day.isoformat()}") for day, n in live.items()
+        f"{base}/{c.folder}" + ("" if day is None else f"/{DAY}={day.isoformat()}") for day, c in live.items()
     ]
     names = table.schema.fieldNames()
     stored = table.schema
@@ -122,32 +147,41 @@ def count_days(df: DataFrame, table: Table) -> dict[dt.date, int]:
     return {row[0]: row[1] for row in with_day(df, table).groupBy(DAY).count().collect()}
 
 
-def write_table(df: DataFrame, root: str, table: Table, commit_id: int) -> None:
+def write_table(df: DataFrame, root: str, table: Table, to: Commit) -> None:
     """Write rows to the folder of a commit; nobody sees them before ``commit``.
 
     Rows are gathered by day with a rebalance, which splits a day that is too big for one
     task and joins small ones, and are sorted so that a symbol filter can skip row groups.
     """
-    path = f"{root}/{table.name}/commit_id={commit_id}"
+    path = f"{root}/{table.name}/{to.folder}"
     if table.day is None:
         df.write.mode("overwrite").parquet(path)
         return
     ordered = with_day(df, table).hint("rebalance", DAY).sortWithinPartitions(DAY, *table.order)
-    ordered.write.mode("overwrite").partitionBy(DAY).parquet(path)
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(DAY).parquet(path)
 
 
-def written(spark: SparkSession, root: str, table: Table, commit_id: int) -> DataFrame:
+def written(spark: SparkSession, root: str, table: Table, to: Commit) -> DataFrame:
     """What a running job has written to a table and not committed yet."""
     names = table.schema.fieldNames()
-    return spark.read.schema(table.schema).parquet(f"{root}/{table.name}/commit_id={commit_id}").select(*names)
+    return spark.read.schema(table.schema).parquet(f"{root}/{table.name}/{to.folder}").select(*names)
 
 
-def commit(spark: SparkSession, root: str, commit_id: int, changed: dict[Table, Iterable[dt.date] | None]) -> None:
-    """Publish the written folders of ``commit_id``: one file, added in one step."""
+def commit(spark: SparkSession, root: str, to: Commit, changed: dict[Table, Iterable[dt.date] | None]) -> None:
+    """Publish the written folders of ``to``: one file, added in one step.
+
+    Raises ``ConcurrentCommit`` if another job has published since the tables were read, or
+    adds the same commit at the same time and has the smaller token.
+    """
+    if open_snapshot(spark, root).commit_id != to.number - 1:
+        raise ConcurrentCommit(f"commit {to.number} is taken")
     now = dt.datetime.now(dt.timezone.utc)
     entries = [
-        (commit_id, table.name, day, now)
+        (to.number, to.token, table.name, day, now)
         for table, days in changed.items()
         for day in ([None] if days is None else days)
     ]
     spark.createDataFrame(entries, COMMITS).coalesce(1).write.mode("append").parquet(f"{root}/_commits")
+    rows = spark.read.schema(COMMITS).parquet(f"{root}/_commits").where(F.col("commit_id") == to.number)
+    if rows.agg(F.min("token")).first()[0] != to.token:
+        raise ConcurrentCommit(f"commit {to.number} is taken")

@@ -1,8 +1,9 @@
 """The incremental load as a stream over the landing folder.
 
-Every micro-batch goes through the same load job. A batch that is replayed after a
-failure finds its bars at or below the marks, or not committed at all, so the tables
-end up the same.
+Every micro-batch goes through the same load job. A run date is one delivery and, as it
+lands, one file for each symbol, so the bars do not depend on how many files a batch has.
+A batch that is replayed after a failure finds its bars at or below the marks, or not
+committed at all, so the tables end up the same.
 """
 
 from __future__ import annotations
@@ -17,13 +18,14 @@ from barloom.sources.payloads import LANDING
 
 
 def landing_stream(
-    spark: SparkSession, landing: str, max_files: int = 100_000, by_line: bool = False
+    spark: SparkSession, landing: str, max_files: int | None = None, by_line: bool = False
 ) -> DataFrame:
     """Landed payloads as they arrive, with their run date and file: one per file, or one per line."""
+    reader = spark.readStream.schema(LANDING)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     return (
-        spark.readStream.schema(LANDING)
-        .option("maxFilesPerTrigger", max_files)
-        .text(landing, wholetext=not by_line)
+        reader.text(landing, wholetext=not by_line)
         .select("value", "run_date", F.col("_metadata.file_path").alias("file"))
     )
 
@@ -36,7 +38,7 @@ def start_ingest(
     strict: bool = False,
     available_now: bool = True,
     interval: str = "1 minute",
-    max_files: int = 100_000,
+    max_files: int | None = None,
     by_line: bool = False,
 ) -> StreamingQuery:
     """Start loading the landing folder; by default stop when all present files are loaded."""

@@ -141,11 +141,23 @@ def test_backfill_records_days_found_in_the_facts(spark, root):
     assert read(spark, root, tb.PROGRESS).count() == 1
 
 
-def test_later_payload_of_one_delivery_wins(spark, root):
+def test_earlier_run_date_and_last_file_of_it_win(spark, root):
     old = (payload("A", {"2026-04-01": (1, 1, 1, 1, 1)}), dt.date(2026, 4, 2), "x")
     new = (payload("a", {"2026-04-01": (2, 2, 2, 2, 2)}), dt.date(2026, 4, 3), "x")
-    jobs.load_incremental(spark, root, texts(spark, new, old))
-    assert [float(r["close"]) for r in read(spark, root, tb.BARS).collect()] == [2.0]
+    again = (payload("A", {"2026-04-01": (3, 3, 3, 3, 3)}), dt.date(2026, 4, 2), "y")
+    jobs.load_incremental(spark, root, texts(spark, new, old, again))
+    assert [float(r["close"]) for r in read(spark, root, tb.BARS).collect()] == [3.0]
+
+
+def test_run_dates_in_one_load_equal_one_load_each(spark, tmp_path):
+    first = (payload("A", {"2026-04-01": (1, 1, 1, 1, 1), "2026-04-02": (1, 1, 1, 1, 1)}), dt.date(2026, 4, 2), "x")
+    second = (payload("A", {"2026-04-02": (2, 2, 2, 2, 2), "2026-04-03": (2, 2, 2, 2, 2)}), dt.date(2026, 4, 3), "x")
+    both, each = str(tmp_path / "both"), str(tmp_path / "each")
+    jobs.load_incremental(spark, both, texts(spark, second, first))
+    for delivery in (first, second):
+        jobs.load_incremental(spark, each, texts(spark, delivery))
+    closes = [sorted((r["ts"].day, float(r["close"])) for r in read(spark, r_, tb.BARS).collect()) for r_ in (both, each)]
+    assert closes[0] == closes[1] == [(1, 1.0), (2, 1.0), (3, 2.0)]
 
 
 def test_gate_blocks_the_marts_and_a_fix_opens_it(spark, root):
@@ -160,7 +172,7 @@ def test_gate_blocks_the_marts_and_a_fix_opens_it(spark, root):
 
     fixed = texts(spark, payload("A", {"2026-04-07": (1, 1, 1, 1, 5)}))
     stored = read(spark, root, tb.BARS)
-    n = last_commit(spark, root) + 1
+    n = tb.open_snapshot(spark, root).next_commit()
     good = stored.where("close >= 0").unionByName(
         spark.createDataFrame([bar("2026-04-07", "A", 1, 1, 1, 1, 5)], stored.schema)
     )
@@ -207,21 +219,60 @@ def test_incremental_refresh_equals_a_full_one(spark, root, tmp_path):
 def test_uncommitted_writes_stay_invisible(spark, root):
     jobs.load_incremental(spark, root, texts(spark, E2E))
     before = sorted(map(tuple, read(spark, root, tb.BARS).collect()))
-    n = last_commit(spark, root) + 1
+    n = tb.open_snapshot(spark, root).next_commit()
     junk = spark.createDataFrame([bar("2026-04-06", "JUNK", 1, 1, 1, 1, 1)], tb.BARS.schema)
     tb.write_table(junk, root, tb.BARS, n)  # and then the job dies
     assert sorted(map(tuple, read(spark, root, tb.BARS).collect())) == before
     assert marks(spark, root) == {"E2E_SMOKE": (dt.date(2026, 4, 7), 2, "success")}
     later = payload("E2E_SMOKE", {"2026-04-09": (1, 1, 1, 1, 1)})
-    assert jobs.load_incremental(spark, root, texts(spark, later)).commit_id == n
+    assert jobs.load_incremental(spark, root, texts(spark, later)).commit_id == n.number
     assert read(spark, root, tb.BARS).where("symbol = 'JUNK'").isEmpty()
     assert read(spark, root, tb.BARS).count() == 3
 
 
-def test_earlier_commits_stay_readable(spark, root):
-    a = jobs.load_incremental(spark, root, texts(spark, E2E))
+def test_second_writer_raises_and_the_first_stays(spark, root):
+    held = tb.open_snapshot(spark, root)
+    jobs.load_incremental(spark, root, texts(spark, E2E))
+    late = held.next_commit()
+    tb.write_table(spark.createDataFrame([bar("2026-04-06", "B", 1, 1, 1, 1, 1)], tb.BARS.schema), root, tb.BARS, late)
+    with pytest.raises(tb.ConcurrentCommit):
+        tb.commit(spark, root, late, {tb.BARS: [dt.date(2026, 4, 6)]})
+    assert {r["symbol"] for r in read(spark, root, tb.BARS).collect()} == {"E2E_SMOKE"}
+
+
+def test_rejects_stay_after_later_loads(spark, root):
+    now = dt.datetime(2026, 4, 8)
+    bad = texts(spark, payload("A", {"2026-04-02": ("x", 1, 1, 1, 1)}))
+    assert jobs.load_incremental(spark, root, bad, now=now).rejected == 1
+    jobs.load_incremental(spark, root, bad, now=now)
+    jobs.load_incremental(spark, root, texts(spark, E2E), now=now)
+    assert [(r["symbol"], r["raw_date"], r["reject_reason"]) for r in read(spark, root, tb.REJECTS).collect()] == [
+        ("A", "2026-04-02", "bad price")
+    ]
+    assert read(spark, root, tb.BARS).count() == 2
+
+
+def test_late_rows_are_counted(spark, root):
+    jobs.load_incremental(spark, root, texts(spark, payload("A", {"2026-04-03": (3, 3, 3, 3, 3)})))
+    later = payload("A", {"2026-04-01": (1, 1, 1, 1, 1), "2026-04-03": (9, 9, 9, 9, 9)})
+    result = jobs.load_incremental(spark, root, texts(spark, later))
+    assert (result.row_count, result.late) == (0, 1)
+
+
+def test_backfill_east_of_utc_leaves_no_gap(spark, root):
+    days = {f"2026-04-{d}": (d, d, d, d, d) for d in (10, 11, 12)}
+    text = payload("A", days, "Asia/Tokyo")
+    jobs.load_incremental(spark, root, texts(spark, payload("A", {"2026-04-11": (11,) * 5}, "Asia/Tokyo")))
+    start, end = dt.date(2026, 4, 10), dt.date(2026, 4, 12)
+    assert jobs.backfill(spark, root, texts(spark, text), start, end).row_count == 2
+    assert read(spark, root, tb.BARS).count() == 3
+    assert sorted(r["trading_date"].day for r in read(spark, root, tb.PROGRESS).collect()) == [10, 11, 12]
+    assert jobs.backfill(spark, root, texts(spark, text), start, end).row_count == 0
+
+
+def test_newest_days_are_read_alone(spark, root):
+    jobs.load_incremental(spark, root, texts(spark, E2E))
     jobs.load_incremental(spark, root, texts(spark, payload("E2E_SMOKE", {"2026-04-08": (1, 1, 1, 1, 1)})))
-    assert tb.read_table(spark, tb.open_snapshot(spark, root, as_of=a.commit_id), tb.BARS).count() == 2
     assert tb.read_current(spark, root, tb.BARS, [dt.date(2026, 4, 8)]).count() == 1
 
 
@@ -305,7 +356,9 @@ def test_command_line(spark, tmp_path, root, capsys):
     main(["backfill", "--root", root, "--payloads", raw, "--start", "2026-04-06", "--end", "2026-04-07"])
     out = capsys.readouterr().out
     assert "row_count=2" in out and "days rebuilt: 2" in out and "90.91" in out and "row_count=0" in out
-    for bad in (["load", "--root", root], ["backfill", "--root", root, "--payloads", raw, "--start", "2026-04-06"]):
+    assert main(["gated", "--root", root, "--payloads", raw, "--symbol", "none"]) == 1  # too old to be fresh
+    assert '"status":"failed"' in capsys.readouterr().out
+    for bad in (["load", "--root", root], ["marts", "--root", root, "--symbol", "A"], ["backfill", "--root", root, "--payloads", raw, "--start", "2026-04-06"]):
         with pytest.raises(SystemExit):
             arguments(bad)
 

@@ -109,3 +109,15 @@ def test_listings(mart_bars):
     assert [r["symbol"] for r in reports.recent_latest_prices(marts.latest_price(mart_bars)).collect()] == ["TESTA", "TESTB"]
     numbers = reports.bar_row_numbers(mart_bars).where("symbol = 'TESTA'").collect()
     assert sorted((r["ts"].hour, r["row_num"]) for r in numbers) == [(10, 2), (11, 1)]
+
+
+def test_average_is_rounded_once(bars_of):
+    # The exact mean, 1.00004999995, is below the half; rounded to ten places first it would not be.
+    closes = ["1.000049", "1.000050", "1.000050"] * 6 + ["1.000051", "1.000049"]
+    bars = bars_of([bar(f"2026-04-06T{i:02d}:00", "A", c, c, c, c, 1) for i, c in enumerate(closes)])
+    from barloom.operators.marts import daily_summary
+
+    row = daily_summary(bars).first()
+    total = sum(Decimal(c) for c in closes)
+    assert row["avg_close"] == (total / len(closes)).quantize(Decimal("0.0001"), rounding="ROUND_HALF_UP")
+    assert daily_summary(bars_of([bar("2026-04-06", "A", None, None, None, None, 1)])).first()["avg_close"] is None

@@ -82,3 +82,19 @@ def test_csv_snapshot(mart_bars, tmp_path):
 def test_export_is_ordered(mart_bars):
     rows = [(r["symbol"], r["ts"]) for r in export.export_bars(mart_bars.repartition(3)).collect()]
     assert rows == sorted(rows)
+
+
+def test_two_payloads_of_one_symbol_and_run_date_fail(spark, tmp_path):
+    import datetime as dt
+
+    from barloom.sources.payloads import LandingConfigError, land_payloads
+    from tests.payload_samples import payload
+
+    text = payload("A", {"2026-04-01": (1, 1, 1, 1, 1)})
+    twice = spark.createDataFrame([(text, dt.date(2026, 4, 2))] * 2, "value string, run_date date")
+    try:
+        land_payloads(twice, str(tmp_path / "raw"))
+        raise AssertionError("landed")
+    except LandingConfigError as error:
+        assert "2 payloads for run_date=2026-04-02, symbol=A" in str(error)
+    assert not (tmp_path / "raw").exists()
