@@ -29,8 +29,8 @@ from barloom.llm.shared import column, small_batches, table, written
 
 CAPACITY = 2048
 END = 0
-#: Different words whose ids a task keeps.
-KNOWN_WORDS = 600_000
+#: Different words whose ids a worker keeps.
+KNOWN_WORDS = 1_500_000
 #: Pieces of a rank bucket, about.
 BUCKET_ROWS = 100_000
 _U = np.uint64
@@ -99,9 +99,20 @@ class WordEncoder:
         return out, bounds
 
 
+_encoders: dict[str, WordEncoder] = {}
+
+
+def _encoder(definition: str) -> WordEncoder:
+    """One encoder a worker process, which serves one task after the other: words stay known."""
+    if definition not in _encoders:
+        _encoders.clear()
+        _encoders[definition] = WordEncoder(definition)
+    return _encoders[definition]
+
+
 def _pieces(definition, capacity: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(definition.value)
+        encoder = _encoder(definition.value)
         for batch in small_batches(batches):
             for block in W.blocks(batch.column(1), size=2 * W.BLOCK_BYTES):
                 ids, bounds = encoder.texts(block)
