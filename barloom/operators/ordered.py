@@ -3,7 +3,8 @@
 A plain window sorts a whole group in one task; a symbol or a day that holds a large
 part of all rows would stall the job there. Groups are therefore counted first (one
 column, reduced before its shuffle), and those too large for a task are cut into
-ordered pieces. The pieces are summed up in a small aggregate, and each gets what it
+ordered pieces; a piece that is itself too large, such as a hot day or a narrow range of
+values, is cut once more. The pieces are summed up in a small aggregate, and each gets what it
 needs from its neighbours as one extra *seed row*. Other groups stay whole and need no
 seeds; without large groups all that is added to the plain window is the count.
 
@@ -23,6 +24,10 @@ IS_ROW = "_is_row"
 CARRY = "_carry"
 IS_LARGE = "_is_large"
 LARGE = "_large_group"
+IS_LARGE_PIECE = "_is_large_piece"
+LARGE_PIECE = "_large_piece"
+FINE_TIME = "minute"
+COARSE_DIGITS, FINE_DIGITS = 11, 33
 
 
 def large_groups(df: DataFrame, group: str, rows_per_task: int) -> DataFrame:
@@ -37,11 +42,27 @@ def large_groups(df: DataFrame, group: str, rows_per_task: int) -> DataFrame:
     return F.broadcast(largest.select(LARGE, F.lit(True).alias(IS_LARGE)))
 
 
-def _cut(df: DataFrame, group: str, piece: Column, rows_per_task: int) -> DataFrame:
+def _refined(cut: DataFrame, among: DataFrame, group: str, fine: Column, rows_per_task: int) -> DataFrame:
+    """Pieces of ``among`` with more rows than one task should take are cut into finer ones.
+
+    A finer piece starts within its piece, so the order of pieces stays that of the rows. As
+    with groups, at most 50,000 are named.
+    """
+    keys = [F.col(group).alias(LARGE), F.col(PIECE).alias(LARGE_PIECE)]
+    sizes = among.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_task)
+    largest = sizes.orderBy(F.col("_n").desc(), LARGE, LARGE_PIECE).limit(MOST_LARGE_GROUPS)
+    named = F.broadcast(largest.select(LARGE, LARGE_PIECE, F.lit(True).alias(IS_LARGE_PIECE)))
+    same = F.col(group).eqNullSafe(F.col(LARGE)) & F.col(PIECE).eqNullSafe(F.col(LARGE_PIECE))
+    piece = F.when(F.col(IS_LARGE_PIECE), fine).otherwise(F.col(PIECE))
+    return cut.join(named, same, "left").withColumn(PIECE, piece).drop(LARGE, LARGE_PIECE, IS_LARGE_PIECE)
+
+
+def _cut(df: DataFrame, group: str, ts: str, piece: str, rows_per_task: int) -> DataFrame:
     """Rows with the piece of their group; NULL in groups that stay whole."""
     large = large_groups(df, group, rows_per_task)
     marked = df.join(large, F.col(group).eqNullSafe(F.col(LARGE)), "left")
-    return marked.select(*df.columns, IS_LARGE, F.when(F.col(IS_LARGE), piece).alias(PIECE))
+    cut = marked.select(*df.columns, IS_LARGE, F.when(F.col(IS_LARGE), F.date_trunc(piece, ts)).alias(PIECE))
+    return _refined(cut, cut.where(IS_LARGE), group, F.date_trunc(FINE_TIME, ts), rows_per_task)
 
 
 def row_numbers_latest_first(
@@ -53,7 +74,7 @@ def row_numbers_latest_first(
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Number the rows of each group from the latest back; NULL times come first."""
-    cut = _cut(df, group, F.date_trunc(piece, ts), rows_per_task)
+    cut = _cut(df, group, ts, piece, rows_per_task)
     later = (
         Window.partitionBy(group)
         .orderBy(F.col(PIECE).desc_nulls_first())
@@ -89,7 +110,7 @@ def previous_value(
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """The value of the row before, in time order within the group."""
-    cut = _cut(df, group, F.date_trunc(piece, ts), rows_per_task)
+    cut = _cut(df, group, ts, piece, rows_per_task)
     by_time = Window.partitionBy(group).orderBy(F.col(PIECE).asc_nulls_last())
     seeds = (
         cut.where(IS_LARGE)
@@ -108,13 +129,13 @@ def previous_value(
     )
 
 
-def _band(value: str) -> Column:
-    """``value`` rounded down to its eleven leading binary digits.
+def _band(value: str, digits: int) -> Column:
+    """``value`` rounded down to its leading binary digits, those of its complement if negative.
 
-    Order-preserving, and a function of the value alone, so every task agrees on it. A
-    group has at most 64 * 1024 bands, whatever its size.
+    Order-preserving, and a function of the value alone, so every task agrees on it. With
+    eleven digits a group has at most 128 * 1024 bands, whatever its size.
     """
-    shift = f"greatest(length(bin({value})) - 11, 0)"
+    shift = f"greatest(length(bin(if({value} < 0, ~{value}, {value}))) - {digits}, 0)"
     return F.expr(f"shiftleft(shiftright({value}, {shift}), {shift})")
 
 
@@ -132,7 +153,8 @@ def dense_rank_highest_first(
     small_ranked = df.join(large, is_large, "left_anti").withColumn(out, F.dense_rank().over(whole))
 
     rows = df.join(large, is_large, "left_semi")
-    distinct = rows.select(group, value).distinct().withColumn(PIECE, _band(value))
+    banded = rows.select(group, value).distinct().withColumn(PIECE, _band(value, COARSE_DIGITS))
+    distinct = _refined(banded, banded, group, _band(value, FINE_DIGITS), rows_per_task)
     higher = (
         Window.partitionBy(group)
         .orderBy(F.col(PIECE).desc_nulls_first())

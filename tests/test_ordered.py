@@ -108,6 +108,36 @@ def test_nothing_is_cut_without_large_groups(spark):
     assert "Union" not in ranked
 
 
+def test_a_hot_day_is_cut(spark):
+    """A symbol's rows of one day, more than a task should take, are dealt over several windows."""
+    start = dt.datetime(2026, 1, 1)
+    rows = [("HOT", start + dt.timedelta(seconds=20 * i), i % 37) for i in range(3000)]
+    rows += [("HOT", start + dt.timedelta(days=d), d) for d in range(1, 30)]
+    df = spark.createDataFrame(rows, "symbol string, ts timestamp, close int")
+    pieces = ordered._cut(df, "symbol", "ts", "day", 100).groupBy("symbol", ordered.PIECE).count()
+    assert pieces.agg(F.max("count")).first()[0] <= 100
+    latest = Window.partitionBy("symbol").orderBy(F.col("ts").desc())
+    want = df.withColumn("n", F.row_number().over(latest).cast("bigint"))
+    got = ordered.row_numbers_latest_first(df, "symbol", "ts", "n", rows_per_task=100)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    want = df.withColumn("p", F.lag("close").over(Window.partitionBy("symbol").orderBy("ts")))
+    got = ordered.previous_value(df, "symbol", "ts", "close", "p", rows_per_task=100)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_a_narrow_range_of_values_is_cut(spark):
+    rows = [("d", k, sign * (10**12 + k)) for k in range(2000) for sign in (1, -1)]
+    rows += [("d", -1, None), ("d", -2, 0)]
+    assert ranks_agree(spark, rows, 500)
+    df = spark.createDataFrame(rows, "d string, k int, v bigint")
+    plan = run_plan(ordered.dense_rank_highest_first(df, "d", "v", "r", 500))
+    assert any("hashpartitioning(d" in line and "_piece" in line for line in plan.splitlines())
+    banded = df.select("d", "v").distinct().withColumn(ordered.PIECE, ordered._band("v", ordered.COARSE_DIGITS))
+    fine = ordered._refined(banded, banded, "d", ordered._band("v", ordered.FINE_DIGITS), 500)
+    assert banded.groupBy(ordered.PIECE).count().agg(F.max("count")).first()[0] == 2000
+    assert fine.groupBy(ordered.PIECE).count().agg(F.max("count")).first()[0] <= 500
+
+
 def test_the_broadcast_list_is_bounded(spark):
     plan = ordered.large_groups(skewed(spark), "symbol", 10)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject(limit=50000" in plan
