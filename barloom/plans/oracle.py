@@ -395,9 +395,9 @@ ORACLE: dict[str, str] = {
     "dq_foreign_key": """
         SELECT 'foreign_key' AS check_name, 'orders' AS table_name, n = 0 AS passed, n AS failed_rows,
                'orders.o_custkey has ' || n || ' row(s) missing from customer.c_custkey.' AS details
-        FROM (SELECT count(*) AS n FROM orders o
-              LEFT JOIN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') c
-                ON o.o_custkey = c.c_custkey
+        FROM (SELECT count(*) AS n
+              FROM (SELECT CASE WHEN o_orderkey % 97 = 0 THEN -1 - o_custkey ELSE o_custkey END AS o_custkey FROM orders) o
+              LEFT JOIN customer c ON o.o_custkey = c.c_custkey
               WHERE o.o_custkey IS NOT NULL AND c.c_custkey IS NULL)""",
     "dq_freshness": _q(
         ["event_bars"],
