@@ -27,8 +27,9 @@ def lake(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("plans") / "lake")
     rows = [bar(f"2026-04-{d:02d}", f"S{i}", i, i, i, i, i * d) for d in range(1, 11) for i in range(1, 8)]
     df = spark.createDataFrame(rows, S.BARS)
-    tb.write_table(df, root, tb.BARS, 1)
-    tb.commit(spark, root, 1, {tb.BARS: [dt.date(2026, 4, d) for d in range(1, 11)]})
+    first = tb.open_snapshot(spark, root).next_commit()
+    tb.write_table(df, root, tb.BARS, first)
+    tb.commit(spark, root, first, {tb.BARS: [dt.date(2026, 4, d) for d in range(1, 11)]})
     return root
 
 
@@ -99,8 +100,9 @@ def test_rank_is_one_plain_window_unless_a_day_is_large(bars):
 def test_written_days_are_sorted_and_balanced(spark, bars, tmp_path):
     plan = tb.with_day(bars, tb.BARS).hint("rebalance", tb.DAY)._jdf.queryExecution().optimizedPlan().toString()
     assert "RebalancePartitions [trading_date" in plan
-    tb.write_table(bars, str(tmp_path), tb.BARS, 1)
+    to = tb.Commit(1, "t")
+    tb.write_table(bars, str(tmp_path), tb.BARS, to)
     for day in range(1, 11):
-        path = f"{tmp_path}/market_bars/commit_id=1/trading_date=2026-04-{day:02d}"
+        path = f"{tmp_path}/market_bars/{to.folder}/trading_date=2026-04-{day:02d}"
         symbols = [r["symbol"] for r in spark.read.parquet(path).collect()]
         assert symbols == sorted(symbols) and len(symbols) == 7
