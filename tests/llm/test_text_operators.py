@@ -153,6 +153,36 @@ def test_patience_and_license_scan(spark):
     assert got == {1: (1, "MIT"), 2: (1, "MIT-text"), 3: (3, "GPL-3.0"), 4: (0, None), 5: (0, None), 6: (0, None)}
 
 
+def test_licenses_are_told_apart(spark):
+    texts = license_scan._texts()
+    notices = {
+        "Released under the BSD License": "BSD",
+        "Licensed under CC BY 4.0": "CC-BY-4.0",
+        "Licensed under CC BY-SA 4.0": "CC-BY-SA-4.0",
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "Licensed under the Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License": "CC-BY-NC-ND-4.0",
+        "Licensed under the GNU General Public License, version 2": "GPL-2.0",
+        "Licensed under the GNU Lesser General Public License v2.1": "LGPL-2.1",
+        "Distributed under the terms of the GNU Affero General Public License version 3": "AGPL-3.0",
+        "Licensed under the Mozilla Public License 2.0": "MPL-2.0",
+        "Released under the BSD 3-Clause License": "BSD-3-Clause",
+        "SPDX-License-Identifier: MIT": "MIT",
+        "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+        "contributions to the MIT License of that year": None,
+        "she came mit the license": None,
+    }
+    rows = [(name, f"some words before {text} and after") for name, text in texts.items()]
+    rows += [(f"notice {i}", f"some words before {n} and after") for i, n in enumerate(notices)]
+    rows += [("grant only", license_scan._BSD)]
+    got = {r["id"]: (r["n_licenses"], r["license"], r["coverage"]) for r in
+           license_scan.scan(spark.createDataFrame(rows, "id string, text string")).collect()}
+    for name in texts:
+        assert got[name] == (1, name, 1.0), (name, got[name])
+    for i, (n, want) in enumerate(notices.items()):
+        assert got[f"notice {i}"][:2] == (int(want is not None), want), (n, got[f"notice {i}"])
+    assert got["grant only"][0] == 0
+
+
 def test_quality_measures_equal_plain_python(spark, docs):
     rows, df = docs
     got = {r["doc_id"]: r for r in quality_rules.judge(df).collect()}
