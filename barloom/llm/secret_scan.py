@@ -37,6 +37,7 @@ FIT_WITH, FIT_WITHOUT = 1000, 1000
 AROUND = 8
 OUT, BEGIN, INSIDE = range(3)
 _TRIM = "\"'`,;:()[]{}<>="
+_SPACE = " \t\n\x0b\x0c\r"
 
 
 def base_spans(text: str) -> list[tuple[int, str, int]]:
@@ -318,7 +319,11 @@ def _training_stretches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Record
 
 
 def field_spans(text: str, data: bytes, runs: list[tuple[int, int]], base: list[tuple[int, str, int]]) -> list[tuple[int, str, int]]:
-    """The field's finds (byte bounds) as spans that touch none of the patterns'."""
+    """The field's finds (byte bounds) as spans: of each run the parts that the patterns' spans do not cover.
+
+    No part are white space and punctuation at the ends, and a name before a value: what goes
+    before an "assign" span in its word, or ends with = or : where a span begins.
+    """
     out = []
     for a, b in runs:
         start = len(data[:a].decode("utf-8", "replace"))
@@ -327,12 +332,33 @@ def field_spans(text: str, data: bytes, runs: list[tuple[int, int]], base: list[
         if not trimmed:
             continue
         start += piece.index(trimmed)
-        end = start + len(trimmed)
-        if all(end <= s or e <= start for s, _, e in base):
-            out.append((start, "crf", end))
+        end, at = start + len(trimmed), start
+        for s, kind, e in sorted(x for x in base if x[0] < end and x[2] > start):
+            if s > at:
+                head = text[at:s]
+                if kind == "assign" or head[-1] in "=:":
+                    head = head[: len(head) - len(head.split()[-1])] if not head[-1].isspace() else head
+                _add_part(out, head, at, at > start)
+            at = max(at, e)
+            value = _ASSIGN.match(text, s).start(2) if kind == "assign" else s
+            if text[e : e + 1] in ('"', "'", "`") and value and text[value - 1] == text[e]:
+                # A closed quotation is the whole secret; what hangs on it in its word is none.
+                while at < end and not text[at].isspace():
+                    at += 1
+        if at < end:
+            _add_part(out, text[at:end], at, at > start)
     return out
 
 
+def _add_part(out: list[tuple[int, str, int]], part: str, at: int, after: bool) -> None:
+    """Add a part of a run as a span; ``after``: it follows a pattern's span, whose text may end a sentence."""
+    left = part.lstrip(_TRIM + _SPACE)
+    kept = left.rstrip(_TRIM + _SPACE)
+    if kept and not (after and not kept.strip(".!?")):
+        start = at + len(part) - len(left)
+        out.append((start, "crf", start + len(kept)))
+
+
 def _spans(texts: pa.Array, field: Field) -> Iterator[tuple[str, list, list]]:
     """(text, the patterns' spans, all spans) of each row."""
     for block in W.blocks(texts):
@@ -382,7 +408,7 @@ def scan(docs: DataFrame, text: str = "text", field: Field | None = None) -> Dat
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", field: Field | None = None) -> DataFrame:
     """All columns of ``docs``, redacted and n_secrets: the text with each secret replaced by ``mark``.
 
-    Secrets that overlap give one mark. Texts without secrets, null ones too, stay as they are. Otherwise as ``scan``.
+    Secrets that overlap or touch give one mark. Texts without secrets, null ones too, stay as they are. Otherwise as ``scan``.
     """
     model = docs.sparkSession.sparkContext.broadcast(field if field is not None else fit(docs, text))
 
@@ -391,7 +417,7 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", field: F
         for row, (body, _, spans) in enumerate(_spans(texts, model.value)):
             upto, parts = 0, []
             for start, _, end in spans:
-                if start >= upto:
+                if start > upto or not parts:
                     parts += [body[upto:start], mark]
                 upto = max(upto, end)
             out.append("".join([*parts, body[upto:]]) if texts[row].is_valid else None)

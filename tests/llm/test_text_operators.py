@@ -236,6 +236,33 @@ def test_secret_scan(spark):
     assert secret_scan.scan(df.limit(0)).count() == 0
 
 
+def test_what_patterns_cut_off_is_a_secret_too(spark):
+    word = np.zeros((len(secret_scan.FEATURES), 3))
+    word[0, secret_scan.OUT] = 1
+    word[secret_scan.FEATURES.index("any"), secret_scan.INSIDE] = -9
+    for name in ("many_digits", "few_digits"):
+        word[secret_scan.FEATURES.index(name), secret_scan.BEGIN] = 9
+        word[secret_scan.FEATURES.index(name), secret_scan.INSIDE] = 15
+    step = np.zeros((3, 3))
+    step[secret_scan.OUT, secret_scan.INSIDE] = -99
+    model = secret_scan.Field(word, np.array([0.0, 0.0, -99.0]), step)
+    key, next_key = "AKIA" + "ABCDEFGHIJKLMNO7", "wJalrXUtnFEMI7K7MDENG"
+    rows = [
+        (0, "é password = hunter2x!9$longtail and more", "assign:2:21,crf:21:32", "é [SECRET] and more"),
+        (1, f"the {key} {next_key} and more", "access:4:24,crf:25:46", "the [SECRET] [SECRET] and more"),
+        (2, f"the {next_key} {key} and more", "crf:4:25,access:26:46", "the [SECRET] [SECRET] and more"),
+        (3, "say password=hunter2x! and more", "assign:4:21", "say [SECRET]! and more"),
+        (4, "say db_password=hunter2x and more", "assign:7:24", "say db_[SECRET] and more"),
+        (5, 'a token = "abcdef123", and more', "assign:2:20", 'a [SECRET]", and more'),
+        (6, 'a token = "abcdef123"### and more', "assign:2:20", 'a [SECRET]"### and more'),
+    ]
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    spans = {r["doc_id"]: r["spans"] for r in secret_scan.scan(df, field=model).collect()}
+    redacted = {r["doc_id"]: r["redacted"] for r in secret_scan.redact(df, field=model).collect()}
+    assert spans == {r[0]: r[2] for r in rows}
+    assert redacted == {r[0]: r[3] for r in rows}
+
+
 @pytest.mark.parametrize("lean", [0.0, 1.0, 2.0, 3.0])
 def test_viterbi_by_stretches_is_exact(lean):
     rng = np.random.default_rng(3)
