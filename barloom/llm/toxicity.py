@@ -9,9 +9,10 @@ what labels show often enough moves them apart. A text's measure is the differen
 log-likelihoods over its number of words, which a logistic curve, fitted to labelled texts
 that the models have not seen, turns into a score.
 
-Counts come from all labelled texts whose crc32(id) mod 5 is 1, 2 or 3, and grow with them;
-the ``MOST_GRAMS`` most frequent of each class make up the model that is sent to the tasks.
-Texts with remainder 4 fit the curve (``CURVE_ROWS`` at most); those with 0 are held out.
+Counts come from all labelled texts whose crc32(id) mod 5 is 1, 2 or 3, and grow with them.
+A byte's measure depends on its context, and on itself only if toxic texts have it there more
+often than the discount takes off. Contexts are three bytes, so their number is bounded; values
+of grams go to the tasks ``HELD`` at a time, in as many passes as it takes. Texts with remainder 4 fit the curve (``CURVE_ROWS`` at most); those with 0 are held out.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ from barloom.llm.shared import append_columns, column, small_batches, table, wri
 ORDER = 4
 DISCOUNT = 0.75
 TOXIC_DISCOUNT, CONCENTRATION = 1.0, 200.0
-MOST_GRAMS = 500_000
+#: Values of grams that a task holds at a time, 16 bytes each.
+HELD = 4_000_000
 CURVE_ROWS = 50_000
 FOLDS = 5
 
@@ -84,58 +86,47 @@ def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarra
     return np.where(keys[at] == wanted, values[at], 0.0)
 
 
-class Models:
-    """``measure`` of a gram: log P(its last byte after the others, toxic) - the same, ordinary."""
+class Ordinary:
+    """The model of ordinary texts: tables of order 3 and less, and the contexts of order 4.
 
-    def __init__(self, ordinary: tuple[np.ndarray, np.ndarray], toxic: tuple[np.ndarray, np.ndarray]):
-        # Counts by order: at full length as they occur, shorter ones by the different bytes before them.
-        self.grams: list = [None] * ORDER + [_sums(*ordinary)]
-        for k in range(ORDER - 1, 0, -1):
+    ``suffixes``: (last three bytes, different bytes before them); ``contexts``: (first three bytes, counts, different bytes after them).
+    """
+
+    def __init__(self, suffixes: tuple[np.ndarray, ...], contexts: tuple[np.ndarray, ...]):
+        self.grams: list = [None] * ORDER
+        self.grams[ORDER - 1] = _sums(*suffixes)
+        for k in range(ORDER - 2, 0, -1):
             shorter = self.grams[k + 1][0] & ((1 << 8 * k) - 1)
             self.grams[k] = _sums(shorter, np.ones(len(shorter)))
         self.contexts = [None] + [
             (*_sums(g >> 8, n), _sums(g >> 8, np.full(len(g), DISCOUNT))[1]) for g, n in self.grams[1:]
         ]
-        self.toxic = _sums(*toxic)
-        g, n = self.toxic
-        self.toxic_contexts = (*_sums(g >> 8, n), _sums(g >> 8, np.minimum(n, TOXIC_DISCOUNT))[1] + CONCENTRATION)
-        self.known = np.union1d(ordinary[0], toxic[0]).astype(np.int64)
-        self.value = self._measure(self.known)
-
-    def ordinary(self, gram: np.ndarray) -> np.ndarray:
-        """Interpolated from the lowest order up."""
+        keys, total, different = contexts
+        self.contexts.append((*_sums(keys, total), _sums(keys, different * DISCOUNT)[1]))
+
+    def probability(self, gram: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Of the last byte of grams that occur ``counts`` times, interpolated from the lowest order up."""
         p = np.full(len(gram), 1 / 256)
         for k in range(1, ORDER + 1):
             suffix = gram & ((1 << 8 * k) - 1)
             keys, total, held = self.contexts[k]
             n, back = _find(keys, total, suffix >> 8), _find(keys, held, suffix >> 8)
-            count = np.maximum(_find(*self.grams[k], suffix) - DISCOUNT, 0)
+            count = np.maximum((counts if k == ORDER else _find(*self.grams[k], suffix)) - DISCOUNT, 0)
             p = np.where(n > 0, (count + back * p) / np.maximum(n, 1e-300), p)
         return p
 
-    def _measure(self, gram: np.ndarray) -> np.ndarray:
-        p = self.ordinary(gram)
-        keys, total, back = self.toxic_contexts
-        n, share = _find(keys, total, gram >> 8), _find(keys, back, gram >> 8)
-        count = np.maximum(_find(*self.toxic, gram) - TOXIC_DISCOUNT, 0)
-        return np.where(n > 0, np.log((count + share * p) / (n + CONCENTRATION) / p + 1e-300), 0.0)
-
-    def measure(self, gram: np.ndarray) -> np.ndarray:
-        if not len(self.known):
-            return np.zeros(len(gram))
-        at = np.minimum(np.searchsorted(self.known, gram), len(self.known) - 1)
-        out = self.value[at]
-        new = self.known[at] != gram
-        if new.any():
-            grams, back = np.unique(gram[new], return_inverse=True)
-            out[new] = self._measure(grams)[back]
-        return out
+
+class Values:
+    """Parts of log P(a byte after those before it, toxic) - the same, ordinary: by the context, and more by the gram."""
+
+    def __init__(self, contexts: tuple[np.ndarray, np.ndarray], grams: tuple[np.ndarray, np.ndarray]):
+        self.contexts, self.grams = contexts, grams
 
     def texts(self, block: W.Block) -> np.ndarray:
         """The difference of log-likelihoods of each text over its number of words; 0 without words."""
         gram, text = spelled(block)
-        sums = np.bincount(text, weights=self.measure(gram), minlength=len(block.first) - 1)
-        return sums / np.maximum(1, block.counts)
+        value = _find(*self.contexts, gram >> 8) + _find(*self.grams, gram)
+        return np.bincount(text, weights=value, minlength=len(block.first) - 1) / np.maximum(1, block.counts)
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -161,23 +152,60 @@ def fold(id: str):
     return F.pmod(F.crc32(column(id).cast("string").cast("binary")), F.lit(FOLDS))
 
 
-def fit_models(docs: DataFrame, labels: DataFrame, id: str, text: str, label: str) -> Models:
+def fit_models(docs: DataFrame, labels: DataFrame, id: str, text: str, label: str) -> Iterator[Values]:
+    """The model in parts whose measures add up; one, up to ``HELD`` values of grams."""
     known = labels.where(column(label).isNotNull()).groupBy(column(id).alias("__id")).agg(F.max(column(label).cast("int")).alias("toxic"))
     rows = docs.where(fold(id).isin(1, 2, 3)).select(column(id).alias("__id"), column(text).cast("string").alias("text"))
     counted = (
         rows.join(known.where(F.col("toxic").isin(0, 1)), "__id")
         .select("toxic", "text")
         .mapInArrow(_count_grams, "toxic int, gram long, n long")
-        .groupBy("toxic", "gram")
-        .agg(F.sum("n").alias("n"))
+        .groupBy("gram")
+        .agg(F.sum(F.expr("if(toxic = 0, n, 0)")).alias("ordinary"), F.sum(F.expr("if(toxic = 1, n, 0)")).alias("toxic"))
     )
     counted = written(counted, "grams")
-    tables = []
-    for which in (0, 1):
-        top = counted.where(F.col("toxic") == which).orderBy(F.desc("n"), "gram").limit(MOST_GRAMS)
-        rows_ = top.select("gram", "n").toArrow()
-        tables.append((rows_.column(0).to_numpy(), rows_.column(1).to_numpy().astype(float)))
-    return Models(*tables)
+
+    def arrays(df: DataFrame) -> tuple[np.ndarray, ...]:
+        found = df.toArrow()
+        return tuple(found.column(i).to_numpy().astype(float if i else np.int64) for i in range(found.num_columns))
+
+    context = F.shiftright("gram", 8).alias("context")
+    ordinary, toxic = counted.where("ordinary > 0"), counted.where("toxic > 0")
+    model = Ordinary(
+        arrays(ordinary.groupBy(F.col("gram").bitwiseAND(F.lit((1 << 8 * (ORDER - 1)) - 1)).alias("suffix")).count()),
+        arrays(ordinary.groupBy(context).agg(F.sum("ordinary"), F.count("*"))),
+    )
+    keys, total, different = arrays(toxic.groupBy(context).agg(F.sum("toxic"), F.count("*")))
+    order = np.argsort(keys)
+    keys, total, different = keys[order], total[order], different[order]
+    # What the discount takes off all grams of a context, and the concentration, is the ordinary model's share.
+    share = TOXIC_DISCOUNT * different + CONCENTRATION
+    by_context = np.log(share / (total + CONCENTRATION))
+    more = toxic.where(F.col("toxic") > TOXIC_DISCOUNT)
+    parts = max(1, -(-more.count() // HELD))
+    for part in range(parts):
+        gram, often, seldom = arrays(more.where(F.pmod(F.xxhash64("gram"), F.lit(parts)) == part).select("gram", "toxic", "ordinary"))
+        order = np.argsort(gram)
+        gram, often, seldom = gram[order], often[order], seldom[order]
+        value = np.log1p((often - TOXIC_DISCOUNT) / (_find(keys, share, gram >> 8) * model.probability(gram, seldom)))
+        yield Values((keys, by_context) if part == 0 else (keys[:0], by_context[:0]), (gram, value))
+
+
+def measured(docs: DataFrame, text: str, models: list) -> DataFrame:
+    """``docs`` and __measure, from the broadcast parts of the model; more than one are added up pass by pass."""
+    out = None
+    for model in models:
+
+        def make(texts: pa.Array, model=model) -> list[pa.Array]:
+            found = [model.value.texts(b) for b in W.blocks(texts, W.ALNUM_BYTE)]
+            return [pa.array(np.concatenate(found) if found else np.zeros(0))]
+
+        if out is None:
+            out = append_columns(docs, text, "__measure double", make)
+        else:
+            added = append_columns(written(out, "measured"), text, "__more double", make)
+            out = added.withColumn("__measure", F.col("__measure") + F.col("__more")).drop("__more")
+    return out
 
 
 def score(
@@ -192,17 +220,12 @@ def score(
     name of an added one are replaced; an empty table gives an empty one.
     """
     spark = docs.sparkSession
-    models = spark.sparkContext.broadcast(fit_models(docs, labels, id, text, label))
-
-    def make(texts: pa.Array) -> list[pa.Array]:
-        found = [models.value.texts(b) for b in W.blocks(texts, W.ALNUM_BYTE)]
-        return [pa.array(np.concatenate(found) if found else np.zeros(0))]
-
+    models = [spark.sparkContext.broadcast(part) for part in fit_models(docs, labels, id, text, label)]
     names = ["held_out", "score", "predicted"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in names]
     chosen = docs.select(*[column(c) for c in dict.fromkeys([*keep, id, text])])
-    measured = append_columns(chosen, text, "__measure double", make)
-    fitting = append_columns(chosen.where(fold(id) == 4), text, "__measure double", make)
+    every = measured(chosen, text, models)
+    fitting = measured(chosen.where(fold(id) == 4).select(*[column(c) for c in dict.fromkeys([id, text])]), text, models)
     known = labels.where(column(label).isNotNull()).groupBy(column(id).alias("__id")).agg(F.max(column(label).cast("int")).alias("__y"))
     seen = written(fitting.select(column(id).alias("__id"), "__measure"), "measures")
     curve = (
@@ -214,7 +237,7 @@ def score(
     )
     slope, intercept = fit_curve(curve.column(0).to_numpy(), curve.column(1).to_numpy())
     value = 1 / (1 + F.exp(-(F.lit(slope) * F.col("__measure") + F.lit(intercept))))
-    out = measured.select(
+    out = every.select(
         *[column(c) for c in keep],
         F.coalesce(fold(id) == 0, F.lit(False)).alias("held_out"),
         value.alias("score"),

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -299,6 +300,44 @@ def test_toxicity_learns_from_training_folds_only(spark):
     assert len(none) == 1
 
 
+@pytest.mark.parametrize("held", [4_000_000, 50])
+def test_toxicity_counts_all_grams(spark, monkeypatch, held):
+    monkeypatch.setattr(toxicity, "HELD", held)
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdé") for _ in range(rng.randint(1, 4)))
+    rows = [(i, " ".join(word() for _ in range(30)), int(i % 3 == 0)) for i in range(90)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    grams = lambda t: [(b"    " + w)[i : i + 4] for w in [(t + " ").encode()] for i in range(1, len(w) + 1)]
+    count = [collections.Counter(), collections.Counter()]
+    for i, t, y in rows:
+        if zlib.crc32(str(i).encode()) % 5 in (1, 2, 3):
+            count[y].update(grams(t))
+    tables = {4: count[0]}
+    for k in (3, 2, 1):
+        tables[k] = collections.Counter(g[1:] for g in tables[k + 1])
+
+    def ordinary(g):
+        p = 1 / 256
+        for k in range(1, 5):
+            after = [n for x, n in tables[k].items() if x[:-1] == g[4 - k : 3]]
+            if after:
+                p = (max(tables[k][g[4 - k :]] - 0.75, 0) + 0.75 * len(after) * p) / sum(after)
+        return p
+
+    def value(g):
+        after = [n for x, n in count[1].items() if x[:-1] == g[:-1]]
+        p = ordinary(g)
+        return np.log((max(count[1][g] - 1, 0) + (len(after) + 200) * p) / (sum(after) + 200) / p) if after else 0.0
+
+    parts = list(toxicity.fit_models(docs, labels, "doc_id", "text", "toxic"))
+    assert (len(parts) > 1) == (held == 50)
+    shared = [spark.sparkContext.broadcast(p) for p in parts]
+    got = {r["doc_id"]: r["__measure"] for r in toxicity.measured(docs, "text", shared).collect()}
+    for i, t, _ in rows[:20]:
+        assert got[i] == pytest.approx(sum(map(value, grams(t))) / len(t.split()), abs=1e-9)
+
+
 def test_packing_is_gapless_and_close_to_the_bound(spark, docs):
     from tokenizers import Tokenizer
 
