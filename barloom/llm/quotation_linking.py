@@ -1,10 +1,11 @@
 """Chat formatting by quotation linking, in built-in functions only.
 
 Lines that begin with ``>`` quote; the number of ``>`` is the level. A message's quoted
-lines, and all its lines of one level together, are normalised (case, white space) and
-hashed, and joined to the first message of the conversation that says the same in its own
-words, as one of its lines or as its whole text. The message answered is the one most of
-whose text is quoted at level one. Messages are ordered by the first message of their
+passages are normalised (case, white space), cut into units and hashed, and joined to the
+first message of the conversation that says the same in its own words. Units are lines, all
+lines of one level together, runs of lines of one level, their paragraphs and sentences, and
+runs of ``WORDS`` words, so that neither new line breaks nor a choice of passages matter. The
+message answered is the one most of whose text is quoted at the least level with a find. Messages are ordered by the first message of their
 thread and their turn, so each comes after what it answers, and lose their quotes.
 """
 
@@ -15,6 +16,9 @@ from pyspark.sql import functions as F
 
 from barloom.llm.shared import column, table, written
 
+#: Words of a unit that may begin anywhere.
+WORDS = 8
+_SENTENCE_END = r"(?<=[.!?\u2026])\x20+|(?<=[\u3002\uFF01\uFF1F])\x20*"
 _QUOTE = r"^[\x20\x09]*(>[\x20\x09>]*)"
 
 
@@ -34,10 +38,27 @@ def _lines(text: Column) -> Column:
 
 
 def _units(level: Column) -> Column:
-    """Normalised passages of the lines of one level: each line and all together, without empty ones."""
+    """Normalised units of the lines of one level, each once, without empty ones."""
     bodies = F.transform(F.filter("lines", lambda x: x["level"] == level), lambda x: _normal(x["body"]))
     some = F.filter(bodies, lambda x: x != "")
-    return F.array_distinct(F.filter(F.concat(some, F.array(F.array_join(some, " "))), lambda x: x != ""))
+
+    def marked(line: Column) -> Column:
+        body = _normal(F.translate(line["body"], "\x1d\x1e", "  "))
+        return F.when(line["level"] != level, "\x1e").when(body == "", "\x1d").otherwise(body)
+
+    # Lines of another level end a run, empty lines a paragraph.
+    told = F.array_join(F.transform("lines", marked), " ")
+    runs = F.transform(F.split(told, "\x1e"), lambda x: _normal(F.translate(x, "\x1d", " ")))
+    paragraphs = F.transform(F.split(told, "[\x1d\x1e]"), _normal)
+    sentences = F.flatten(F.transform(paragraphs, lambda x: F.split(x, _SENTENCE_END)))
+    words = F.flatten(F.transform(runs, lambda x: _word_runs(F.split(x, " "))))
+    units = F.concat(some, F.array(F.array_join(some, " ")), runs, paragraphs, sentences, words)
+    return F.array_distinct(F.filter(units, lambda x: x != ""))
+
+
+def _word_runs(words: Column) -> Column:
+    begins = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - (WORDS - 1)))
+    return F.transform(begins, lambda i: F.array_join(F.slice(words, i, WORDS), " "))
 
 
 def _messages(conversations: DataFrame) -> DataFrame:
@@ -65,8 +86,8 @@ def threads(found: DataFrame) -> DataFrame:
 
     The way to the first is halved each round, so rounds grow with the logarithm of the longest chain.
     """
-    best = found.where("level = 1").groupBy("conv_id", "turn").agg(
-        F.max(F.struct("chars", F.col("source_turn").alias("s"))).alias("best")
+    best = found.groupBy("conv_id", "turn").agg(
+        F.max(F.struct((-F.col("level")).alias("l"), "chars", F.col("source_turn").alias("s"))).alias("best")
     )
     now = written(best.select("conv_id", "turn", F.col("best.s").alias("parent_turn"), F.col("best.s").alias("thread_turn")), "threads")
     while True:

@@ -66,6 +66,25 @@ def test_quotes_link_messages_and_go(spark):
     assert quotation_linking.format_conversations(df.limit(0)).count() == 0
 
 
+def test_passages_are_found_however_they_are_wrapped(spark):
+    first = "The first part of it speaks of\nbread, and of how bread is made\n\nThe second part has\nanother theme. It ends here!\n\nlast words"
+    long = "one two three four five six seven eight nine ten eleven twelve without any full stop in all of it"
+    rows = [
+        (1, 0, first),
+        (1, 1, long),
+        (1, 2, "> the second part\n> has another theme.\n> It ends here!\nA paragraph."),
+        (1, 3, "> The first part of it\n> speaks of bread, and of how bread is made\nyes\n> last\n> words\nTwo passages."),
+        (1, 4, "> has another theme. It ends\n> here!\nA sentence."),
+        (1, 5, "> ... four five six seven\n> eight nine ten eleven twelve [...]\nInside a line."),
+        (1, 6, ">> last words\nOnly at level two."),
+        (1, 7, ">> last words\n> Inside a line.\nAt both."),
+        (1, 8, "> the second theme\n> has part another bread\nNobody said that."),
+    ]
+    df = spark.createDataFrame([(*r[:2], "user", r[2]) for r in rows], "conv_id long, turn long, role string, text string")
+    got = {r["turn"]: (r["parent_turn"], r["thread_turn"]) for r in quotation_linking.format_conversations(df).collect()}
+    assert got == {0: (None, 0), 1: (None, 1), 2: (0, 0), 3: (0, 0), 4: (0, 0), 5: (1, 1), 6: (0, 0), 7: (5, 1), 8: (None, 8)}
+
+
 def test_viterbi_equals_the_library_and_comes_back(spark):
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2 as pb
