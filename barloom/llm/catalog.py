@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from barloom.llm import (
     ann,
     license_scan,
+    line_dedup,
     ngram_join,
     packing,
     quality_rules,
@@ -45,6 +46,7 @@ QUERIES: dict[str, Query] = {
         toxicity.op8_toxicity,
         secret_scan.op9_secret_scan,
         packing.op10_best_fit_packing,
+        line_dedup.op12_line_dedup,
     )
 }
 
@@ -143,4 +145,18 @@ SELECT m.conv_id, coalesce(thread_turn, m.turn) AS thread_turn, m.turn, parent_t
   n_quoted_lines, own AS text, concat('<|', coalesce(role, 'unknown'), '|>', chr(10), own) AS formatted
 FROM m JOIN o USING (id) LEFT JOIN a ON a.conv_id = m.conv_id AND a.turn = m.turn
 LEFT JOIN r ON r.conv_id = m.conv_id AND r.turn = m.turn""",
+    "op12_line_dedup": r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i
+  FROM documents),
+k AS (
+  SELECT *, translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM l),
+r AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+m AS (SELECT doc_id, line, i, last IS NOT NULL AND doc_id <> last AS dropped FROM k LEFT JOIN r USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
+FROM m GROUP BY doc_id""",
 }
