@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.llm.shared import column, small_batches, table, written
@@ -169,16 +169,18 @@ def _rank_leaf(k: int):
             flat = id_lists.flatten().to_numpy()
             bounds = np.concatenate(([0], np.cumsum(np.diff(id_lists.offsets.to_numpy()))))
             points = _matrix(q, "vector")
+            lengths = float(np.linalg.norm(vectors, axis=1).max()) * vectors.shape[1]
             names = q.column(q.schema.names.index("query")).to_numpy()
             for at in range(0, len(points), 256):
                 rough = points[at : at + 256] @ vectors.T
-                # A few more than k, as the last digits of a matrix product depend on its shape.
-                many = min(len(vectors), k + 8)
-                top = np.argpartition(-rough, many - 1, axis=1)[:, :many]
+                # All that may tie with the k-th: the last digits of a matrix product depend on its shape.
+                last = max(0, len(vectors) - k)
+                floor = np.partition(rough, last, axis=1)[:, last] - 1e-12 * lengths * np.linalg.norm(points[at : at + 256], axis=1)
                 for i in range(len(rough)):
-                    exact = np.cumsum(vectors[top[i]] * points[at + i], axis=1)[:, -1]
-                    sizes = bounds[top[i] + 1] - bounds[top[i]]
-                    ids = np.concatenate([flat[bounds[j] : bounds[j + 1]] for j in top[i]])
+                    top = np.flatnonzero(rough[i] >= floor[i])
+                    exact = np.cumsum(vectors[top] * points[at + i], axis=1)[:, -1]
+                    sizes = bounds[top + 1] - bounds[top]
+                    ids = np.concatenate([flat[bounds[j] : bounds[j + 1]] for j in top])
                     ids, scores = _best(ids, np.repeat(exact, sizes), k)
                     out_q.append(names[at + i])
                     out_ids.append(ids)
@@ -249,10 +251,11 @@ def nearest(
     dimension = common["d"] if common else 1
     rows = rows.where(F.size(v) == dimension)
     # The k + 1 smallest ids of each vector, in two steps, as one vector may have most of the rows.
-    few = F.slice(F.sort_array(F.collect_set("id")), 1, k + 1)
-    salted = rows.groupBy("vector", F.pmod(F.xxhash64("id"), F.lit(64)).alias("salt")).agg(few.alias("ids"))
-    smallest = F.slice(F.array_distinct(F.sort_array(F.flatten(F.collect_list("ids")))), 1, k + 1)
-    classes = written(salted.groupBy("vector").agg(smallest.alias("ids")), "classes")
+    few = rows.distinct()
+    for part in ([F.pmod(F.xxhash64("id"), F.lit(64))], []):
+        order = Window.partitionBy("vector", *part).orderBy("id")
+        few = few.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= k + 1)
+    classes = written(few.groupBy("vector").agg(F.sort_array(F.collect_list("id")).alias("ids")), "classes")
     norm = classes.agg(F.max(F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)))).first()[0] or 1.0
     drawn = classes.orderBy(F.xxhash64("vector")).limit(sample).select("vector").toArrow().column(0).combine_chunks()
     points = drawn.flatten().to_numpy(zero_copy_only=False).reshape(len(drawn), dimension) if len(drawn) else np.zeros((0, dimension))

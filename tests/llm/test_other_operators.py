@@ -3,6 +3,7 @@
 import collections
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -39,6 +40,16 @@ def test_nearest_equals_brute_force_and_breaks_ties_by_id(spark):
     assert ann.nearest(df.limit(0), 20, lambda i: i % 20 == 0).count() == 0
 
 
+def test_ties_of_different_vectors_go_to_smaller_ids():
+    # 199 vectors that differ but have one product with the query, in no order.
+    order = np.random.default_rng(1).permutation(np.arange(1, 200))
+    vectors = [[1.0, *[float(i >> b & 1) for b in range(8)]] for i in order.tolist()]
+    queries = pa.table({"query": [800], "vector": [[1.0] + [0.0] * 8]})
+    members = pa.table({"ids": pa.array([[800 + i] for i in order.tolist()]), "vector": vectors})
+    found = ann._rank_leaf(20)(None, queries, members).to_pylist()[0]
+    assert found["ids"] == list(range(801, 821)) and set(found["scores"]) == {1.0}
+
+
 def test_quotes_link_messages_and_go(spark):
     rows = [
         (1, 0, "user", "How are you?\nTell me more."),
