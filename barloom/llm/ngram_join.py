@@ -375,20 +375,22 @@ def jaccard_components(docs: DataFrame, id: str = "doc_id", text: str = "text",
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = GRAM, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay when each component keeps the row of its smallest id (nulls last).
 
-    Of rows with the same id and text one stays. All columns are kept.
+    Of rows of a component with the same id and text one stays; rows without words link with nothing and all
+    stay, however alike. All columns are kept.
     """
-    found = _components(docs, id, text, n, percent).where(F.col("root").isNotNull()).select("root", "id", "h")
+    found = _components(docs, id, text, n, percent).where(F.col("root").isNotNull())
+    copies = found.groupBy("root", "id", "h").agg(F.count("*").alias("copies"))
     rank = F.struct(F.col("id").isNull().alias("z"), F.col("id").alias("id"), F.col("h").alias("h"))
-    best = found.groupBy("root").agg(F.min(rank).alias("best"))
-    gone = (
-        found.join(best, "root")
-        .where(~(F.col("id").eqNullSafe(F.col("best.id")) & (F.col("h") == F.col("best.h"))))
-        .select(F.col("id").alias("__id"), F.col("h").alias("__h"))
-        .distinct()
-    )
+    best = copies.groupBy("root").agg(F.min(rank).alias("best"))
+    stays = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("h") == F.col("best.h"))
+    marks = copies.join(best, "root").select(F.col("id").alias("__id"), F.col("h").alias("__h"), stays.alias("__stays"), "copies")
+    marks = written(marks.where(~F.col("__stays") | (F.col("copies") > 1)), "marks")
+    names = docs.columns
     named = docs.withColumn("__hash", F.xxhash64(column(text).cast("string")))
-    left = named.join(gone, column(id).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__h")), "left_anti")
-    return left.dropDuplicates([id, "__hash"]).drop("__hash")
+    same = column(id).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__h"))
+    untouched = named.join(marks, same, "left_anti")
+    repeated = named.join(marks.where("__stays"), same, "left_semi").dropDuplicates([id, "__hash"])
+    return untouched.unionByName(repeated).select(*[column(c) for c in names])
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
