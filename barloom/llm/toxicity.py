@@ -1,17 +1,17 @@
 """Toxicity: class-conditional Kneser-Ney models of texts as strings of bytes.
 
-The model of ordinary texts is an interpolated Kneser-Ney model of order 4 over letters and
-digits in lower case, words parted by one space. The model of toxic texts has the counts of
-toxic texts after each context and, by absolute discounting with a concentration, falls
-back on the ordinary model's probability after the same context: both share its lower-order
-counts, so an expression that is rare among toxic texts costs the same in both, and only
-what labels show often enough moves them apart. A text's measure is the difference of its
-log-likelihoods over its number of words, which a logistic curve, fitted to labelled texts
-that the models have not seen, turns into a score.
+Texts are letters and digits in lower case, words parted by one space. Both classes share the
+lower orders of an interpolated Kneser-Ney model of order 4: continuation counts, pooled over all
+labelled texts. The ordinary model has the counts of ordinary texts after each context of three bytes and backs
+off to the shared orders. The toxic model has those of toxic texts, far fewer, and backs off, by absolute discounting with
+a concentration, to the counts of both classes after the same context, and these to the shared orders: an expression
+that is rare among toxic texts costs about the same in both models, and only what labels show often enough moves them
+apart. A text's measure is the difference of its log-likelihoods, toxic less ordinary, over its number of words, which
+a logistic curve, fitted to labelled texts that the models have not seen, turns into a score.
 
 Counts come from all labelled texts whose crc32(id) mod 5 is 1, 2 or 3, and grow with them.
-A byte's measure depends on its context, and on itself only if toxic texts have it there more
-often than the discount takes off. Contexts are three bytes, so their number is bounded; values
+A byte's measure depends on its context, if toxic texts have it, and on itself if labelled texts have it there.
+Contexts are three bytes, so their number is bounded; values
 of grams go to the tasks ``HELD`` at a time, in as many passes as it takes. Texts with remainder 4 fit the curve (``CURVE_ROWS`` at most); those with 0 are held out.
 """
 
@@ -86,13 +86,10 @@ def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarra
     return np.where(keys[at] == wanted, values[at], 0.0)
 
 
-class Ordinary:
-    """The model of ordinary texts: tables of order 3 and less, and the contexts of order 4.
+class Shared:
+    """The orders below 4 that both classes share, from (last three bytes of a gram, different bytes before them)."""
 
-    ``suffixes``: (last three bytes, different bytes before them); ``contexts``: (first three bytes, counts, different bytes after them).
-    """
-
-    def __init__(self, suffixes: tuple[np.ndarray, ...], contexts: tuple[np.ndarray, ...]):
+    def __init__(self, suffixes: tuple[np.ndarray, ...]):
         self.grams: list = [None] * ORDER
         self.grams[ORDER - 1] = _sums(*suffixes)
         for k in range(ORDER - 2, 0, -1):
@@ -101,21 +98,40 @@ class Ordinary:
         self.contexts = [None] + [
             (*_sums(g >> 8, n), _sums(g >> 8, np.full(len(g), DISCOUNT))[1]) for g, n in self.grams[1:]
         ]
-        keys, total, different = contexts
-        self.contexts.append((*_sums(keys, total), _sums(keys, different * DISCOUNT)[1]))
 
-    def probability(self, gram: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Of the last byte of grams that occur ``counts`` times, interpolated from the lowest order up."""
+    def probability(self, gram: np.ndarray) -> np.ndarray:
+        """Of the last byte of grams after the two before it, interpolated from the lowest order up."""
         p = np.full(len(gram), 1 / 256)
-        for k in range(1, ORDER + 1):
+        for k in range(1, ORDER):
             suffix = gram & ((1 << 8 * k) - 1)
             keys, total, held = self.contexts[k]
             n, back = _find(keys, total, suffix >> 8), _find(keys, held, suffix >> 8)
-            count = np.maximum((counts if k == ORDER else _find(*self.grams[k], suffix)) - DISCOUNT, 0)
+            count = np.maximum(_find(*self.grams[k], suffix) - DISCOUNT, 0)
             p = np.where(n > 0, (count + back * p) / np.maximum(n, 1e-300), p)
         return p
 
 
+class Contexts:
+    """Contexts of some texts: how often each occurs, and how many different bytes follow it."""
+
+    def __init__(self, keys: np.ndarray, total: np.ndarray, different: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.total, self.different = keys[order], total[order], different[order]
+
+    def at(self, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return _find(self.keys, self.total, contexts), _find(self.keys, self.different, contexts)
+
+    def probability(self, gram: np.ndarray, counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """Of the last byte of grams that occur ``counts`` times, interpolated with the lower orders."""
+        total, different = self.at(gram >> 8)
+        return np.where(total > 0, (np.maximum(counts - DISCOUNT, 0) + DISCOUNT * different * lower) / np.maximum(total, 1), lower)
+
+    def back_off(self, contexts: np.ndarray) -> np.ndarray:
+        """The part of the lower orders after each context: all of it where the context does not occur."""
+        total, different = self.at(contexts)
+        return np.where(total > 0, DISCOUNT * different / np.maximum(total, 1), 1.0)
+
+
 class Values:
     """Parts of log P(a byte after those before it, toxic) - the same, ordinary: by the context, and more by the gram."""
 
@@ -152,12 +168,18 @@ def fold(id: str):
     return F.pmod(F.crc32(column(id).cast("string").cast("binary")), F.lit(FOLDS))
 
 
-def fit_models(docs: DataFrame, labels: DataFrame, id: str, text: str, label: str) -> Iterator[Values]:
-    """The model in parts whose measures add up; one, up to ``HELD`` values of grams."""
+def labelled_texts(docs: DataFrame, labels: DataFrame, id: str, text: str, label: str) -> DataFrame:
+    """(id, fold, toxic, text) of the labelled texts that may be learned from. Texts are joined by one shuffle at every size."""
     known = labels.where(column(label).isNotNull()).groupBy(column(id).alias("__id")).agg(F.max(column(label).cast("int")).alias("toxic"))
-    rows = docs.where(fold(id).isin(1, 2, 3)).select(column(id).alias("__id"), column(text).cast("string").alias("text"))
+    rows = docs.where(fold(id) > 0).select(column(id).alias("__id"), fold(id).alias("fold"), column(text).cast("string").alias("text"))
+    joined = rows.hint("merge").join(known.where(F.col("toxic").isin(0, 1)).hint("merge"), "__id")
+    return written(joined.select(F.col("__id").alias("id"), "fold", "toxic", "text"), "labelled")
+
+
+def fit_models(labelled: DataFrame) -> Iterator[Values]:
+    """The model in parts whose measures add up; one, up to ``HELD`` values of grams."""
     counted = (
-        rows.join(known.where(F.col("toxic").isin(0, 1)), "__id")
+        labelled.where("fold < 4")
         .select("toxic", "text")
         .mapInArrow(_count_grams, "toxic int, gram long, n long")
         .groupBy("gram")
@@ -169,26 +191,33 @@ def fit_models(docs: DataFrame, labels: DataFrame, id: str, text: str, label: st
         found = df.toArrow()
         return tuple(found.column(i).to_numpy().astype(float if i else np.int64) for i in range(found.num_columns))
 
-    context = F.shiftright("gram", 8).alias("context")
-    ordinary, toxic = counted.where("ordinary > 0"), counted.where("toxic > 0")
-    model = Ordinary(
-        arrays(ordinary.groupBy(F.col("gram").bitwiseAND(F.lit((1 << 8 * (ORDER - 1)) - 1)).alias("suffix")).count()),
-        arrays(ordinary.groupBy(context).agg(F.sum("ordinary"), F.count("*"))),
-    )
-    keys, total, different = arrays(toxic.groupBy(context).agg(F.sum("toxic"), F.count("*")))
-    order = np.argsort(keys)
-    keys, total, different = keys[order], total[order], different[order]
-    # What the discount takes off all grams of a context, and the concentration, is the ordinary model's share.
-    share = TOXIC_DISCOUNT * different + CONCENTRATION
-    by_context = np.log(share / (total + CONCENTRATION))
-    more = toxic.where(F.col("toxic") > TOXIC_DISCOUNT)
+    context, every = F.shiftright("gram", 8).alias("context"), F.col("ordinary") + F.col("toxic")
+    suffix = F.col("gram").bitwiseAND(F.lit((1 << 8 * (ORDER - 1)) - 1)).alias("suffix")
+    shared = Shared(arrays(counted.groupBy(suffix).count()))
+    contexts = counted.groupBy(context)
+    ordinary = Contexts(*arrays(contexts.agg(F.sum("ordinary").alias("n"), F.count_if(F.col("ordinary") > 0)).where("n > 0")))
+    toxic = Contexts(*arrays(contexts.agg(F.sum("toxic").alias("n"), F.count_if(F.col("toxic") > 0)).where("n > 0")))
+    pooled = Contexts(*arrays(contexts.agg(F.sum(every), F.count("*"))))
+    # What the discount takes off all grams of a context, and the concentration, is the share of the counts of both classes.
+    share = TOXIC_DISCOUNT * toxic.different + CONCENTRATION
+    # A byte that labelled texts do not have after a context is left to the shared orders by all counts.
+    unseen = share / (toxic.total + CONCENTRATION) * pooled.back_off(toxic.keys) / ordinary.back_off(toxic.keys)
+    by_context = np.log(unseen)
+    # After a context that toxic texts do not have, the two models agree.
+    more = counted.join(counted.where("toxic > 0").select(context).distinct(), context == F.col("context"), "left_semi")
+    more = written(more, "values")
     parts = max(1, -(-more.count() // HELD))
     for part in range(parts):
         gram, often, seldom = arrays(more.where(F.pmod(F.xxhash64("gram"), F.lit(parts)) == part).select("gram", "toxic", "ordinary"))
         order = np.argsort(gram)
         gram, often, seldom = gram[order], often[order], seldom[order]
-        value = np.log1p((often - TOXIC_DISCOUNT) / (_find(keys, share, gram >> 8) * model.probability(gram, seldom)))
-        yield Values((keys, by_context) if part == 0 else (keys[:0], by_context[:0]), (gram, value))
+        lower = shared.probability(gram)
+        both = pooled.probability(gram, often + seldom, lower)
+        own = _find(toxic.keys, share, gram >> 8)
+        total = _find(toxic.keys, toxic.total, gram >> 8)
+        as_toxic = (np.maximum(often - TOXIC_DISCOUNT, 0) + own * both) / (total + CONCENTRATION)
+        value = np.log(as_toxic / ordinary.probability(gram, seldom, lower)) - _find(toxic.keys, by_context, gram >> 8)
+        yield Values((toxic.keys, by_context) if part == 0 else (toxic.keys[:0], by_context[:0]), (gram, value))
 
 
 def measured(docs: DataFrame, text: str, models: list) -> DataFrame:
@@ -220,19 +249,18 @@ def score(
     name of an added one are replaced; an empty table gives an empty one.
     """
     spark = docs.sparkSession
-    models = [spark.sparkContext.broadcast(part) for part in fit_models(docs, labels, id, text, label)]
+    labelled = labelled_texts(docs, labels, id, text, label)
+    models = [spark.sparkContext.broadcast(part) for part in fit_models(labelled)]
     names = ["held_out", "score", "predicted"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in names]
     chosen = docs.select(*[column(c) for c in dict.fromkeys([*keep, id, text])])
     every = measured(chosen, text, models)
-    fitting = measured(chosen.where(fold(id) == 4).select(*[column(c) for c in dict.fromkeys([id, text])]), text, models)
-    known = labels.where(column(label).isNotNull()).groupBy(column(id).alias("__id")).agg(F.max(column(label).cast("int")).alias("__y"))
-    seen = written(fitting.select(column(id).alias("__id"), "__measure"), "measures")
+    fitting = measured(labelled.where("fold = 4"), "text", models)
     curve = (
-        seen.join(known.where(F.col("__y").isin(0, 1)), "__id")
-        .orderBy(F.xxhash64("__id", "__measure"))
+        fitting.select("id", "__measure", F.col("toxic").cast("double"))
+        .orderBy(F.xxhash64("id", "__measure"))
         .limit(CURVE_ROWS)
-        .select("__measure", F.col("__y").cast("double"))
+        .select("__measure", "toxic")
         .toArrow()
     )
     slope, intercept = fit_curve(curve.column(0).to_numpy(), curve.column(1).to_numpy())

@@ -116,6 +116,13 @@ def test_one_row_of_each_component_stays(spark, docs):
     assert ngram_join.keep_one(df.limit(0)).count() == 0
 
 
+def test_rows_without_words_all_stay(spark):
+    wordless = [(None, None)] * 2 + [(None, "")] * 2 + [(7, "")] * 2
+    rows = wordless + [(8, "one two three four five six")] * 3 + [(9, "one two three four five six")] + [(None, "one two three four five six")] * 2
+    kept = ngram_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(repr, map(tuple, kept))) == sorted(map(repr, [*wordless, (8, "one two three four five six")]))
+
+
 def test_divide_skip_finds_each_component():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.choice(60, 40)).astype(np.uint64) for _ in range(40)]
@@ -313,24 +320,23 @@ def test_toxicity_counts_all_grams(spark, monkeypatch, held):
     for i, t, y in rows:
         if zlib.crc32(str(i).encode()) % 5 in (1, 2, 3):
             count[y].update(grams(t))
-    tables = {4: count[0]}
+    tables = {4: count[0] + count[1]}
     for k in (3, 2, 1):
         tables[k] = collections.Counter(g[1:] for g in tables[k + 1])
 
-    def ordinary(g):
-        p = 1 / 256
-        for k in range(1, 5):
-            after = [n for x, n in tables[k].items() if x[:-1] == g[4 - k : 3]]
-            if after:
-                p = (max(tables[k][g[4 - k :]] - 0.75, 0) + 0.75 * len(after) * p) / sum(after)
-        return p
+    def order(table, g, k, p):
+        after = [n for x, n in table.items() if x[:-1] == g[4 - k : 3]]
+        return (max(table[g[4 - k :]] - 0.75, 0) + 0.75 * len(after) * p) / sum(after) if after else p
 
     def value(g):
+        p = 1 / 256
+        for k in (1, 2, 3):
+            p = order(tables[k], g, k, p)
         after = [n for x, n in count[1].items() if x[:-1] == g[:-1]]
-        p = ordinary(g)
-        return np.log((max(count[1][g] - 1, 0) + (len(after) + 200) * p) / (sum(after) + 200) / p) if after else 0.0
+        toxic = (max(count[1][g] - 1, 0) + (len(after) + 200) * order(tables[4], g, 4, p)) / (sum(after) + 200)
+        return np.log(toxic / order(count[0], g, 4, p)) if after else 0.0
 
-    parts = list(toxicity.fit_models(docs, labels, "doc_id", "text", "toxic"))
+    parts = list(toxicity.fit_models(toxicity.labelled_texts(docs, labels, "doc_id", "text", "toxic")))
     assert (len(parts) > 1) == (held == 50)
     shared = [spark.sparkContext.broadcast(p) for p in parts]
     got = {r["doc_id"]: r["__measure"] for r in toxicity.measured(docs, "text", shared).collect()}
