@@ -386,11 +386,12 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = G
     marks = copies.join(best, "root").select(F.col("id").alias("__id"), F.col("h").alias("__h"), stays.alias("__stays"), "copies")
     marks = written(marks.where(~F.col("__stays") | (F.col("copies") > 1)), "marks")
     names = docs.columns
-    named = docs.withColumn("__hash", F.xxhash64(column(text).cast("string")))
-    same = column(id).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__h"))
+    row = F.struct(*[column(c) for c in names]).alias("row")
+    named = docs.select(column(id).alias("id"), F.xxhash64(column(text).cast("string")).alias("hash"), row)
+    same = F.col("id").eqNullSafe(F.col("__id")) & (F.col("hash") == F.col("__h"))
     untouched = named.join(marks, same, "left_anti")
-    repeated = named.join(marks.where("__stays"), same, "left_semi").dropDuplicates([id, "__hash"])
-    return untouched.unionByName(repeated).select(*[column(c) for c in names])
+    repeated = named.join(marks.where("__stays"), same, "left_semi").dropDuplicates(["id", "hash"])
+    return untouched.unionByName(repeated).select(*[F.col("row").getField(c).alias(c) for c in names])
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

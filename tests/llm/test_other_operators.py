@@ -137,7 +137,13 @@ def test_pipeline_keeps_clean_rows_and_drops_copies(spark, tmp_path):
     shared = text(50)
     rows = clean + toxic + [(200, clean[0][1]), (201, clean[1][1] + " more"), (202, f"{text(50)} {shared}"), (203, f"{shared} {text(50)}")]
     rows += [(204, f'{text(30)} token = "{"0a1b2c3d" * 5}" {text(30)}'), (205, None), (206, ""), (None, text(70))]
-    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    rows += [(None, None)] * 3 + [(None, "")] * 2
+    # Columns with the names that operators add.
+    extra = "n_words int, score string, redacted string, `kept_text` string, predicted int, __hash long, n_secrets int"
+    docs = spark.createDataFrame(
+        [(i, t, "en", "s", len(t or ""), -5, "x", "y", "z", 9, at, -6) for at, (i, t) in enumerate(rows)],
+        f"doc_id long, text string, lang string, source string, n_chars long, {extra}",
+    )
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(i, int(i >= 100)) for i, _ in clean + toxic], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     now, kept = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
@@ -147,6 +153,9 @@ def test_pipeline_keeps_clean_rows_and_drops_copies(spark, tmp_path):
         now.write.parquet(f"{tmp_path}/{name}")
         now = spark.read.parquet(f"{tmp_path}/{name}")
         kept[name] = {r["doc_id"]: r for r in now.collect()}
+        assert now.select("n_words", "score", "redacted", "kept_text", "predicted", "n_secrets").distinct().collect() == [(-5, "x", "y", "z", 9, -6)]
+        assert now.where("doc_id is null and coalesce(text, '') = ''").count() == 5
+        assert stage(spark, now.limit(0), str(tmp_path)).count() == 0
     assert not [i for i in kept["toxicity"] if i is not None and 100 <= i < 140]
     assert {i for i, _ in clean} <= set(kept["near_duplicates"]) and not {200, 201} & set(kept["near_duplicates"])
     assert shared not in kept["substring_dedup"][202]["text"] and len(kept["substring_dedup"][202]["text"].split()) == 50
