@@ -13,46 +13,66 @@ from pyspark.sql import functions as F
 from barloom.llm import ngram_join, packing, secret_scan, substring_dedup, toxicity
 from barloom.llm.shared import column, ship_package, table, written
 
+#: Near duplicates share this many words in a row, in at least this percentage of all such runs of both.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that are not predicted to be toxic; labels teach the models."""
+    """Rows that are not predicted to be toxic; labels teach the models.
+
+    Null and empty texts are not toxic unless most labelled texts are; repeated rows go or stay together.
+    """
     ship_package(spark)
-    found = toxicity.score(docs, table(spark, sf_dir, "labels"), keep=docs.columns)
-    return found.where("predicted = 0").select(*[column(c) for c in docs.columns])
+    found = toxicity.score(_wrapped(docs), table(spark, sf_dir, "labels"), keep=[ROW, "text"])
+    return _unwrapped(found.where("predicted = 0"), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of documents linked by similar word 4-grams: that of the smallest id."""
+    """One row of each group of documents linked by similar runs of words: that of the smallest id.
+
+    Texts without words link with nothing and all stay. Rows of a group with the same id and text are one.
+    """
     ship_package(spark)
-    return ngram_join.keep_one(docs)
+    return ngram_join.keep_one(docs, n=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows, their texts without words that a repeated window covers; other texts stay as they are."""
+    """All rows, their texts without words that a repeated window covers; other texts, null ones too, stay as they are."""
     ship_package(spark)
-    keep = docs.columns
-    found = substring_dedup.remove_repeated(docs, keep=keep)
+    found = substring_dedup.remove_repeated(_wrapped(docs), keep=[ROW, "text"])
     changed = F.col("n_removed") > 0
-    return _with_text(found, keep, F.when(changed, F.col("kept_text")).otherwise(F.col("text")), changed)
+    return _unwrapped(found, docs, F.when(changed, F.col("kept_text")).otherwise(F.col("text")), changed)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows, each secret of their texts replaced by a mark."""
+    """All rows, each secret of their texts replaced by a mark; null and empty texts stay as they are."""
     ship_package(spark)
-    found = secret_scan.redact(docs)
-    return _with_text(found, docs.columns, F.col("redacted"), F.col("n_secrets") > 0)
+    found = secret_scan.redact(_wrapped(docs))
+    return _unwrapped(found, docs, F.col("redacted"), F.col("n_secrets") > 0)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all texts' token ids and their places in packed sequences."""
+    """The pieces of all texts' token ids and their places in packed sequences; null texts count as empty."""
     ship_package(spark)
-    return packing.pack(docs)
+    return packing.pack(docs.select("doc_id", "text"))
+
+
+ROW = "__row"
+
+
+def _wrapped(docs: DataFrame) -> DataFrame:
+    """The id, the text and all other columns as one, so that none can clash with a column that an operator adds."""
+    others = [column(c).alias(c) for c in docs.columns if c != "text"]
+    return docs.select("doc_id", "text", F.struct(*others).alias(ROW))
 
 
-def _with_text(found: DataFrame, names: list[str], text, changed) -> DataFrame:
-    """The named columns with a new text, and the number of characters of changed texts."""
-    new = {"text": text, "n_chars": F.when(changed, F.length(text).cast("long")).otherwise(F.col("n_chars"))}
-    return found.select(*[new[c].alias(c) if c in new else column(c) for c in names])
+def _unwrapped(found: DataFrame, docs: DataFrame, text=None, changed=None) -> DataFrame:
+    """The columns of ``docs`` again, with a new text, if given, and the number of characters of changed texts."""
+    out = {c: F.col(ROW).getField(c) for c in docs.columns if c != "text"}
+    out["text"] = F.col("text") if text is None else text
+    if text is not None and "n_chars" in out:
+        out["n_chars"] = F.when(changed, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(out["n_chars"])
+    return found.select(*[out[c].alias(c) for c in docs.columns])
 
 
 STAGES = [
