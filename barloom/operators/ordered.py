@@ -2,12 +2,15 @@
 
 A plain window sorts a whole group in one task; a symbol or a day that holds a large
 part of all rows would stall the job there. Groups are therefore counted first (one
-column, reduced before its shuffle), and those too large for a task are cut into
-ordered pieces; a piece that is itself too large, such as a hot day or a narrow range of
-values, is cut once more. The pieces are summed up in a small aggregate, and each gets what it
-needs from its neighbours as one extra *seed row*. Other groups stay whole and need no
-seeds; without large groups all that is added to the plain window is the count.
-
+column, reduced before its shuffle). Without large groups the plain window does. Large ones
+are cut where quantile sketches of their keys say: each level of cutting sums up one mergeable sketch
+for each piece that is still too large, and cuts it into up to ``FAN`` pieces at its quantiles, until no piece
+is larger than a task should take, whatever its range: a hot minute, or values that share all but their last digits.
+Only rows with one and the same key stay together. Pieces are summed up in a small aggregate, a prefix scan
+over it gives each what it needs from the pieces before, and that reaches it as one extra *seed row*.
+
+The cuts are written to the shared work folder, so every later step sees the same ones. There is at
+most one for each ``rows_per_task / FAN`` rows of a large group; they meet the rows by a join without hints.
 Seeds travel by union, and large groups are looked up null-safe, so NULL keys stay.
 """
 
@@ -16,82 +19,93 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.session import written
+
 ROWS_PER_TASK = 2_000_000
-MOST_LARGE_GROUPS = 50_000
+#: Pieces that one level of cutting makes of one at most, and the size of the sketches it cuts by.
+FAN, SKETCH = 64, 800
 
 PIECE = "_piece"
 IS_ROW = "_is_row"
 CARRY = "_carry"
-IS_LARGE = "_is_large"
 LARGE = "_large_group"
-IS_LARGE_PIECE = "_is_large_piece"
-LARGE_PIECE = "_large_piece"
-FINE_TIME = "minute"
-COARSE_DIGITS, FINE_DIGITS = 11, 33
+CUTS = "_cuts"
+KEY = "_key"
 
 
-def large_groups(df: DataFrame, group: str, rows_per_task: int) -> DataFrame:
-    """The groups with more rows than one task should take; at most 50,000, so fit to broadcast.
+def large_groups(df: DataFrame, group: str, rows_per_task: int, size: Column | None = None) -> DataFrame:
+    """The groups with more rows than one task should take: fewer than all rows over ``rows_per_task``."""
+    size = F.count(F.lit(1)) if size is None else size
+    sizes = df.groupBy(F.col(group).alias(LARGE)).agg(size.alias("_n"))
+    return written(sizes.where(F.col("_n") > rows_per_task).select(LARGE), "large-groups")
 
-    A group that is not among the 50,000 largest holds less than 1/50,000 of all rows; it
-    stays whole, which is as exact. Sizes are exact and ties are broken by the group, so
-    every evaluation names the same groups.
-    """
-    sizes = df.groupBy(F.col(group).alias(LARGE)).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_task)
-    largest = sizes.orderBy(F.col("_n").desc(), LARGE).limit(MOST_LARGE_GROUPS)
-    return F.broadcast(largest.select(LARGE, F.lit(True).alias(IS_LARGE)))
 
+def piece_of(key: Column, cuts: Column, most: int) -> Column:
+    """How many cuts are not above the key, by halving; one more than there are for a NULL key.
 
-def _refined(cut: DataFrame, among: DataFrame, group: str, fine: Column, rows_per_task: int) -> DataFrame:
-    """Pieces of ``among`` with more rows than one task should take are cut into finer ones.
-
-    A finer piece starts within its piece, so the order of pieces stays that of the rows. As
-    with groups, at most 50,000 are named.
+    ``most`` is the number of cuts that any group has at most.
     """
-    keys = [F.col(group).alias(LARGE), F.col(PIECE).alias(LARGE_PIECE)]
-    sizes = among.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_task)
-    largest = sizes.orderBy(F.col("_n").desc(), LARGE, LARGE_PIECE).limit(MOST_LARGE_GROUPS)
-    named = F.broadcast(largest.select(LARGE, LARGE_PIECE, F.lit(True).alias(IS_LARGE_PIECE)))
-    same = F.col(group).eqNullSafe(F.col(LARGE)) & F.col(PIECE).eqNullSafe(F.col(LARGE_PIECE))
-    piece = F.when(F.col(IS_LARGE_PIECE), fine).otherwise(F.col(PIECE))
-    return cut.join(named, same, "left").withColumn(PIECE, piece).drop(LARGE, LARGE_PIECE, IS_LARGE_PIECE)
-
-
-def _cut(df: DataFrame, group: str, ts: str, piece: str, rows_per_task: int) -> DataFrame:
-    """Rows with the piece of their group; NULL in groups that stay whole."""
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(max(1, most.bit_length())))])
+    below = lambda at, step: (at + step <= F.size(cuts)) & (F.get(cuts, at + step - 1) <= key)
+    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(below(at, step), at + step).otherwise(at))
+    return F.when(key.isNull(), F.size(cuts) + 1).otherwise(found)
+
+
+def cut_points(keys: DataFrame, large: DataFrame, rows_per_task: int) -> tuple[DataFrame, int]:
+    """(group, cuts) of the large groups and the largest number of cuts; ``keys`` has the group as LARGE, and KEY."""
+    cuts = large.select(LARGE, F.array().cast("array<bigint>").alias(CUTS))
+    most, among = 0, F.col(LARGE).eqNullSafe(F.col("_of"))
+    ranks = F.array(*[F.lit(i / FAN) for i in range(1, FAN)])
+    while True:
+        placed = keys.join(cuts.withColumnRenamed(LARGE, "_of"), among).where(F.col(KEY).isNotNull())
+        placed = placed.select(LARGE, KEY, piece_of(F.col(KEY), F.col(CUTS), most).alias(PIECE))
+        sized = placed.groupBy(LARGE, PIECE).agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.min(KEY).alias("_min"),
+            F.max(KEY).alias("_max"),
+            F.kll_sketch_agg_bigint(KEY, F.lit(SKETCH)).alias("_sketch"),
+        )
+        # A piece begins at its cut, so the least key is none; the largest always is one, so every level gets on.
+        within = F.filter(
+            F.array_union(F.kll_sketch_get_quantile_bigint("_sketch", ranks), F.array("_max")), lambda c: c > F.col("_min")
+        )
+        found = sized.where((F.col("_n") > rows_per_task) & (F.col("_min") < F.col("_max"))).select(LARGE, F.explode(within).alias("_cut"))
+        found = written(found, "cuts")
+        if found.isEmpty():
+            return cuts, most
+        every = cuts.select(LARGE, F.explode_outer(CUTS).alias("_cut")).unionByName(found).groupBy(LARGE).agg(F.sort_array(F.collect_set("_cut")).alias(CUTS))
+        cuts = written(every, "cut-points")
+        most = cuts.agg(F.max(F.size(CUTS))).first()[0]
+
+
+def _cut(df: DataFrame, group: str, key: Column, rows_per_task: int) -> DataFrame | None:
+    """Rows with the piece of their group, NULL in groups that stay whole; None if all do."""
     large = large_groups(df, group, rows_per_task)
-    marked = df.join(large, F.col(group).eqNullSafe(F.col(LARGE)), "left")
-    cut = marked.select(*df.columns, IS_LARGE, F.when(F.col(IS_LARGE), F.date_trunc(piece, ts)).alias(PIECE))
-    return _refined(cut, cut.where(IS_LARGE), group, F.date_trunc(FINE_TIME, ts), rows_per_task)
+    if large.isEmpty():
+        return None
+    cuts, most = cut_points(df.select(F.col(group).alias(LARGE), key.alias(KEY)), large, rows_per_task)
+    marked = df.join(cuts, F.col(group).eqNullSafe(F.col(LARGE)), "left")
+    return marked.select(*df.columns, F.when(F.col(CUTS).isNotNull(), piece_of(key, F.col(CUTS), most)).alias(PIECE))
 
 
 def row_numbers_latest_first(
-    df: DataFrame,
-    group: str,
-    ts: str,
-    out: str = "row_num",
-    piece: str = "day",
-    rows_per_task: int = ROWS_PER_TASK,
+    df: DataFrame, group: str, ts: str, out: str = "row_num", rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Number the rows of each group from the latest back; NULL times come first."""
-    cut = _cut(df, group, ts, piece, rows_per_task)
-    later = (
-        Window.partitionBy(group)
-        .orderBy(F.col(PIECE).desc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    latest = F.col(ts).desc_nulls_first()
+    cut = _cut(df, group, F.unix_micros(ts), rows_per_task)
+    if cut is None:
+        numbers = F.row_number().over(Window.partitionBy(group).orderBy(latest))
+        return df.withColumn(out, numbers.cast("bigint"))
+    later = Window.partitionBy(group).orderBy(F.col(PIECE).desc()).rowsBetween(Window.unboundedPreceding, -1)
     seeds = (
-        cut.where(IS_LARGE)
+        cut.where(F.col(PIECE).isNotNull())
         .groupBy(group, PIECE)
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(group, PIECE, F.coalesce(F.sum("_n").over(later), F.lit(0)).alias(CARRY), F.lit(0).alias(IS_ROW))
     )
-    rows = cut.drop(IS_LARGE).withColumn(CARRY, F.lit(1).cast("bigint")).withColumn(IS_ROW, F.lit(1))
-    running = (
-        Window.partitionBy(group, PIECE)
-        .orderBy(IS_ROW, F.col(ts).desc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    rows = cut.withColumn(CARRY, F.lit(1).cast("bigint")).withColumn(IS_ROW, F.lit(1))
+    running = Window.partitionBy(group, PIECE).orderBy(IS_ROW, latest).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         rows.unionByName(seeds, allowMissingColumns=True)
         .withColumn(out, F.sum(CARRY).over(running))
@@ -101,27 +115,23 @@ def row_numbers_latest_first(
 
 
 def previous_value(
-    df: DataFrame,
-    group: str,
-    ts: str,
-    value: str,
-    out: str,
-    piece: str = "day",
-    rows_per_task: int = ROWS_PER_TASK,
+    df: DataFrame, group: str, ts: str, value: str, out: str, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """The value of the row before, in time order within the group."""
-    cut = _cut(df, group, ts, piece, rows_per_task)
-    by_time = Window.partitionBy(group).orderBy(F.col(PIECE).asc_nulls_last())
+    """The value of the row before, in time order within the group; NULL times come last."""
+    in_time = F.col(ts).asc_nulls_last()
+    cut = _cut(df, group, F.unix_micros(ts), rows_per_task)
+    if cut is None:
+        return df.withColumn(out, F.lag(value).over(Window.partitionBy(group).orderBy(in_time)))
+    by_time = Window.partitionBy(group).orderBy(PIECE)
     seeds = (
-        cut.where(IS_LARGE)
+        cut.where(F.col(PIECE).isNotNull())
         .groupBy(group, PIECE)
         .agg(F.max_by(value, ts).alias("_last"))
         .select(group, PIECE, F.lag("_last").over(by_time).alias(value), F.lit(0).alias(IS_ROW))
     )
-    before = Window.partitionBy(group, PIECE).orderBy(IS_ROW, F.col(ts).asc_nulls_last())
+    before = Window.partitionBy(group, PIECE).orderBy(IS_ROW, in_time)
     return (
-        cut.drop(IS_LARGE)
-        .withColumn(IS_ROW, F.lit(1))
+        cut.withColumn(IS_ROW, F.lit(1))
         .unionByName(seeds, allowMissingColumns=True)
         .withColumn(out, F.lag(value).over(before))
         .where(F.col(IS_ROW) == 1)
@@ -129,45 +139,35 @@ def previous_value(
     )
 
 
-def _band(value: str, digits: int) -> Column:
-    """``value`` rounded down to its leading binary digits, those of its complement if negative.
-
-    Order-preserving, and a function of the value alone, so every task agrees on it. With
-    eleven digits a group has at most 128 * 1024 bands, whatever its size.
-    """
-    shift = f"greatest(length(bin(if({value} < 0, ~{value}, {value}))) - {digits}, 0)"
-    return F.expr(f"shiftleft(shiftright({value}, {shift}), {shift})")
-
-
 def dense_rank_highest_first(
     df: DataFrame, group: str, value: str, out: str, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Dense rank of whole numbers within each group, highest first, NULL before all.
 
-    In large groups the distinct values are ranked, band by band, and joined back, so
-    rows that share a value never have to meet in one task.
+    One aggregate by group and value gives the sizes of the groups and the distinct values to rank. In large groups these
+    are ranked, piece by piece, and joined back, so rows that share a value never have to meet in one task.
     """
-    large = large_groups(df, group, rows_per_task)
+    highest = F.col(value).desc_nulls_first()
+    values = written(df.groupBy(F.col(group).alias(LARGE), F.col(value).alias(KEY)).agg(F.count(F.lit(1)).alias("_n")), "values")
+    large = large_groups(values, LARGE, rows_per_task, F.sum("_n"))
+    whole = F.dense_rank().over(Window.partitionBy(group).orderBy(highest))
+    if large.isEmpty():
+        return df.withColumn(out, whole)
     is_large = F.col(group).eqNullSafe(F.col(LARGE))
-    whole = Window.partitionBy(group).orderBy(F.col(value).desc_nulls_first())
-    small_ranked = df.join(large, is_large, "left_anti").withColumn(out, F.dense_rank().over(whole))
-
-    rows = df.join(large, is_large, "left_semi")
-    banded = rows.select(group, value).distinct().withColumn(PIECE, _band(value, COARSE_DIGITS))
-    distinct = _refined(banded, banded, group, _band(value, FINE_DIGITS), rows_per_task)
-    higher = (
-        Window.partitionBy(group)
-        .orderBy(F.col(PIECE).desc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    small_ranked = df.join(large, is_large, "left_anti").withColumn(out, whole)
+
+    cuts, most = cut_points(values.select(LARGE, KEY), large, rows_per_task)
+    cuts = cuts.withColumnRenamed(LARGE, "_of")
+    distinct = values.join(cuts, F.col(LARGE).eqNullSafe(F.col("_of"))).select(LARGE, KEY, piece_of(F.col(KEY), F.col(CUTS), most).alias(PIECE))
+    higher = Window.partitionBy(LARGE).orderBy(F.col(PIECE).desc()).rowsBetween(Window.unboundedPreceding, -1)
     seeds = (
-        distinct.groupBy(group, PIECE)
+        distinct.groupBy(LARGE, PIECE)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select(group, PIECE, F.coalesce(F.sum("_n").over(higher), F.lit(0)).alias(CARRY), F.lit(0).alias(IS_ROW))
+        .select(LARGE, PIECE, F.coalesce(F.sum("_n").over(higher), F.lit(0)).alias(CARRY), F.lit(0).alias(IS_ROW))
     )
     running = (
-        Window.partitionBy(group, PIECE)
-        .orderBy(IS_ROW, F.col(value).desc_nulls_first())
+        Window.partitionBy(LARGE, PIECE)
+        .orderBy(IS_ROW, F.col(KEY).desc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     ranks = (
@@ -176,10 +176,9 @@ def dense_rank_highest_first(
         .unionByName(seeds, allowMissingColumns=True)
         .withColumn(out, F.sum(CARRY).over(running).cast("int"))
         .where(F.col(IS_ROW) == 1)
-        .select(F.col(group).alias("_group"), F.col(value).alias("_value"), out)
+        .select(F.col(LARGE).alias("_group"), F.col(KEY).alias("_value"), out)
     )
-    # Null-safe on both columns: NULLs are ranked too, and as no NOT NULL filter is
-    # inferred, the join's two sides share the shuffles below them.
+    # Null-safe on both columns: NULLs are ranked too.
     same = F.col(group).eqNullSafe(F.col("_group")) & F.col(value).eqNullSafe(F.col("_value"))
-    large_ranked = rows.join(ranks, same, "left").select(*df.columns, out)
+    large_ranked = df.join(large, is_large, "left_semi").join(ranks, same, "left").select(*df.columns, out)
     return small_ranked.unionByName(large_ranked)

@@ -9,9 +9,9 @@ from barloom.functions.times import utc_date
 from barloom.functions.values import percent_change
 from barloom.operators.ordered import previous_value, row_numbers_latest_first
 
-def bar_row_numbers(bars: DataFrame, piece: str = "day") -> DataFrame:
+def bar_row_numbers(bars: DataFrame) -> DataFrame:
     """Every bar with its position from the latest bar of its symbol back."""
-    return row_numbers_latest_first(bars.select("symbol", "ts", "close"), "symbol", "ts", "row_num", piece)
+    return row_numbers_latest_first(bars.select("symbol", "ts", "close"), "symbol", "ts", "row_num")
 
 
 def _changes(bars: DataFrame) -> DataFrame:
@@ -27,10 +27,10 @@ def _changes(bars: DataFrame) -> DataFrame:
     )
 
 
-def price_changes(bars: DataFrame, piece: str = "day") -> DataFrame:
+def price_changes(bars: DataFrame) -> DataFrame:
     """Change from the bar before, for every bar of every symbol."""
     rows = bars.select("symbol", "ts", "close", "volume")
-    return _changes(previous_value(rows, "symbol", "ts", "close", "previous_close", piece))
+    return _changes(previous_value(rows, "symbol", "ts", "close", "previous_close"))
 
 
 def recent_price_changes(bars: DataFrame, symbol: str, limit: int = 30) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results: day boundaries are UTC days, and bad arithmetic raises.
 CORRECTNESS = {
@@ -57,3 +57,10 @@ def work_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir names no folder that all executors share")
         shared = tempfile.mkdtemp(prefix="run-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and read it back: later steps see the same rows whatever is lost."""
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
