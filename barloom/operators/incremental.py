@@ -78,6 +78,18 @@ def advance_marks(
     )
 
 
+def moved_marks(state: DataFrame, rows: DataFrame, updated_at: Column, status: str = "success") -> DataFrame:
+    """The rows of the state that a successful load of ``rows`` changes. A mark never moves back."""
+    stored = state.select(*S.LOAD_STATE_KEY, F.col("last_watermark").alias("_stored"))
+    return batch_marks(rows).join(stored, list(S.LOAD_STATE_KEY), "left").select(
+        *S.LOAD_STATE_KEY,
+        F.greatest("_stored", "max_ts").alias("last_watermark"),
+        F.col("row_count").alias("last_row_count"),
+        F.lit(status).alias("status"),
+        updated_at.alias("updated_at"),
+    )
+
+
 def audit_rows(rows: DataFrame, load_key: str, load_date: dt.date) -> DataFrame:
     """One audit row per source and symbol of a load.
 

@@ -14,6 +14,13 @@ from barloom.functions.times import is_zone, midnight_in_zone
 from barloom.functions.values import clean_symbol, missing_names, to_price, to_volume
 
 REASON = "reject_reason"
+REASONS = (UNREADABLE, NO_SYMBOL, BAD_DATE, BAD_PRICE, BAD_VOLUME) = (
+    "unreadable payload",
+    "missing symbol",
+    "bad date or zone",
+    "bad price",
+    "bad volume",
+)
 BAR_COLUMNS = S.BARS.fieldNames()
 
 
@@ -29,9 +36,9 @@ def parse_payloads(payloads: DataFrame, text: str = "value", normalize: bool = T
     raw_symbol = meta.getItem(S.META_SYMBOL)
     zone = F.coalesce(meta.getItem(S.META_ZONE), F.lit(S.DEFAULT_ZONE))
     symbol = clean_symbol(raw_symbol) if normalize else raw_symbol
-    fault = F.when(meta.isNull() & series.isNull(), "unreadable payload")
+    fault = F.when(meta.isNull() & series.isNull(), UNREADABLE)
     if normalize:
-        fault = fault.when(symbol.isNull(), "missing symbol")
+        fault = fault.when(symbol.isNull(), NO_SYMBOL)
 
     # Once per payload, before its entries are spread out.
     documents = payloads.withColumn("_doc", F.from_json(F.col(text), S.PAYLOAD)).select(
@@ -63,9 +70,9 @@ def parse_payloads(payloads: DataFrame, text: str = "value", normalize: bool = T
         bad_price = bad_price | F.col(name).isNull()
     reason = (
         F.when(F.col("_fault").isNotNull(), F.col("_fault"))
-        .when(F.col("ts").isNull(), "bad date or zone")
-        .when(bad_price, "bad price")
-        .when(F.col("volume").isNull(), "bad volume")
+        .when(F.col("ts").isNull(), BAD_DATE)
+        .when(bad_price, BAD_PRICE)
+        .when(F.col("volume").isNull(), BAD_VOLUME)
     )
     return typed.withColumn(REASON, reason).drop("_fault")
 
@@ -85,7 +92,7 @@ def stage_bars(payloads: DataFrame, text: str = "value", strict: bool = False) -
     """
     parsed = parse_payloads(payloads, text)
     if strict:
-        message = F.when(F.col(REASON) == "missing symbol", S.MISSING_SYMBOL_MESSAGE).otherwise(F.col(REASON))
+        message = F.when(F.col(REASON) == NO_SYMBOL, S.MISSING_SYMBOL_MESSAGE).otherwise(F.col(REASON))
         # In a filter, so that the check stays whichever columns are read.
         fail = F.raise_error(message).cast("boolean")
         parsed = parsed.where(F.when(F.col(REASON).isNull(), F.lit(True)).otherwise(fail))

@@ -67,3 +67,8 @@ def upsert_keeping(
 def delete_rows(target: DataFrame, condition: Column) -> DataFrame:
     """``target`` without the rows for which ``condition`` holds."""
     return target.where(~F.coalesce(condition, F.lit(False)))
+
+
+def delete_keys(target: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
+    """``target`` without the rows whose key is in ``keys``; NULL keys match nothing."""
+    return target.join(keys.select(*on), list(on), "left_anti")

@@ -19,7 +19,7 @@ from barloom.functions.outcomes import failure_rate
 from barloom.functions.times import utc_date
 from barloom.functions.values import first_present, object_key
 from barloom.operators import backfill, incremental, marts, metrics, quality, reports, staging, upsert
-from barloom.plans import load, publish
+from barloom.plans import load, publish, serve
 from barloom.session import use_utc, work_folder
 from barloom.sources.payloads import payload_symbol
 from barloom.sources import export, tables as tb, testdata as td
@@ -37,6 +37,7 @@ BACKFILL_START = dt.date(1999, 6, 1)
 BACKFILL_END = dt.date(2000, 3, 31)
 INTERRUPTED_AT = dt.date(1999, 9, 1)
 FIRST_DELIVERY_UNTIL = dt.date(2024, 1, 20)
+DELETED_DAY = dt.date(2024, 1, 10)
 
 
 def _comparable(df: DataFrame) -> DataFrame:
@@ -522,7 +523,7 @@ def incremental_load_job(spark, sf_dir):
     root = work_folder(spark, "incremental_load_job")
     for delivery in _deliveries(spark, sf_dir):
         load.load_incremental(spark, root, delivery, now=NOW)
-    return tb.read_current(spark, root, tb.BARS)
+    return tb.read_table(spark, root, tb.BARS)
 
 
 @query
@@ -531,7 +532,7 @@ def backfill_job(spark, sf_dir):
     first, corrected = _deliveries(spark, sf_dir)
     load.load_incremental(spark, root, first, now=NOW)
     load.backfill(spark, root, corrected, dt.date(2024, 1, 15), dt.date(2024, 1, 25), now=NOW)
-    return tb.read_current(spark, root, tb.PROGRESS)
+    return tb.read_table(spark, root, tb.PROGRESS)
 
 
 @query
@@ -540,11 +541,60 @@ def mart_refresh_job(spark, sf_dir):
     for delivery in _deliveries(spark, sf_dir):
         load.load_incremental(spark, root, delivery, now=NOW)
         publish.refresh_marts(spark, root, now=NOW)
-    summary = tb.read_current(spark, root, tb.DAILY_SUMMARY).drop("created_at")
-    ranks = tb.read_current(spark, root, tb.VOLUME_RANK).drop("total_volume")
+    summary = tb.read_table(spark, root, tb.DAILY_SUMMARY).drop("created_at")
+    ranks = tb.read_table(spark, root, tb.VOLUME_RANK).drop("total_volume")
     return summary.join(ranks, list(S.SUMMARY_KEY))
 
 
+def _loaded_twice(spark, sf_dir, name):
+    root = work_folder(spark, name)
+    for delivery in _deliveries(spark, sf_dir):
+        load.load_incremental(spark, root, delivery, now=NOW)
+    return root
+
+
+@query
+def load_state_job(spark, sf_dir):
+    return serve.load_state(spark, _loaded_twice(spark, sf_dir, "load_state_job"))
+
+
+@query
+def load_audit_job(spark, sf_dir):
+    """Audit rows of both loads; their ids are of the batch."""
+    return tb.read_table(spark, _loaded_twice(spark, sf_dir, "load_audit_job"), tb.LOAD_AUDIT).drop("id")
+
+
+@query
+def latest_price_job(spark, sf_dir):
+    root = work_folder(spark, "latest_price_job")
+    for delivery in _deliveries(spark, sf_dir):
+        load.load_incremental(spark, root, delivery, now=NOW)
+        publish.refresh_marts(spark, root, now=NOW)
+    return serve.latest_price_listing(spark, root)
+
+
+@query
+def backfill_bars_job(spark, sf_dir):
+    """Bars of the range are corrected where no day was done, others stay as first loaded."""
+    root = work_folder(spark, "backfill_bars_job")
+    first, corrected = _deliveries(spark, sf_dir)
+    load.load_incremental(spark, root, first, now=NOW)
+    load.backfill(spark, root, corrected, dt.date(2024, 1, 15), dt.date(2024, 1, 25), now=NOW)
+    return tb.read_table(spark, root, tb.BARS)
+
+
+@query
+def delete_bars(spark, sf_dir):
+    """Stored bars without one whole day and without the bars of users on days of an error of theirs."""
+    root = work_folder(spark, "delete_bars")
+    load.seed_bars(spark, root, td.user_bars(spark, sf_dir))
+    tb.delete(spark, root, tb.BARS, utc_date(F.col("ts")) == F.lit(DELETED_DAY))
+    failed = td.instants(td.table(spark, sf_dir, "events"), "ts").where("event_type = 'error'")
+    symbol = F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("symbol")
+    tb.delete(spark, root, tb.BARS, keys=failed.select(F.date_trunc("day", "ts").alias("ts"), symbol))
+    return tb.read_table(spark, root, tb.BARS)
+
+
 @query
 def stream_load_job(spark, sf_dir):
     """The same two run dates, all files in one batch (0) and two files a batch."""
@@ -557,6 +607,6 @@ def stream_load_job(spark, sf_dir):
                 spark, f"{root}/landing", f"{root}/tables", f"{root}/progress", max_files=files, by_line=True
             )
             stream.awaitTermination()
-        bars = tb.read_current(spark, f"{root}/tables", tb.BARS).withColumn("files_per_batch", F.lit(files or 0))
+        bars = tb.read_table(spark, f"{root}/tables", tb.BARS).withColumn("files_per_batch", F.lit(files or 0))
         out = bars if out is None else out.unionByName(bars)
     return out

@@ -1,8 +1,8 @@
 """Load jobs: routine incremental loads and date-range backfills, for all symbols at once.
 
-Each job writes what it read and typed to a staging folder of its commit, the rows to
-load to a batch folder, and works from those: nothing is parsed twice, and a lost
-executor costs a re-read, not a re-parse. The tables change in one commit at the end.
+Each job writes what it read and typed to a staging folder of its batch and works from that: nothing is parsed twice, and a lost
+executor costs a re-read, not a re-parse. It writes the bars it brings and no others; marks and audit rows
+are taken from these. All becomes visible in one step at the end.
 """
 
 from __future__ import annotations
@@ -10,14 +10,14 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barloom import schemas as S
 from barloom.functions.times import check_range
 from barloom.operators import backfill as bf
 from barloom.operators import incremental, staging
-from barloom.operators.upsert import absent, insert_if_absent, last_per_key, upsert
+from barloom.operators.upsert import absent, last_per_key
 from barloom.session import use_utc
 from barloom.sources import tables as tb
 
@@ -30,80 +30,69 @@ class StagingError(RuntimeError):
 class LoadResult:
     """``late``: rows passed over by the mark although the bars do not hold them; a backfill can bring them."""
 
-    commit_id: int | None
+    batch: str | None
     row_count: int
     days: list[dt.date] = field(default_factory=list)
     rejected: int = 0
     late: int = 0
 
 
-def _stage(spark: SparkSession, root: str, payloads: DataFrame, to: tb.Commit) -> DataFrame:
-    """Type the payloads once and read them back. ``load_order`` says which duplicate comes last."""
+def _stage(spark: SparkSession, root: str, payloads: DataFrame, batch: str, strict: bool) -> tuple[DataFrame, int]:
+    """Type the payloads once and read them back, with the number of rejects, which the write counts itself.
+
+    ``load_order`` says which duplicate comes last.
+    """
     parsed = staging.parse_payloads(payloads)
     order = [c for c in ("run_date", "file") if c in parsed.columns]
     keep = [*staging.BAR_COLUMNS, "zone", "raw_date", staging.REASON, *(["run_date"] if "run_date" in order else [])]
-    path = f"{root}/_staging/{to.folder}"
+    path = f"{root}/_staging/batch={batch}"
     load_order = F.concat_ws("|", *order) if order else F.lit("")
-    parsed.select(*keep, load_order.alias("load_order")).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    counted, reason = Observation(), F.col(staging.REASON)
+    counts = [F.count_if(reason == name).alias(name) for name in staging.REASONS]
+    staged = parsed.select(*keep, load_order.alias("load_order")).observe(counted, *counts)
+    staged.write.mode("overwrite").parquet(path)
+    found = {name: n for name, n in counted.get.items() if n}
+    if strict and found:
+        raise StagingError("; ".join(f"{name}: {found[name]}" for name in sorted(found)))
+    return spark.read.schema(staged.schema).parquet(path), sum(found.values())
+
+
+def _add_bars(spark: SparkSession, root: str, rows: DataFrame, batch: str, now: dt.datetime) -> int:
+    """Write the rows to load, one a key, and the marks and audit rows they give."""
+    order = ["load_order", *[c for c in rows.columns if c not in (*S.BAR_KEY, "load_order")]]
+    loaded = tb.write_rows(last_per_key(rows, S.BAR_KEY, order), root, tb.BARS, batch)
+    if loaded:
+        bars = tb.own_rows(spark, root, tb.BARS, batch)
+        state = tb.read_table(spark, root, tb.LOAD_STATE)
+        tb.write_rows(incremental.moved_marks(state, bars, F.lit(now).cast("timestamp")), root, tb.LOAD_STATE, batch)
+        tb.write_rows(incremental.audit_rows(bars, batch, now.date()), root, tb.LOAD_AUDIT, batch)
+    return loaded
 
 
-def _batch(spark: SparkSession, root: str, rows: DataFrame, to: tb.Commit) -> tuple[DataFrame, dict[dt.date, int]]:
-    """Reduce to one row per key and write the rows to load; also their number per day."""
-    order = ["load_order", *[c for c in rows.columns if c not in (*S.BAR_KEY, "load_order")]]
-    path = f"{root}/_batch/{to.folder}"
-    last_per_key(rows, S.BAR_KEY, order).select(*staging.BAR_COLUMNS).write.mode("overwrite").parquet(path)
-    batch = spark.read.schema(S.BARS).parquet(path)
-    return batch, tb.count_days(batch, tb.BARS)
-
-
-def _rejects(staged: DataFrame, strict: bool) -> int:
-    counts = staging.rejected(staged).groupBy(staging.REASON).count().collect()
-    if strict and counts:
-        raise StagingError("; ".join(sorted(f"{r[staging.REASON]}: {r['count']}" for r in counts)))
-    return sum(r["count"] for r in counts)
-
-
-def _apply(
-    spark: SparkSession, held: tb.Snapshot, to: tb.Commit, batch: DataFrame, days: list[dt.date], now: dt.datetime
-) -> dict[tb.Table, list[dt.date] | None]:
-    """Write the next content of the changed days, the load state and the audit rows."""
-    root = held.root
-    stored = tb.read_table(spark, held, tb.BARS, days)
-    tb.write_table(upsert(stored, batch, S.BAR_KEY), root, tb.BARS, to)
-    state = tb.read_table(spark, held, tb.LOAD_STATE)
-    stamp = F.lit(now).cast("timestamp")
-    tb.write_table(incremental.advance_marks(state, batch, stamp), root, tb.LOAD_STATE, to)
-    today = now.date()
-    audit = incremental.audit_rows(batch, f"commit-{to.number}", today)
-    earlier = tb.read_table(spark, held, tb.LOAD_AUDIT, [today])
-    tb.write_table(earlier.unionByName(audit), root, tb.LOAD_AUDIT, to)
-    return {tb.BARS: days, tb.LOAD_STATE: None, tb.LOAD_AUDIT: [today]}
-
-
-def _keep_rejects(
-    spark: SparkSession, held: tb.Snapshot, to: tb.Commit, staged: DataFrame, today: dt.date
-) -> dict[tb.Table, list[dt.date] | None]:
+BARS_ADDED = {tb.BARS: False, tb.LOAD_STATE: False, tb.LOAD_AUDIT: False}
+
+
+def _keep_rejects(spark: SparkSession, root: str, staged: DataFrame, batch: str, today: dt.date) -> dict[tb.Table, bool]:
     """Add the entries that could not be typed to the rejects of the day, each once."""
     columns = S.REJECTS.fieldNames()
     rows = staging.rejected(staged).withColumn("load_date", F.lit(today)).select(*columns).distinct()
-    earlier = tb.read_table(spark, held, tb.REJECTS, [today])
-    if rows.exceptAll(earlier).isEmpty():
-        return {}
-    tb.write_table(earlier.unionByName(rows).distinct(), held.root, tb.REJECTS, to)
-    return {tb.REJECTS: [today]}
+    new = tb.write_rows(rows.exceptAll(tb.read_table(spark, root, tb.REJECTS, [today])), root, tb.REJECTS, batch)
+    return {tb.REJECTS: False} if new else {}
 
 
 def _of_symbols(rows: DataFrame, symbols: list[str] | None) -> DataFrame:
     return rows if symbols is None else rows.where(F.col("symbol").isin([s.strip().upper() for s in symbols]))
 
 
-def _late(spark: SparkSession, held: tb.Snapshot, rows: DataFrame, state: DataFrame) -> int:
-    """How many rows the marks pass over that the bars do not hold."""
+def _late(spark: SparkSession, root: str, rows: DataFrame, state: DataFrame) -> int:
+    """How many keys the marks pass over that the bars of the same days do not hold."""
     passed = incremental.with_mark(rows, state).where(F.col("ts") <= F.col("last_watermark"))
-    days = sorted(tb.count_days(passed.select(*staging.BAR_COLUMNS), tb.BARS))
-    facts = tb.read_table(spark, held, tb.BARS, days)
-    return incremental.late_rows(rows, state, facts).select(*S.BAR_KEY).distinct().count() if days else 0
+    days = passed.select(F.to_date("ts").alias(tb.DAY)).distinct()
+    return incremental.late_rows(rows, state, tb.read_table(spark, root, tb.BARS, days)).select(*S.BAR_KEY).distinct().count()
+
+
+def _days_of(spark: SparkSession, root: str, batch: str) -> list[dt.date]:
+    return tb.list_days(tb.finished(spark, root).where((F.col("batch") == batch) & (F.col("table_name") == tb.BARS.name)))
 
 
 def load_incremental(
@@ -113,34 +102,33 @@ def load_incremental(
     strict: bool = False,
     now: dt.datetime | None = None,
     symbols: list[str] | None = None,
+    count_late: bool = True,
 ) -> LoadResult:
     """Load every bar later than its symbol's mark, then move the marks.
 
     ``payloads`` has ``value`` and may have ``run_date`` and ``file``. A run date is one
     delivery: its bars count if they are later than the mark and than the symbol's bars of
     earlier run dates; within a run date the last file wins. Without run dates a load is a
-    delivery. A delivery without new bars changes nothing but the rejects.
+    delivery. A delivery without new bars changes nothing but the rejects. ``count_late`` reads the keys of the
+    bars of all days that the marks pass over.
     """
     use_utc(spark)
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    held = tb.open_snapshot(spark, root)
-    to = held.next_commit()
-    staged = _stage(spark, root, payloads, to)
-    rejected = _rejects(staged, strict)
-    changed = _keep_rejects(spark, held, to, staged, now.date()) if rejected else {}
+    batch = tb.new_batch()
+    staged, rejected = _stage(spark, root, payloads, batch, strict)
+    changed = _keep_rejects(spark, root, staged, batch, now.date()) if rejected else {}
     rows = _of_symbols(staging.accepted(staged).drop("zone"), symbols)
-    state = tb.read_table(spark, held, tb.LOAD_STATE)
+    state = tb.read_table(spark, root, tb.LOAD_STATE)
     new = incremental.filter_delivered if "run_date" in rows.columns else incremental.filter_new
-    fresh = new(rows, state)
-    batch, per_day = _batch(spark, root, fresh.drop("run_date"), to)
-    days = sorted(per_day)
-    late = _late(spark, held, rows, state)
-    if days:
-        changed |= _apply(spark, held, to, batch, days, now)
-    if not changed:
+    loaded = _add_bars(spark, root, new(rows, state).drop("run_date"), batch, now)
+    late = _late(spark, root, rows, state) if count_late else 0
+    if loaded:
+        changed |= BARS_ADDED
+    if changed:
+        tb.finish(spark, root, batch, changed)
+    if not loaded:
         return LoadResult(None, 0, [], rejected, late)
-    tb.commit(spark, root, to, changed)
-    return LoadResult(to.number if days else None, sum(per_day.values()), days, rejected, late)
+    return LoadResult(batch, loaded, _days_of(spark, root, batch), rejected, late)
 
 
 def backfill(
@@ -162,52 +150,43 @@ def backfill(
     use_utc(spark)
     check_range(start, end)
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    held = tb.open_snapshot(spark, root)
-    to = held.next_commit()
-    staged = _stage(spark, root, payloads, to)
-    rejected = _rejects(staged, strict)
-    changed = _keep_rejects(spark, held, to, staged, now.date()) if rejected else {}
+    batch = tb.new_batch()
+    staged, rejected = _stage(spark, root, payloads, batch, strict)
+    changed = _keep_rejects(spark, root, staged, batch, now.date()) if rejected else {}
     rows = _of_symbols(staging.accepted(staged), symbols)
     zones = bf.symbol_zones(rows)
 
     calendar = [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
-    recorded = tb.read_table(spark, held, tb.PROGRESS, calendar)
+    recorded = tb.read_table(spark, root, tb.PROGRESS, calendar)
     # A zone's day overlaps the UTC day before or after.
     around = [start - dt.timedelta(days=1), *calendar, end + dt.timedelta(days=1)]
-    stored = bf.zoned_dates(tb.read_table(spark, held, tb.BARS, around), zones, start, end)
+    stored = bf.zoned_dates(tb.read_table(spark, root, tb.BARS, around), zones, start, end)
     done = recorded.select(*S.PROGRESS_KEY).unionByName(stored.select(*S.PROGRESS_KEY)).distinct()
     selected = bf.pending_dates(bf.zoned_dates(rows.drop("zone"), zones, start, end), done).drop("trading_date")
-    batch, per_day = _batch(spark, root, selected.drop("run_date"), to)
-    days = sorted(per_day)
-
-    if days:
-        changed |= _apply(spark, held, to, batch, days, now)
-    finished = bf.zoned_dates(batch, zones, start, end).select(*S.PROGRESS_KEY)
-    tb.write_table(done.unionByName(finished).distinct(), root, tb.PROGRESS, to)
-    finished_days = tb.count_days(tb.written(spark, root, tb.PROGRESS, to), tb.PROGRESS)
-    if sum(finished_days.values()) > recorded.count():
-        changed[tb.PROGRESS] = sorted(finished_days)
-    if not changed:
-        return LoadResult(None, 0, [], rejected)  # nothing loaded, nothing newly known to be done
-    tb.commit(spark, root, to, changed)
-    return LoadResult(to.number if {*changed} - {tb.REJECTS} else None, sum(per_day.values()), days, rejected)
+    loaded = _add_bars(spark, root, selected.drop("run_date"), batch, now)
+    if loaded:
+        changed |= BARS_ADDED
+
+    brought = bf.zoned_dates(tb.own_rows(spark, root, tb.BARS, batch), zones, start, end).select(*S.PROGRESS_KEY)
+    newly = done.unionByName(brought).distinct().join(recorded, list(S.PROGRESS_KEY), "left_anti")
+    if tb.write_rows(newly, root, tb.PROGRESS, batch):
+        changed[tb.PROGRESS] = False
+    if changed:
+        tb.finish(spark, root, batch, changed)
+    # Without any: nothing loaded, nothing newly known to be done.
+    told = batch if {*changed} - {tb.REJECTS} else None
+    return LoadResult(told, loaded, _days_of(spark, root, batch) if loaded else [], rejected)
 
 
 def seed_bars(spark: SparkSession, root: str, rows: DataFrame) -> LoadResult:
     """Add bars whose key is not there yet; known keys are left alone."""
     use_utc(spark)
-    held = tb.open_snapshot(spark, root)
-    to = held.next_commit()
+    batch = tb.new_batch()
     rows = staging.with_source(rows, S.DEFAULT_SOURCE)
     rows = last_per_key(rows, S.BAR_KEY, [c for c in rows.columns if c not in S.BAR_KEY])
-    days = sorted(tb.count_days(rows, tb.BARS))
-    stored = tb.read_table(spark, held, tb.BARS, days)
-    per_day = tb.count_days(absent(stored, rows, S.BAR_KEY), tb.BARS)
-    if not per_day:
+    stored = tb.read_table(spark, root, tb.BARS, rows.select(F.to_date("ts").alias(tb.DAY)).distinct())
+    added = tb.write_rows(absent(stored, rows, S.BAR_KEY), root, tb.BARS, batch)
+    if not added:
         return LoadResult(None, 0)
-    days = sorted(per_day)
-    stored = tb.read_table(spark, held, tb.BARS, days)
-    new = rows.where(F.to_date("ts").isin(days))
-    tb.write_table(insert_if_absent(stored, new, S.BAR_KEY), root, tb.BARS, to)
-    tb.commit(spark, root, to, {tb.BARS: days})
-    return LoadResult(to.number, sum(per_day.values()), days)
+    tb.finish(spark, root, batch, {tb.BARS: False})
+    return LoadResult(batch, added, _days_of(spark, root, batch))

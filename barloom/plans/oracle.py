@@ -502,5 +502,37 @@ ORACLE: dict[str, str] = {
         summary=_summary("twice_loaded"),
         ranks="SELECT symbol, trading_date, volume_rank FROM (" + RANKS + ")",
     ),
+    "load_state_job": _q(
+        JOB,
+        """SELECT source, symbol, max(ts) AS last_watermark,
+                  CASE WHEN max(ts) > any_value(mark) OR any_value(mark) IS NULL THEN count(*) FILTER (mark IS NULL OR ts > mark)
+                       ELSE count(*) END AS last_row_count,
+                  'success' AS status, TIMESTAMP '2024-02-01 12:00:00' AS updated_at
+           FROM user_bars LEFT JOIN first_marks USING (symbol) GROUP BY source, symbol
+           ORDER BY updated_at DESC NULLS FIRST, source, symbol""",
+    ),
+    "load_audit_job": _q(
+        JOB,
+        """SELECT source, DATE '2024-02-01' AS load_date, '2024-02-01' AS version, count(*) AS record_count,
+                  TIMESTAMP '2024-02-01' AS recorded_at
+           FROM user_bars LEFT JOIN first_marks USING (symbol) GROUP BY source, symbol, coalesce(ts <= mark, false)""",
+    ),
+    "latest_price_job": _q(
+        JOB,
+        f"""SELECT *, TIMESTAMP '2024-02-01 12:00:00' AS updated_at FROM ({_latest("twice_loaded")})
+            ORDER BY latest_ts DESC NULLS FIRST, symbol""",
+    ),
+    "backfill_bars_job": _q(
+        JOB,
+        f"""SELECT {BAR_OUT} FROM twice_loaded
+            WHERE ts <= TIMESTAMP '2024-01-20' OR ts BETWEEN TIMESTAMP '2024-01-15' AND TIMESTAMP '2024-01-25'""",
+    ),
+    "delete_bars": _q(
+        ["user_bars"],
+        f"""SELECT {BAR_OUT} FROM user_bars u
+            WHERE CAST(ts AS DATE) <> DATE '2024-01-10'
+              AND NOT EXISTS (SELECT 1 FROM events e WHERE e.event_type = 'error' AND 'U' || e.user_id = u.symbol
+                              AND date_trunc('day', e.ts) = u.ts)""",
+    ),
     "stream_load_job": _q(JOB, f"SELECT {BAR_OUT}, files_per_batch FROM twice_loaded, (VALUES (0), (2)) AS n(files_per_batch)"),
 }

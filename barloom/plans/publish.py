@@ -23,60 +23,63 @@ MARTS_STEP = "build_marts"
 
 
 def refresh_marts(spark: SparkSession, root: str, full: bool = False, now: dt.datetime | None = None) -> list[dt.date]:
-    """Bring the three marts up to date with the bars, in one commit; returns the days rebuilt.
+    """Bring the three marts up to date with the bars, in one step; returns the days rebuilt.
 
-    Only days whose bars changed since the last refresh are read and rewritten: a day's
+    Only days with batches of bars that no refresh has read are read and rewritten: a day's
     summary and ranks depend on that day alone, and a symbol's latest price can only be
     replaced by a bar of a changed day. ``full`` rebuilds from all bars.
     """
     use_utc(spark)
     stamp = F.lit(now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
-    held = tb.open_snapshot(spark, root)
-    days = held.days(tb.BARS, changed_after=0 if full else held.last_change(tb.LATEST_PRICE))
+    read = tb.unread(spark, root, tb.BARS, MARTS_STEP, full)
+    days = tb.list_days(read)
     if not days:
         return []
-    to = held.next_commit()
-    bars = tb.read_table(spark, held, tb.BARS, days)
+    batch = tb.new_batch()
+    changed = read.select(tb.DAY).distinct()
+    bars = tb.read_table(spark, root, tb.BARS, changed)
 
     fresh = marts.fit_symbol(marts.daily_summary(bars))
-    stored = tb.read_table(spark, held, tb.DAILY_SUMMARY, days)
-    tb.write_table(marts.merge_summary(stored, fresh, stamp), root, tb.DAILY_SUMMARY, to)
+    stored = tb.read_table(spark, root, tb.DAILY_SUMMARY, changed)
+    tb.write_rows(marts.merge_summary(stored, fresh, stamp), root, tb.DAILY_SUMMARY, batch)
 
-    latest = marts.advance_latest(tb.read_table(spark, held, tb.LATEST_PRICE), marts.latest_price(bars), stamp)
-    tb.write_table(latest, root, tb.LATEST_PRICE, to)
+    latest = marts.advance_latest(tb.read_table(spark, root, tb.LATEST_PRICE), marts.latest_price(bars), stamp)
+    tb.write_rows(latest, root, tb.LATEST_PRICE, batch)
 
     # Ranks need the merged summary, which has just been written.
-    merged = tb.written(spark, root, tb.DAILY_SUMMARY, to)
-    ranks = marts.merge_ranks(tb.read_table(spark, held, tb.VOLUME_RANK, days), marts.volume_rank(merged))
-    tb.write_table(ranks, root, tb.VOLUME_RANK, to)
+    merged = tb.own_rows(spark, root, tb.DAILY_SUMMARY, batch)
+    ranks = marts.merge_ranks(tb.read_table(spark, root, tb.VOLUME_RANK, changed), marts.volume_rank(merged))
+    tb.write_rows(ranks, root, tb.VOLUME_RANK, batch)
 
-    tb.commit(spark, root, to, {tb.DAILY_SUMMARY: days, tb.LATEST_PRICE: None, tb.VOLUME_RANK: days})
+    tb.consume(root, tb.BARS, MARTS_STEP, read, batch)
+    tb.finish(spark, root, batch, {tb.DAILY_SUMMARY: True, tb.LATEST_PRICE: True, tb.VOLUME_RANK: True, tb.CONSUMED: False})
     return days
 
 
 def check_bars(
-    spark: SparkSession, held: tb.Snapshot, as_of: dt.date | None = None, full: bool = False
+    spark: SparkSession, root: str, as_of: dt.date | None = None, full: bool = False, read: DataFrame | None = None
 ) -> DataFrame:
     """The gate's report on the bar table.
 
-    Days that have not changed since a gate last passed hold no failing rows and share no
+    Days without a batch that came after a gate last passed hold no failing rows and share no
     key with other days, so only changed days are read, and the last day for freshness.
-    ``full`` reads them all.
+    ``full`` reads them all. ``read``: the changed days, if they are known.
     """
     use_utc(spark)
-    changed = held.days(tb.BARS, changed_after=0 if full else held.last_change(tb.GATE_PASSES))
-    days = sorted({*changed, *held.days(tb.BARS)[-1:]})
-    return quality.bar_gate(tb.read_table(spark, held, tb.BARS, days), as_of=as_of)
+    read = tb.unread(spark, root, tb.BARS, GATE_STEP, full) if read is None else read
+    days = read.select(tb.DAY).unionByName(tb.newest_days(spark, root, tb.BARS, 1)).distinct()
+    return quality.bar_gate(tb.read_table(spark, root, tb.BARS, days), as_of=as_of)
 
 
 def pass_gate(spark: SparkSession, root: str, as_of: dt.date | None = None, full: bool = False) -> int:
     """Raise if the bars fail the gate; otherwise record the pass and return the number of checks."""
-    held = tb.open_snapshot(spark, root)
-    report = check_bars(spark, held, as_of, full).collect()
+    read = tb.unread(spark, root, tb.BARS, GATE_STEP, full)
+    report = check_bars(spark, root, as_of, full, read).collect()
     passed = quality.require_passed(report)
-    to = held.next_commit()
-    tb.write_table(spark.createDataFrame(report, tb.GATE_PASSES.schema), root, tb.GATE_PASSES, to)
-    tb.commit(spark, root, to, {tb.GATE_PASSES: None})
+    batch = tb.new_batch()
+    tb.write_rows(spark.createDataFrame(report, tb.GATE_PASSES.schema), root, tb.GATE_PASSES, batch)
+    tb.consume(root, tb.BARS, GATE_STEP, read, batch)
+    tb.finish(spark, root, batch, {tb.GATE_PASSES: True, tb.CONSUMED: False})
     return passed
 
 
@@ -136,10 +139,6 @@ def run_summary(spark: SparkSession, run: GatedRun) -> str:
 
 
 def record_steps(spark: SparkSession, root: str, run: GatedRun) -> None:
-    held = tb.open_snapshot(spark, root)
-    to = held.next_commit()
-    steps = spark.createDataFrame(run.steps, tb.STEP_RUNS.schema)
-    days = sorted(tb.count_days(steps, tb.STEP_RUNS))
-    earlier = tb.read_table(spark, held, tb.STEP_RUNS, days)
-    tb.write_table(earlier.unionByName(steps), root, tb.STEP_RUNS, to)
-    tb.commit(spark, root, to, {tb.STEP_RUNS: days})
+    batch = tb.new_batch()
+    tb.write_rows(spark.createDataFrame(run.steps, tb.STEP_RUNS.schema), root, tb.STEP_RUNS, batch)
+    tb.finish(spark, root, batch, {tb.STEP_RUNS: False})

@@ -10,9 +10,8 @@ from barloom.sources import tables as tb
 
 
 def _newest_days(spark: SparkSession, root: str, table: tb.Table, rows: int) -> DataFrame:
-    """Enough of a by-day table for its ``rows`` newest rows: a stored day has at least one row."""
-    held = tb.open_snapshot(use_utc(spark), root)
-    return tb.read_table(spark, held, table, held.days(table)[-rows:])
+    """Enough of a by-day table for its ``rows`` newest rows: a day that is held has at least one row."""
+    return tb.read_table(use_utc(spark), root, table, tb.newest_days(spark, root, table, rows))
 
 
 def volume_leaders(spark: SparkSession, root: str, limit: int = 20) -> DataFrame:
@@ -28,21 +27,21 @@ def recent_loads(spark: SparkSession, root: str, limit: int = 10) -> DataFrame:
 
 
 def latest_price(spark: SparkSession, root: str) -> DataFrame:
-    return reports.serve_latest(tb.read_current(use_utc(spark), root, tb.LATEST_PRICE))
+    return reports.serve_latest(tb.read_table(use_utc(spark), root, tb.LATEST_PRICE))
 
 
 def latest_price_listing(spark: SparkSession, root: str) -> DataFrame:
-    return reports.latest_price_listing(tb.read_current(use_utc(spark), root, tb.LATEST_PRICE))
+    return reports.latest_price_listing(tb.read_table(use_utc(spark), root, tb.LATEST_PRICE))
 
 
 def load_state(spark: SparkSession, root: str) -> DataFrame:
-    return reports.load_state_listing(tb.read_current(use_utc(spark), root, tb.LOAD_STATE))
+    return reports.load_state_listing(tb.read_table(use_utc(spark), root, tb.LOAD_STATE))
 
 
 def price_changes(spark: SparkSession, root: str, symbol: str, limit: int = 30) -> DataFrame:
-    bars = tb.read_current(use_utc(spark), root, tb.BARS)
+    bars = tb.read_table(use_utc(spark), root, tb.BARS)
     return reports.recent_price_changes(bars, symbol.strip().upper(), limit)
 
 
 def symbol_coverage(spark: SparkSession, root: str) -> DataFrame:
-    return reports.symbol_coverage(tb.read_current(use_utc(spark), root, tb.BARS))
+    return reports.symbol_coverage(tb.read_table(use_utc(spark), root, tb.BARS))

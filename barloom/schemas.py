@@ -123,6 +123,26 @@ STEP_RUNS = T.StructType(
     ]
 )
 
+FINISHED = T.StructType(
+    [
+        T.StructField("batch", T.StringType()),
+        T.StructField("table_name", T.StringType()),
+        T.StructField("trading_date", T.DateType()),
+        T.StructField("row_count", T.LongType()),
+        T.StructField("replaces", T.BooleanType()),
+        T.StructField("finished_at", T.TimestampType()),
+    ]
+)
+
+CONSUMED = T.StructType(
+    [
+        T.StructField("consumer", T.StringType()),
+        T.StructField("table_name", T.StringType()),
+        T.StructField("trading_date", T.DateType()),
+        T.StructField("source_batch", T.StringType()),
+    ]
+)
+
 CHECKS = T.StructType(
     [
         T.StructField("seq", T.IntegerType()),

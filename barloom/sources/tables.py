@@ -1,14 +1,14 @@
-"""The lakehouse tables as plain Parquet folders.
+"""The stored tables: plain Parquet folders, written batch by batch by one writer.
 
-A job writes the days it changed to a new ``commit_id=<n>`` folder of each table and
-then adds one small file to ``_commits`` that names them. That file is the commit:
-readers only look at folders it names, so facts, load state and audit rows appear
-together or not at all, and a run that dies leaves the tables as they were. Days that
-a job does not touch are neither read nor rewritten. Each job has a token of its own in
-its folder names and its commit: of two jobs that started from the same commit one is
-published and the other raises.
+A batch is one run of a job. Its rows of a table go to partitions of their own
+(``trading_date=…/batch=…``, or ``batch=…`` where a table has no days) by dynamic partition overwrite,
+so a batch that is tried again replaces what it wrote and nothing else. When all its rows are
+written, the batch adds its days and row counts to the table of finished batches, one file that Spark writes in one
+step; readers semi-join that table, so what a job changes appears together or not at all. A load
+only writes the rows it brings: where several batches have rows of one day, readers keep the last row of each
+key. A batch that replaces days hides their earlier batches, as marts, deletes and ``compact`` do.
 
-The driver only ever holds one number per table and day, which grows with the calendar.
+There is one writer at a time. Loads only add, so should two run at once none loses what the other finished.
 """
 
 from __future__ import annotations
@@ -19,169 +19,241 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom import schemas as S
+from barloom.operators.upsert import delete_keys, last_per_key
+from barloom.session import written
 
 DAY = "trading_date"
-COMMITS = T.StructType(
-    [
-        T.StructField("commit_id", T.LongType()),
-        T.StructField("token", T.StringType()),
-        T.StructField("table_name", T.StringType()),
-        T.StructField(DAY, T.DateType()),
-        T.StructField("committed_at", T.TimestampType()),
-    ]
-)
+BATCH = "batch"
 
 
 @dataclass(frozen=True)
 class Table:
-    """A table, replaced day by day where ``day`` names the column its days come from, else as a whole."""
+    """A table, parted by day where ``day`` names the column its days come from.
+
+    Of rows with one ``key`` the last counts: by the columns ``latest``, then by batch. Without a key all rows count.
+    """
 
     name: str
     schema: T.StructType = field(compare=False)
     day: str | None = None
     order: tuple[str, ...] = ()
+    key: tuple[str, ...] = ()
+    latest: tuple[str, ...] = ()
 
 
-BARS = Table("market_bars", S.BARS, day="ts", order=("symbol", "ts"))
-LOAD_STATE = Table("pipeline_metadata", S.LOAD_STATE)
-REJECTS = Table("load_rejects", S.REJECTS, day="load_date")
-LOAD_AUDIT = Table("load_metadata", S.LOAD_AUDIT, day="load_date")
-PROGRESS = Table("backfill_progress", S.PROGRESS, day=DAY, order=("symbol",))
+BARS = Table("market_bars", S.BARS, day="ts", order=("symbol", "ts"), key=S.BAR_KEY)
+LOAD_STATE = Table("pipeline_metadata", S.LOAD_STATE, key=S.LOAD_STATE_KEY, latest=("last_watermark",))
+REJECTS = Table("load_rejects", S.REJECTS, day="load_date", key=tuple(S.REJECTS.fieldNames()))
+LOAD_AUDIT = Table("load_metadata", S.LOAD_AUDIT, day="load_date", key=("id",))
+PROGRESS = Table("backfill_progress", S.PROGRESS, day=DAY, order=("symbol",), key=S.PROGRESS_KEY)
 DAILY_SUMMARY = Table("mart_daily_symbol_summary", S.DAILY_SUMMARY, day=DAY, order=("symbol",))
 LATEST_PRICE = Table("mart_symbol_latest_price", S.LATEST_PRICE)
 VOLUME_RANK = Table("mart_symbol_volume_rank", S.VOLUME_RANK, day=DAY, order=("symbol",))
 GATE_PASSES = Table("quality_gate_passes", S.CHECKS)
 STEP_RUNS = Table("step_runs", S.STEP_RUNS, day="started_at")
+CONSUMED = Table("consumed_batches", S.CONSUMED, key=tuple(S.CONSUMED.fieldNames()))
 
 
-class ConcurrentCommit(RuntimeError):
-    """Another job published a commit after this one had read the tables; nothing of this one is visible."""
+def new_batch() -> str:
+    """An id that sorts by time and is nobody else's."""
+    return f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex}"
 
 
-@dataclass(frozen=True, order=True)
-class Commit:
-    """A commit's number and the token of the job that makes it."""
+def finished(spark: SparkSession, root: str) -> DataFrame:
+    """(batch, table_name, trading_date, row_count, replaces, finished_at) of every finished batch."""
+    try:
+        return spark.read.schema(S.FINISHED).parquet(f"{root}/_finished")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], S.FINISHED)
 
-    number: int
-    token: str
 
-    @property
-    def folder(self) -> str:
-        return f"commit_id={self.number}-{self.token}"
+def visible(spark: SparkSession, root: str, table: Table) -> DataFrame:
+    """(trading_date, batch, row_count) of the finished batches of a table that no later one replaces."""
+    replaced_by = F.max(F.when(F.col("replaces"), F.col(BATCH))).over(Window.partitionBy(DAY))
+    mine = finished(spark, root).where(F.col("table_name") == table.name).withColumn("_base", replaced_by)
+    return mine.where(F.col("_base").isNull() | (F.col(BATCH) >= F.col("_base"))).select(DAY, BATCH, "row_count")
 
 
-@dataclass(frozen=True)
-class Snapshot:
-    """The tables after one commit. ``live``: table -> day (None for whole tables) -> commit that holds it."""
+def days_held(spark: SparkSession, root: str, table: Table) -> DataFrame:
+    """The days of which a table has rows."""
+    return visible(spark, root, table).groupBy(DAY).agg(F.sum("row_count").alias("n")).where("n > 0").select(DAY)
 
-    root: str
-    commit_id: int
-    live: dict[str, dict[dt.date | None, Commit]]
 
-    def next_commit(self) -> Commit:
-        return Commit(self.commit_id + 1, uuid.uuid4().hex)
+def newest_days(spark: SparkSession, root: str, table: Table, n: int) -> DataFrame:
+    return days_held(spark, root, table).orderBy(F.desc(DAY)).limit(n)
 
-    def last_change(self, table: Table) -> int:
-        return max((c.number for c in self.live.get(table.name, {}).values()), default=0)
 
-    def days(self, table: Table, changed_after: int = 0) -> list[dt.date]:
-        """Days a table holds, or those rewritten by commits later than ``changed_after``."""
-        return sorted(day for day, c in self.live.get(table.name, {}).items() if c.number > changed_after)
+def list_days(days: DataFrame) -> list[dt.date]:
+    """Days on the driver: as many as the calendar has."""
+    return sorted(row[0] for row in days.select(DAY).distinct().collect())
 
 
-def open_snapshot(spark: SparkSession, root: str) -> Snapshot:
-    """The tables as they are now. Of commits with one number the smallest token counts."""
-    try:
-        log = spark.read.schema(COMMITS).parquet(f"{root}/_commits")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return Snapshot(root, 0, {})
-    published = log.groupBy("commit_id").agg(F.min("token").alias("token"))
-    log = log.join(published, ["commit_id", "token"], "left_semi")
-    live: dict[str, dict[dt.date | None, Commit]] = {}
-    newest_of = F.max(F.struct("commit_id", "token")).alias("newest")
-    for name, day, held in log.groupBy("table_name", DAY).agg(newest_of).collect():
-        live.setdefault(name, {})[day] = Commit(held["commit_id"], held["token"])
-    newest = max((c.number for days in live.values() for c in days.values()), default=0)
-    return Snapshot(root, newest, live)
+def _stored(spark: SparkSession, root: str, table: Table) -> DataFrame:
+    names = table.schema.fieldNames()
+    parts = [T.StructField(DAY, T.DateType())] if table.day is not None and DAY not in names else []
+    schema = T.StructType([*table.schema.fields, *parts, T.StructField(BATCH, T.StringType())])
+    return spark.read.schema(schema).parquet(f"{root}/{table.name}")
 
 
-def read_table(
-    spark: SparkSession, snapshot: Snapshot, table: Table, days: Iterable[dt.date] | None = None
-) -> DataFrame:
-    """Content of a table in a snapshot; of the given days only, where ``days`` is given."""
-    base = f"{snapshot.root}/{table.name}"
-    live = snapshot.live.get(table.name, {})
-    if days is not None:
-        live = {day: live[day] for day in days if day in live}
-    if not live:
-        return spark.createDataFrame([], table.schema)
-    paths = [
-        f"{base}/{c.folder}" + ("" if day is None else f"/{DAY}={day.isoformat()}") for day, c in live.items()
-    ]
+def _last(rows: DataFrame, table: Table) -> DataFrame:
     names = table.schema.fieldNames()
-    stored = table.schema
-    if table.day is not None and DAY not in names:
-        stored = T.StructType([*stored.fields, T.StructField(DAY, T.DateType())])
-    return spark.read.schema(stored).option("basePath", base).parquet(*sorted(paths)).select(*names)
+    if set(table.key) == set(names):
+        return rows.select(*names).distinct()
+    return last_per_key(rows.select(*names, BATCH), table.key, [*table.latest, BATCH]).select(*names)
 
 
-def read_current(
-    spark: SparkSession, root: str, table: Table, days: Iterable[dt.date] | None = None
+def read_table(
+    spark: SparkSession, root: str, table: Table, days: DataFrame | Iterable[dt.date] | None = None
 ) -> DataFrame:
-    return read_table(spark, open_snapshot(spark, root), table, days)
+    """Content of a table; of the given days only, where ``days`` is given.
+
+    Only days with rows in several batches are brought down to one row a key, and only their rows are shuffled for it.
+    """
+    names = table.schema.fieldNames()
+    batches = visible(spark, root, table).where("row_count > 0")
+    if isinstance(days, DataFrame):
+        batches = batches.join(days.select(DAY), DAY, "left_semi")
+    elif days is not None:
+        batches = batches.where(F.col(DAY).isin(list(days)))
+    of_day = F.count("*").over(Window.partitionBy(DAY))
+    batches = batches.withColumn("_several", (of_day > 1) & F.lit(bool(table.key)))
+    kinds = {row[0] for row in batches.select("_several").distinct().collect()}
+    parts = []
+    for several in sorted(kinds):
+        mine = batches.where(F.col("_several") == several).select(DAY, BATCH)
+        on = [DAY, BATCH] if table.day is not None else [BATCH]
+        rows = _stored(spark, root, table).join(mine.select(*on), on, "left_semi")
+        parts.append(_last(rows, table) if several else rows.select(*names))
+    if not parts:
+        return spark.createDataFrame([], table.schema)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def with_day(df: DataFrame, table: Table) -> DataFrame:
     return df if table.day == DAY else df.withColumn(DAY, F.to_date(table.day))
 
 
-def count_days(df: DataFrame, table: Table) -> dict[dt.date, int]:
-    """Rows per day: as many entries as days."""
-    return {row[0]: row[1] for row in with_day(df, table).groupBy(DAY).count().collect()}
-
-
-def write_table(df: DataFrame, root: str, table: Table, to: Commit) -> None:
-    """Write rows to the folder of a commit; nobody sees them before ``commit``.
+def write_rows(df: DataFrame, root: str, table: Table, batch: str) -> int:
+    """Write rows of a batch, which nobody sees before ``finish``; returns their number, counted by the write itself.
 
     Rows are gathered by day with a rebalance, which splits a day that is too big for one
     task and joins small ones, and are sorted so that a symbol filter can skip row groups.
     """
-    path = f"{root}/{table.name}/{to.folder}"
-    if table.day is None:
-        df.write.mode("overwrite").parquet(path)
-        return
-    ordered = with_day(df, table).hint("rebalance", DAY).sortWithinPartitions(DAY, *table.order)
-    ordered.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(DAY).parquet(path)
+    counted = Observation()
+    rows, parts = df.select(*table.schema.fieldNames()), [BATCH]
+    if table.day is not None:
+        rows = with_day(rows, table).hint("rebalance", DAY).sortWithinPartitions(DAY, *table.order)
+        parts = [DAY, BATCH]
+    rows = rows.withColumn(BATCH, F.lit(batch)).observe(counted, F.count(F.lit(1)).alias("rows"))
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
+    writer.parquet(f"{root}/{table.name}")
+    return counted.get["rows"]
 
 
-def written(spark: SparkSession, root: str, table: Table, to: Commit) -> DataFrame:
-    """What a running job has written to a table and not committed yet."""
-    names = table.schema.fieldNames()
-    return spark.read.schema(table.schema).parquet(f"{root}/{table.name}/{to.folder}").select(*names)
+def own_rows(spark: SparkSession, root: str, table: Table, batch: str) -> DataFrame:
+    """What a batch has written to a table, finished or not."""
+    return _stored(spark, root, table).where(F.col(BATCH) == batch).select(*table.schema.fieldNames())
 
 
-def commit(spark: SparkSession, root: str, to: Commit, changed: dict[Table, Iterable[dt.date] | None]) -> None:
-    """Publish the written folders of ``to``: one file, added in one step.
+def finish(spark: SparkSession, root: str, batch: str, changed: dict[Table, bool | DataFrame]) -> None:
+    """Make a batch's rows visible, in all tables at once.
 
-    Raises ``ConcurrentCommit`` if another job has published since the tables were read, or
-    adds the same commit at the same time and has the smaller token.
+    ``changed`` says of each table whether the rows replace what it had of their days (of all of it, without days) or add to
+    it; a DataFrame of days replaces those days, also such as have no rows any more.
+    """
+    entries = None
+    for table, how in changed.items():
+        rows = _stored(spark, root, table).where(F.col(BATCH) == batch)
+        if table.day is None:
+            counts = rows.agg(F.count("*").alias("row_count")).withColumn(DAY, F.lit(None).cast("date"))
+        else:
+            counts = rows.groupBy(DAY).agg(F.count("*").alias("row_count"))
+        if isinstance(how, DataFrame):
+            counts = how.select(DAY).distinct().join(counts, DAY, "left").fillna(0, ["row_count"])
+        mine = counts.select(
+            F.lit(batch).alias("batch"),
+            F.lit(table.name).alias("table_name"),
+            DAY,
+            "row_count",
+            F.lit(how is not False).alias("replaces"),
+            F.current_timestamp().alias("finished_at"),
+        )
+        entries = mine if entries is None else entries.unionByName(mine)
+    entries.coalesce(1).write.mode("append").parquet(f"{root}/_finished")
+
+
+def unread(spark: SparkSession, root: str, table: Table, consumer: str, full: bool = False) -> DataFrame:
+    """(trading_date, source_batch) of a table that ``consumer`` has not worked on yet; of all of it with ``full``.
+
+    Written down, so that what is marked as consumed in the end is what was read.
+    """
+    batches = visible(spark, root, table).select(DAY, F.col(BATCH).alias("source_batch"))
+    if not full:
+        done = read_table(spark, root, CONSUMED).where((F.col("consumer") == consumer) & (F.col("table_name") == table.name))
+        batches = batches.join(done, [DAY, "source_batch"], "left_anti")
+    return written(batches, "unread")
+
+
+def consume(root: str, table: Table, consumer: str, read: DataFrame, batch: str) -> None:
+    """Write down what ``unread`` gave, as part of a batch."""
+    rows = read.select(F.lit(consumer).alias("consumer"), F.lit(table.name).alias("table_name"), DAY, "source_batch")
+    write_rows(rows, root, CONSUMED, batch)
+
+
+@dataclass(frozen=True)
+class Deleted:
+    batch: str | None
+    row_count: int
+    days: list[dt.date] = field(default_factory=list)
+
+
+def delete(
+    spark: SparkSession,
+    root: str,
+    table: Table,
+    condition: Column | None = None,
+    keys: DataFrame | None = None,
+    days: Iterable[dt.date] | None = None,
+) -> Deleted:
+    """Delete rows of a table by a condition, or those whose values of the columns of ``keys`` are in it.
+
+    Only days that lose rows are written again; others keep their files. A day without rows left is
+    gone. A NULL condition or key deletes nothing. ``days`` limits what is read. Tables without days are written as a whole.
     """
-    if open_snapshot(spark, root).commit_id != to.number - 1:
-        raise ConcurrentCommit(f"commit {to.number} is taken")
-    now = dt.datetime.now(dt.timezone.utc)
-    entries = [
-        (to.number, to.token, table.name, day, now)
-        for table, days in changed.items()
-        for day in ([None] if days is None else days)
-    ]
-    spark.createDataFrame(entries, COMMITS).coalesce(1).write.mode("append").parquet(f"{root}/_commits")
-    rows = spark.read.schema(COMMITS).parquet(f"{root}/_commits").where(F.col("commit_id") == to.number)
-    if rows.agg(F.min("token")).first()[0] != to.token:
-        raise ConcurrentCommit(f"commit {to.number} is taken")
+    held = read_table(spark, root, table, days)
+    if keys is not None:
+        keys = keys.distinct()
+        hit = held.join(keys, keys.columns, "left_semi")
+    else:
+        hit = held.where(F.coalesce(condition, F.lit(False)))
+    by_day = [DAY] if table.day is not None else []
+    lost = (with_day(hit, table) if by_day else hit).groupBy(*by_day).agg(F.count("*").alias("n"))
+    lost = written(lost.where("n > 0"), "deleted")
+    n = lost.agg(F.sum("n")).first()[0]
+    if not n:
+        return Deleted(None, 0)
+    batch = new_batch()
+    left = read_table(spark, root, table, lost if by_day else None)
+    left = delete_keys(left, keys, keys.columns) if keys is not None else left.where(~F.coalesce(condition, F.lit(False)))
+    write_rows(left, root, table, batch)
+    finish(spark, root, batch, {table: lost if by_day else True})
+    return Deleted(batch, n, list_days(lost) if by_day else [])
+
+
+def compact(spark: SparkSession, root: str, table: Table, batches: int = 2) -> list[dt.date]:
+    """Write days that ``batches`` or more batches share as one batch again; returns these days."""
+    shared = visible(spark, root, table).groupBy(DAY).agg(F.count("*").alias("n")).where(F.col("n") >= batches)
+    shared = written(shared.select(DAY), "shared-days")
+    days = list_days(shared)
+    if days:
+        batch = new_batch()
+        write_rows(read_table(spark, root, table, shared), root, table, batch)
+        finish(spark, root, batch, {table: shared})
+    return days

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,11 +48,11 @@ def root(tmp_path):
 
 
 def read(spark, root, table):
-    return tb.read_current(spark, root, table)
+    return tb.read_table(spark, root, table)
 
 
-def last_commit(spark, root):
-    return tb.open_snapshot(spark, root).commit_id
+def batches(spark, root):
+    return {r[0] for r in tb.finished(spark, root).select("batch").collect()}
 
 
 def marks(spark, root):
@@ -81,10 +82,10 @@ def test_gated_run_end_to_end(spark, root):
 def test_second_run_of_the_same_payload_changes_nothing(spark, root):
     first = jobs.load_incremental(spark, root, texts(spark, E2E))
     again = jobs.load_incremental(spark, root, texts(spark, E2E))
-    assert first.row_count == 2 and again.commit_id is None and again.row_count == 0
+    assert first.row_count == 2 and again.batch is None and again.row_count == 0
     assert read(spark, root, tb.BARS).count() == 2
     assert read(spark, root, tb.LOAD_AUDIT).count() == 1
-    assert last_commit(spark, root) == first.commit_id
+    assert batches(spark, root) == {first.batch}
 
 
 def test_batches_in_time_order_equal_one_batch(spark, tmp_path):
@@ -119,7 +120,7 @@ def test_backfill_resumes_and_leaves_empty_days_open(spark, root):
     done = sorted(r["trading_date"].day for r in read(spark, root, tb.PROGRESS).collect())
     assert done == [1, 3]
     again = jobs.backfill(spark, root, changed, start, end)
-    assert again.row_count == 0 and again.commit_id is None
+    assert again.row_count == 0 and again.batch is None
     with pytest.raises(ValueError):
         jobs.backfill(spark, root, src, end, start)
 
@@ -171,19 +172,15 @@ def test_gate_blocks_the_marts_and_a_fix_opens_it(spark, root):
     assert publish.run_gated(spark, root, more, AS_OF).status == "failed", "the bad day is still unchecked"
 
     fixed = texts(spark, payload("A", {"2026-04-07": (1, 1, 1, 1, 5)}))
-    stored = read(spark, root, tb.BARS)
-    n = tb.open_snapshot(spark, root).next_commit()
-    good = stored.where("close >= 0").unionByName(
-        spark.createDataFrame([bar("2026-04-07", "A", 1, 1, 1, 1, 5)], stored.schema)
-    )
-    tb.write_table(good, root, tb.BARS, n)
-    tb.commit(spark, root, n, {tb.BARS: [dt.date(2026, 4, 7), dt.date(2026, 4, 8)]})
+    assert tb.delete(spark, root, tb.BARS, F.col("close") < 0).days == [dt.date(2026, 4, 7)]
+    day = dt.date(2026, 4, 7)
+    assert jobs.backfill(spark, root, fixed, day, day).row_count == 1
     assert publish.run_gated(spark, root, fixed, AS_OF).status == "success"
     assert read(spark, root, tb.DAILY_SUMMARY).count() == 2
 
 
 def test_gate_on_an_empty_table_fails_on_freshness_only(spark, root):
-    report = publish.check_bars(spark, tb.open_snapshot(spark, root), AS_OF).collect()
+    report = publish.check_bars(spark, root, AS_OF).collect()
     assert {r["check_name"] for r in report if not r["passed"]} == {"freshness"}
 
 
@@ -192,8 +189,8 @@ def test_gate_reads_only_changed_days_but_judges_the_newest(spark, root):
     assert publish.pass_gate(spark, root, AS_OF) == 6
     with pytest.raises(Exception, match="freshness on market_bars"):
         publish.pass_gate(spark, root, dt.date(2026, 6, 1))
-    full = publish.check_bars(spark, tb.open_snapshot(spark, root), AS_OF, full=True)
-    assert sorted(map(tuple, full.collect())) == sorted(map(tuple, publish.check_bars(spark, tb.open_snapshot(spark, root), AS_OF).collect()))
+    full = publish.check_bars(spark, root, AS_OF, full=True)
+    assert sorted(map(tuple, full.collect())) == sorted(map(tuple, publish.check_bars(spark, root, AS_OF).collect()))
 
 
 def test_incremental_refresh_equals_a_full_one(spark, root, tmp_path):
@@ -216,28 +213,81 @@ def test_incremental_refresh_equals_a_full_one(spark, root, tmp_path):
         assert sorted(map(tuple, read(spark, root, t).drop(*drop).collect())) == sorted(map(tuple, step[t]))
 
 
-def test_uncommitted_writes_stay_invisible(spark, root):
+def one_bar(spark, symbol, day="2026-04-06", close=1):
+    return spark.createDataFrame([bar(day, symbol, 1, 1, 1, close, 1)], tb.BARS.schema)
+
+
+def test_unfinished_writes_stay_invisible(spark, root):
     jobs.load_incremental(spark, root, texts(spark, E2E))
     before = sorted(map(tuple, read(spark, root, tb.BARS).collect()))
-    n = tb.open_snapshot(spark, root).next_commit()
-    junk = spark.createDataFrame([bar("2026-04-06", "JUNK", 1, 1, 1, 1, 1)], tb.BARS.schema)
-    tb.write_table(junk, root, tb.BARS, n)  # and then the job dies
+    tb.write_rows(one_bar(spark, "JUNK"), root, tb.BARS, tb.new_batch())  # and then the job dies
     assert sorted(map(tuple, read(spark, root, tb.BARS).collect())) == before
     assert marks(spark, root) == {"E2E_SMOKE": (dt.date(2026, 4, 7), 2, "success")}
     later = payload("E2E_SMOKE", {"2026-04-09": (1, 1, 1, 1, 1)})
-    assert jobs.load_incremental(spark, root, texts(spark, later)).commit_id == n.number
+    assert jobs.load_incremental(spark, root, texts(spark, later)).row_count == 1
     assert read(spark, root, tb.BARS).where("symbol = 'JUNK'").isEmpty()
     assert read(spark, root, tb.BARS).count() == 3
 
 
-def test_second_writer_raises_and_the_first_stays(spark, root):
-    held = tb.open_snapshot(spark, root)
-    jobs.load_incremental(spark, root, texts(spark, E2E))
-    late = held.next_commit()
-    tb.write_table(spark.createDataFrame([bar("2026-04-06", "B", 1, 1, 1, 1, 1)], tb.BARS.schema), root, tb.BARS, late)
-    with pytest.raises(tb.ConcurrentCommit):
-        tb.commit(spark, root, late, {tb.BARS: [dt.date(2026, 4, 6)]})
-    assert {r["symbol"] for r in read(spark, root, tb.BARS).collect()} == {"E2E_SMOKE"}
+def test_a_batch_tried_again_replaces_what_it_wrote(spark, root):
+    batch = tb.new_batch()
+    tb.write_rows(one_bar(spark, "A").unionByName(one_bar(spark, "B")), root, tb.BARS, batch)  # the job dies
+    assert tb.write_rows(one_bar(spark, "A"), root, tb.BARS, batch) == 1
+    tb.finish(spark, root, batch, {tb.BARS: False})
+    assert [r["symbol"] for r in read(spark, root, tb.BARS).collect()] == ["A"]
+
+
+def test_two_loads_at_once_lose_nothing(spark, root):
+    """B has read the tables; A starts, finishes and reports success; B finishes: both are there."""
+    b = tb.new_batch()
+    tb.write_rows(one_bar(spark, "B"), root, tb.BARS, b)
+    a = jobs.load_incremental(spark, root, texts(spark, E2E))
+    tb.finish(spark, root, b, {tb.BARS: False})
+    assert a.row_count == 2
+    assert {r["symbol"] for r in read(spark, root, tb.BARS).collect()} == {"E2E_SMOKE", "B"}
+    assert len(publish.refresh_marts(spark, root)) == 2
+
+
+def files_of(root, table):
+    return {str(p): p.stat().st_mtime_ns for p in Path(root, table.name).rglob("*.parquet")}
+
+
+def test_delete_by_key_and_date_touches_no_other_day(spark, root):
+    days = {f"2026-04-{d:02d}": (d, d, d, d, d) for d in range(1, 6)}
+    jobs.load_incremental(spark, root, texts(spark, payload("A", days), payload("B", days)))
+    publish.refresh_marts(spark, root)
+    before = files_of(root, tb.BARS)
+    keys = spark.createDataFrame([("A", bar("2026-04-02", "A", 1, 1, 1, 1, 1)[0]), ("A", None), (None, None)], "symbol string, ts timestamp")
+    gone = tb.delete(spark, root, tb.BARS, keys=keys)
+    assert (gone.row_count, gone.days) == (1, [dt.date(2026, 4, 2)])
+    new = set(files_of(root, tb.BARS)) - set(before)
+    assert before.items() <= files_of(root, tb.BARS).items() and all("trading_date=2026-04-02" in f for f in new)
+    assert [r["symbol"] for r in read(spark, root, tb.BARS).where("ts = '2026-04-02'").collect()] == ["B"]
+
+    newest = dt.date(2026, 4, 5)
+    assert tb.delete(spark, root, tb.BARS, F.to_date("ts") == F.lit(newest)).row_count == 2
+    assert newest not in tb.list_days(tb.days_held(spark, root, tb.BARS))
+    assert read(spark, root, tb.BARS).count() == 7
+    assert publish.refresh_marts(spark, root) == [dt.date(2026, 4, 2), newest]
+    assert tb.delete(spark, root, tb.VOLUME_RANK, F.col(tb.DAY) == F.lit(newest), days=[newest]).row_count == 2
+    leaders = serve.volume_leaders(spark, root, 2).collect()
+    assert [(r["trading_date"].day, r["symbol"]) for r in leaders] == [(4, "A"), (4, "B")]
+    assert tb.delete(spark, root, tb.BARS, F.col("symbol") == "nobody") == tb.Deleted(None, 0)
+    assert tb.delete(spark, root, tb.BARS, F.lit(None).cast("boolean")) == tb.Deleted(None, 0)
+    assert tb.delete(spark, root, tb.LATEST_PRICE, F.col("symbol") == "B").row_count == 1
+    assert [r["symbol"] for r in serve.latest_price_listing(spark, root).collect()] == ["A"]
+    assert tb.delete(spark, root, tb.BARS, F.lit(True)).row_count == 7 and read(spark, root, tb.BARS).count() == 0
+
+
+def test_days_in_several_batches_have_one_row_a_key(spark, root):
+    for symbol, close in (("A", 1), ("B", 1), ("A", 2), ("A", 3)):
+        batch = tb.new_batch()
+        tb.write_rows(one_bar(spark, symbol, close=close), root, tb.BARS, batch)
+        tb.finish(spark, root, batch, {tb.BARS: False})
+    rows = lambda: {r["symbol"]: int(r["close"]) for r in read(spark, root, tb.BARS).collect()}
+    assert rows() == {"A": 3, "B": 1}
+    assert tb.compact(spark, root, tb.BARS) == [dt.date(2026, 4, 6)] and tb.compact(spark, root, tb.BARS) == []
+    assert rows() == {"A": 3, "B": 1} and tb.visible(spark, root, tb.BARS).count() == 1
 
 
 def test_rejects_stay_after_later_loads(spark, root):
@@ -273,14 +323,14 @@ def test_backfill_east_of_utc_leaves_no_gap(spark, root):
 def test_newest_days_are_read_alone(spark, root):
     jobs.load_incremental(spark, root, texts(spark, E2E))
     jobs.load_incremental(spark, root, texts(spark, payload("E2E_SMOKE", {"2026-04-08": (1, 1, 1, 1, 1)})))
-    assert tb.read_current(spark, root, tb.BARS, [dt.date(2026, 4, 8)]).count() == 1
+    assert tb.read_table(spark, root, tb.BARS, [dt.date(2026, 4, 8)]).count() == 1
 
 
 def test_failed_write_moves_no_mark(spark, root, monkeypatch):
     def broken(*args):
         raise RuntimeError("storage gone")
 
-    monkeypatch.setattr(tb, "commit", broken)
+    monkeypatch.setattr(tb, "finish", broken)
     with pytest.raises(RuntimeError):
         jobs.load_incremental(spark, root, texts(spark, E2E))
     monkeypatch.undo()

@@ -27,15 +27,16 @@ def lake(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("plans") / "lake")
     rows = [bar(f"2026-04-{d:02d}", f"S{i}", i, i, i, i, i * d) for d in range(1, 11) for i in range(1, 8)]
     df = spark.createDataFrame(rows, S.BARS)
-    first = tb.open_snapshot(spark, root).next_commit()
-    tb.write_table(df, root, tb.BARS, first)
-    tb.commit(spark, root, first, {tb.BARS: [dt.date(2026, 4, d) for d in range(1, 11)]})
+    first = tb.new_batch()
+    tb.write_rows(df, root, tb.BARS, first)
+    tb.finish(spark, root, first, {tb.BARS: False})
     return root
 
 
 @pytest.fixture
 def bars(spark, lake):
-    return tb.read_current(spark, lake, tb.BARS)
+    """The stored bars as one plain scan."""
+    return spark.read.schema(S.BARS).parquet(f"{lake}/{tb.BARS.name}")
 
 
 def test_symbol_report_filters_in_the_scan_and_never_sorts_the_history(bars):
@@ -69,9 +70,12 @@ def test_gate_takes_two_scans_and_one_wide_shuffle(bars):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
-def test_days_are_pruned_by_path(spark, lake):
-    some = tb.read_current(spark, lake, tb.BARS, [dt.date(2026, 4, 3), dt.date(2027, 1, 1)])
-    assert len(some.inputFiles()) == 1 and some.count() == 7
+def test_days_are_pruned_by_the_finished_batches(spark, lake):
+    some = tb.read_table(spark, lake, tb.BARS, [dt.date(2026, 4, 3), dt.date(2027, 1, 1)])
+    assert some.count() == 7
+    plan = executed(some)
+    assert re.search(r"PartitionFilters: \[trading_date#\d+ IN \(2026-04-03,2027-01-01\)", plan)
+    assert "Aggregate" not in plan, "a day of one batch has one row a key"
 
 
 def test_upsert_does_not_shuffle_the_target_for_a_small_batch(spark, bars):
@@ -100,9 +104,8 @@ def test_rank_is_one_plain_window_unless_a_day_is_large(bars):
 def test_written_days_are_sorted_and_balanced(spark, bars, tmp_path):
     plan = tb.with_day(bars, tb.BARS).hint("rebalance", tb.DAY)._jdf.queryExecution().optimizedPlan().toString()
     assert "RebalancePartitions [trading_date" in plan
-    to = tb.Commit(1, "t")
-    tb.write_table(bars, str(tmp_path), tb.BARS, to)
+    tb.write_rows(bars, str(tmp_path), tb.BARS, "b")
     for day in range(1, 11):
-        path = f"{tmp_path}/market_bars/{to.folder}/trading_date=2026-04-{day:02d}"
+        path = f"{tmp_path}/market_bars/trading_date=2026-04-{day:02d}/batch=b"
         symbols = [r["symbol"] for r in spark.read.parquet(path).collect()]
         assert symbols == sorted(symbols) and len(symbols) == 7
