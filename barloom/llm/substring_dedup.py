@@ -253,21 +253,21 @@ def repeated_places(rows: DataFrame, window: int) -> DataFrame:
     return hit.select("k1", "k2", F.struct("start", "mask").alias("place")).groupBy("k1", "k2").agg(F.collect_set("place").alias("places"))
 
 
-def _remove(kept: int, window: int):
-    """Batches of kept columns, text and places; the text goes, the kept words and counts come."""
+def _remove(kept: int, at: int, window: int):
+    """Batches of kept columns, the text (column ``at``, kept or not) and places last; the kept words and counts come."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             n_words, n_removed, texts = [], [], []
-            for text, places in zip(batch.column(kept), batch.column(kept + 1)):
+            for text, places in zip(batch.column(at), batch.column(batch.num_columns - 1)):
                 words = (text.as_py() or "").encode().split()
                 n_words.append(len(words))
                 if places.is_valid:
                     start = places.values.field(0).to_numpy()
                     mask = places.values.field(1).to_numpy()
                     place, bit = np.nonzero((mask[:, None] >> np.arange(window)) & 1)
-                    at = start[place] + bit
-                    cover = np.bincount(at, minlength=len(words) + 1) - np.bincount(at + window, minlength=len(words) + 1)
+                    first = start[place] + bit
+                    cover = np.bincount(first, minlength=len(words) + 1) - np.bincount(first + window, minlength=len(words) + 1)
                     stay = np.cumsum(cover[:-1]) == 0
                     words = [words[i] for i in np.flatnonzero(stay).tolist()]
                 n_removed.append(n_words[-1] - len(words))
@@ -298,11 +298,14 @@ def remove_repeated(
     body = column(text).cast("string")
     keys = [F.xxhash64(body).alias("k1"), F.xxhash64(F.lit(35), body).alias("k2")]
     places = repeated_places(docs.select(*keys, body.alias("text")), window)
-    left = docs.select(*[column(c).alias(f"c{i}") for i, c in enumerate(keep)], body.alias("__text"), *keys)
-    joined = left.join(places, ["k1", "k2"], "left").select(*[f"c{i}" for i in range(len(keep))], "__text", "places")
+    # A text that is kept anyway travels once.
+    at = keep.index(text) if text in keep and docs.schema[text].dataType == T.StringType() else len(keep)
+    texts = [body.alias(f"c{at}")] if at == len(keep) else []
+    left = docs.select(*[column(c).alias(f"c{i}") for i, c in enumerate(keep)], *texts, *keys)
+    joined = left.join(places, ["k1", "k2"], "left").select(*[f"c{i}" for i in range(len(keep) + len(texts))], "places")
     fields = [T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(keep)]
     added = T.StructType.fromDDL("n_words long, n_removed long, kept_text string, kept_sha256 string").fields
-    out = joined.mapInArrow(_remove(len(keep), window), T.StructType(fields + added))
+    out = joined.mapInArrow(_remove(len(keep), at, window), T.StructType(fields + added))
     return out.toDF(*keep, *ADDED)
 
 
