@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -54,12 +55,20 @@ def append_columns(df: DataFrame, text: str, fields: str, make: Callable) -> Dat
 
 
 def small_batches(batches: Iterable[pa.RecordBatch], size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut batches to about ``size`` bytes, a row at least."""
+    """Cut batches to about ``size`` bytes, a row at least. Freed memory goes back to the system, as workers are used again."""
     for batch in batches:
         rows = max(1, int(batch.num_rows * size / max(1, batch.nbytes)))
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
         pa.default_memory_pool().release_unused()
+    trim_memory()
+
+
+def trim_memory() -> None:
+    """Return what the C library holds of freed memory; it otherwise stays with the worker for later tasks."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 # Bitmaps over hash cells. Each task counts the cells it saw and sends them by slice of 65,536
