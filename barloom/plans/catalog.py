@@ -20,9 +20,9 @@ from barloom.functions.times import utc_date
 from barloom.functions.values import first_present, object_key
 from barloom.operators import backfill, incremental, marts, metrics, quality, reports, staging, upsert
 from barloom.plans import load, publish, serve
+from barloom import session
 from barloom.session import use_utc, work_folder
-from barloom.sources.payloads import payload_symbol
-from barloom.sources import export, tables as tb, testdata as td
+from barloom.sources import export, payloads, tables as tb, testdata as td
 from barloom.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,13 +70,15 @@ def _by_source(shipments: str, others: str):
 
 
 def _existing(bars: DataFrame) -> DataFrame:
-    """Stored bars: up to a time per source, without the 13th of each month."""
-    return bars.where(F.col("ts") < _by_source("2000-01-01", "2024-01-20")).where(F.dayofmonth("ts") != 13)
+    """Stored bars: up to a time per source, without the 13th of each month, and all of one symbol."""
+    stored = (F.col("ts") < _by_source("2000-01-01", "2024-01-20")) & (F.dayofmonth("ts") != 13)
+    return bars.where(stored | (F.col("symbol") == "ERROR"))
 
 
 def _delivered(bars: DataFrame) -> DataFrame:
-    """A delivery that overlaps what is stored; one symbol is not in it."""
-    return bars.where((F.col("ts") >= _by_source("1999-07-01", "2024-01-10")) & (F.col("symbol") != "ERROR"))
+    """A delivery of what is not stored, and of some that is; one symbol is not in it."""
+    later = F.col("ts") >= _by_source("1999-07-01", "2024-01-10")
+    return bars.where((later | (F.dayofmonth("ts") == 13)) & (F.col("symbol") != "ERROR"))
 
 
 def _state(bars: DataFrame) -> DataFrame:
@@ -165,6 +167,18 @@ def stage_bars(spark, sf_dir):
     return staging.stage_bars(_payloads(td.bars(spark, sf_dir)))
 
 
+@query
+def stage_bars_as_delivered(spark, sf_dir):
+    """The older form of staging: symbols as delivered, no source."""
+    parsed = staging.parse_payloads(_payloads(td.bars(spark, sf_dir)), normalize=False)
+    return staging.accepted(parsed).select(*staging.BAR_COLUMNS)
+
+
+@query
+def bars_without_source(spark, sf_dir):
+    return staging.with_source(td.user_bars(spark, sf_dir).drop("source"))
+
+
 @query
 def staging_rejects(spark, sf_dir):
     parsed = staging.parse_payloads(_payloads(td.bars(spark, sf_dir)))
@@ -207,6 +221,44 @@ def export_symbol(spark, sf_dir):
     return export.export_bars(td.bars(spark, sf_dir), "PURCHASE")
 
 
+@query
+def snapshot_stamp(spark, sf_dir):
+    """Exported rows are stamped with the time of the export."""
+    began = F.lit(dt.datetime.now(dt.timezone.utc) - dt.timedelta(seconds=1))
+    rows = export.snapshot_rows(td.user_bars(spark, sf_dir), "user_bars")
+    in_time = F.col("ingested_at").between(began, F.current_timestamp())
+    return rows.select("symbol", "event_ts", "snapshot_id", in_time.alias("stamped"))
+
+
+def _landed(rows: DataFrame) -> DataFrame:
+    return staging.accepted(staging.parse_payloads(rows))
+
+
+@query
+def land_payloads(spark, sf_dir):
+    """Two run dates of every user's payloads, landed, the first one twice, and read back."""
+    root = work_folder(spark, "land_payloads")
+    first, second = (
+        delivery.withColumn("run_date", F.lit(day))
+        for day, delivery in zip((FIRST_DELIVERY_UNTIL, LOAD_DATE), _deliveries(spark, sf_dir))
+    )
+    for rows in (first.unionByName(second), first):
+        payloads.land_payloads(rows, root)
+    return _landed(payloads.read_landing(spark, root)).select("run_date", *staging.BAR_COLUMNS)
+
+
+@query
+def land_objects(spark, sf_dir):
+    """Every user's payload in the object-store layout, with the bars each object holds."""
+    folder = work_folder(spark, "land_objects")
+    delivery = _deliveries(spark, sf_dir)[1]
+    rows = delivery.select("value", payloads.payload_symbol().alias("symbol"), F.lit(LOAD_DATE).alias("date"))
+    payloads.land_in_object_store(rows, "true", folder)
+    found = _landed(payloads.read_payload_files(spark, folder))
+    key = F.regexp_extract(F.col("file"), "(raw/.*)/[^/]*$", 1).alias("object_prefix")
+    return found.groupBy(key, "symbol").agg(F.count(F.lit(1)).alias("bars"), F.sum("volume").alias("volume"))
+
+
 # --- keyed writes ------------------------------------------------------------
 
 
@@ -310,6 +362,13 @@ def backfill_rows(spark, sf_dir):
     return backfill.rows_for_dates(_delivered(bars), _pending(bars), F.lit("UTC"))
 
 
+@query
+def backfill_rows_zoned(spark, sf_dir):
+    """Days of a zone five hours behind UTC."""
+    bars = td.bars(spark, sf_dir)
+    return backfill.rows_for_dates(_delivered(bars), _pending(bars), F.lit("Etc/GMT+5"))
+
+
 @query
 def backfill_progress(spark, sf_dir):
     bars = td.bars(spark, sf_dir)
@@ -422,6 +481,19 @@ def gate_failures(spark, sf_dir):
     return quality.failure_message(quality.bar_gate(td.shipment_rows(spark, sf_dir), as_of=AS_OF))
 
 
+@query
+def gate_raises(spark, sf_dir):
+    """What the gate raises for rows that fail it, and the number of checks where none fails."""
+    outcomes = []
+    for name, rows in (("bars", td.bars(spark, sf_dir)), ("shipments", td.shipment_rows(spark, sf_dir))):
+        report = quality.bar_gate(rows, as_of=AS_OF).collect()
+        try:
+            outcomes.append((name, quality.require_passed(report), None))
+        except quality.QualityGateError as error:
+            outcomes.append((name, None, str(error)))
+    return spark.createDataFrame(outcomes, "checked string, checks int, message string")
+
+
 @query
 def dq_not_null(spark, sf_dir):
     labels = td.table(spark, sf_dir, "labels").select("doc_id", "quality")
@@ -583,6 +655,31 @@ def backfill_bars_job(spark, sf_dir):
     return tb.read_table(spark, root, tb.BARS)
 
 
+@query
+def interrupted_load_job(spark, sf_dir):
+    """A load that dies before it finishes shows nothing; done again, it shows all."""
+    root = work_folder(spark, "interrupted_load_job")
+    first, corrected = _deliveries(spark, sf_dir)
+    load.load_incremental(spark, root, first, now=NOW)
+    died = staging.stage_bars(corrected).withColumn("close", (F.col("close") + 100).cast(S.PRICE))
+    tb.write_rows(died, root, tb.BARS, tb.new_batch())
+    before = tb.read_table(spark, root, tb.BARS).withColumn("phase", F.lit("died"))
+    before = session.written(before, "before")
+    load.load_incremental(spark, root, corrected, now=NOW)
+    return before.unionByName(tb.read_table(spark, root, tb.BARS).withColumn("phase", F.lit("done again")))
+
+
+@query
+def gated_run_job(spark, sf_dir):
+    """Steps of two gated runs: one of all deliveries, then one at a later day, when no bar is fresh any more."""
+    root = work_folder(spark, "gated_run_job")
+    corrected = _deliveries(spark, sf_dir)[1]
+    runs = [publish.run_gated(spark, root, corrected, as_of=day) for day in (AS_OF, AS_OF + dt.timedelta(days=365))]
+    steps = tb.read_table(spark, root, tb.STEP_RUNS)
+    run = F.when(F.col("run_id") == runs[0].run_id, 1).otherwise(2).alias("run")
+    return steps.select(run, "step_name", "status", "row_count", "error_message")
+
+
 @query
 def delete_bars(spark, sf_dir):
     """Stored bars without one whole day and without the bars of users on days of an error of theirs."""
@@ -602,7 +699,7 @@ def stream_load_job(spark, sf_dir):
     for files in (None, 2):
         root = work_folder(spark, "stream_load_job")
         for run_date, delivery in zip((FIRST_DELIVERY_UNTIL, LOAD_DATE), _deliveries(spark, sf_dir)):
-            delivery.repartition(4, payload_symbol()).write.text(f"{root}/landing/run_date={run_date}/symbol=many")
+            delivery.repartition(4, payloads.payload_symbol()).write.text(f"{root}/landing/run_date={run_date}/symbol=many")
             stream = ingest.start_ingest(
                 spark, f"{root}/landing", f"{root}/tables", f"{root}/progress", max_files=files, by_line=True
             )

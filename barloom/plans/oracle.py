@@ -27,12 +27,12 @@ DEFS = {
     "bars": "SELECT * FROM event_bars UNION ALL SELECT * FROM shipment_bars",
     "existing": """
         SELECT * FROM bars
-        WHERE ts < CASE WHEN source = 'shipments' THEN TIMESTAMP '2000-01-01' ELSE TIMESTAMP '2024-01-20' END
-          AND day(ts) <> 13""",
+        WHERE (ts < CASE WHEN source = 'shipments' THEN TIMESTAMP '2000-01-01' ELSE TIMESTAMP '2024-01-20' END
+               AND day(ts) <> 13) OR symbol = 'ERROR'""",
     "delivered": """
         SELECT * FROM bars
-        WHERE ts >= CASE WHEN source = 'shipments' THEN TIMESTAMP '1999-07-01' ELSE TIMESTAMP '2024-01-10' END
-          AND symbol <> 'ERROR'""",
+        WHERE (ts >= CASE WHEN source = 'shipments' THEN TIMESTAMP '1999-07-01' ELSE TIMESTAMP '2024-01-10' END
+               OR day(ts) = 13) AND symbol <> 'ERROR'""",
     "state": """
         SELECT source, symbol, max(ts) AS last_watermark, CAST(count(*) AS BIGINT) AS last_row_count,
                'seeded' AS status, TIMESTAMP '2020-01-01 00:00:00' AS updated_at
@@ -194,6 +194,36 @@ ORACLE: dict[str, str] = {
            FROM staged WHERE NOT bad""",
         staged=STAGED,
     ),
+    "stage_bars_as_delivered": _q(
+        [*BARS, "daily"],
+        """SELECT ts, ' ' || lower(symbol) || ' ' AS symbol, CAST(open AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high,
+                  CAST(low AS DOUBLE) AS low, CAST(close AS DOUBLE) AS close, volume, CAST(NULL AS VARCHAR) AS source
+           FROM staged WHERE NOT bad""",
+        staged=STAGED,
+    ),
+    "bars_without_source": _q(["user_bars"], f"SELECT {BAR_OUT.replace('source', repr('unknown') + ' AS source')} FROM user_bars"),
+    "snapshot_stamp": _q(
+        ["user_bars"],
+        "SELECT symbol, ts AS event_ts, 'user_bars' AS snapshot_id, true AS stamped FROM user_bars ORDER BY symbol, event_ts",
+    ),
+    "land_payloads": _q(
+        ["user_bars"],
+        f"""SELECT DATE '2024-01-20' AS run_date, {BAR_OUT} FROM user_bars WHERE ts <= TIMESTAMP '2024-01-20'
+            UNION ALL
+            SELECT DATE '2024-02-01', {BAR_OUT.replace("CAST(close AS DOUBLE)", "CAST(close + 1 AS DOUBLE)")} FROM user_bars""",
+    ),
+    "land_objects": _q(
+        ["user_bars"],
+        """SELECT 'raw/alpha_vantage/symbol=' || symbol || '/date=2024-02-01' AS object_prefix, symbol, count(*) AS bars,
+                  CAST(sum(volume) AS BIGINT) AS volume
+           FROM user_bars GROUP BY symbol""",
+    ),
+    "backfill_rows_zoned": _q(
+        BACKFILL,
+        f"""SELECT {BAR_OUT} FROM delivered d
+            WHERE EXISTS (SELECT 1 FROM pending p WHERE p.source = d.source AND p.symbol = d.symbol
+                                                    AND p.trading_date = CAST(d.ts - INTERVAL 5 HOUR AS DATE))""",
+    ),
     "staging_rejects": _q(
         [*BARS, "daily"],
         """SELECT symbol, strftime(day, '%Y-%m-%d') AS raw_date, zone, 'bad price' AS reject_reason
@@ -375,6 +405,15 @@ ORACLE: dict[str, str] = {
            FROM gate""",
         gate=GATE.format(of="shipment_rows", close="price"),
     ),
+    "gate_raises": _q(
+        BARS,
+        """SELECT checked, CAST(CASE WHEN bool_and(passed) THEN count(*) END AS INTEGER) AS checks,
+                  string_agg(check_name || ' on ' || table_name || ': ' || details, '; ' ORDER BY seq) FILTER (NOT passed) AS message
+           FROM (SELECT 'bars' AS checked, * FROM gate_bars UNION ALL SELECT 'shipments', * FROM gate_rows)
+           GROUP BY checked""",
+        gate_bars=GATE.format(of="bars", close="close"),
+        gate_rows=GATE.format(of="shipment_rows", close="price"),
+    ),
     "dq_not_null": """
         SELECT 'not_null' AS check_name, 'documents' AS table_name, n = 0 AS passed, n AS failed_rows,
                'Column quality has ' || n || ' NULL row(s).' AS details
@@ -527,6 +566,24 @@ ORACLE: dict[str, str] = {
         f"""SELECT {BAR_OUT} FROM twice_loaded
             WHERE ts <= TIMESTAMP '2024-01-20' OR ts BETWEEN TIMESTAMP '2024-01-15' AND TIMESTAMP '2024-01-25'""",
     ),
+    "interrupted_load_job": _q(
+        JOB,
+        f"""SELECT {BAR_OUT}, 'died' AS phase FROM user_bars WHERE ts <= TIMESTAMP '2024-01-20'
+            UNION ALL
+            SELECT {BAR_OUT}, 'done again' FROM twice_loaded""",
+    ),
+    "gated_run_job": _q(
+        ["user_bars"],
+        """SELECT 1 AS run, 'run_stock_pipeline' AS step_name, 'success' AS status, count(*) AS row_count,
+                  CAST(NULL AS VARCHAR) AS error_message FROM user_bars
+           UNION ALL SELECT 1, 'run_quality_checks', 'success', 6, NULL
+           UNION ALL SELECT 1, 'build_marts', 'success', count(DISTINCT ts), NULL FROM user_bars
+           UNION ALL SELECT 2, 'run_stock_pipeline', 'success', 0, NULL
+           UNION ALL
+           SELECT 2, 'run_quality_checks', 'failed', NULL, 'freshness on market_bars: ' || details
+           FROM (SELECT * FROM gate WHERE check_name = 'freshness')""",
+        gate=GATE.format(of="user_bars", close="close").replace("2024-02-05", "2025-02-04"),
+    ),
     "delete_bars": _q(
         ["user_bars"],
         f"""SELECT {BAR_OUT} FROM user_bars u
