@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barloom import schemas as S
@@ -37,33 +37,41 @@ class LoadResult:
     late: int = 0
 
 
-def _stage(spark: SparkSession, root: str, payloads: DataFrame, batch: str, strict: bool) -> tuple[DataFrame, int]:
-    """Type the payloads once and read them back, with the number of rejects, which the write counts itself.
+def load_order(rows: DataFrame) -> Column:
+    """Says which of a symbol's payloads comes last: by run date, then by file."""
+    order = [c for c in ("run_date", "file") if c in rows.columns]
+    return F.concat_ws("|", *order) if order else F.lit("")
 
-    ``load_order`` says which duplicate comes last.
-    """
+
+def _stage(spark: SparkSession, root: str, payloads: DataFrame, batch: str, strict: bool) -> tuple[DataFrame, int]:
+    """Type the payloads once and read them back, with the number of rejects."""
     parsed = staging.parse_payloads(payloads)
-    order = [c for c in ("run_date", "file") if c in parsed.columns]
-    keep = [*staging.BAR_COLUMNS, "zone", "raw_date", staging.REASON, *(["run_date"] if "run_date" in order else [])]
+    keep = [*staging.BAR_COLUMNS, "zone", "raw_date", staging.REASON, *(["run_date"] if "run_date" in parsed.columns else [])]
+    return keep_staged(spark, root, parsed.select(*keep, load_order(parsed).alias("load_order")), batch, strict)
+
+
+def keep_staged(spark: SparkSession, root: str, staged: DataFrame, batch: str, strict: bool) -> tuple[DataFrame, int]:
+    """Write typed rows to the staging folder of a batch and read them back; the write counts the rejects itself."""
     path = f"{root}/_staging/batch={batch}"
-    load_order = F.concat_ws("|", *order) if order else F.lit("")
     counted, reason = Observation(), F.col(staging.REASON)
     counts = [F.count_if(reason == name).alias(name) for name in staging.REASONS]
-    staged = parsed.select(*keep, load_order.alias("load_order")).observe(counted, *counts)
-    staged.write.mode("overwrite").parquet(path)
+    staged.observe(counted, *counts).write.mode("overwrite").parquet(path)
     found = {name: n for name, n in counted.get.items() if n}
     if strict and found:
         raise StagingError("; ".join(f"{name}: {found[name]}" for name in sorted(found)))
     return spark.read.schema(staged.schema).parquet(path), sum(found.values())
 
 
-def _add_bars(spark: SparkSession, root: str, rows: DataFrame, batch: str, now: dt.datetime) -> int:
-    """Write the rows to load, one a key, and the marks and audit rows they give."""
+def add_bars(spark: SparkSession, root: str, rows: DataFrame, batch: str, now: dt.datetime, state: DataFrame | None = None) -> int:
+    """Write the rows to load, one a key, and the marks and audit rows they give.
+
+    ``state``: the marks to keep where they are later; those stored, if not given.
+    """
     order = ["load_order", *[c for c in rows.columns if c not in (*S.BAR_KEY, "load_order")]]
     loaded = tb.write_rows(last_per_key(rows, S.BAR_KEY, order), root, tb.BARS, batch)
     if loaded:
         bars = tb.own_rows(spark, root, tb.BARS, batch)
-        state = tb.read_table(spark, root, tb.LOAD_STATE)
+        state = tb.read_table(spark, root, tb.LOAD_STATE) if state is None else state
         tb.write_rows(incremental.moved_marks(state, bars, F.lit(now).cast("timestamp")), root, tb.LOAD_STATE, batch)
         tb.write_rows(incremental.audit_rows(bars, batch, now.date()), root, tb.LOAD_AUDIT, batch)
     return loaded
@@ -72,7 +80,7 @@ def _add_bars(spark: SparkSession, root: str, rows: DataFrame, batch: str, now:
 BARS_ADDED = {tb.BARS: False, tb.LOAD_STATE: False, tb.LOAD_AUDIT: False}
 
 
-def _keep_rejects(spark: SparkSession, root: str, staged: DataFrame, batch: str, today: dt.date) -> dict[tb.Table, bool]:
+def keep_rejects(spark: SparkSession, root: str, staged: DataFrame, batch: str, today: dt.date) -> dict[tb.Table, bool]:
     """Add the entries that could not be typed to the rejects of the day, each once."""
     columns = S.REJECTS.fieldNames()
     rows = staging.rejected(staged).withColumn("load_date", F.lit(today)).select(*columns).distinct()
@@ -116,11 +124,11 @@ def load_incremental(
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     batch = tb.new_batch()
     staged, rejected = _stage(spark, root, payloads, batch, strict)
-    changed = _keep_rejects(spark, root, staged, batch, now.date()) if rejected else {}
+    changed = keep_rejects(spark, root, staged, batch, now.date()) if rejected else {}
     rows = _of_symbols(staging.accepted(staged).drop("zone"), symbols)
     state = tb.read_table(spark, root, tb.LOAD_STATE)
     new = incremental.filter_delivered if "run_date" in rows.columns else incremental.filter_new
-    loaded = _add_bars(spark, root, new(rows, state).drop("run_date"), batch, now)
+    loaded = add_bars(spark, root, new(rows, state).drop("run_date"), batch, now)
     late = _late(spark, root, rows, state) if count_late else 0
     if loaded:
         changed |= BARS_ADDED
@@ -152,7 +160,7 @@ def backfill(
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     batch = tb.new_batch()
     staged, rejected = _stage(spark, root, payloads, batch, strict)
-    changed = _keep_rejects(spark, root, staged, batch, now.date()) if rejected else {}
+    changed = keep_rejects(spark, root, staged, batch, now.date()) if rejected else {}
     rows = _of_symbols(staging.accepted(staged), symbols)
     zones = bf.symbol_zones(rows)
 
@@ -163,7 +171,7 @@ def backfill(
     stored = bf.zoned_dates(tb.read_table(spark, root, tb.BARS, around), zones, start, end)
     done = recorded.select(*S.PROGRESS_KEY).unionByName(stored.select(*S.PROGRESS_KEY)).distinct()
     selected = bf.pending_dates(bf.zoned_dates(rows.drop("zone"), zones, start, end), done).drop("trading_date")
-    loaded = _add_bars(spark, root, selected.drop("run_date"), batch, now)
+    loaded = add_bars(spark, root, selected.drop("run_date"), batch, now)
     if loaded:
         changed |= BARS_ADDED
 

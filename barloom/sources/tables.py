@@ -36,6 +36,7 @@ class Table:
     """A table, parted by day where ``day`` names the column its days come from.
 
     Of rows with one ``key`` the last counts: by the columns ``latest``, then by batch. Without a key all rows count.
+    Columns ``told`` are stored as text to tell that, and are no part of the table.
     """
 
     name: str
@@ -44,9 +45,10 @@ class Table:
     order: tuple[str, ...] = ()
     key: tuple[str, ...] = ()
     latest: tuple[str, ...] = ()
+    told: tuple[str, ...] = ()
 
 
-BARS = Table("market_bars", S.BARS, day="ts", order=("symbol", "ts"), key=S.BAR_KEY)
+BARS = Table("market_bars", S.BARS, day="ts", order=("symbol", "ts"), key=S.BAR_KEY, latest=("load_order",), told=("load_order",))
 LOAD_STATE = Table("pipeline_metadata", S.LOAD_STATE, key=S.LOAD_STATE_KEY, latest=("last_watermark",))
 REJECTS = Table("load_rejects", S.REJECTS, day="load_date", key=tuple(S.REJECTS.fieldNames()))
 LOAD_AUDIT = Table("load_metadata", S.LOAD_AUDIT, day="load_date", key=("id",))
@@ -98,7 +100,8 @@ def list_days(days: DataFrame) -> list[dt.date]:
 def _stored(spark: SparkSession, root: str, table: Table) -> DataFrame:
     names = table.schema.fieldNames()
     parts = [T.StructField(DAY, T.DateType())] if table.day is not None and DAY not in names else []
-    schema = T.StructType([*table.schema.fields, *parts, T.StructField(BATCH, T.StringType())])
+    told = [T.StructField(name, T.StringType()) for name in table.told]
+    schema = T.StructType([*table.schema.fields, *told, *parts, T.StructField(BATCH, T.StringType())])
     return spark.read.schema(schema).parquet(f"{root}/{table.name}")
 
 
@@ -106,7 +109,7 @@ def _last(rows: DataFrame, table: Table) -> DataFrame:
     names = table.schema.fieldNames()
     if set(table.key) == set(names):
         return rows.select(*names).distinct()
-    return last_per_key(rows.select(*names, BATCH), table.key, [*table.latest, BATCH]).select(*names)
+    return last_per_key(rows.select(*names, *table.told, BATCH), table.key, [*table.latest, BATCH]).select(*names)
 
 
 def read_table(
@@ -143,11 +146,14 @@ def with_day(df: DataFrame, table: Table) -> DataFrame:
 def write_rows(df: DataFrame, root: str, table: Table, batch: str) -> int:
     """Write rows of a batch, which nobody sees before ``finish``; returns their number, counted by the write itself.
 
+    Columns that the table does not have are left out.
+
     Rows are gathered by day with a rebalance, which splits a day that is too big for one
     task and joins small ones, and are sorted so that a symbol filter can skip row groups.
     """
     counted = Observation()
-    rows, parts = df.select(*table.schema.fieldNames()), [BATCH]
+    told = [F.col(name) if name in df.columns else F.lit(None).cast("string").alias(name) for name in table.told]
+    rows, parts = df.select(*table.schema.fieldNames(), *told), [BATCH]
     if table.day is not None:
         rows = with_day(rows, table).hint("rebalance", DAY).sortWithinPartitions(DAY, *table.order)
         parts = [DAY, BATCH]

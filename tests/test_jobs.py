@@ -13,7 +13,8 @@ from barloom.plans import load as jobs
 from barloom.plans import publish, serve
 from barloom.session import work_folder
 from barloom.sources import tables as tb
-from barloom.streaming.ingest import start_ingest
+from barloom.sources.payloads import read_landing
+from barloom.streaming.ingest import start_ingest, write_batch
 from tests.conftest import bar
 from tests.payload_samples import payload
 
@@ -380,6 +381,53 @@ def test_stream_gives_the_same_tables_as_batches(spark, root, tmp_path):
     assert read(spark, root, tb.LOAD_AUDIT).count() == 3
 
 
+def bars_of_stream(spark, landing, folder, **options):
+    query = start_ingest(spark, str(landing), f"{folder}/lake", f"{folder}/checkpoint", **options)
+    query.awaitTermination(240)
+    assert query.exception() is None
+    return sorted((r["symbol"], r["ts"].day, float(r["close"])) for r in read(spark, f"{folder}/lake", tb.BARS).collect())
+
+
+def test_stream_equals_the_batch_load_whatever_its_batches(spark, tmp_path):
+    """Two files of one symbol and run date, whose later name is older, rejects, and two run dates."""
+    landing = tmp_path / "landing"
+    land(landing, "2026-04-07", "A", payload("A", {"2026-04-05": (5,) * 5, "2026-04-06": (6,) * 5}))
+    os.rename(landing / "run_date=2026-04-07/symbol=A/stock.json", landing / "run_date=2026-04-07/symbol=A/z.json")
+    land(landing, "2026-04-07", "A", payload("A", {"2026-04-05": (50,) * 5, "2026-04-04": (4,) * 5}))
+    land(landing, "2026-04-07", "B", payload("B", {"2026-04-06": (2,) * 5, "2026-04-07": ("x", 1, 1, 1, 1)}))
+    land(landing, "2026-04-08", "A", payload("A", {"2026-04-05": (9,) * 5, "2026-04-08": (8,) * 5}))
+    for at, name in enumerate(sorted(landing.rglob("*.json"), key=lambda p: (p.parts[-3], p.name == "stock.json"))):
+        os.utime(name, (1_700_000_000 + at, 1_700_000_000 + at))
+    want = [("A", 4, 4.0), ("A", 5, 5.0), ("A", 6, 6.0), ("A", 8, 8.0), ("B", 6, 2.0)]
+    batch = str(tmp_path / "batch")
+    jobs.load_incremental(spark, batch, read_landing(spark, str(landing)))
+    assert sorted((r["symbol"], r["ts"].day, float(r["close"])) for r in read(spark, batch, tb.BARS).collect()) == want
+    for files in (None, 1):
+        folder = tmp_path / f"stream{files}"
+        assert bars_of_stream(spark, landing, folder, max_files=files) == want
+        assert bars_of_stream(spark, landing, folder, max_files=files) == want
+        assert read(spark, f"{folder}/lake", tb.REJECTS).count() == 1
+        assert marks(spark, f"{folder}/lake")["A"][0] == dt.date(2026, 4, 8)
+
+
+def test_a_stream_starts_from_the_stored_marks(spark, tmp_path):
+    lake = str(tmp_path / "s" / "lake")
+    jobs.load_incremental(spark, lake, texts(spark, payload("A", {"2026-04-06": (6,) * 5})))
+    land(tmp_path / "landing", "2026-04-09", "A", payload("A", {"2026-04-05": (9,) * 5, "2026-04-07": (7,) * 5}))
+    land(tmp_path / "landing", "2026-04-09", "C", payload("C", {"2026-04-05": (3,) * 5}))
+    assert bars_of_stream(spark, tmp_path / "landing", tmp_path / "s") == [("A", 6, 6.0), ("A", 7, 7.0), ("C", 5, 3.0)]
+
+
+def test_a_replayed_micro_batch_is_written_once(spark, root):
+    rows = jobs.staging.parse_payloads(texts(spark, E2E))
+    rows = rows.select("*", jobs.load_order(rows).alias("load_order")).drop("file")
+    write = write_batch(root, "checkpoint", strict=False)
+    for _ in range(2):
+        write(rows, 7)
+    assert read(spark, root, tb.BARS).count() == 2 and read(spark, root, tb.LOAD_AUDIT).count() == 1
+    assert len(batches(spark, root)) == 1
+
+
 def test_stored_reports(spark, root):
     days = {f"2026-04-{d:02d}": (d, d, d, d, d) for d in range(1, 6)}
     jobs.load_incremental(spark, root, texts(spark, payload("A", days), payload("B", days, **{"note": "x"})))
