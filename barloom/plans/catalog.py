@@ -346,9 +346,23 @@ def _recorded_progress(bars: DataFrame) -> DataFrame:
     return dated.where(F.col("trading_date") < F.lit(INTERRUPTED_AT))
 
 
-def _pending(bars: DataFrame) -> DataFrame:
+def _gaps(bars: DataFrame) -> DataFrame:
     done = backfill.completed_dates(_recorded_progress(bars), _existing(bars), BACKFILL_START, BACKFILL_END)
-    return backfill.pending_dates(backfill.date_spine(_subjects(bars), BACKFILL_START, BACKFILL_END), done)
+    return backfill.pending_intervals(_subjects(bars), backfill.day_intervals(done), BACKFILL_START, BACKFILL_END)
+
+
+def _pending(bars: DataFrame) -> DataFrame:
+    return backfill.days_of(_gaps(bars))
+
+
+@query
+def backfill_gaps(spark, sf_dir):
+    return _gaps(td.bars(spark, sf_dir))
+
+
+@query
+def progress_intervals(spark, sf_dir):
+    return backfill.day_intervals(_recorded_progress(td.bars(spark, sf_dir)))
 
 
 @query
@@ -359,7 +373,7 @@ def backfill_plan(spark, sf_dir):
 @query
 def backfill_rows(spark, sf_dir):
     bars = td.bars(spark, sf_dir)
-    return backfill.rows_for_dates(_delivered(bars), _pending(bars), F.lit("UTC"))
+    return backfill.rows_in_intervals(_delivered(bars), _gaps(bars), F.lit("UTC"))
 
 
 @query

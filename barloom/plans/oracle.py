@@ -186,6 +186,12 @@ FRESHNESS = """
            'Latest {column} is ' || age || ' day(s) old; max allowed age is 14 day(s).' AS details
     FROM (SELECT DATE '2024-02-05' - CAST(max({column}) AS DATE) AS age FROM {of})"""
 
+INTERVALS = """
+    SELECT source, symbol, min(trading_date) AS first_day, max(trading_date) AS last_day
+    FROM (SELECT *, trading_date - CAST(row_number() OVER (PARTITION BY source, symbol ORDER BY trading_date) AS INTEGER) AS island
+          FROM {of})
+    GROUP BY source, symbol, island"""
+
 ORACLE: dict[str, str] = {
     "stage_bars": _q(
         [*BARS, "daily"],
@@ -320,6 +326,12 @@ ORACLE: dict[str, str] = {
         marks=MARKS.format("loaded"),
     ),
     "backfill_plan": _q(BACKFILL, "SELECT * FROM pending"),
+    "backfill_gaps": _q(BACKFILL, INTERVALS.format(of="pending")),
+    "progress_intervals": _q(
+        STORED,
+        INTERVALS.format(of="recorded"),
+        recorded="SELECT DISTINCT source, symbol, CAST(ts AS DATE) AS trading_date FROM delivered WHERE ts < TIMESTAMP '1999-09-01'",
+    ),
     "backfill_rows": _q([*BACKFILL, "for_pending"], f"SELECT {BAR_OUT} FROM for_pending"),
     "backfill_progress": _q(
         [*BACKFILL, "for_pending"],

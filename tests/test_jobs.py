@@ -456,11 +456,34 @@ def test_command_line(spark, tmp_path, root, capsys):
     assert "row_count=2" in out and "days rebuilt: 2" in out and "90.91" in out and "row_count=0" in out
     assert main(["gated", "--root", root, "--payloads", raw, "--symbol", "none"]) == 1  # too old to be fresh
     assert '"status":"failed"' in capsys.readouterr().out
-    for bad in (["load", "--root", root], ["marts", "--root", root, "--symbol", "A"], ["backfill", "--root", root, "--payloads", raw, "--start", "2026-04-06"]):
+    main(["delete", "--root", root, "--symbol", "e2e_smoke", "--start", "2026-04-07"])
+    assert "row_count=1, days=[datetime.date(2026, 4, 7)]" in capsys.readouterr().out
+    for bad in (["load", "--root", root], ["delete", "--root", root], ["load", "--root", root, "--payloads", raw, "--run-date", "2026-04-06"], ["marts", "--root", root, "--symbol", "A"], ["backfill", "--root", root, "--payloads", raw, "--start", "2026-04-06"]):
         with pytest.raises(SystemExit):
             arguments(bad)
 
 
+def test_command_line_lands_and_loads_by_run_date(spark, tmp_path, root, capsys):
+    raw, landing = tmp_path / "in", str(tmp_path / "landing")
+    for at, day in enumerate(("2026-04-06", "2026-04-07", "2026-04-08")):
+        folder = raw / day
+        os.makedirs(folder)
+        (folder / "a.json").write_text(payload("A", {day: (at + 1,) * 5}))
+        main(["land", "--payloads", str(folder), "--landing", landing, "--run-date", day])
+    assert sorted(os.listdir(f"{landing}/run_date=2026-04-06")) == ["symbol=A"]
+    main(["load", "--root", root, "--landing", landing, "--run-date", "2026-04-06"])
+    main(["load", "--root", root, "--landing", landing, "--run-date", "2026-04-07", "--until", "2026-04-08"])
+    (tmp_path / "seed.csv").write_text("ts,symbol,open,high,low,close,volume\n2026-04-01T00:00:00Z,S,1,1,1,1,5\n")
+    main(["seed", "--root", root, "--bars", str(tmp_path / "seed.csv")])
+    main(["objects", "--payloads", str(raw / "2026-04-06"), "--bucket", str(tmp_path / "store"), "--run-date", "2026-04-06"])
+    out = capsys.readouterr().out
+    assert out.count("row_count=1") == 2 and out.count("row_count=2") == 1 and "raw/alpha_vantage" in out
+    assert {(r["symbol"], r["ts"].day) for r in read(spark, root, tb.BARS).collect()} == {("A", 6), ("A", 7), ("A", 8), ("S", 1)}
+    assert os.path.isdir(tmp_path / "store/raw/alpha_vantage/symbol=A/date=2026-04-06")
+    days = read_landing(spark, landing, dt.date(2026, 4, 7), dt.date(2026, 4, 7))
+    assert days.count() == 1 and "PartitionFilters: [isnotnull(run_date" in days._jdf.queryExecution().executedPlan().toString()
+
+
 def test_work_folder_is_the_one_the_cluster_names():
     class Conf:
         def get(self, name, default=None):
