@@ -135,37 +135,6 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     AND 10 * len(regexp_extract_all(body, '(?:\.\.\.|\x{{2026}})[\x20\x09\r]*(?:\n|\z)')) <= 3 * n_lines
     AND 10 * len(regexp_extract_all(body, '(?:\A|\n)[\x20\x09]*[-*\x{{2022}}]')) <= 9 * n_lines AS kept
 FROM b""",
-    "op6_quotation_linking": r"""
-WITH RECURSIVE m AS (
-  SELECT row_number() OVER () AS id, conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
-l AS (
-  SELECT id, conv_id, turn, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM m),
-p AS (
-  SELECT id, conv_id, turn, i, length(marks) - length(replace(marks, '>', '')) AS level,
-    regexp_replace(line, '^[\x20\x09]*(>[\x20\x09>]*)', '') AS body
-  FROM (SELECT *, regexp_extract(line, '^[\x20\x09]*(>[\x20\x09>]*)', 1) AS marks FROM l)),
-n AS (SELECT *, lower(trim(regexp_replace(body, '[\x20\x09-\x0D]+', ' ', 'g'))) AS norm FROM p),
-u AS (
-  SELECT DISTINCT id, conv_id, turn, level, norm AS unit FROM n WHERE norm <> ''
-  UNION SELECT id, conv_id, turn, level, string_agg(norm, ' ' ORDER BY i) FROM n WHERE norm <> '' GROUP BY id, conv_id, turn, level),
-f AS (SELECT conv_id, unit, min(turn) AS source_turn FROM u WHERE level = 0 GROUP BY conv_id, unit),
-v AS (
-  SELECT conv_id, turn, source_turn, sum(length(unit)) AS chars
-  FROM (SELECT DISTINCT conv_id, turn, unit FROM u WHERE level = 1) JOIN f USING (conv_id, unit)
-  WHERE source_turn < turn GROUP BY ALL),
-a AS (SELECT conv_id, turn, arg_max(source_turn, (chars, source_turn)) AS parent_turn FROM v GROUP BY conv_id, turn),
-up(conv_id, turn, top) AS (
-  SELECT conv_id, turn, parent_turn FROM a
-  UNION SELECT up.conv_id, up.turn, a.parent_turn FROM up JOIN a ON a.conv_id = up.conv_id AND a.turn = up.top),
-r AS (SELECT conv_id, turn, min(top) AS thread_turn FROM up GROUP BY conv_id, turn),
-o AS (
-  SELECT id, count(*) FILTER (level > 0) AS n_quoted_lines,
-    trim(coalesce(string_agg(body, chr(10) ORDER BY i) FILTER (level = 0), ''), concat(' ', chr(9), chr(10), chr(13))) AS own
-  FROM p GROUP BY id)
-SELECT m.conv_id, coalesce(thread_turn, m.turn) AS thread_turn, m.turn, parent_turn, coalesce(role, 'unknown') AS role,
-  n_quoted_lines, own AS text, concat('<|', coalesce(role, 'unknown'), '|>', chr(10), own) AS formatted
-FROM m JOIN o USING (id) LEFT JOIN a ON a.conv_id = m.conv_id AND a.turn = m.turn
-LEFT JOIN r ON r.conv_id = m.conv_id AND r.turn = m.turn""",
     "op11_lexical_search": r"""
 WITH t AS (
   SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -72,12 +72,13 @@ def links(messages: DataFrame) -> DataFrame:
     levels = F.array_distinct(F.filter(F.transform("lines", lambda x: x["level"]), lambda x: x > 0))
     quoted = quoting.select("conv_id", "turn", "lines", F.explode(levels).alias("level"))
     quoted = quoted.select("conv_id", "turn", "level", F.explode(_units(F.col("level"))).alias("unit"))
-    quoted = quoted.select("conv_id", "turn", "level", F.md5("unit").alias("h"), F.length("unit").alias("chars"))
+    hashes = [F.xxhash64("unit").alias("h1"), F.xxhash64(F.lit(1), "unit").alias("h2")]
+    quoted = quoted.select("conv_id", "turn", "level", *hashes, F.length("unit").alias("chars"))
     talks = quoting.select("conv_id").distinct()
     said = messages.where(F.col("turn").isNotNull()).join(talks, ["conv_id"], "left_semi")
     own = said.select("conv_id", "turn", F.explode(_units(F.lit(0))).alias("unit"))
-    first = own.groupBy("conv_id", F.md5("unit").alias("h")).agg(F.min("turn").alias("source_turn"))
-    found = quoted.distinct().join(first, ["conv_id", "h"]).where(F.col("source_turn") < F.col("turn"))
+    first = own.select("conv_id", "turn", *hashes).groupBy("conv_id", "h1", "h2").agg(F.min("turn").alias("source_turn"))
+    found = quoted.distinct().join(first, ["conv_id", "h1", "h2"]).where(F.col("source_turn") < F.col("turn"))
     return found.groupBy("conv_id", "turn", "level", "source_turn").agg(F.sum("chars").alias("chars"))
 
 

@@ -1,6 +1,7 @@
 """Vectors, conversations, SentencePiece, the pipeline and the registered queries."""
 
 import collections
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -96,6 +97,88 @@ def test_passages_are_found_however_they_are_wrapped(spark):
     assert got == {0: (None, 0), 1: (None, 1), 2: (0, 0), 3: (0, 0), 4: (0, 0), 5: (1, 1), 6: (0, 0), 7: (5, 1), 8: (None, 8)}
 
 
+def plain_links(rows):
+    """(conv, turn) -> (parent, thread) of messages, by the module's docstring."""
+    norm = lambda t: re.sub(r"[ \t\n\x0b\f\r]+", " ", t).strip(" ").lower()
+    quote = re.compile(r"^[ \t]*(>[ \t>]*)")
+
+    def lines(text):
+        for line in (text or "").split("\n"):
+            mark = quote.match(line)
+            yield (mark.group(1).count(">") if mark else 0), (line[mark.end():] if mark else line)
+
+    def units(text, level):
+        parts = list(lines(text))
+        some = [norm(body) for at, body in parts if at == level and norm(body)]
+        runs, paragraphs = [[]], [[]]
+        for at, body in parts:
+            if at != level:
+                runs.append([])
+                paragraphs.append([])
+            elif not norm(body):
+                paragraphs.append([])
+            else:
+                runs[-1].append(norm(body))
+                paragraphs[-1].append(norm(body))
+        runs, paragraphs = [" ".join(r) for r in runs if r], [" ".join(p) for p in paragraphs if p]
+        sentences = [s for p in paragraphs for s in re.split(r"(?<=[.!?\u2026]) +|(?<=[\u3002\uff01\uff1f]) *", p)]
+        words = [" ".join(w[i : i + 8]) for w in (r.split(" ") for r in runs) for i in range(max(1, len(w) - 7))]
+        return {u for u in [*some, " ".join(some), *runs, *paragraphs, *sentences, *words] if u}
+
+    parent = {}
+    by_conv = collections.defaultdict(list)
+    for conv, turn, text in rows:
+        by_conv[conv].append((turn, text))
+    for conv, said in by_conv.items():
+        first = {}
+        for turn, text in sorted(said):
+            for unit in units(text, 0):
+                first.setdefault(unit, turn)
+        for turn, text in said:
+            best = {}
+            for level in {at for at, _ in lines(text) if at > 0}:
+                chars = collections.Counter()
+                for unit in units(text, level):
+                    if first.get(unit, turn) < turn:
+                        chars[first[unit]] += len(unit)
+                best.update({(-level, n, source): source for source, n in chars.items()})
+            if best:
+                parent[conv, turn] = best[max(best)]
+    out = {}
+    for conv, turn, _ in rows:
+        top = turn
+        while (conv, top) in parent:
+            top = parent[conv, top]
+        out[conv, turn] = (parent.get((conv, turn)), top)
+    return out
+
+
+def test_links_of_generated_conversations_equal_a_plain_version(spark):
+    import random
+
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(40)] + ["yes.", "No!", "why?", "Ja"]
+    sentence = lambda: " ".join(rng.choices(words, k=rng.randint(1, 14))) + rng.choice([".", "!", "", "?"])
+    rows = []
+    for conv, length in [*((c, rng.randint(1, 7)) for c in range(25)), (99, 120)]:
+        said = []
+        for turn in range(length):
+            own = [rng.choice(["", sentence(), sentence() + " " + sentence()]) for _ in range(rng.randint(1, 5))]
+            text = []
+            for _ in range(rng.randint(0, 2) if said else 0):
+                passage = rng.choice(said).replace("\n", rng.choice(["\n", " "])).upper().split(" ")
+                at = rng.randrange(len(passage))
+                text += [rng.choice(["> ", ">> ", " >", "> >"]) + line for line in " ".join(passage[at : at + rng.randint(3, 30)]).split("\n")]
+                text += rng.choice([[], [sentence()]])
+            rows.append((conv, turn, "\n".join([*text, *own])))
+            said.append(rows[-1][2])
+    df = spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
+    got = quotation_linking.format_conversations(df.repartition(3)).collect()
+    want = plain_links(rows)
+    assert {(r["conv_id"], r["turn"]): (r["parent_turn"], r["thread_turn"]) for r in got} == want
+    assert sum(p is not None for p, _ in want.values()) > 60
+
+
 def test_viterbi_equals_the_library_and_comes_back(spark):
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2 as pb
@@ -120,7 +203,7 @@ def test_viterbi_equals_the_library_and_comes_back(spark):
     assert sentencepiece_viterbi.encode(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op2_ngram_jaccard_join", "op4_quality_cascade", "op6_quotation_linking"])
+@pytest.mark.parametrize("name", ["op2_ngram_jaccard_join", "op4_quality_cascade", "op11_lexical_search", "op12_line_dedup", "op13_conversation_repair"])
 def test_query_equals_sql(spark, name):
     rows, problem = compare(spark, connect(SF_DIR), SF_DIR, QUERIES[name], ORACLE[name])
     assert problem is None and rows > 0
