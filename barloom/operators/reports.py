@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.times import utc_date
@@ -86,16 +86,21 @@ def daily_close_range(summary: DataFrame, limit: int = 20) -> DataFrame:
     )
 
 
+def daily_coverage(bars: DataFrame) -> DataFrame:
+    """Rows and time range of each symbol and day: parts that ``merged_coverage`` puts together."""
+    return bars.groupBy("symbol", utc_date("ts").alias("trading_date")).agg(*_coverage(F.count(F.lit(1)), "ts", "ts"))
+
+
+def merged_coverage(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("symbol").agg(*_coverage(F.sum("row_count"), "first_ts", "latest_ts")).orderBy("symbol")
+
+
 def symbol_coverage(bars: DataFrame) -> DataFrame:
-    return (
-        bars.groupBy("symbol")
-        .agg(
-            F.count(F.lit(1)).alias("row_count"),
-            F.min("ts").alias("first_ts"),
-            F.max("ts").alias("latest_ts"),
-        )
-        .orderBy("symbol")
-    )
+    return bars.groupBy("symbol").agg(*_coverage(F.count(F.lit(1)), "ts", "ts")).orderBy("symbol")
+
+
+def _coverage(rows: Column, first: str, latest: str) -> list[Column]:
+    return [rows.alias("row_count"), F.min(first).alias("first_ts"), F.max(latest).alias("latest_ts")]
 
 
 def recent_loads(audit: DataFrame, limit: int = 10) -> DataFrame:

@@ -659,6 +659,17 @@ def latest_price_job(spark, sf_dir):
     return serve.latest_price_listing(spark, root)
 
 
+@query
+def coverage_job(spark, sf_dir):
+    """Coverage after two loads of which the marts have seen the first."""
+    root = work_folder(spark, "coverage_job")
+    first, corrected = _deliveries(spark, sf_dir)
+    load.load_incremental(spark, root, first, now=NOW)
+    publish.refresh_marts(spark, root, now=NOW)
+    load.load_incremental(spark, root, corrected, now=NOW)
+    return serve.symbol_coverage(spark, root)
+
+
 @query
 def backfill_bars_job(spark, sf_dir):
     """Bars of the range are corrected where no day was done, others stay as first loaded."""

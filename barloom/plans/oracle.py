@@ -573,6 +573,11 @@ ORACLE: dict[str, str] = {
         f"""SELECT *, TIMESTAMP '2024-02-01 12:00:00' AS updated_at FROM ({_latest("twice_loaded")})
             ORDER BY latest_ts DESC NULLS FIRST, symbol""",
     ),
+    "coverage_job": _q(
+        ["user_bars"],
+        """SELECT symbol, count(*) AS row_count, min(ts) AS first_ts, max(ts) AS latest_ts FROM user_bars
+           GROUP BY symbol ORDER BY symbol""",
+    ),
     "backfill_bars_job": _q(
         JOB,
         f"""SELECT {BAR_OUT} FROM twice_loaded

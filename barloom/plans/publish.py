@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.operators import marts, metrics, quality
+from barloom.operators import marts, metrics, quality, reports
 from barloom.plans.load import load_incremental
 from barloom.session import use_utc
 from barloom.sources import tables as tb
@@ -23,7 +23,7 @@ MARTS_STEP = "build_marts"
 
 
 def refresh_marts(spark: SparkSession, root: str, full: bool = False, now: dt.datetime | None = None) -> list[dt.date]:
-    """Bring the three marts up to date with the bars, in one step; returns the days rebuilt.
+    """Bring the three marts and the daily coverage up to date with the bars, in one step; returns the days rebuilt.
 
     Only days with batches of bars that no refresh has read are read and rewritten: a day's
     summary and ranks depend on that day alone, and a symbol's latest price can only be
@@ -51,8 +51,11 @@ def refresh_marts(spark: SparkSession, root: str, full: bool = False, now: dt.da
     ranks = marts.merge_ranks(tb.read_table(spark, root, tb.VOLUME_RANK, changed), marts.volume_rank(merged))
     tb.write_rows(ranks, root, tb.VOLUME_RANK, batch)
 
+    tb.write_rows(reports.daily_coverage(bars), root, tb.DAILY_COVERAGE, batch)
+
     tb.consume(root, tb.BARS, MARTS_STEP, read, batch)
-    tb.finish(spark, root, batch, {tb.DAILY_SUMMARY: True, tb.LATEST_PRICE: True, tb.VOLUME_RANK: True, tb.CONSUMED: False})
+    replaced = {tb.DAILY_SUMMARY: True, tb.LATEST_PRICE: True, tb.VOLUME_RANK: True, tb.DAILY_COVERAGE: changed}
+    tb.finish(spark, root, batch, {**replaced, tb.CONSUMED: False})
     return days
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from barloom.operators import reports
+from barloom.plans.publish import MARTS_STEP
 from barloom.session import use_utc
 from barloom.sources import tables as tb
 
@@ -44,4 +45,8 @@ def price_changes(spark: SparkSession, root: str, symbol: str, limit: int = 30)
 
 
 def symbol_coverage(spark: SparkSession, root: str) -> DataFrame:
-    return reports.symbol_coverage(tb.read_table(use_utc(spark), root, tb.BARS))
+    """Coverage from the stored daily parts; of the bars only days that changed since the last refresh are read."""
+    changed = tb.unread_batches(use_utc(spark), root, tb.BARS, MARTS_STEP).select(tb.DAY).distinct()
+    fresh = reports.daily_coverage(tb.read_table(spark, root, tb.BARS, changed))
+    stored = tb.read_table(spark, root, tb.DAILY_COVERAGE).join(changed, tb.DAY, "left_anti")
+    return reports.merged_coverage(stored.unionByName(fresh))

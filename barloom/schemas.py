@@ -91,6 +91,16 @@ DAILY_SUMMARY = T.StructType(
     ]
 )
 
+DAILY_COVERAGE = T.StructType(
+    [
+        T.StructField("symbol", T.StringType()),
+        T.StructField("trading_date", T.DateType()),
+        T.StructField("row_count", T.LongType()),
+        T.StructField("first_ts", T.TimestampType()),
+        T.StructField("latest_ts", T.TimestampType()),
+    ]
+)
+
 LATEST_KEY = ("symbol",)
 LATEST_PRICE = T.StructType(
     [

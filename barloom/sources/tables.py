@@ -56,6 +56,7 @@ PROGRESS = Table("backfill_progress", S.PROGRESS, day=DAY, order=("symbol",), ke
 DAILY_SUMMARY = Table("mart_daily_symbol_summary", S.DAILY_SUMMARY, day=DAY, order=("symbol",))
 LATEST_PRICE = Table("mart_symbol_latest_price", S.LATEST_PRICE)
 VOLUME_RANK = Table("mart_symbol_volume_rank", S.VOLUME_RANK, day=DAY, order=("symbol",))
+DAILY_COVERAGE = Table("daily_symbol_coverage", S.DAILY_COVERAGE, day=DAY, order=("symbol",))
 GATE_PASSES = Table("quality_gate_passes", S.CHECKS)
 STEP_RUNS = Table("step_runs", S.STEP_RUNS, day="started_at")
 CONSUMED = Table("consumed_batches", S.CONSUMED, key=tuple(S.CONSUMED.fieldNames()))
@@ -195,16 +196,22 @@ def finish(spark: SparkSession, root: str, batch: str, changed: dict[Table, bool
     entries.coalesce(1).write.mode("append").parquet(f"{root}/_finished")
 
 
+def unread_batches(spark: SparkSession, root: str, table: Table, consumer: str) -> DataFrame:
+    """(trading_date, source_batch) of a table that ``consumer`` has not worked on yet."""
+    done = read_table(spark, root, CONSUMED).where((F.col("consumer") == consumer) & (F.col("table_name") == table.name))
+    return _batches(spark, root, table).join(done, [DAY, "source_batch"], "left_anti")
+
+
+def _batches(spark: SparkSession, root: str, table: Table) -> DataFrame:
+    return visible(spark, root, table).select(DAY, F.col(BATCH).alias("source_batch"))
+
+
 def unread(spark: SparkSession, root: str, table: Table, consumer: str, full: bool = False) -> DataFrame:
-    """(trading_date, source_batch) of a table that ``consumer`` has not worked on yet; of all of it with ``full``.
+    """What ``consumer`` has not worked on yet; all of the table with ``full``.
 
     Written down, so that what is marked as consumed in the end is what was read.
     """
-    batches = visible(spark, root, table).select(DAY, F.col(BATCH).alias("source_batch"))
-    if not full:
-        done = read_table(spark, root, CONSUMED).where((F.col("consumer") == consumer) & (F.col("table_name") == table.name))
-        batches = batches.join(done, [DAY, "source_batch"], "left_anti")
-    return written(batches, "unread")
+    return written(_batches(spark, root, table) if full else unread_batches(spark, root, table, consumer), "unread")
 
 
 def consume(root: str, table: Table, consumer: str, read: DataFrame, batch: str) -> None:

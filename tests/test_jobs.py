@@ -277,6 +277,7 @@ def test_delete_by_key_and_date_touches_no_other_day(spark, root):
     assert tb.delete(spark, root, tb.BARS, F.lit(None).cast("boolean")) == tb.Deleted(None, 0)
     assert tb.delete(spark, root, tb.LATEST_PRICE, F.col("symbol") == "B").row_count == 1
     assert [r["symbol"] for r in serve.latest_price_listing(spark, root).collect()] == ["A"]
+    assert [r["row_count"] for r in serve.symbol_coverage(spark, root).collect()] == [3, 4]
     assert tb.delete(spark, root, tb.BARS, F.lit(True)).row_count == 7 and read(spark, root, tb.BARS).count() == 0
 
 
