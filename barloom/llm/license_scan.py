@@ -27,7 +27,7 @@ from barloom.llm.shared import append_columns, table
 COVERAGE = 0.8
 #: Length of an aligned stretch, in template lengths.
 STRETCH = 1.5
-#: Templates of more words are aligned where a first alignment points to, not at every begin.
+#: Of templates of more words the first stretch that reaches the coverage is kept, aligned once more where it points to.
 LONG = 100
 
 _WARRANTY = (
@@ -356,6 +356,25 @@ class Template:
         )
 
 
+def _overlaps(words: np.ndarray, hits: np.ndarray, begins: np.ndarray, span: int, template: Template) -> np.ndarray:
+    """How many words of the stretch from each begin the template has, each as often as it has it: no alignment has more."""
+    codes = np.searchsorted(template.vocabulary, words[hits]).tolist()
+    left = np.bincount(np.searchsorted(template.vocabulary, np.array(template.words, np.uint64)), minlength=len(template.vocabulary)).tolist()
+    ends = np.searchsorted(hits, begins + span).tolist()
+    out, at, upto, held = [], 0, 0, 0
+    for first, end in zip(np.searchsorted(hits, begins).tolist(), ends):
+        while upto < end:
+            left[codes[upto]] -= 1
+            held += left[codes[upto]] >= 0
+            upto += 1
+        while at < first:
+            held -= left[codes[at]] >= 0
+            left[codes[at]] += 1
+            at += 1
+        out.append(held)
+    return np.array(out)
+
+
 def find_licenses(words: np.ndarray, template: Template) -> Iterator[tuple]:
     """(license, coverage, first word, end word, aligned words) of each stretch that reaches the coverage.
 
@@ -372,7 +391,10 @@ def find_licenses(words: np.ndarray, template: Template) -> Iterator[tuple]:
     def found(begin: int, pairs: list) -> tuple:
         return name, len(pairs) / size, begin + pairs[0][0], begin + pairs[-1][0] + 1, len(pairs)
 
-    for begin in hits[begins].tolist():
+    places = hits[begins]
+    if size > LONG and len(places):
+        places = places[_overlaps(words, hits, places, span, template) >= need]
+    for begin in places.tolist():
         if best is not None and begin >= best[3]:
             yield best
             upto, best = best[3], None
@@ -380,8 +402,6 @@ def find_licenses(words: np.ndarray, template: Template) -> Iterator[tuple]:
             continue
         pairs, good = template.align(words, begin)
         if size > LONG:
-            # A begin one word later aligns one word more at most.
-            upto = begin + max(1, need - len(pairs))
             if len(pairs) >= need:
                 i, j = pairs[len(pairs) // 2]
                 again = max(begin, begin + i - j - size // 8)

@@ -161,6 +161,25 @@ def test_patience_and_license_scan(spark):
     assert got == {1: (1, "MIT"), 2: (1, "MIT-text"), 3: (3, "GPL-3.0"), 4: (0, None), 5: (0, None), 6: (0, None)}
 
 
+def test_long_templates_are_found_wherever_some_begin_finds_them():
+    """Texts with some 80 % of a template's words kept: found if alignment at any begin reaches the coverage."""
+    rng = random.Random(12)
+    template = license_scan.Template("T", " ".join(rng.choices([f"w{i}" for i in range(70)], k=160)), 0.8)
+    found = 0
+    for _ in range(60):
+        kept = [w for w in template.words if rng.random() < rng.choice([0.78, 0.82, 0.9])]
+        noise = lambda: [rng.choice([*template.words, *range(1, 200)]) for _ in range(rng.randrange(90))]
+        text = np.array([*noise(), *kept, *noise()], np.uint64)
+        every = any(template.align(text, begin)[1] for begin in range(len(text)))
+        assert bool(list(license_scan.find_licenses(text, template))) == every
+        found += every
+        bounds = license_scan._overlaps(text, np.flatnonzero(np.isin(text, template.vocabulary)), np.arange(len(text)), 240, template)
+        for begin in range(0, len(text), 7):
+            have = collections.Counter(text[begin : begin + 240].tolist()) & collections.Counter(template.words)
+            assert bounds[begin] == sum(have.values()) >= len(template.align(text, begin)[0])
+    assert 15 < found < 60
+
+
 def test_licenses_are_told_apart(spark):
     texts = license_scan._texts()
     notices = {
