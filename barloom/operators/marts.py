@@ -9,6 +9,7 @@ from barloom import schemas as S
 from barloom.functions.times import utc_date
 from barloom.operators.ordered import dense_rank_highest_first
 from barloom.operators.upsert import upsert, upsert_keeping
+from barloom.session import written
 
 
 def _mean(name: str) -> Column:
@@ -53,8 +54,8 @@ def latest_price(bars: DataFrame) -> DataFrame:
 
 
 def volume_rank(summary: DataFrame) -> DataFrame:
-    """Dense rank of the symbols of a day by volume, highest first."""
-    rows = summary.select("symbol", "trading_date", "total_volume")
+    """Dense rank of the symbols of a day by volume, highest first. The summary is computed once, for sizes and ranks."""
+    rows = written(summary.select("symbol", "trading_date", "total_volume"), "volumes")
     return dense_rank_highest_first(rows, "trading_date", "total_volume", "volume_rank")
 
 

@@ -18,7 +18,7 @@ from barloom.functions.times import check_range
 from barloom.operators import backfill as bf
 from barloom.operators import incremental, staging
 from barloom.operators.upsert import absent, last_per_key
-from barloom.session import use_utc
+from barloom.session import use_utc, written
 from barloom.sources import tables as tb
 
 
@@ -92,11 +92,12 @@ def _of_symbols(rows: DataFrame, symbols: list[str] | None) -> DataFrame:
     return rows if symbols is None else rows.where(F.col("symbol").isin([s.strip().upper() for s in symbols]))
 
 
-def _late(spark: SparkSession, root: str, rows: DataFrame, state: DataFrame) -> int:
-    """How many keys the marks pass over that the bars of the same days do not hold."""
+def _late(rows: DataFrame, root: str, state: DataFrame) -> int:
+    """How many keys the marks pass over that the bars of the same days do not hold. The rows are read once."""
     passed = incremental.with_mark(rows, state).where(F.col("ts") <= F.col("last_watermark"))
-    days = passed.select(F.to_date("ts").alias(tb.DAY)).distinct()
-    return incremental.late_rows(rows, state, tb.read_table(spark, root, tb.BARS, days)).select(*S.BAR_KEY).distinct().count()
+    passed = written(passed.select(*S.BAR_KEY, F.to_date("ts").alias(tb.DAY)).distinct(), "passed-over")
+    facts = tb.read_table(rows.sparkSession, root, tb.BARS, passed.select(tb.DAY).distinct())
+    return absent(facts, passed, S.BAR_KEY).count()
 
 
 def _days_of(spark: SparkSession, root: str, batch: str) -> list[dt.date]:
@@ -129,7 +130,7 @@ def load_incremental(
     state = tb.read_table(spark, root, tb.LOAD_STATE)
     new = incremental.filter_delivered if "run_date" in rows.columns else incremental.filter_new
     loaded = add_bars(spark, root, new(rows, state).drop("run_date"), batch, now)
-    late = _late(spark, root, rows, state) if count_late else 0
+    late = _late(rows, root, state) if count_late else 0
     if loaded:
         changed |= BARS_ADDED
     if changed:
