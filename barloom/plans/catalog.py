@@ -336,6 +336,11 @@ def load_audit(spark, sf_dir):
     return incremental.audit_rows(loaded, "load-1", LOAD_DATE)
 
 
+def _bar_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of all bars, derived once: plans read them several times, as they would a stored table."""
+    return session.written(td.bars(spark, sf_dir).select("source", "symbol", "ts"), "bar-keys")
+
+
 def _subjects(bars: DataFrame) -> DataFrame:
     return bars.select(*S.LOAD_STATE_KEY).distinct()
 
@@ -357,7 +362,7 @@ def _pending(bars: DataFrame) -> DataFrame:
 
 @query
 def backfill_gaps(spark, sf_dir):
-    return _gaps(td.bars(spark, sf_dir))
+    return _gaps(_bar_keys(spark, sf_dir))
 
 
 @query
@@ -367,7 +372,7 @@ def progress_intervals(spark, sf_dir):
 
 @query
 def backfill_plan(spark, sf_dir):
-    return _pending(td.bars(spark, sf_dir))
+    return _pending(_bar_keys(spark, sf_dir))
 
 
 @query
@@ -385,7 +390,7 @@ def backfill_rows_zoned(spark, sf_dir):
 
 @query
 def backfill_progress(spark, sf_dir):
-    bars = td.bars(spark, sf_dir)
+    bars = _bar_keys(spark, sf_dir)
     done = backfill.completed_dates(_recorded_progress(bars), _existing(bars), BACKFILL_START, BACKFILL_END)
     finished = backfill.finished_dates(_pending(bars), _delivered(bars))
     return done.unionByName(finished).distinct()
@@ -418,12 +423,12 @@ def mart_volume_rank(spark, sf_dir):
 
 @query
 def bars_row_number(spark, sf_dir):
-    return reports.bar_row_numbers(td.bars(spark, sf_dir))
+    return reports.bar_row_numbers(session.written(td.bars(spark, sf_dir), "bars"))
 
 
 @query
 def price_changes(spark, sf_dir):
-    return reports.price_changes(td.bars(spark, sf_dir))
+    return reports.price_changes(session.written(td.bars(spark, sf_dir), "bars"))
 
 
 @query
