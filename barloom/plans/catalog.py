@@ -102,8 +102,8 @@ def _daily(bars: DataFrame) -> DataFrame:
     )
 
 
-def _payload_text(days: DataFrame, close, zone) -> DataFrame:
-    """Raw payload text, one per symbol and calendar month (at most 31 entries each)."""
+def _payload_text(days: DataFrame, close, zone, without=lambda name: F.lit(False)) -> DataFrame:
+    """Raw payload text, one per symbol and calendar month (at most 31 entries each), without the fields that ``without`` names."""
     text = {name: F.col(name).cast("string") for name in (*S.PRICE_COLUMNS, "volume")}
     fields = F.create_map(
         F.lit(S.SERIES_OPEN), text["open"],
@@ -112,6 +112,7 @@ def _payload_text(days: DataFrame, close, zone) -> DataFrame:
         F.lit(S.SERIES_CLOSE), close,
         F.lit(S.SERIES_VOLUME), text["volume"],
     )
+    fields = F.map_filter(fields, lambda name, _: ~without(name))
     entry = F.struct(F.date_format("day", "yyyy-MM-dd").alias("d"), fields.alias("f"))
     months = days.groupBy("symbol", zone.alias("zone"), F.trunc("day", "month").alias("month")).agg(
         F.map_from_entries(F.collect_list(entry)).alias("series")
@@ -201,6 +202,15 @@ def schema_gaps(spark, sf_dir):
     return gaps.withColumn("missing", F.array_join("missing", ", "))
 
 
+@query
+def payload_gaps(spark, sf_dir):
+    """Entries of raw payloads that came without their open price or their volume."""
+    volume = F.col("volume")
+    lost = lambda name: ((name == S.SERIES_OPEN) & (volume % 11 == 0)) | ((name == S.SERIES_VOLUME) & (volume % 7 == 0))
+    payload = _payload_text(_daily(td.bars(spark, sf_dir)), F.col("close").cast("string"), F.lit("UTC"), lost)
+    return staging.payload_gaps(payload).withColumn("missing", F.array_join("missing", ", "))
+
+
 @query
 def raw_object_keys(spark, sf_dir):
     days = _daily(td.bars(spark, sf_dir))

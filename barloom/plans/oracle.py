@@ -243,6 +243,13 @@ ORACLE: dict[str, str] = {
                             CASE WHEN volume % 7 = 0 THEN 'volume' END) AS missing
            FROM bars WHERE volume % 7 = 0 OR volume % 11 = 0 OR volume % 13 = 0""",
     ),
+    "payload_gaps": _q(
+        [*BARS, "daily"],
+        """SELECT symbol, strftime(day, '%Y-%m-%d') AS raw_date,
+                  concat_ws(', ', CASE WHEN volume % 11 = 0 THEN '1. open' END, CASE WHEN volume % 7 = 0 THEN '5. volume' END)
+                    AS missing
+           FROM daily WHERE volume % 7 = 0 OR volume % 11 = 0""",
+    ),
     "raw_object_keys": _q(
         [*BARS, "daily"],
         """SELECT 'raw/' || source || '/symbol=' || symbol || '/date=' || strftime(day, '%Y-%m-%d')

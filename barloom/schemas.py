@@ -181,6 +181,7 @@ SERIES_HIGH = "2. high"
 SERIES_LOW = "3. low"
 SERIES_CLOSE = "4. close"
 SERIES_VOLUME = "5. volume"
+SERIES_FIELDS = (SERIES_OPEN, SERIES_HIGH, SERIES_LOW, SERIES_CLOSE, SERIES_VOLUME)
 
 REQUIRED_BAR_FIELDS = ("symbol", "ts", "open", "high", "low", "close", "volume")
 

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 CORRECTNESS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # Of a name that occurs twice in a JSON object the last counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 # Settings that only change speed. Shuffle partitions start high and are merged at

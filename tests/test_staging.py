@@ -97,3 +97,28 @@ def test_required_columns(bars_of, spark):
     )
     gaps = staging.schema_gaps(records, "record", "id").collect()
     assert [(r["id"], r["missing"]) for r in gaps] == [("b", ["close", "high", "low", "volume"])]
+
+
+def test_payloads_that_are_not_one_whole_document_are_rejected(spark):
+    good = payload("A", {"2026-01-05": (1, 1, 1, 1, 1)})
+    tails = [good + " x", good + good, good + "]", good + "," + good, good[:-1], "[" + good + "]", "", None, good + ',"end"] x']
+    parsed = staging.parse_payloads(texts(spark, "\n " + good + " \t\n", *tails))
+    assert staging.accepted(parsed).count() == 1
+    assert [r[staging.REASON] for r in staging.rejected(parsed).collect()] == [staging.UNREADABLE] * len(tails)
+
+
+def test_a_repeated_name_counts_once_with_its_last_value(spark):
+    series = ", ".join('"2026-01-05": {"1. open": "%d", "2. high": 9, "3. low": 1.50, "4. close": "2", "5. volume": "3"}' % i for i in (1, 2))
+    text = '{"Meta Data": {"2. Symbol": "A", "2. Symbol": "B"}, "Time Series (Daily)": {%s}}' % series
+    rows = staging.stage_bars(texts(spark, text)).collect()
+    assert [(r["symbol"], r["open"], r["high"], r["low"]) for r in rows] == [("B", 2, 9, Decimal("1.5"))]
+
+
+def test_gaps_come_from_the_parse_that_gives_bars_and_rejects(spark):
+    text = payload("a", {"2026-01-05": (1, 1, 1, 1, 1), "2026-01-06": (1, 1), "2026-01-07": ()})
+    docs = texts(spark, text, payload(None, {"2026-01-05": ()}), "{}", '{"Meta Data": {"2. Symbol": "b"}, "Time Series (Daily)": {"d": null}}')
+    gaps = {(r["symbol"], r["raw_date"]): r["missing"] for r in staging.payload_gaps(docs).collect()}
+    every = ["1. open", "2. high", "3. low", "4. close", "5. volume"]
+    assert gaps == {("A", "2026-01-06"): every[2:], ("A", "2026-01-07"): every, ("B", "d"): every}
+    for df in (staging.payload_gaps(docs), staging.parse_payloads(docs)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
