@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 from barloom import schemas as S
 from barloom.plans import serve
 from barloom.plans.load import backfill, load_incremental, seed_bars
-from barloom.plans.publish import refresh_marts, run_gated, run_summary
+from barloom.plans.publish import audit_stored, refresh_marts, run_gated, run_summary
 from barloom.session import build_session
-from barloom.sources import export, payloads, tables
+from barloom.sources import export, footers, payloads, tables
 from barloom.streaming.ingest import start_ingest
 
 #: For each command the options it needs, and others it can take. Of ``payloads`` and ``landing`` one is needed where both may be given.
@@ -31,6 +31,8 @@ COMMANDS = {
     "compact": (["root"], []),
     "export": (["root", "out"], ["symbol"]),
     "changes": (["root", "symbol"], ["limit"]),
+    "audit": (["root"], []),
+    "profile": (["root"], ["limit"]),
 }
 
 
@@ -118,6 +120,10 @@ def main(argv: list[str] | None = None) -> int:
         print(export.export_snapshot(tables.read_table(spark, args.root, tables.BARS), args.out, args.symbol))
     elif args.command == "changes":
         serve.price_changes(spark, args.root, args.symbol, args.limit).show(args.limit, truncate=False)
+    elif args.command == "audit":
+        audit_stored(spark, args.root).orderBy("seq").show(truncate=False)
+    elif args.command == "profile":
+        footers.day_profile(spark, args.root, tables.BARS).orderBy(F.desc(tables.DAY)).show(args.limit, truncate=False)
     elif args.command == "load":
         print(load_incremental(spark, args.root, _payloads(spark, args), args.strict, symbols=symbols))
     elif args.command == "backfill":

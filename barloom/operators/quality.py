@@ -169,28 +169,43 @@ def bar_gate(
 
 def bar_audit(bars: DataFrame) -> DataFrame:
     """Eleven counts over the bar table as (seq, metric, value) rows: one plain pass and one group-by."""
-    negative_price = F.lit(False)
-    for name in S.PRICE_COLUMNS:
-        negative_price = negative_price | F.coalesce(F.col(name) < 0, F.lit(False))
-    null_columns = ["ts", "symbol", *S.PRICE_COLUMNS, "volume"]
-    names = ["stock_rows_count", *[f"null_{c}_count" for c in null_columns]]
-    names += ["negative_price_count", "negative_volume_count"]
     counted = bars.agg(
-        F.count(F.lit(1)).alias(names[0]),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}_count") for c in null_columns],
-        F.count_if(negative_price).alias("negative_price_count"),
-        F.count_if(out_of_range("volume", 0, None)).alias("negative_volume_count"),
+        F.count(F.lit(1)).alias(AUDIT_COUNTS[0]),
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}_count") for c in AUDIT_NULLS],
+        negative_prices(),
+        negative_volumes(),
     )
+    return audit_rows(counted, AUDIT_COUNTS).unionByName(audit_duplicates(bars))
+
+
+AUDIT_NULLS = ("ts", "symbol", *S.PRICE_COLUMNS, "volume")
+AUDIT_COUNTS = ("stock_rows_count", *[f"null_{c}_count" for c in AUDIT_NULLS], "negative_price_count", "negative_volume_count")
+
+
+def negative_prices() -> Column:
+    negative = F.lit(False)
+    for name in S.PRICE_COLUMNS:
+        negative = negative | F.coalesce(F.col(name) < 0, F.lit(False))
+    return F.count_if(negative).alias("negative_price_count")
+
+
+def negative_volumes() -> Column:
+    return F.count_if(out_of_range("volume", 0, None)).alias("negative_volume_count")
+
+
+def audit_rows(counted: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The named columns of one row as (seq, metric, value) rows."""
     entries = [
-        F.struct(F.lit(i).alias("seq"), F.lit(name).alias("metric"), F.col(name).alias("value"))
-        for i, name in enumerate(names, start=1)
+        F.struct(F.lit(AUDIT_COUNTS.index(name) + 1).alias("seq"), F.lit(name).alias("metric"), F.col(name).alias("value"))
+        for name in names
     ]
+    return counted.select(F.inline(F.array(*entries)))
+
+
+def audit_duplicates(bars: DataFrame) -> DataFrame:
     duplicates = duplicate_groups(bars, ["symbol", "ts"]).agg(F.count(F.lit(1)).alias("value"))
-    return counted.select(F.inline(F.array(*entries))).unionByName(
-        duplicates.select(
-            F.lit(len(names) + 1).alias("seq"), F.lit("duplicate_stock_key_groups").alias("metric"), "value"
-        )
-    )
+    seq = F.lit(len(AUDIT_COUNTS) + 1).alias("seq")
+    return duplicates.select(seq, F.lit("duplicate_stock_key_groups").alias("metric"), "value")
 
 
 def failure_message(checks: DataFrame) -> DataFrame:

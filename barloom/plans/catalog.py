@@ -22,7 +22,7 @@ from barloom.operators import backfill, incremental, marts, metrics, quality, re
 from barloom.plans import load, publish, serve
 from barloom import session
 from barloom.session import use_utc, work_folder
-from barloom.sources import export, payloads, tables as tb, testdata as td
+from barloom.sources import export, footers, payloads, tables as tb, testdata as td
 from barloom.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -732,6 +732,36 @@ def delete_bars(spark, sf_dir):
     return tb.read_table(spark, root, tb.BARS)
 
 
+def _seeded_twice(spark, sf_dir, name):
+    """Users' bars, some without an open price or with a negative volume; two seeds share the later days."""
+    root = work_folder(spark, name)
+    volume = F.col("volume")
+    bars = td.user_bars(spark, sf_dir).withColumn("open", F.when(volume % 11 != 0, F.col("open")))
+    later = (F.col("ts") > F.lit(FIRST_DELIVERY_UNTIL)) & (volume % 2 == 1)
+    for part in (bars.where(~later), bars.where(later)):
+        load.seed_bars(spark, root, part.withColumn("volume", F.when(volume % 13 == 0, -volume).otherwise(volume)))
+    return root
+
+
+@query
+def day_profile_job(spark, sf_dir):
+    return footers.day_profile(spark, _seeded_twice(spark, sf_dir, "day_profile_job"), tb.BARS)
+
+
+@query
+def stored_audit_job(spark, sf_dir):
+    return publish.audit_stored(spark, _seeded_twice(spark, sf_dir, "stored_audit_job"))
+
+
+@query
+def stored_freshness_job(spark, sf_dir):
+    """Fresh on the gate's day, stale a year later."""
+    root = _seeded_twice(spark, sf_dir, "stored_freshness_job")
+    days = (AS_OF, AS_OF + dt.timedelta(days=365))
+    checks = [publish.check_stored_freshness(spark, root, S.GATE_MAX_AGE_DAYS, day) for day in days]
+    return checks[0].unionByName(checks[1])
+
+
 @query
 def stream_load_job(spark, sf_dir):
     """The same two run dates, all files in one batch (0) and two files a batch."""

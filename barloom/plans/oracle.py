@@ -192,6 +192,9 @@ INTERVALS = """
           FROM {of})
     GROUP BY source, symbol, island"""
 
+DAMAGED = """SELECT * REPLACE (CASE WHEN volume % 11 <> 0 THEN open END AS open,
+                                CASE WHEN volume % 13 = 0 THEN -volume ELSE volume END AS volume) FROM user_bars"""
+
 ORACLE: dict[str, str] = {
     "stage_bars": _q(
         [*BARS, "daily"],
@@ -615,5 +618,33 @@ ORACLE: dict[str, str] = {
               AND NOT EXISTS (SELECT 1 FROM events e WHERE e.event_type = 'error' AND 'U' || e.user_id = u.symbol
                               AND date_trunc('day', e.ts) = u.ts)""",
     ),
+    "day_profile_job": _q(
+        ["user_bars"],
+        """SELECT CAST(ts AS DATE) AS trading_date, count(*) AS row_count, count(*) FILTER (ts IS NULL) AS null_ts,
+                  count(*) FILTER (symbol IS NULL) AS null_symbol, count(*) FILTER (open IS NULL) AS null_open,
+                  count(*) FILTER (high IS NULL) AS null_high, count(*) FILTER (low IS NULL) AS null_low,
+                  count(*) FILTER (close IS NULL) AS null_close, count(*) FILTER (volume IS NULL) AS null_volume,
+                  count(*) FILTER (source IS NULL) AS null_source, min(volume) AS least_volume, max(volume) AS greatest_volume
+           FROM bars GROUP BY 1""",
+        bars=DAMAGED,
+    ),
+    "stored_audit_job": _q(
+        ["user_bars"],
+        f"""SELECT 1 AS seq, 'stock_rows_count' AS metric, count(*) AS value FROM bars
+            {NULL_COUNTS}
+            UNION ALL SELECT 9, 'negative_price_count',
+                             count(*) FILTER (open < 0 OR high < 0 OR low < 0 OR close < 0) FROM bars
+            UNION ALL SELECT 10, 'negative_volume_count', count(*) FILTER (volume < 0) FROM bars
+            UNION ALL SELECT 11, 'duplicate_stock_key_groups', count(*)
+            FROM (SELECT symbol, ts FROM bars GROUP BY symbol, ts HAVING count(*) > 1)""",
+        bars=DAMAGED,
+    ),
+    "stored_freshness_job": _q(
+        ["user_bars"],
+        """SELECT * EXCLUDE (seq) FROM gate WHERE check_name = 'freshness'
+           UNION ALL SELECT * EXCLUDE (seq) FROM year_later WHERE check_name = 'freshness'""",
+        gate=GATE.format(of="user_bars", close="close"),
+        year_later=GATE.format(of="user_bars", close="close").replace("2024-02-05", "2025-02-04"),
+    ),
     "stream_load_job": _q(JOB, f"SELECT {BAR_OUT}, files_per_batch FROM twice_loaded, (VALUES (0), (2)) AS n(files_per_batch)"),
 }

@@ -6,13 +6,15 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators import marts, metrics, quality, reports
 from barloom.plans.load import load_incremental
-from barloom.session import use_utc
+from barloom.session import use_utc, written
+from barloom.sources import footers
 from barloom.sources import tables as tb
 
 # Step names as they appear in run records.
@@ -86,6 +88,35 @@ def pass_gate(spark: SparkSession, root: str, as_of: dt.date | None = None, full
     return passed
 
 
+def audit_stored(spark: SparkSession, root: str) -> DataFrame:
+    """The eleven counts of ``quality.bar_audit`` over the stored bars.
+
+    Rows and NULLs come from footers. Volumes are read of days only whose footers tell a negative one, of other days prices and
+    keys alone.
+    """
+    profile = written(footers.day_profile(spark, root, tb.BARS), "profile")
+    nulls = [f"null_{c}" for c in quality.AUDIT_NULLS]
+    sums = [F.coalesce(F.sum(c), F.lit(0)) for c in ("row_count", *nulls)]
+    told = profile.agg(*[s.alias(name) for s, name in zip(sums, quality.AUDIT_COUNTS)])
+    bars = tb.read_table(spark, root, tb.BARS)
+    low = tb.read_table(spark, root, tb.BARS, profile.where("least_volume < 0").select(tb.DAY))
+    parts = [
+        quality.audit_rows(told, quality.AUDIT_COUNTS[: len(sums)]),
+        quality.audit_rows(bars.agg(quality.negative_prices()), ["negative_price_count"]),
+        quality.audit_rows(low.agg(quality.negative_volumes()), ["negative_volume_count"]),
+        quality.audit_duplicates(bars),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def check_stored_freshness(
+    spark: SparkSession, root: str, max_age_days: int, as_of: dt.date | None = None, table: tb.Table = tb.BARS
+) -> DataFrame:
+    """The freshness check of a table by day, from the days that finished batches hold: no stored row is read."""
+    days = tb.days_held(use_utc(spark), root, table).withColumnRenamed(tb.DAY, table.day)
+    return quality.check_freshness(days, table.name, table.day, max_age_days, as_of)
+
+
 @dataclass
 class GatedRun:
     run_id: str

@@ -98,7 +98,8 @@ def list_days(days: DataFrame) -> list[dt.date]:
     return sorted(row[0] for row in days.select(DAY).distinct().collect())
 
 
-def _stored(spark: SparkSession, root: str, table: Table) -> DataFrame:
+def stored(spark: SparkSession, root: str, table: Table) -> DataFrame:
+    """All rows of all batches, finished or not, with their day and batch."""
     names = table.schema.fieldNames()
     parts = [T.StructField(DAY, T.DateType())] if table.day is not None and DAY not in names else []
     told = [T.StructField(name, T.StringType()) for name in table.told]
@@ -133,7 +134,7 @@ def read_table(
     for several in sorted(kinds):
         mine = batches.where(F.col("_several") == several).select(DAY, BATCH)
         on = [DAY, BATCH] if table.day is not None else [BATCH]
-        rows = _stored(spark, root, table).join(mine.select(*on), on, "left_semi")
+        rows = stored(spark, root, table).join(mine.select(*on), on, "left_semi")
         parts.append(_last(rows, table) if several else rows.select(*names))
     if not parts:
         return spark.createDataFrame([], table.schema)
@@ -166,7 +167,7 @@ def write_rows(df: DataFrame, root: str, table: Table, batch: str) -> int:
 
 def own_rows(spark: SparkSession, root: str, table: Table, batch: str) -> DataFrame:
     """What a batch has written to a table, finished or not."""
-    return _stored(spark, root, table).where(F.col(BATCH) == batch).select(*table.schema.fieldNames())
+    return stored(spark, root, table).where(F.col(BATCH) == batch).select(*table.schema.fieldNames())
 
 
 def finish(spark: SparkSession, root: str, batch: str, changed: dict[Table, bool | DataFrame]) -> None:
@@ -177,7 +178,7 @@ def finish(spark: SparkSession, root: str, batch: str, changed: dict[Table, bool
     """
     entries = None
     for table, how in changed.items():
-        rows = _stored(spark, root, table).where(F.col(BATCH) == batch)
+        rows = stored(spark, root, table).where(F.col(BATCH) == batch)
         if table.day is None:
             counts = rows.agg(F.count("*").alias("row_count")).withColumn(DAY, F.lit(None).cast("date"))
         else:

@@ -7,11 +7,13 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from barloom.operators import reports
+from barloom import schemas as S
+from barloom.operators import quality, reports
 from barloom.__main__ import arguments, main
 from barloom.plans import load as jobs
 from barloom.plans import publish, serve
 from barloom.session import work_folder
+from barloom.sources import footers
 from barloom.sources import tables as tb
 from barloom.sources.payloads import read_landing
 from barloom.streaming.ingest import start_ingest, write_batch
@@ -292,6 +294,36 @@ def test_days_in_several_batches_have_one_row_a_key(spark, root):
     assert rows() == {"A": 3, "B": 1} and tb.visible(spark, root, tb.BARS).count() == 1
 
 
+def test_profiles_come_from_footers(spark, root):
+    rows = [
+        bar("2026-04-01T10:00", "A", None, 2, 1, 1, -5), bar("2026-04-01T11:00", "A", 1, 2, -1, 1, 7), bar("2026-04-01T11:00", "A", 1, 2, 1, 1, 8),
+        bar("2026-04-02", "A", 1, 1, 1, None, None), bar("2026-04-03", "B", 1, 1, 1, 1, 3),
+    ]
+    first, again, died = tb.new_batch(), tb.new_batch(), tb.new_batch()
+    tb.write_rows(spark.createDataFrame(rows, S.BARS), root, tb.BARS, first)
+    tb.finish(spark, root, first, {tb.BARS: False})
+    tb.write_rows(spark.createDataFrame([bar("2026-04-03", "B", 1, 1, 1, 1, 4), bar("2026-04-03", "C", 1, 1, 1, 1, -9)], S.BARS), root, tb.BARS, again)
+    tb.finish(spark, root, again, {tb.BARS: False})
+    tb.write_rows(spark.createDataFrame([bar("2026-04-04", "D", 1, 1, 1, 1, 1)], S.BARS), root, tb.BARS, died)
+    conf = {name: spark.conf.get(name) for name in ("spark.sql.sources.useV1SourceList", "spark.sql.parquet.aggregatePushdown")}
+    got = {r["trading_date"].day: r for r in footers.day_profile(spark, root, tb.BARS).collect()}
+    assert {d: (r["row_count"], r["null_open"], r["null_close"], r["null_volume"], r["least_volume"], r["greatest_volume"]) for d, r in got.items()} == {
+        1: (3, 1, 0, 0, -5, 8), 2: (1, 0, 1, 1, None, None), 3: (2, 0, 0, 0, -9, 4),
+    }
+    assert conf == {name: spark.conf.get(name) for name in conf}
+    empty = footers.day_profile(spark, root + "-empty", tb.BARS)
+    assert empty.count() == 0 and empty.columns == footers.day_profile(spark, root, tb.BARS).columns
+    assert [r["value"] for r in publish.audit_stored(spark, root + "-empty").collect()] == [0] * 11
+    plan = footers.footer_counts(spark, root, tb.BARS)._jdf.queryExecution().optimizedPlan().toString()
+    assert "count(*)" in plan and "group_col_0" in plan
+    audit = sorted(publish.audit_stored(spark, root).collect())
+    assert audit == sorted(quality.bar_audit(read(spark, root, tb.BARS)).collect()) and [r["value"] for r in audit] == [6, 0, 0, 1, 0, 0, 1, 1, 1, 2, 1]
+    check = publish.check_stored_freshness(spark, root, 3, AS_OF).first()
+    assert (check["passed"], check["details"]) == tuple(quality.check_freshness(read(spark, root, tb.BARS), "market_bars", "ts", 3, AS_OF).first()[2::2])
+    with pytest.raises(ValueError, match="no days"):
+        footers.day_profile(spark, root, tb.LOAD_STATE)
+
+
 def test_rejects_stay_after_later_loads(spark, root):
     now = dt.datetime(2026, 4, 8)
     bad = texts(spark, payload("A", {"2026-04-02": ("x", 1, 1, 1, 1)}))
