@@ -5,7 +5,8 @@ directions; vectors get one more coordinate that makes all norms equal, so near
 mean large inner products. Every vector is put into one leaf of each tree. A query walks all
 trees with one priority queue, ordered by the largest distance to a split it had to
 cross, until it has visited ``visits`` leaves; the number is the least at which queries of
-the sample reach the wanted recall within the sample. Leaves are dealt in bounded
+the sample reach the wanted recall within the sample. Of some depths the cheapest for the number
+of all vectors is taken: deeper trees leave fewer candidates and send each query to more leaves. Leaves are dealt in bounded
 blocks, candidates are ranked exactly there, and each query merges the best of its leaves.
 
 Equal vectors are one candidate with their smallest ids, and one query.
@@ -25,7 +26,10 @@ from pyspark.sql import functions as F
 from barloom.llm.shared import column, small_batches, table, written
 
 TREES = 3
-DEPTH = 7
+#: Levels of a tree, from and to, as far as a leaf holds 16 vectors of the sample or more.
+DEPTH = (7, 10)
+#: Sending a query to one more leaf costs about as much as scoring this many candidates.
+VISIT_ROWS = 200
 #: The forest is fitted to, and its effort chosen on, this many distinct vectors at most.
 SAMPLE = 20_000
 SAMPLE_QUERIES = 200
@@ -79,12 +83,15 @@ class Forest:
         return found
 
 
-def fit_forest(sample: np.ndarray, norm: float, k: int, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> Forest:
-    """Fit the trees to a sample, and the number of leaves to visit to its own nearest neighbours."""
+def fit_forest(
+    sample: np.ndarray, norm: float, k: int, rows: int, trees: int = TREES, depth: tuple[int, int] = DEPTH, recall: float = RECALL
+) -> Forest:
+    """Fit the trees to a sample of ``rows`` vectors; depth and leaves to visit follow from the sample's own nearest neighbours."""
     rng = np.random.default_rng(SEED)
     forest = Forest([], [], norm, 1)
     x = forest.lift(sample, query=False)
-    depth = max(0, min(depth, int(np.log2(max(1, len(x) / 16)))))
+    room = int(np.log2(max(1, len(x) / 16)))
+    least, depth = (max(0, min(levels, room)) for levels in depth)
     for _ in range(trees):
         directions, splits, node = [], [], np.zeros(len(x), np.int64)
         for level in range(depth):
@@ -97,21 +104,32 @@ def fit_forest(sample: np.ndarray, norm: float, k: int, trees: int = TREES, dept
             splits.append(s)
         forest.direction.append(directions)
         forest.split.append(splits)
-    total = trees << depth
-    forest.visits = total
+    forest.visits = trees << depth
     if len(x) <= 2 * k or depth == 0:
         return forest
-    leaf = forest.leaves(x)
-    step = max(1, len(sample) // SAMPLE_QUERIES)
-    arrival = np.full((len(sample[::step]), k), total)
-    for row, i in enumerate(range(0, len(sample), step)):
+    queries = range(0, len(sample), max(1, len(sample) // SAMPLE_QUERIES))
+    near = []
+    for i in queries:
         score = sample @ sample[i]
         score[i] = -np.inf
-        near = np.argpartition(-score, k)[:k]
-        when = {place: n for n, place in enumerate(forest.search(forest.lift(sample[i : i + 1], True)[0], total), 1)}
-        arrival[row] = [min(when[t, int(leaf[t, j])] for t in range(trees)) for j in near]
-    forest.visits = int(np.quantile(arrival, recall, method="higher"))
-    return forest
+        near.append(np.argpartition(-score, k)[:k])
+    leaf = forest.leaves(x)
+    shapes = []
+    for levels in range(least, depth + 1):
+        cut = Forest([d[:levels] for d in forest.direction], [s[:levels] for s in forest.split], norm, trees << levels)
+        cut.visits = _visits(cut, sample, queries, near, leaf >> (depth - levels), recall)
+        shapes.append((cut.visits * (rows / (1 << levels) + VISIT_ROWS), levels, cut))
+    return min(shapes, key=lambda s: s[:2])[2]
+
+
+def _visits(forest: Forest, sample: np.ndarray, queries: range, near: list[np.ndarray], leaf: np.ndarray, recall: float) -> int:
+    """The least number of leaves at which the sample's queries have met that share of their nearest neighbours."""
+    arrival = []
+    for i, ids in zip(queries, near):
+        places = forest.search(forest.lift(sample[i : i + 1], True)[0], forest.visits)
+        when = {place: n for n, place in enumerate(places, 1)}
+        arrival.append([min(when[t, int(row[j])] for t, row in enumerate(leaf)) for j in ids])
+    return int(np.quantile(np.array(arrival), recall, method="higher"))
 
 
 def _matrix(batch: pa.RecordBatch, name: str) -> np.ndarray:
@@ -259,12 +277,13 @@ def nearest(
     norm = classes.agg(F.max(F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)))).first()[0] or 1.0
     drawn = classes.orderBy(F.xxhash64("vector")).limit(sample).select("vector").toArrow().column(0).combine_chunks()
     points = drawn.flatten().to_numpy(zero_copy_only=False).reshape(len(drawn), dimension) if len(drawn) else np.zeros((0, dimension))
-    fitted = fit_forest(points, norm, k)
+    total = classes.count()
+    fitted = fit_forest(points, norm, k, total)
     forest = spark.sparkContext.broadcast(fitted)
 
     asked = rows.where(is_query(F.col("id"))).select("id", "vector", F.xxhash64("vector").alias("query"))
     named = written(asked.select("query", "vector").dropDuplicates(["query"]), "queries")
-    total, queries = classes.count(), named.count()
+    queries = named.count()
     leaves = len(fitted.split[0][-1]) * 2 if fitted.split[0] else 1
     member_blocks = 1 + total // (leaves * BLOCK_ROWS) * 2
     query_blocks = 1 + queries * fitted.visits // (leaves * len(fitted.split) * BLOCK_ROWS)

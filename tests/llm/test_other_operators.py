@@ -41,6 +41,31 @@ def test_nearest_equals_brute_force_and_breaks_ties_by_id(spark):
     assert ann.nearest(df.limit(0), 20, lambda i: i % 20 == 0).count() == 0
 
 
+def test_forest_prunes_clustered_vectors_and_deepens_with_their_number():
+    """Candidates scored a query, as a share of all vectors, and recall; random vectors show what cannot be pruned."""
+    rng = np.random.default_rng(0)
+    centres = rng.normal(size=(200, 64))
+    clustered = centres[rng.integers(200, size=20000)] + 0.25 * rng.normal(size=(20000, 64))
+    shares = {}
+    for name, x in (("clustered", clustered), ("random", rng.normal(size=(4000, 64)))):
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        forest = ann.fit_forest(x[::2], 1.0, 20, len(x))
+        leaf = forest.leaves(forest.lift(x, query=False))
+        hit, scored, queries = 0, 0, range(1, len(x), len(x) // 50)
+        for i in queries:
+            score = x @ x[i]
+            score[i] = -np.inf
+            near = set(np.argpartition(-score, 20)[:20].tolist())
+            met = [np.flatnonzero(leaf[t] == place) for t, place in forest.search(forest.lift(x[i : i + 1], True)[0], forest.visits)]
+            scored += sum(map(len, met))
+            hit += len(near & set(np.concatenate(met).tolist()))
+        shares[name] = scored / len(queries) / len(x)
+        assert hit >= 0.9 * 20 * len(queries)
+    assert shares["clustered"] < 0.08 < shares["random"] < 2
+    depths = [len(ann.fit_forest(clustered[::4], 1.0, 20, rows).split[0]) for rows in (5_000, 500_000, 50_000_000)]
+    assert depths == sorted(depths) and depths[0] < depths[-1]
+
+
 def test_ties_of_different_vectors_go_to_smaller_ids():
     # 199 vectors that differ but have one product with the query, in no order.
     order = np.random.default_rng(1).permutation(np.arange(1, 200))
