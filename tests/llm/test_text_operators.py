@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -263,6 +264,53 @@ def test_secret_scan(spark):
     assert secret_scan.scan(df.limit(0)).count() == 0
 
 
+def test_field_finds_secrets_that_no_pattern_finds(spark):
+    """Held-out planted secrets outside the patterns, among words that only look odd: precision and recall of words."""
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"))
+    mixed = lambda: "".join(rng.choice(letters, rng.integers(24, 41)))
+    plain = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").where("text IS NOT NULL").collect()]
+    vocabulary = sorted({w for t in plain for w in t.split() if w.isalpha()})
+    odd = ["https://example.org/a/b-c.html", "src/main/App.java", "v2.14.3-rc1", "2024-01-31T12:00:00", "well-known", "CamelCaseName", "snake_case_name", "1,234,567", "user@example.org"]
+    words = lambda n: rng.choice(vocabulary, n).tolist()
+    lead = ["password =", "secret:", "api_key=", "token :"]
+    rows = [(i, " ".join([*words(20), lead[i % 4], mixed(), *words(20)])) for i in range(300)]
+    rows += [(1000 + i, " ".join([*words(15), odd[i % len(odd)], *words(15)])) for i in range(300)]
+    planted = {}
+    for i in range(200):
+        before, secret = words(12), mixed()
+        text = " ".join([*before, ["credential", "bearer", "the private key", "auth"][i % 4], secret, odd[i % len(odd)], *words(12)])
+        assert not secret_scan.base_spans(text)
+        planted[2000 + i] = (text, text.index(secret), text.index(secret) + len(secret))
+    table = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    held_out = [(i, text) for i, (text, _, _) in planted.items()] + rows[450:]
+    field = secret_scan.fit(table(rows[:450]))
+    found = {r["doc_id"]: r["spans"] for r in secret_scan.scan(table(held_out), field=field).collect()}
+    together = {r["doc_id"] for r in secret_scan.scan(table(rows + held_out[:10])).where("spans LIKE '%crf%'").collect()}
+    assert together == set(range(2000, 2010))  # a few among the texts that the field is fitted to, too
+    spans = {i: [tuple(map(int, s.split(":")[1:])) for s in found[i].split(",") if s.startswith("crf")] for i in found}
+    right = sum((a, b) in spans[i] for i, (_, a, b) in planted.items())
+    claimed = sum(len(spans[i]) for i in spans if i >= 1000)
+    assert right >= 0.95 * len(planted) and right >= 0.95 * claimed  # measured: all 200, and nothing else
+
+
+def test_base_finds_equal_those_of_another_engine(spark):
+    path = "/root/testdata/sf0.01/documents.parquet"
+    kinds = {
+        "n_assign": (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+        "n_access": (r"(AKIA[A-Z0-9]+)", 1, 20),
+        "n_hex": (r"([0-9a-f]+)", 1, 24),
+    }
+    counts = ", ".join(
+        f"len(list_filter(regexp_extract_all(coalesce(text, ''), ?, {group}), lambda x: length(x) >= {least})) AS {name}"
+        for name, (_, group, least) in kinds.items()
+    )
+    sql = f"SELECT doc_id, {counts} FROM read_parquet('{path}') ORDER BY doc_id"
+    want = duckdb.connect().execute(sql, [k[0] for k in kinds.values()]).fetchall()
+    got = secret_scan.scan(spark.read.parquet(path)).select("doc_id", *kinds).orderBy("doc_id").collect()
+    assert [tuple(r) for r in got] == want and any(any(r[1:]) for r in want)
+
+
 def test_what_patterns_cut_off_is_a_secret_too(spark):
     word = np.zeros((len(secret_scan.FEATURES), 3))
     word[0, secret_scan.OUT] = 1
