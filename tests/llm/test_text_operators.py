@@ -13,6 +13,7 @@ import pytest
 
 from barloom.llm import license_scan, ngram_join, packing, quality_rules, secret_scan, substring_dedup, toxicity
 from barloom.llm import words as W
+from barloom.llm.shared import written
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, n_words string, spans int, score string"
@@ -108,6 +109,26 @@ def test_jaccard_components_equal_all_pairs(spark, docs, monkeypatch, short):
     assert len({c for _, c in want.values()}) < len(rows) - 20
 
 
+@pytest.mark.parametrize("held", [(7, 5000), (1 << 16, 4_000_000)])
+def test_gram_sets_of_unlike_documents_are_not_kept_beyond_the_sketch(spark, monkeypatch, held):
+    """Far more grams than broadcast cells: only documents that may link take part, however many blocks they are counted in."""
+    widths, stored = ngram_join.width_bits, {}
+    monkeypatch.setattr(ngram_join, "width_bits", lambda expected, least=20, most=28: widths(expected, 16, 16 if most == 28 else most))
+    monkeypatch.setattr(ngram_join, "written", lambda df, name: stored.setdefault(name, written(df, name)))
+    for name, value in zip(("BLOCK_DOCS", "FLUSH"), held):
+        monkeypatch.setattr(ngram_join, name, value, raising=False)
+    chance = random.Random(4)
+    texts = [[f"w{chance.randrange(10**9)}" for _ in range(1000)] for _ in range(400)]
+    near = [words[:30] + ["other"] + words[31:] for words in texts[:10]] + [["a", "b"], ["a", "b"], []]
+    long = [[f"x{i}" for i in range(3000)], [f"x{i}" for i in range(1, 3000)]]
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts + near + long)]
+    df = spark.createDataFrame([*rows, (999, None)], "doc_id long, text string").repartition(5)
+    got = {r[0]: r[2] for r in ngram_join.jaccard_components(df).collect()}
+    want = {i: i for i in got} | {400 + i: i for i in range(10)} | {411: 410, 414: 413}
+    assert got == want
+    assert 24 <= stored["grams"].where("tokens is not null").count() < 60
+
+
 def test_one_row_of_each_component_stays(spark, docs):
     rows, df = docs
     twice = df.union(df.where("doc_id = 3"))
