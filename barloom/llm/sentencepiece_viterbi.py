@@ -2,9 +2,11 @@
 
 One pass over the text: at each place the automaton's output links give the pieces that end
 there, longest first, and each relaxes the best score there. A character that is no
-piece costs ten more than the least score and becomes byte pieces. If no piece has a space mark after
-another character, no piece crosses the begin of a word, so words are segmented for themselves
-and each different word once a task; otherwise a text is segmented as a whole.
+piece costs ten more than the least score and becomes byte pieces. Where two characters meet that stand
+side by side in no piece, no piece crosses, so the stretches between such places are segmented for themselves
+and each different short one once a worker, also in texts without spaces. Without byte pieces, where unknown
+characters in a row are one id, the begins of words are such places if no piece has a space mark after
+another character; otherwise a text is segmented as a whole.
 
 The vocabulary (pieces and scores) is read on the driver from the given file and sent to the tasks.
 """
@@ -15,6 +17,7 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +26,16 @@ from barloom.llm.shared import append_columns, table
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Different words whose ids a task keeps.
+#: Different words whose ids a worker keeps.
 KNOWN_WORDS = 500_000
+#: Bits of a hash of two neighbouring characters.
+PAIR_BITS = 21
+
+
+def _pairs(text: str) -> np.ndarray:
+    """A hash of each two neighbouring characters."""
+    code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    return (code[:-1] * np.uint32(0x9E3779B1) + code[1:] * np.uint32(0x85EBCA77)) >> np.uint32(32 - PAIR_BITS)
 
 
 def model_file() -> str:
@@ -85,10 +96,16 @@ class Encoder:
         self.single = {piece for piece, _, _ in vocabulary.pieces if len(piece) == 1}
         self.penalty = min((s for _, _, s in vocabulary.pieces), default=0.0) - UNKNOWN_PENALTY
         self.by_word = vocabulary.by_word
+        #: Hashes of neighbours within a piece, and of few others, where a text is then not cut.
+        self.inside = np.zeros(1 << PAIR_BITS, bool)
+        for piece, _, _ in vocabulary.pieces:
+            self.inside[_pairs(piece)] = True
         self.known: dict[str, tuple[int, ...]] = {}
 
     def segment(self, text: str) -> tuple[int, ...]:
         """Ids of the best segmentation; of equally good ones that with the longer last piece."""
+        if self.single.issuperset(text):
+            return self._segment_known(text)
         n = len(text)
         best = [0.0] + [float("-inf")] * n
         via: list[tuple[int, int]] = [(0, 0)] * (n + 1)
@@ -121,29 +138,62 @@ class Encoder:
             n -= length
         return tuple(reversed(out))
 
+    def _segment_known(self, text: str) -> tuple[int, ...]:
+        """``segment`` of a text whose characters all are pieces."""
+        n = len(text)
+        best = [0.0] + [float("-inf")] * n
+        via: list = [None] * (n + 1)
+        for last, piece in self.automaton.iter(text):
+            end = last + 1
+            value = best[end - piece[0]] + piece[2]
+            if value > best[end]:
+                best[end], via[end] = value, piece
+        out: list[int] = []
+        while n:
+            piece = via[n]
+            out.append(piece[1])
+            n -= piece[0]
+        return tuple(reversed(out))
+
     def encode(self, text: str) -> list[int]:
         """Ids of a text."""
         text = self.normalize(text)
-        if not self.by_word:
-            return list(self.segment(text))
         out: list[int] = []
         known = self.known
-        # A word begins at a run of space marks; the part before the first run is one too.
-        for word in _WORDS.findall(text):
-            ids = known.get(word)
+        for stretch in self.stretches(text):
+            ids = known.get(stretch)
             if ids is None:
                 if len(known) >= KNOWN_WORDS:
                     known.clear()
-                ids = self.segment(word)
-                if len(word) < 64:
-                    known[word] = ids
+                ids = self.segment(stretch)
+                if len(stretch) < 64:
+                    known[stretch] = ids
             out += ids
         return out
 
+    def stretches(self, text: str) -> list[str]:
+        """A normalized text cut where no piece crosses."""
+        if self.vocabulary.byte:
+            cuts = (np.flatnonzero(~self.inside[_pairs(text)]) + 1).tolist()
+            return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)])]
+        # A word begins at a run of space marks; the part before the first run is one too.
+        return _WORDS.findall(text) if self.by_word else [text]
+
 
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
+#: The encoder of a worker's last vocabulary, with the words it knows; later tasks go on with it.
+_encoders: dict[bytes, Encoder] = {}
+
+
+def _encoder(vocabulary: Vocabulary) -> Encoder:
+    if vocabulary.definition not in _encoders:
+        _encoders.clear()
+        _encoders[vocabulary.definition] = Encoder(vocabulary)
+    return _encoders[vocabulary.definition]
+
+
 def decode_ids(ids: Iterable[int], surface: list[bytes]) -> str:
     """The text of ids: pieces joined, byte pieces as bytes, without the space that encoding puts first."""
     text = b"".join([surface[i] for i in ids]).decode("utf-8", "replace")
@@ -157,12 +207,8 @@ def encode(docs: DataFrame, text: str = "text", model: str | None = None, out: s
     """
     vocabulary = docs.sparkSession.sparkContext.broadcast(load(model))
 
-    held: list[Encoder] = []  # one a task
-
     def make(texts: pa.Array) -> list[pa.Array]:
-        if not held:
-            held.append(Encoder(vocabulary.value))
-        encoder = held[0]
+        encoder = _encoder(vocabulary.value)
         values = [None if t is None else encoder.encode(t) for t in texts.to_pylist()]
         return [pa.array(values, pa.list_(pa.int32()))]
 

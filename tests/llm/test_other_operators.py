@@ -221,6 +221,11 @@ def test_viterbi_equals_the_library_and_comes_back(spark):
         # The library adds scores in single precision, which unknown characters' large penalty uses up.
         assert ours == theirs or score(ours) >= score(theirs), text
         assert ours == list(encoder.segment(encoder.normalize(text)))
+    # Characters that no piece joins are cut apart, so a text without spaces is not segmented as one long word.
+    run = "日本語☃Ω" * 400 + "internationalisation" * 3
+    calls, segment = [], encoder.segment
+    encoder.segment = lambda part: calls.append(part) or segment(part)
+    assert encoder.encode(run) == list(segment(encoder.normalize(run))) and max(map(len, calls)) <= 70
     rows = [(i, t, 1) for i, t in enumerate([*texts, None])]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids int")
     back = sentencepiece_viterbi.decode(sentencepiece_viterbi.encode(df)).collect()
